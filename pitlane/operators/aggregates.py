@@ -1,0 +1,39 @@
+"""Aggregation helpers A1-A11.
+
+All are Catalyst aggregates, so Spark runs them as partial (map-side) plus
+final hash aggregation: a hot group key is combined inside every map task
+before the shuffle, which is what keeps skewed sessions cheap.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def driver_agg(df: DataFrame, keys: Sequence[str | Column], aggs: Sequence[Column]) -> DataFrame:
+    """Multi-key GROUP BY (NULL keys form their own group) with the given aggregates."""
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def avg2(c: str | Column) -> Column:
+    """A2: ``ROUND(AVG(x), 2)``, half-up on the decimal value of the mean."""
+    return F.round(F.avg(c), 2)
+
+
+def count_rows() -> Column:
+    """``COUNT(*)``."""
+    return F.count(F.lit(1))
+
+
+def range_slope(y: str | Column, x: str | Column) -> Column:
+    """``(max(y) - min(y)) / nullif(max(x) - min(x), 0)``; NULL for a single x."""
+    y, x = F.col(y) if isinstance(y, str) else y, F.col(x) if isinstance(x, str) else x
+    return (F.max(y) - F.min(y)) / F.nullif(F.max(x) - F.min(x), F.lit(0))
+
+
+def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
+    """Distinct combinations of ``cols``."""
+    return df.select(*cols).distinct()
