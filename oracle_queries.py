@@ -237,9 +237,87 @@ JOIN drivers d ON d.driver_id = sfl.driver_id
 JOIN sessions s ON s.session_id = sfl.session_id""",
 }
 
+
+# ---- timing (self-joins where Spark uses windows) ---------------------------
+
+_CUM = """,
+rcum AS (
+  SELECT a.session_id, a.driver, a.lap_number, a.position, a.gap_to_leader_us, a.interval_to_ahead_us,
+         CASE WHEN a.lap_time_us IS NULL THEN NULL
+              ELSE CAST(round_even(CAST(sum(b.lap_time_us) AS DOUBLE) / 1000, 0) AS BIGINT) END AS cum_ms
+  FROM raw_laps a
+  JOIN raw_laps b ON b.session_id = a.session_id AND b.driver = a.driver AND b.lap_number <= a.lap_number
+  GROUP BY a.session_id, a.driver, a.lap_number, a.position, a.gap_to_leader_us, a.interval_to_ahead_us, a.lap_time_us
+),
+rleader AS (
+  SELECT session_id, lap_number, cum_ms AS leader_ms FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_id, lap_number ORDER BY driver) AS rn
+    FROM rcum WHERE position = 1) WHERE rn = 1
+),
+rahead AS (
+  SELECT session_id, lap_number, position, cum_ms AS ahead_ms FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_id, lap_number, position ORDER BY driver) AS rn
+    FROM rcum WHERE position IS NOT NULL) WHERE rn = 1
+),
+rgaps AS (
+  SELECT c.session_id, c.driver, c.lap_number, c.position, c.cum_ms,
+         CAST(CASE WHEN c.gap_to_leader_us IS NOT NULL THEN round_even(c.gap_to_leader_us / 1000.0, 0)
+                   ELSE c.cum_ms - ld.leader_ms END AS BIGINT) AS gap_to_leader_ms,
+         CAST(CASE WHEN c.interval_to_ahead_us IS NOT NULL THEN round_even(c.interval_to_ahead_us / 1000.0, 0)
+                   ELSE c.cum_ms - ah.ahead_ms END AS BIGINT) AS interval_to_next_ms
+  FROM rcum c
+  LEFT JOIN rleader ld ON ld.session_id = c.session_id AND ld.lap_number = c.lap_number
+  LEFT JOIN rahead ah ON ah.session_id = c.session_id AND ah.lap_number = c.lap_number
+                    AND ah.position = c.position - 1
+)
+"""
+
+
+def _ms_round(c: str) -> str:
+    return f"CAST(round_even({c} / 1000.0, 0) AS INT)"
+
+
+def _ms_trunc(c: str) -> str:
+    return f"CAST(trunc({c} / 1000.0) AS INT)"
+
+
+TIMING = {
+    "w1_cumulative_time": _CUM + "SELECT session_id, driver, lap_number, cum_ms FROM rcum",
+    "w2_w3_gaps": _CUM + "SELECT * FROM rgaps",
+    "w4_n3_pitstops": """
+SELECT p.session_id, d.driver_id, CAST(p.lap_number AS INT) AS lap_number,
+       p.compound AS compound_in, n.compound AS compound_out,
+       CAST(round_even((coalesce(p.pit_out_us, n.pit_out_us) - p.pit_in_us) / 1000.0, 0) AS BIGINT) AS stop_time_ms
+FROM raw_laps p
+JOIN drivers d ON d.driver_code = p.driver AND d.driver_id <> 0
+LEFT JOIN raw_laps n ON n.session_id = p.session_id AND n.driver = p.driver AND n.lap_number = p.lap_number + 1
+WHERE p.pit_in_us IS NOT NULL""",
+    "n1_laps_simple": f"""
+SELECT r.session_id, d.driver_id, CAST(r.lap_number AS INT) AS lap_number, CAST(r.stint AS INT) AS stint_id,
+       r.compound, {_ms_trunc('r.lap_time_us')} AS lap_time_ms, {_ms_trunc('r.sector1_us')} AS sector1_ms,
+       {_ms_trunc('r.sector2_us')} AS sector2_ms, {_ms_trunc('r.sector3_us')} AS sector3_ms,
+       CAST(r.position AS INT) AS position, {_ms_trunc('r.gap_to_leader_us')} AS gap_to_leader_ms,
+       {_ms_trunc('r.interval_to_ahead_us')} AS interval_to_next_ms
+FROM raw_laps r JOIN drivers d ON d.driver_code = r.driver AND d.driver_id <> 0""",
+    "n2_laps_full": _CUM + f"""
+SELECT r.session_id, d.driver_id, CAST(r.lap_number AS INT) AS lap_number, CAST(r.stint AS INT) AS stint_id,
+       r.compound, {_ms_round('r.lap_time_us')} AS lap_time_ms, {_ms_round('r.sector1_us')} AS sector1_ms,
+       {_ms_round('r.sector2_us')} AS sector2_ms, {_ms_round('r.sector3_us')} AS sector3_ms,
+       CAST(r.position AS INT) AS position, CAST(g.gap_to_leader_ms AS INT) AS gap_to_leader_ms,
+       CAST(g.interval_to_next_ms AS INT) AS interval_to_next_ms
+FROM raw_laps r
+JOIN rgaps g ON g.session_id = r.session_id AND g.driver = r.driver AND g.lap_number = r.lap_number
+JOIN drivers d ON d.driver_code = r.driver AND d.driver_id <> 0""",
+    "f10_rejected_laps": """
+SELECT r.* FROM raw_laps r
+WHERE NOT EXISTS (SELECT 1 FROM drivers d WHERE d.driver_code = r.driver AND d.driver_id <> 0)""",
+}
+
+
 SQL: dict[str, str] = {}
 SQL.update(VIEWS_A)
 SQL.update(VIEWS_B)
+SQL.update(TIMING)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitlane.operators import timing
 from pitlane.plans import views
 from pitlane.sources.fixtures import warehouse
 
@@ -31,6 +32,38 @@ def _session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.session_summary(wh.laps, wh.sessions)
 
 
+def _w1(spark, sf_dir):
+    raw = warehouse(spark, sf_dir).raw_laps
+    return timing.cumulative_ms(raw).select("session_id", "driver", "lap_number", "cum_ms")
+
+
+def _w2_w3(spark, sf_dir):
+    raw = warehouse(spark, sf_dir).raw_laps
+    return timing.with_gaps(raw).select(
+        "session_id", "driver", "lap_number", "position", "cum_ms", "gap_to_leader_ms", "interval_to_next_ms"
+    )
+
+
+def _w4_n3(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return timing.normalise_pitstops(wh.raw_laps, wh.drivers)
+
+
+def _n1(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return timing.normalise_laps(wh.raw_laps, wh.drivers, fill_gaps=False)[0]
+
+
+def _n2(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return timing.normalise_laps(wh.raw_laps, wh.drivers, fill_gaps=True)[0]
+
+
+def _f10(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return timing.normalise_laps(wh.raw_laps, wh.drivers)[1]
+
+
 QUERIES: dict[str, Query] = {
     "va1_avg_gap_to_leader": _star_view(views.avg_gap_to_leader),
     "va2_best_laps": _star_view(views.best_laps),
@@ -47,4 +80,10 @@ QUERIES: dict[str, Query] = {
     "vb6_avg_gap_to_leader": _star_view(views.v_avg_gap_to_leader),
     "vb7_session_summary": _star_view(views.v_session_summary),
     "vb8_pitstops": _star_view(views.v_pitstops),
+    "w1_cumulative_time": _w1,
+    "w2_w3_gaps": _w2_w3,
+    "w4_n3_pitstops": _w4_n3,
+    "n1_laps_simple": _n1,
+    "n2_laps_full": _n2,
+    "f10_rejected_laps": _f10,
 }
