@@ -281,17 +281,29 @@ def _ms_trunc(c: str) -> str:
     return f"CAST(trunc({c} / 1000.0) AS INT)"
 
 
-TIMING = {
-    "w1_cumulative_time": _CUM + "SELECT session_id, driver, lap_number, cum_ms FROM rcum",
-    "w2_w3_gaps": _CUM + "SELECT * FROM rgaps",
-    "w4_n3_pitstops": """
+_N2_BODY = f"""
+SELECT r.session_id, d.driver_id, CAST(r.lap_number AS INT) AS lap_number, CAST(r.stint AS INT) AS stint_id,
+       r.compound, {_ms_round('r.lap_time_us')} AS lap_time_ms, {_ms_round('r.sector1_us')} AS sector1_ms,
+       {_ms_round('r.sector2_us')} AS sector2_ms, {_ms_round('r.sector3_us')} AS sector3_ms,
+       CAST(r.position AS INT) AS position, CAST(g.gap_to_leader_ms AS INT) AS gap_to_leader_ms,
+       CAST(g.interval_to_next_ms AS INT) AS interval_to_next_ms
+FROM raw_laps r
+JOIN rgaps g ON g.session_id = r.session_id AND g.driver = r.driver AND g.lap_number = r.lap_number
+JOIN drivers d ON d.driver_code = r.driver AND d.driver_id <> 0"""
+
+_W4_BODY = """
 SELECT p.session_id, d.driver_id, CAST(p.lap_number AS INT) AS lap_number,
        p.compound AS compound_in, n.compound AS compound_out,
        CAST(round_even((coalesce(p.pit_out_us, n.pit_out_us) - p.pit_in_us) / 1000.0, 0) AS BIGINT) AS stop_time_ms
 FROM raw_laps p
 JOIN drivers d ON d.driver_code = p.driver AND d.driver_id <> 0
 LEFT JOIN raw_laps n ON n.session_id = p.session_id AND n.driver = p.driver AND n.lap_number = p.lap_number + 1
-WHERE p.pit_in_us IS NOT NULL""",
+WHERE p.pit_in_us IS NOT NULL"""
+
+TIMING = {
+    "w1_cumulative_time": _CUM + "SELECT session_id, driver, lap_number, cum_ms FROM rcum",
+    "w2_w3_gaps": _CUM + "SELECT * FROM rgaps",
+    "w4_n3_pitstops": _W4_BODY,
     "n1_laps_simple": f"""
 SELECT r.session_id, d.driver_id, CAST(r.lap_number AS INT) AS lap_number, CAST(r.stint AS INT) AS stint_id,
        r.compound, {_ms_trunc('r.lap_time_us')} AS lap_time_ms, {_ms_trunc('r.sector1_us')} AS sector1_ms,
@@ -299,25 +311,174 @@ SELECT r.session_id, d.driver_id, CAST(r.lap_number AS INT) AS lap_number, CAST(
        CAST(r.position AS INT) AS position, {_ms_trunc('r.gap_to_leader_us')} AS gap_to_leader_ms,
        {_ms_trunc('r.interval_to_ahead_us')} AS interval_to_next_ms
 FROM raw_laps r JOIN drivers d ON d.driver_code = r.driver AND d.driver_id <> 0""",
-    "n2_laps_full": _CUM + f"""
-SELECT r.session_id, d.driver_id, CAST(r.lap_number AS INT) AS lap_number, CAST(r.stint AS INT) AS stint_id,
-       r.compound, {_ms_round('r.lap_time_us')} AS lap_time_ms, {_ms_round('r.sector1_us')} AS sector1_ms,
-       {_ms_round('r.sector2_us')} AS sector2_ms, {_ms_round('r.sector3_us')} AS sector3_ms,
-       CAST(r.position AS INT) AS position, CAST(g.gap_to_leader_ms AS INT) AS gap_to_leader_ms,
-       CAST(g.interval_to_next_ms AS INT) AS interval_to_next_ms
-FROM raw_laps r
-JOIN rgaps g ON g.session_id = r.session_id AND g.driver = r.driver AND g.lap_number = r.lap_number
-JOIN drivers d ON d.driver_code = r.driver AND d.driver_id <> 0""",
+    "n2_laps_full": _CUM + ",\nn2 AS (" + _N2_BODY + ")\nSELECT * FROM n2",
     "f10_rejected_laps": """
 SELECT r.* FROM raw_laps r
 WHERE NOT EXISTS (SELECT 1 FROM drivers d WHERE d.driver_code = r.driver AND d.driver_id <> 0)""",
 }
 
 
+# ---- upserts, keys and integrity --------------------------------------------
+
+_CLEAN_RESULTS = """,
+res AS (
+  SELECT session_id,
+         trim(coalesce(nullif(abbreviation, ''), '')) AS driver_code,
+         trim(coalesce(nullif(full_name, ''), nullif(trim(coalesce(nullif(abbreviation, ''), '')), ''), '')) AS full_name,
+         trim(coalesce(nullif(team_name, ''), '')) AS team,
+         trim(coalesce(nullif(team_name, ''), nullif(team, ''), '')) AS team_any
+  FROM raw_results
+)
+"""
+
+INGEST = {
+    "u1_upsert_sessions": """,
+upd AS (
+  SELECT s.year, s.track, s.session_type,
+         CAST(coalesce(nullif(max(CAST(r.lap_number AS INT)), 0), 0) AS INT) AS total_laps
+  FROM raw_laps r JOIN sessions s ON s.session_id = r.session_id
+  GROUP BY s.year, s.track, s.session_type
+)
+SELECT s.session_id, s.year, s.track, s.session_type,
+       CASE WHEN u.year IS NULL THEN s.total_laps ELSE u.total_laps END AS total_laps,
+       '{}' AS weather, 0 AS safety_car_count
+FROM sessions s
+LEFT JOIN upd u ON u.year = s.year AND u.track = s.track AND u.session_type = s.session_type""",
+    "u2_upsert_drivers": _CLEAN_RESULTS + """,
+latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY driver_code ORDER BY session_id DESC, full_name DESC, team DESC) AS rn
+    FROM res WHERE driver_code <> '') WHERE rn = 1
+)
+SELECT d.driver_id, d.driver_code,
+       CASE WHEN u.driver_code IS NULL THEN d.full_name ELSE u.full_name END AS full_name,
+       CASE WHEN u.driver_code IS NULL THEN d.team ELSE u.team END AS team
+FROM drivers d LEFT JOIN latest u ON u.driver_code = d.driver_code
+UNION ALL
+SELECT CAST((SELECT max(driver_id) FROM drivers) + row_number() OVER (ORDER BY u.driver_code) AS INT),
+       u.driver_code, u.full_name, u.team
+FROM latest u WHERE u.driver_code NOT IN (SELECT driver_code FROM drivers)""",
+    "u3_insert_teams": _CLEAN_RESULTS + """
+SELECT trim(team) AS team_name FROM drivers WHERE trim(coalesce(team, '')) <> ''
+UNION
+SELECT team_any FROM res WHERE team_any <> ''""",
+    "u4_upsert_laps": _CUM + ",\nn2 AS (" + _N2_BODY + """)
+SELECT * FROM n2
+UNION ALL
+SELECT l.* FROM laps l
+WHERE NOT EXISTS (SELECT 1 FROM n2 WHERE n2.session_id = l.session_id AND n2.driver_id = l.driver_id
+                                      AND n2.lap_number = l.lap_number)""",
+    "u5_upsert_pitstops": _W4_BODY,
+    "u6_surrogate_keys": """
+SELECT CAST((SELECT max(driver_id) FROM drivers) + row_number() OVER (ORDER BY driver) AS INT) AS driver_id,
+       driver AS driver_code
+FROM (SELECT DISTINCT driver FROM raw_laps WHERE driver NOT IN (SELECT driver_code FROM drivers))""",
+    "q1_duplicate_keys": _CLEAN_RESULTS + """
+SELECT session_id, driver_code, count(*) AS row_count
+FROM res GROUP BY session_id, driver_code HAVING count(*) > 1""",
+    "q2_orphans": """
+SELECT l.* FROM laps l
+WHERE l.session_id NOT IN (SELECT session_id FROM sessions WHERE session_type = 'Race')""",
+    "q3_cascade_delete": """
+SELECT l.* FROM laps l
+WHERE l.session_id NOT IN (SELECT session_id FROM sessions WHERE session_type = 'Qualifying')""",
+    "q4_null_report": """
+SELECT 'sessions' AS table_name, 'year' AS column_name, count(*) - count(year) AS null_count FROM sessions
+UNION ALL SELECT 'sessions', 'track', count(*) - count(track) FROM sessions
+UNION ALL SELECT 'sessions', 'session_type', count(*) - count(session_type) FROM sessions
+UNION ALL SELECT 'drivers', 'driver_code', count(*) - count(driver_code) FROM drivers
+UNION ALL SELECT 'drivers', 'full_name', count(*) - count(full_name) FROM drivers
+UNION ALL SELECT 'laps', 'session_id', count(*) - count(session_id) FROM laps
+UNION ALL SELECT 'laps', 'driver_id', count(*) - count(driver_id) FROM laps
+UNION ALL SELECT 'raw_results', 'abbreviation', count(*) - count(abbreviation) FROM raw_results
+UNION ALL SELECT 'raw_results', 'full_name', count(*) - count(full_name) FROM raw_results
+UNION ALL SELECT 'raw_results', 'team_name', count(*) - count(team_name) FROM raw_results""",
+    "s8_missing_sessions": """
+SELECT s.* FROM sessions s
+WHERE NOT EXISTS (SELECT 1 FROM raw_laps r WHERE r.session_id = s.session_id)""",
+    "s10_ingest_audit": _CUM + ",\nn2 AS (" + _N2_BODY + "),\nw4 AS (" + _W4_BODY + """)
+SELECT f.session_id, f.laps_found,
+       coalesce(w.laps_written, 0) AS laps_written, coalesce(w.drivers_written, 0) AS drivers_written,
+       coalesce(p.pitstops_written, 0) AS pitstops_written
+FROM (SELECT session_id, count(*) AS laps_found FROM raw_laps GROUP BY session_id) f
+LEFT JOIN (SELECT session_id, count(*) AS laps_written, count(DISTINCT driver_id) AS drivers_written
+           FROM n2 GROUP BY session_id) w ON w.session_id = f.session_id
+LEFT JOIN (SELECT session_id, count(*) AS pitstops_written FROM w4 GROUP BY session_id) p
+       ON p.session_id = f.session_id""",
+    "l3_latest_event": """
+SELECT year, event_name, event_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY year ORDER BY event_date DESC, event_name DESC) AS rn
+  FROM schedule WHERE CAST(event_date AS DATE) <= DATE '2001-07-15') WHERE rn = 1""",
+}
+
+# ---- strategy chart data ----------------------------------------------------
+
+_BOUNDS = """,
+sb AS (
+  SELECT d.full_name, s.session_id, l.stint_id, l.compound,
+         min(l.lap_number) AS stint_start_lap, max(l.lap_number) AS stint_end_lap
+  FROM laps l JOIN drivers d ON l.driver_id = d.driver_id JOIN sessions s ON l.session_id = s.session_id
+  WHERE s.session_type = 'Race'
+  GROUP BY d.full_name, s.session_id, l.stint_id, l.compound
+),
+sbr AS (
+  SELECT sb.*, CAST(dense_rank() OVER (PARTITION BY session_id ORDER BY full_name DESC) - 1 AS INT) AS driver_row
+  FROM sb
+)
+"""
+
+STRATEGY = {
+    "g1_strategy_bars": _BOUNDS + """
+SELECT session_id, full_name, driver_row, compound, stint_id, stint_start_lap,
+       stint_end_lap - stint_start_lap AS width,
+       CASE compound WHEN 'HARD' THEN '#D9D9D9' WHEN 'MEDIUM' THEN 'yellow' WHEN 'SOFT' THEN 'red'
+                     WHEN 'INTERMEDIATE' THEN 'green' WHEN 'WET' THEN 'blue' ELSE 'grey' END AS colour
+FROM sbr""",
+    "g2_strategy_pit_markers": _BOUNDS + """
+SELECT b.session_id, b.full_name, b.driver_row, b.stint_id, b.stint_end_lap AS pit_lap
+FROM sbr b JOIN sessions s ON s.session_id = b.session_id
+WHERE b.stint_end_lap < s.total_laps""",
+    "g3_strategy_total_pitstops": _BOUNDS + """
+SELECT b.session_id, count(CASE WHEN b.stint_end_lap < s.total_laps THEN 1 END) AS total_pitstops
+FROM sb b JOIN sessions s ON s.session_id = b.session_id
+GROUP BY b.session_id""",
+    "g4_strategy_header": """
+SELECT session_id, track, year, session_type, total_laps,
+       track || ' – Pit Stop Strategy' AS title,
+       CAST(year AS VARCHAR) || ' ' || session_type AS subtitle,
+       'Lap ' || CAST(total_laps AS VARCHAR) AS final_lap_label
+FROM sessions""",
+}
+
+# ---- outliers and standardisation -------------------------------------------
+
+QUALITY = {
+    "x1_outlier_filter": """,
+fence AS (
+  SELECT session_id, compound,
+         quantile_cont(lap_time_ms, 0.25) AS q1, quantile_cont(lap_time_ms, 0.75) AS q3
+  FROM laps WHERE lap_time_ms IS NOT NULL GROUP BY session_id, compound
+)
+SELECT l.* FROM laps l
+JOIN fence f ON f.session_id = l.session_id AND f.compound IS NOT DISTINCT FROM l.compound
+WHERE l.lap_time_ms BETWEEN f.q1 - 1.5 * (f.q3 - f.q1) AND f.q3 + 1.5 * (f.q3 - f.q1)""",
+    "x2_standardise": """,
+st AS (
+  SELECT session_id, avg(lap_time_ms) AS m, stddev_samp(lap_time_ms) AS sd
+  FROM laps WHERE lap_time_ms IS NOT NULL GROUP BY session_id
+)
+SELECT l.session_id, l.driver_id, l.lap_number, upper(trim(l.compound)) AS compound, l.lap_time_ms,
+       (l.lap_time_ms - st.m) / nullif(st.sd, 0) AS lap_time_ms_z
+FROM laps l LEFT JOIN st ON st.session_id = l.session_id""",
+}
+
 SQL: dict[str, str] = {}
 SQL.update(VIEWS_A)
 SQL.update(VIEWS_B)
 SQL.update(TIMING)
+SQL.update(INGEST)
+SQL.update(STRATEGY)
+SQL.update(QUALITY)
 
 
 def oracle_sql() -> dict[str, str]:

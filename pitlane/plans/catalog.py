@@ -10,8 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.operators import timing
-from pitlane.plans import views
+import datetime
+
+from pyspark.sql import functions as F
+
+from pitlane.functions.cleanse import clean
+from pitlane.operators import integrity, quality, ranking, timing, upsert
+from pitlane.plans import ingest, strategy, views
 from pitlane.sources.fixtures import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +69,118 @@ def _f10(spark, sf_dir):
     return timing.normalise_laps(wh.raw_laps, wh.drivers)[1]
 
 
+# Injected "today" for the as-of queries (F6, L3): fixed, so results are reproducible.
+AS_OF = datetime.date(2001, 7, 15)
+
+
+def _u1(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    base = ingest.warehouse_sessions(wh.sessions)
+    return ingest.upsert_sessions(base, ingest.relanded_sessions(wh.sessions, wh.raw_laps))
+
+
+def _u2(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return ingest.upsert_drivers(wh.drivers, wh.raw_results)
+
+
+def _u3(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    base = wh.drivers.select(clean("team").alias("team_name")).where(F.col("team_name") != "").distinct()
+    return ingest.insert_teams(base, wh.raw_results)
+
+
+def _u4(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return ingest.upsert_laps(wh.laps, wh.raw_laps, wh.drivers)
+
+
+def _u5(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return ingest.upsert_pitstops(ingest.empty_pitstops(spark), wh.raw_laps, wh.drivers)
+
+
+def _u6(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    seen = wh.raw_laps.select(F.col("driver").alias("driver_code"))
+    return upsert.assign_ids(wh.drivers, seen, ["driver_code"], "driver_id")
+
+
+def _q1(spark, sf_dir):
+    res = warehouse(spark, sf_dir).raw_results
+    return integrity.duplicate_keys(
+        res.select("session_id", clean("abbreviation").alias("driver_code")), ["session_id", "driver_code"]
+    )
+
+
+def _race_sessions(wh):
+    return wh.sessions.where(F.col("session_type") == "Race")
+
+
+def _q2(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return integrity.orphans(wh.laps, _race_sessions(wh), "session_id")
+
+
+def _q3(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    deleted = wh.sessions.where(F.col("session_type") == "Qualifying")
+    return integrity.cascade_delete(wh.laps, deleted, "session_id")
+
+
+def _q4(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    parts = [
+        integrity.null_violations(wh.sessions, "sessions", ["year", "track", "session_type"]),
+        integrity.null_violations(wh.drivers, "drivers", ["driver_code", "full_name"]),
+        integrity.null_violations(wh.laps, "laps", ["session_id", "driver_id"]),
+        integrity.null_violations(wh.raw_results, "raw_results", ["abbreviation", "full_name", "team_name"]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _s8(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return integrity.missing_sessions(wh.sessions, wh.raw_laps, ["session_id"])
+
+
+def _s10(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    laps, _ = timing.normalise_laps(wh.raw_laps, wh.drivers, fill_gaps=True)
+    stops = timing.normalise_pitstops(wh.raw_laps, wh.drivers)
+    return integrity.ingest_audit(wh.raw_laps, laps, laps, stops)
+
+
+def _l3(spark, sf_dir):
+    return ranking.latest_event(warehouse(spark, sf_dir).schedule, AS_OF)
+
+
+def _strategy(fn):
+    def run(spark, sf_dir):
+        wh = warehouse(spark, sf_dir)
+        return fn(wh.laps, wh.drivers, wh.sessions)
+
+    run.__name__ = fn.__name__
+    return run
+
+
+def _g4(spark, sf_dir):
+    return strategy.strategy_header(warehouse(spark, sf_dir).sessions)
+
+
+def _x1(spark, sf_dir):
+    return quality.drop_outliers(warehouse(spark, sf_dir).laps)
+
+
+def _x2(spark, sf_dir):
+    return quality.standardise(warehouse(spark, sf_dir).laps).select(
+        "session_id", "driver_id", "lap_number", "compound", "lap_time_ms", "lap_time_ms_z"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "va1_avg_gap_to_leader": _star_view(views.avg_gap_to_leader),
     "va2_best_laps": _star_view(views.best_laps),
@@ -86,4 +203,23 @@ QUERIES: dict[str, Query] = {
     "n1_laps_simple": _n1,
     "n2_laps_full": _n2,
     "f10_rejected_laps": _f10,
+    "u1_upsert_sessions": _u1,
+    "u2_upsert_drivers": _u2,
+    "u3_insert_teams": _u3,
+    "u4_upsert_laps": _u4,
+    "u5_upsert_pitstops": _u5,
+    "u6_surrogate_keys": _u6,
+    "q1_duplicate_keys": _q1,
+    "q2_orphans": _q2,
+    "q3_cascade_delete": _q3,
+    "q4_null_report": _q4,
+    "s8_missing_sessions": _s8,
+    "s10_ingest_audit": _s10,
+    "l3_latest_event": _l3,
+    "g1_strategy_bars": _strategy(strategy.strategy_bars),
+    "g2_strategy_pit_markers": _strategy(strategy.strategy_pit_markers),
+    "g3_strategy_total_pitstops": _strategy(strategy.strategy_total_pitstops),
+    "g4_strategy_header": _g4,
+    "x1_outlier_filter": _x1,
+    "x2_standardise": _x2,
 }
