@@ -8,6 +8,8 @@ Facts are never broadcast.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,20 +18,50 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+_FITS: dict[tuple, bool] = {}
+_FITS_LOCK = threading.Lock()
+
+
+def _fits_key(df: DataFrame, max_rows: int) -> tuple | None:
+    """Plan identity plus the exact input files: a rewritten table never reuses an answer."""
+    try:
+        return (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # plans without file inputs (local data) are simply not cached
+        return None
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when its row count is within the bound."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+
+    Answers are remembered per (plan, input files), so a dimension read by
+    several queries is counted once.
+    """
+    key = _fits_key(df, max_rows)
+    if key is not None:
+        with _FITS_LOCK:
+            if key in _FITS:
+                return _FITS[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        with _FITS_LOCK:
+            _FITS[key] = ok
+    return ok
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
+    """``df`` marked for broadcast when its row count is within the bound.
+
+    ``bound``, when given, is a cheaper DataFrame with at least as many rows
+    as ``df`` (e.g. its distinct keys read straight from the input); it is
+    counted instead, so ``df`` itself is not computed twice.
+    """
+    return F.broadcast(df) if fits(df if bound is None else bound, max_rows) else df
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+             max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
     """Fact-to-dimension join with a size-checked broadcast of the dimension."""
-    return fact.join(small_side(dim, max_rows), on, how)
+    return fact.join(small_side(dim, max_rows, bound), on, how)
 
 
 def star(laps: DataFrame, drivers: DataFrame, sessions: DataFrame, session_type: str | None = "Race") -> DataFrame:

@@ -85,7 +85,9 @@ def with_gaps(raw: DataFrame) -> DataFrame:
     cum = cumulative_ms(raw)
     leaders = leader_of_lap(cum)
     ahead = car_ahead(cum)
-    j = join_dim(cum, leaders, ["session_id", "lap_number"], "left")
+    # One leader row per (session, lap) with a car in P1: counted on the raw input, not on `cum`.
+    lead_keys = raw.where(F.col("position") == 1).select("session_id", "lap_number").distinct()
+    j = join_dim(cum, leaders, ["session_id", "lap_number"], "left", bound=lead_keys)
     ahead = ahead.withColumnsRenamed({"session_id": "_a_session", "lap_number": "_a_lap"})
     j = j.join(
         ahead,

@@ -24,8 +24,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitlane.config import shared_dir
 from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim
 
+# Largest update batch merged by broadcasting it (a lap row is ~100 bytes).
+# A race weekend is a few thousand laps; a bulk re-load takes the shuffle path.
+UPSERT_BROADCAST_MAX_ROWS = 100_000
+
 
 def _any_null(keys: Sequence[str]) -> Column:
     cond = F.lit(False)
@@ -34,26 +39,35 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def _null_key_salt(keys: Sequence[str]) -> Column:
+    """0 for a complete key; a per-row unique value when any key part is NULL.
+
+    Such rows never conflict, so they must neither be merged by the dedupe
+    aggregate nor pile up in the one hash partition NULL keys map to: the
+    salt makes each its own group and spreads them over partitions.
+    """
+    return F.when(_any_null(keys), F.monotonically_increasing_id() + 1).otherwise(F.lit(0))
+
+
 def dedupe_last(df: DataFrame, keys: Sequence[str], order: str | Column | None) -> DataFrame:
-    """One row per key (rows with a NULL key untouched): the one with the greatest ``order``.
+    """One row per complete key, the one with the greatest ``order``; NULL-key rows all kept.
 
-    Without ``order`` the batch must already be unique per key; duplicates
-    are then resolved by the greatest full row, deterministically.
+    An aggregate (``max_by``), so a key with many updates is combined
+    map-side. Ties on ``order`` resolve to the greatest full row.
     """
+    keys = list(keys)
     cols = [c for c in df.columns if c not in keys]
+    salted = df.withColumn("_salt", _null_key_salt(keys))
     if not cols:
-        return df.where(_any_null(keys)).unionByName(df.where(~_any_null(keys)).distinct())
-    ordering = F.struct(
-        (F.col(order) if isinstance(order, str) else order) if order is not None else F.lit(0),
-        *[F.col(c) for c in cols],
-    )
-    latest = (
-        df.where(~_any_null(keys))
-        .groupBy(*keys)
+        return salted.select(*keys, "_salt").distinct().drop("_salt")
+    order_col = F.lit(0) if order is None else (F.col(order) if isinstance(order, str) else order)
+    ordering = F.struct(order_col, *[F.col(c) for c in cols])
+    return (
+        salted.groupBy(*keys, "_salt")
         .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_row"))
         .select(*keys, "_row.*")
+        .select(*df.columns)
     )
-    return df.where(_any_null(keys)).unionByName(latest.select(*df.columns))
 
 
 def _conform(updates: DataFrame, columns: Sequence[str], defaults: Mapping[str, object], types) -> DataFrame:
@@ -72,24 +86,32 @@ def upsert(
     update_cols: Sequence[str],
     order: str | Column | None = None,
     defaults: Mapping[str, object] | None = None,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    max_broadcast_rows: int = UPSERT_BROADCAST_MAX_ROWS,
+    size_bound: DataFrame | None = None,
 ) -> DataFrame:
     """The base table after upserting ``updates`` on ``keys``.
 
     ``update_cols`` empty gives INSERT IGNORE (U3). ``order`` (a column of
     ``updates``) picks the last of several updates to one key. ``defaults``
     fills base columns an inserted row lacks (e.g. ``weather='{}'``).
+    ``size_bound`` is a cheap DataFrame with at least as many rows as the
+    batch (e.g. the raw laps a normalised batch came from); without one the
+    deduplicated batch is checkpointed so that counting it does not
+    recompute it.
     """
     keys = list(keys)
     types = {f.name: f.dataType for f in base.schema.fields}
     columns = base.columns
     order_col = F.lit(0) if order is None else (F.col(order) if isinstance(order, str) else order)
     conformed = _conform(updates.withColumn("_order", order_col), columns, defaults or {}, types)
-    u = dedupe_last(conformed, keys, F.col("_order")).drop("_order")
-    u_null = u.where(_any_null(keys))
-    u_keyed = u.where(~_any_null(keys))
+    u = dedupe_last(conformed, keys, "_order").drop("_order")
+    if size_bound is None:
+        # Written once to the shared checkpoint folder: the size check and
+        # the merge then read it instead of recomputing the batch.
+        shared_dir(updates.sparkSession)
+        u = u.checkpoint()
     rest = [c for c in columns if c not in keys]
-    renamed = u_keyed.select(*keys, *[F.col(c).alias("_u_" + c) for c in rest], F.lit(True).alias("_u_present"))
+    renamed = u.select(*keys, *[F.col(c).alias("_u_" + c) for c in rest], F.lit(True).alias("_u_present"))
 
     def merged(u_present: Column, b_present: Column) -> list[Column]:
         out = []
@@ -102,20 +124,22 @@ def upsert(
                 out.append(F.when(b_present, F.col(c)).otherwise(F.col("_u_" + c)).alias(c))
         return out
 
-    if fits(u_keyed, max_broadcast_rows):
-        # Base scanned twice, never shuffled: kept + updated rows, then the matched keys.
+    if fits(u if size_bound is None else size_bound, max_broadcast_rows):
+        # Small batch: the base is scanned twice and never shuffled. Equality
+        # never matches a NULL key, so such rows fall through as inserts.
         updated = base.join(F.broadcast(renamed), keys, "left").select(
             *merged(F.col("_u_present").isNotNull(), F.lit(True))
         )
-        matched = base.select(*keys).join(F.broadcast(u_keyed.select(*keys)), keys, "left_semi").distinct()
-        inserted = u_keyed.join(F.broadcast(matched), keys, "left_anti")
-        return updated.unionByName(inserted).unionByName(u_null)
-
-    b_null = base.where(_any_null(keys))
-    b = base.where(~_any_null(keys)).withColumn("_b_present", F.lit(True))
-    j = b.join(renamed, keys, "full_outer")
-    out = j.select(*merged(F.col("_u_present").isNotNull(), F.col("_b_present").isNotNull()))
-    return out.unionByName(b_null).unionByName(u_null)
+        matched = base.select(*keys).join(F.broadcast(u.select(*keys)), keys, "left_semi").distinct()
+        inserted = u.join(F.broadcast(matched), keys, "left_anti")
+        return updated.unionByName(inserted)
+
+    # Large batch: one full outer join; both sides hash-partitioned by key
+    # (the dedupe aggregate already partitioned the batch that way).
+    b = base.withColumn("_salt", _null_key_salt(keys)).withColumn("_b_present", F.lit(True))
+    r = renamed.withColumn("_salt", _null_key_salt(keys))
+    j = b.join(r, [*keys, "_salt"], "full_outer")
+    return j.select(*merged(F.col("_u_present").isNotNull(), F.col("_b_present").isNotNull()))
 
 
 def assign_ids(base: DataFrame, new_keys: DataFrame, natural_key: Sequence[str], id_col: str,
