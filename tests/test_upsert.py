@@ -1,0 +1,79 @@
+from conftest import rows
+
+from pyspark.sql import functions as F
+
+from pitlane.operators.upsert import assign_ids, dedupe_last, upsert
+from pitlane.schemas import SESSIONS
+
+BASE = [(1, 2024, "Bahrain", "Race", 57, '{"rain": 1}', 2), (2, 2024, "Jeddah", "Race", 50, "{}", 0)]
+SCHEMA = "year int, track string, session_type string, total_laps int, batch int"
+
+
+def _base(spark):
+    return spark.createDataFrame(BASE, SESSIONS)
+
+
+def _keys():
+    return ["year", "track", "session_type"]
+
+
+def _both_paths(spark, updates, **kw):
+    small = upsert(_base(spark), updates, _keys(), ["total_laps"], defaults={"weather": "{}", "safety_car_count": 0}, **kw)
+    large = upsert(_base(spark), updates, _keys(), ["total_laps"], defaults={"weather": "{}", "safety_car_count": 0},
+                   max_broadcast_rows=0, **kw)
+    a, b = rows(small), rows(large)
+    assert a == b
+    return a
+
+
+def test_partial_update_keeps_other_columns_and_inserts(spark):
+    upd = spark.createDataFrame([(2024, "Bahrain", "Race", 58, 1), (2025, "Miami", "Race", None, 1)], SCHEMA)
+    got = _both_paths(spark, upd)
+    assert got == [
+        (1, 2024, "Bahrain", "Race", 58, '{"rain": 1}', 2),   # weather and safety car stay
+        (2, 2024, "Jeddah", "Race", 50, "{}", 0),
+        (None, 2025, "Miami", "Race", None, "{}", 0),          # id assigned separately (U6)
+    ]
+
+
+def test_last_update_wins_by_order(spark):
+    upd = spark.createDataFrame([(2024, "Bahrain", "Race", 60, 2), (2024, "Bahrain", "Race", 59, 1)], SCHEMA)
+    got = _both_paths(spark, upd, order="batch")
+    assert got[0][4] == 60
+
+
+def test_update_to_null_is_applied(spark):
+    upd = spark.createDataFrame([(2024, "Jeddah", "Race", None, 1)], SCHEMA)
+    assert _both_paths(spark, upd)[1][4] is None
+
+
+def test_null_key_rows_always_insert(spark):
+    upd = spark.createDataFrame([(2024, None, "Race", 1, 1), (2024, None, "Race", 1, 1)], SCHEMA)
+    got = _both_paths(spark, upd)
+    assert len(got) == 4 and sum(1 for r in got if r[2] is None) == 2
+
+
+def test_upsert_is_idempotent(spark):
+    upd = spark.createDataFrame([(2024, "Bahrain", "Race", 58, 1), (2025, "Miami", "Race", 30, 1)], SCHEMA)
+    once = upsert(_base(spark), upd, _keys(), ["total_laps"])
+    twice = upsert(once, upd, _keys(), ["total_laps"])
+    assert rows(once) == rows(twice)
+
+
+def test_insert_ignore(spark):
+    base = spark.createDataFrame([("Red",), ("Blue",)], "team_name string")
+    upd = spark.createDataFrame([("Red",), ("Green",), ("Green",)], "team_name string")
+    assert rows(upsert(base, upd, ["team_name"], [])) == [("Blue",), ("Green",), ("Red",)]
+
+
+def test_dedupe_keeps_null_keys_apart(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (5, 1), (5, 2)], "k int, v int")
+    assert rows(dedupe_last(df, ["k"], "v")) == [(5, 2), (None, 1), (None, 1)]
+
+
+def test_assign_ids_small_and_range_numbered(spark):
+    base = spark.createDataFrame([(7, "AAA")], "driver_id int, driver_code string")
+    new = spark.createDataFrame([(c,) for c in ["ZZZ", "AAA", "MMM", "BBB", "MMM"]], "driver_code string")
+    want = [(8, "BBB"), (9, "MMM"), (10, "ZZZ")]
+    assert rows(assign_ids(base, new, ["driver_code"], "driver_id")) == want
+    assert rows(assign_ids(base, new.repartition(3), ["driver_code"], "driver_id", max_rows=0)) == want
