@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.operators.filters import past_events
-from pitlane.operators.joins import join_dim
+from pitlane.config import shared_dir
+from pitlane.operators.joins import fits, join_dim, small_side
 
 
 def _asc_nulls_last(c: str | Column) -> Column:
@@ -42,15 +43,66 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def group_row_number(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column],
+                     out: str = "row_number", partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by groups order by order)`` that never funnels a group into one task.
+
+    1. Range-partition on (groups, order): a large group is cut into
+       contiguous slices spread over several partitions. The slice ids are
+       pinned with a checkpoint (range bounds come from sampling).
+    2. Number rows inside each (slice, group): a window over at most one
+       partition's worth of rows.
+    3. Offset of a (slice, group) = rows of the same group in earlier slices:
+       a window over the per-(slice, group) counts, which has at most one row
+       per slice for any group.
+    ``order`` must be a total order within a group, as for ``row_number``.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    parts = (
+        df.repartitionByRange(n, *[F.col(g) for g in groups], *order_cols)
+        .withColumn("_slice", F.spark_partition_id())
+        .checkpoint()
+    )
+    local = parts.withColumn(
+        "_local", F.row_number().over(Window.partitionBy("_slice", *groups).orderBy(*order_cols))
+    )
+    counts = parts.groupBy("_slice", *groups).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col("_slice").alias("_o_slice"), *[F.col(g).alias(f"_o_{g}") for g in groups],
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+    )
+    cond = F.col("_slice") == F.col("_o_slice")
+    for g in groups:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
+    joined = local.join(small_side(offsets), cond, "inner")
+    return joined.select(
+        *df.columns, (F.col("_offset") + F.col("_local")).cast("int").alias(out)
+    )
+
+
+# Up to this many distinct (session, driver name) pairs are ranked with one
+# window per session; beyond it, with the slice-wise row number.
+DRIVER_ROW_WINDOW_MAX = 1_000_000
+
+
 def driver_row(df: DataFrame, session_col: str = "session_id", name_col: str = "full_name") -> DataFrame:
     """Chart row per (session, driver name): names ascending, reversed, numbered from 0.
 
-    Ranks the distinct (session, name) pairs only, then joins the row number
-    back, so the window sees one row per driver rather than one per stint.
+    Ranks the distinct (session, name) pairs only (so dense rank = row
+    number), then joins the row number back.
     """
     names = df.select(session_col, name_col).distinct()
-    w = Window.partitionBy(session_col).orderBy(F.col(name_col).desc())
-    rows = names.withColumn("driver_row", (F.dense_rank().over(w) - 1).cast("int"))
+    order = [F.col(name_col).desc()]
+    if fits(names, DRIVER_ROW_WINDOW_MAX):
+        w = Window.partitionBy(session_col).orderBy(*order)
+        rows = names.withColumn("_rn", F.row_number().over(w))
+    else:
+        rows = group_row_number(names, [session_col], order, out="_rn")
+    rows = rows.select(session_col, name_col, (F.col("_rn") - 1).cast("int").alias("driver_row"))
     return join_dim(df, rows, [session_col, name_col])
 
 

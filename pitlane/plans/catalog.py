@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pitlane.functions.cleanse import clean
 from pitlane.operators import integrity, quality, ranking, timing, upsert
 from pitlane.plans import ingest, strategy, views
+from pitlane.schemas import LAPS
 from pitlane.sources.fixtures import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,6 +182,17 @@ def _x2(spark, sf_dir):
     )
 
 
+def _x4(spark, sf_dir):
+    """Drain the landed raw laps through the streaming ingest, then read the table it wrote."""
+    from pitlane.config import new_output_dir
+    from pitlane.streaming.lap_stream import stream_laps
+
+    wh = warehouse(spark, sf_dir)
+    out = new_output_dir(spark, "stream")
+    stream_laps(spark, f"{wh.root}/raw_laps", wh.drivers, f"{out}/laps", checkpoint=f"{out}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/laps").select(*LAPS.fieldNames())
+
+
 QUERIES: dict[str, Query] = {
     "va1_avg_gap_to_leader": _star_view(views.avg_gap_to_leader),
     "va2_best_laps": _star_view(views.best_laps),
@@ -222,4 +234,5 @@ QUERIES: dict[str, Query] = {
     "g4_strategy_header": _g4,
     "x1_outlier_filter": _x1,
     "x2_standardise": _x2,
+    "x4_stream_ingest": _x4,
 }

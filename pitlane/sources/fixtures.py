@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from pitlane.config import new_output_dir
 from pitlane.operators.joins import join_dim
+from pitlane.operators.ranking import group_row_number
 
 # TPC-H fixes region at 5 rows and nation at 25 rows at every scale factor.
 TPCH_FIXED_ROWS = {"region": 5, "nation": 25}
@@ -53,9 +54,13 @@ def _compound(driver_id: Column, stint_no: Column) -> Column:
 def lap_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem with session, driver, lap number and position.
 
-    Two windows: lap numbering per (session, driver) and the running-time
-    ranking per (session, lap). Both carry the full source tuple as order key
-    because (l_orderkey, l_linenumber) is not unique in the test data.
+    Lap numbering per (session, driver) and the running-time ranking per
+    (session, lap) are slice-wise row numbers (``group_row_number``): a
+    (session, lap) group holds every car of a lap and grows with the data,
+    so no group is sent whole to one task. Lap numbering orders by the full
+    source tuple because (l_orderkey, l_linenumber) is not unique in the
+    test data. The running sum per (session, driver) is a window: that
+    group is one car's laps of one session.
     """
     li = _read(spark, sf_dir, "lineitem").select("l_suppkey", *_LAP_ORDER)
     orders = _read(spark, sf_dir, "orders").select(
@@ -72,10 +77,8 @@ def lap_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("int").alias("driver_id"),
         *_LAP_ORDER,
     )
-    by_driver = Window.partitionBy("session_id", "driver_id")
-    numbered = base.withColumn(
-        "lap_number",
-        F.row_number().over(by_driver.orderBy(*[F.col(c).asc_nulls_last() for c in _LAP_ORDER])).cast("int"),
+    numbered = group_row_number(
+        base, ["session_id", "driver_id"], [F.col(c).asc_nulls_last() for c in _LAP_ORDER], out="lap_number"
     )
     timed = numbered.select(
         "session_id", "year", "track_key", "session_type", "driver_id", "lap_number",
@@ -85,18 +88,22 @@ def lap_source(spark: SparkSession, sf_dir: str) -> DataFrame:
             LAP_BASE_MS + (F.floor("l_extendedprice").cast("int") % LAP_BUCKETS) * LAP_STEP_MS
         ).cast("int").alias("lap_time_ms"),
     )
-    running = by_driver.orderBy("lap_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = (
+        Window.partitionBy("session_id", "driver_id").orderBy("lap_number")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     cum = timed.withColumn(
         "cum_ms",
         F.when(F.col("lap_time_ms").isNotNull(), F.sum("lap_time_ms").over(running).cast("int")),
     )
-    by_lap = Window.partitionBy("session_id", "lap_number").orderBy(
-        F.coalesce("cum_ms", F.lit(NO_TIME_SORT_MS)), "driver_id"
+    ranked = group_row_number(
+        cum, ["session_id", "lap_number"],
+        [F.coalesce("cum_ms", F.lit(NO_TIME_SORT_MS)), F.col("driver_id")], out="_rank",
     )
-    return cum.withColumn(
+    return ranked.withColumn(
         "position",
-        F.when(F.col("l_quantity") == 50.0, F.lit(None)).otherwise(F.row_number().over(by_lap)).cast("int"),
-    ).drop("cum_ms")
+        F.when(F.col("l_quantity") == 50.0, F.lit(None)).otherwise(F.col("_rank")).cast("int"),
+    ).drop("cum_ms", "_rank")
 
 
 def laps_from(src: DataFrame) -> DataFrame:
