@@ -48,31 +48,44 @@ def cumulative_ms(raw: DataFrame) -> DataFrame:
         .orderBy(F.col("lap_number").asc_nulls_last(), F.col("lap_time_us").asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return raw.withColumn(
-        "cum_ms",
-        F.when(F.col("lap_time_us").isNotNull(), to_ms(F.sum("lap_time_us").over(w))),
-    )
-
-
-def leader_of_lap(cum: DataFrame) -> DataFrame:
-    """leader's cumulative time per (session, lap): the first car (by code) in position 1."""
+    # session_id is NOT NULL in the model; stating it keeps every branch built
+    # on this window identical, so Spark reuses one shuffle for all of them.
+    # The running sum lands in a column first: to_ms reads its input three
+    # times, and each read of a window expression would be a separate window.
     return (
-        cum.where(F.col("position") == 1)
-        .groupBy("session_id", "lap_number")
-        .agg(F.min_by("cum_ms", "driver").alias("leader_cum_ms"))
+        raw.where(F.col("session_id").isNotNull())
+        .withColumn("_cum_us", F.sum("lap_time_us").over(w))
+        .withColumn("cum_ms", F.when(F.col("lap_time_us").isNotNull(), to_ms("_cum_us")))
+        .drop("_cum_us")
     )
 
 
-def car_ahead(cum: DataFrame) -> DataFrame:
-    """Per (session, lap, position) the cumulative time of its first car (by code).
+def car_at_position(cum: DataFrame) -> DataFrame:
+    """J6/J7 lookup table: per (session, lap, position) the cumulative time of its first car (by code).
 
-    Keyed by ``ahead_position`` so that a join on ``position - 1`` reads
-    the car one place ahead.
+    An aggregate over a near-unique key (partial + final, skew-safe). The
+    leader (J6) is its position-1 row; the car ahead (J7) is the row at
+    position - 1. Both lookups read this one table, so its shuffle is shared.
     """
     return (
         cum.where(F.col("position").isNotNull() & ~F.isnan("position"))
-        .groupBy("session_id", "lap_number", F.col("position").alias("ahead_position"))
-        .agg(F.min_by("cum_ms", "driver").alias("ahead_cum_ms"))
+        .groupBy("session_id", "lap_number", "position")
+        .agg(F.min_by("cum_ms", "driver").alias("cum_at"))
+    )
+
+
+def leader_of_lap(lookup: DataFrame) -> DataFrame:
+    """leader's cumulative time per (session, lap): the first car (by code) in position 1."""
+    return lookup.where(F.col("position") == 1).select(
+        "session_id", "lap_number", F.col("cum_at").alias("leader_cum_ms")
+    )
+
+
+def car_ahead(lookup: DataFrame) -> DataFrame:
+    """The lookup keyed by ``ahead_position``, to be joined on ``position - 1``."""
+    return lookup.select(
+        F.col("session_id").alias("_a_session"), F.col("lap_number").alias("_a_lap"),
+        F.col("position").alias("ahead_position"), F.col("cum_at").alias("ahead_cum_ms"),
     )
 
 
@@ -83,12 +96,12 @@ def with_gaps(raw: DataFrame) -> DataFrame:
     NULL when either side is missing; a gap may be negative.
     """
     cum = cumulative_ms(raw)
-    leaders = leader_of_lap(cum)
-    ahead = car_ahead(cum)
+    lookup = car_at_position(cum)
+    leaders = leader_of_lap(lookup)
+    ahead = car_ahead(lookup)
     # One leader row per (session, lap) with a car in P1: counted on the raw input, not on `cum`.
     lead_keys = raw.where(F.col("position") == 1).select("session_id", "lap_number").distinct()
     j = join_dim(cum, leaders, ["session_id", "lap_number"], "left", bound=lead_keys)
-    ahead = ahead.withColumnsRenamed({"session_id": "_a_session", "lap_number": "_a_lap"})
     j = j.join(
         ahead,
         (F.col("session_id") == F.col("_a_session"))

@@ -49,24 +49,27 @@ def _null_key_salt(keys: Sequence[str]) -> Column:
     return F.when(_any_null(keys), F.monotonically_increasing_id() + 1).otherwise(F.lit(0))
 
 
-def dedupe_last(df: DataFrame, keys: Sequence[str], order: str | Column | None) -> DataFrame:
+def dedupe_last(df: DataFrame, keys: Sequence[str], order: str | Column | None,
+                keep_salt: bool = False) -> DataFrame:
     """One row per complete key, the one with the greatest ``order``; NULL-key rows all kept.
 
     An aggregate (``max_by``), so a key with many updates is combined
     map-side. Ties on ``order`` resolve to the greatest full row.
+    ``keep_salt`` returns the ``_salt`` column the result is partitioned by.
     """
     keys = list(keys)
     cols = [c for c in df.columns if c not in keys]
     salted = df.withColumn("_salt", _null_key_salt(keys))
+    salt = ["_salt"] if keep_salt else []
     if not cols:
-        return salted.select(*keys, "_salt").distinct().drop("_salt")
+        return salted.select(*keys, "_salt").distinct().select(*keys, *salt)
     order_col = F.lit(0) if order is None else (F.col(order) if isinstance(order, str) else order)
     ordering = F.struct(order_col, *[F.col(c) for c in cols])
     return (
         salted.groupBy(*keys, "_salt")
         .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*df.columns)
+        .select(*keys, "_salt", "_row.*")
+        .select(*df.columns, *salt)
     )
 
 
@@ -104,14 +107,15 @@ def upsert(
     columns = base.columns
     order_col = F.lit(0) if order is None else (F.col(order) if isinstance(order, str) else order)
     conformed = _conform(updates.withColumn("_order", order_col), columns, defaults or {}, types)
-    u = dedupe_last(conformed, keys, "_order").drop("_order")
+    u = dedupe_last(conformed, keys, "_order", keep_salt=True).drop("_order")
     if size_bound is None:
         # Written once to the shared checkpoint folder: the size check and
         # the merge then read it instead of recomputing the batch.
         shared_dir(updates.sparkSession)
         u = u.checkpoint()
     rest = [c for c in columns if c not in keys]
-    renamed = u.select(*keys, *[F.col(c).alias("_u_" + c) for c in rest], F.lit(True).alias("_u_present"))
+    renamed = u.select(*keys, "_salt", *[F.col(c).alias("_u_" + c) for c in rest], F.lit(True).alias("_u_present"))
+    u = u.drop("_salt")
 
     def merged(u_present: Column, b_present: Column) -> list[Column]:
         out = []
@@ -127,18 +131,17 @@ def upsert(
     if fits(u if size_bound is None else size_bound, max_broadcast_rows):
         # Small batch: the base is scanned twice and never shuffled. Equality
         # never matches a NULL key, so such rows fall through as inserts.
-        updated = base.join(F.broadcast(renamed), keys, "left").select(
+        updated = base.join(F.broadcast(renamed.drop("_salt")), keys, "left").select(
             *merged(F.col("_u_present").isNotNull(), F.lit(True))
         )
         matched = base.select(*keys).join(F.broadcast(u.select(*keys)), keys, "left_semi").distinct()
         inserted = u.join(F.broadcast(matched), keys, "left_anti")
         return updated.unionByName(inserted)
 
-    # Large batch: one full outer join; both sides hash-partitioned by key
-    # (the dedupe aggregate already partitioned the batch that way).
+    # Large batch: one full outer join on (key, salt). The dedupe aggregate
+    # already hash-partitioned the batch that way, so only the base shuffles.
     b = base.withColumn("_salt", _null_key_salt(keys)).withColumn("_b_present", F.lit(True))
-    r = renamed.withColumn("_salt", _null_key_salt(keys))
-    j = b.join(r, [*keys, "_salt"], "full_outer")
+    j = b.join(renamed, [*keys, "_salt"], "full_outer")
     return j.select(*merged(F.col("_u_present").isNotNull(), F.col("_b_present").isNotNull()))
 
 
