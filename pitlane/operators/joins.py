@@ -25,9 +25,12 @@ _FITS_LOCK = threading.Lock()
 def _fits_key(df: DataFrame, max_rows: int) -> tuple | None:
     """Plan identity plus the exact input files: a rewritten table never reuses an answer."""
     try:
-        return (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # plans without file inputs (local data) are simply not cached
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:
         return None
+    if not files:  # local data or checkpointed RDDs: not cached
+        return None
+    return (df.semanticHash(), files, max_rows)
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:

@@ -25,6 +25,10 @@ def stint_bounds(laps, drivers, sessions, session_id=None, session_type="Race")
     )
 
 
+# L2: the chart query's order (full_name, stint_start_lap).
+BARS_ORDER = ["session_id", "full_name", "stint_start_lap"]
+
+
 def strategy_bars(laps, drivers, sessions, session_id=None) -> DataFrame:
     """G1: one bar per stint: driver row (W5), start lap, width, colour (C14)."""
     bars = driver_row(stint_bounds(laps, drivers, sessions, session_id))

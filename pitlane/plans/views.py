@@ -226,6 +226,15 @@ def v_pitstops(laps, drivers, sessions, session_type="Race") -> DataFrame:
     )
 
 
+# L1: the order the v_pitstops view declares; results are sets, so apply it at read time.
+V_PITSTOPS_ORDER = ["year", "track", "driver", "stint_id"]
+
+
+def ordered(df: DataFrame, cols) -> DataFrame:
+    """L1/L2: sort a view's result for presentation (ascending, NULLs first as in MySQL)."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols])
+
+
 FAMILY_A = {
     "avg_gap_to_leader": avg_gap_to_leader,
     "best_laps": best_laps,
