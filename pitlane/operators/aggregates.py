@@ -3,6 +3,10 @@
 All are Catalyst aggregates, so Spark runs them as partial (map-side) plus
 final hash aggregation: a hot group key is combined inside every map task
 before the shuffle, which is what keeps skewed sessions cheap.
+
+Built-ins used directly by the views: A1 ``F.avg``, A3 ``F.min``, A4
+``F.max``, A5 ``F.count(col)`` (non-NULL), A7 ``F.count_distinct`` (exact,
+VA5), A10 the conditional count of G3 (``count(when(...))``).
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ def driver_agg(df: DataFrame, keys: Sequence[str | Column], aggs: Sequence[Colum
 
 
 def avg2(c: str | Column) -> Column:
-    """A2: ``ROUND(AVG(x), 2)``, half-up on the decimal value of the mean."""
+    """A2 with C11: ``ROUND(AVG(x), 2)``, half-up on the decimal value of the mean."""
     return F.round(F.avg(c), 2)
 
 
@@ -29,7 +33,7 @@ def count_rows() -> Column:
 
 
 def range_slope(y: str | Column, x: str | Column) -> Column:
-    """``(max(y) - min(y)) / nullif(max(x) - min(x), 0)``; NULL for a single x."""
+    """A8 with C12, C13: ``(max(y) - min(y)) / nullif(max(x) - min(x), 0)``; NULL for a single x."""
     y, x = F.col(y) if isinstance(y, str) else y, F.col(x) if isinstance(x, str) else x
     return (F.max(y) - F.min(y)) / F.nullif(F.max(x) - F.min(x), F.lit(0))
 

@@ -158,7 +158,7 @@ def _lap_columns(df: DataFrame, rounding: str) -> list:
         F.col("driver_id").cast("int").alias("driver_id"),
         nullable_int("lap_number").alias("lap_number"),
         nullable_int("stint").alias("stint_id"),
-        F.col("compound").cast("string").alias("compound"),
+        F.col("compound").cast("string").alias("compound"),  # C4
         ms("lap_time_us").alias("lap_time_ms"),
         ms("sector1_us").alias("sector1_ms"),
         ms("sector2_us").alias("sector2_ms"),
