@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_RUNS`` (default 5). Each query is executed in full
+(default 8), ``BENCH_RUNS`` (default 7). Each query is executed in full
 with the ``noop`` sink (no collect) and timed as the median of warm runs;
 the one-off build of the fixture warehouse is reported separately as
 ``warehouse_build``.
@@ -31,7 +31,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "5"))
+    runs = int(os.environ.get("BENCH_RUNS", "7"))
 
     from pitlane.config import local_session
     from pitlane.plans.catalog import QUERIES

@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-_FITS: dict[tuple, bool] = {}
-_FITS_LOCK = threading.Lock()
+_MEMO: dict[tuple, object] = {}
+_MEMO_LOCK = threading.Lock()
 
 
-def _fits_key(df: DataFrame, max_rows: int) -> tuple | None:
+def _plan_key(df: DataFrame, tag) -> tuple | None:
     """Plan identity plus the exact input files: a rewritten table never reuses an answer."""
     try:
         files = tuple(sorted(df.inputFiles()))
@@ -30,7 +30,21 @@ def _fits_key(df: DataFrame, max_rows: int) -> tuple | None:
         return None
     if not files:  # local data or checkpointed RDDs: not cached
         return None
-    return (df.semanticHash(), files, max_rows)
+    return (df.semanticHash(), files, tag)
+
+
+def memo_by_plan(df: DataFrame, tag, compute):
+    """``compute()`` once per (plan of ``df``, its input files, ``tag``); a small driver-side answer."""
+    key = _plan_key(df, tag)
+    if key is not None:
+        with _MEMO_LOCK:
+            if key in _MEMO:
+                return _MEMO[key]
+    value = compute()
+    if key is not None:
+        with _MEMO_LOCK:
+            _MEMO[key] = value
+    return value
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
@@ -39,16 +53,7 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     Answers are remembered per (plan, input files), so a dimension read by
     several queries is counted once.
     """
-    key = _fits_key(df, max_rows)
-    if key is not None:
-        with _FITS_LOCK:
-            if key in _FITS:
-                return _FITS[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        with _FITS_LOCK:
-            _FITS[key] = ok
-    return ok
+    return memo_by_plan(df, ("fits", max_rows), lambda: df.limit(max_rows + 1).count() <= max_rows)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:

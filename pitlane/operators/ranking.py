@@ -1,9 +1,9 @@
 """Arg-min with ties (J3, J4, L5), first-by (L4), driver rows (W5), latest event (L3).
 
-Window partitions here are (session, driver[, stint]) groups. The lap key
-(session_id, driver_id, lap_number) is unique, so such a group holds at most
-one row per lap number of one car: its size is bounded by race length,
-not by data volume, and never by how many sessions or drivers exist.
+No operator here sends a data-sized group to one task: arg-min is an
+aggregate joined back, row numbers over groups that can grow are computed
+slice by slice, and the only plain windows run over distinct or counted
+tables that are bounded.
 """
 
 from __future__ import annotations
@@ -15,32 +15,82 @@ from pyspark.sql import functions as F
 
 from pitlane.operators.filters import past_events
 from pitlane.config import shared_dir
-from pitlane.operators.joins import fits, join_dim, small_side
+from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim, memo_by_plan, small_side
 
 
 def _asc_nulls_last(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).asc_nulls_last()
 
 
-def arg_min(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+def arg_min(df: DataFrame, by: Sequence[str], order: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows whose ``order`` value is the minimum of their ``by`` group, ties kept.
 
-    Rows with a NULL ``order`` value never qualify (a join-back on equality
-    would drop them too).
+    An aggregate of the group minimum (partial + final, so a hot group is
+    combined map-side) joined back on (by, order). The minimum table has one
+    row per group: within the row bound it is broadcast and ``df`` is never
+    shuffled; beyond it the join-back is a shuffle join that AQE can split
+    when one group is hot. Rows with a NULL ``order`` (or NULL group key)
+    never qualify, as in an equality join-back.
     """
-    w = Window.partitionBy(*by).orderBy(_asc_nulls_last(order))
+    cand = df.where(F.col(order).isNotNull())
+    mins = cand.groupBy(*by).agg(F.min(order).alias(order))
+    return cand.join(small_side(mins, max_rows), [*by, order], "inner").select(*df.columns)
+
+
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """L4: exactly one row per key, the first by ``order`` (ascending; give a complete tie key).
+
+    ``min_by`` over the whole row: an aggregate, so a hot key is reduced map-side.
+    """
+    cols = [c for c in df.columns if c not in keys]
+    ordering = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order], *[F.col(c) for c in cols])
     return (
-        df.where(F.col(order).isNotNull())
-        .withColumn("_rk", F.rank().over(w))
-        .where(F.col("_rk") == 1)
-        .drop("_rk")
+        df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_row"))
+        .select(*keys, "_row.*").select(*df.columns)
     )
 
 
-def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """L4: exactly one row per key, the first by ``order`` (give a complete tie key)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+# Laps per chunk of a running sum: a race is one chunk, a hot group many.
+RUN_CHUNK = 256
+
+
+def max_order(df: DataFrame, order: str) -> float:
+    """Largest ``order`` value (-1 when none): one column scanned, remembered per plan and files."""
+    def compute():
+        v = df.agg(F.max(order)).first()[0]
+        return -1 if v is None else v
+    return memo_by_plan(df.select(order), ("max", order), compute)
+
+
+def running_sum(df: DataFrame, groups: Sequence[str], order: str, value: str, out: str,
+                tie: Sequence[str | Column] = (), chunk: int = RUN_CHUNK) -> DataFrame:
+    """``sum(value) over (partition by groups order by order[, tie] rows unbounded preceding)``, chunked.
+
+    Rows are cut into chunks of ``chunk`` consecutive ``order`` values (NULL
+    order last). The sum within a chunk is a window over one chunk; the
+    offset of a chunk is the total of the group's earlier chunks, from an
+    aggregate per (group, chunk) and a window over those totals, joined back
+    with a size-checked broadcast. A group of any size is spread over
+    ``size / chunk`` tasks instead of one. NULL values are skipped, as SUM does.
+    """
+    sort = [F.col(order).asc_nulls_last(), *[F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie]]
+    if max_order(df, order) < chunk:
+        # Every group fits one chunk: the chunked plan is this window, minus the offsets.
+        w = Window.partitionBy(*groups).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(value).over(w))
+    last = F.lit(2**62)
+    ck = df.withColumn("_chunk", F.coalesce(F.floor(F.col(order) / chunk), last))
+    keys = [*groups, "_chunk"]
+    within = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ck.withColumn("_run", F.sum(value).over(within))
+    totals = ck.groupBy(*keys).agg(F.sum(value).alias("_tot"))
+    earlier = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, F.sum("_tot").over(earlier).alias("_off"))  # NULL: nothing earlier
+    j = local.join(small_side(offsets), keys, "inner")
+    # NULL while nothing non-NULL has been summed, like the plain window
+    total = F.when(F.col("_run").isNull() & F.col("_off").isNull(), F.lit(None)).otherwise(
+        F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_run"), F.lit(0)))
+    return j.select(*df.columns, total.alias(out))
 
 
 def group_row_number(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column],

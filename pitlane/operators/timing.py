@@ -3,9 +3,9 @@
 
 Shuffle plan, designed so no step funnels a data-sized group into one task:
 
-* W1 is a running sum per (session, driver). The raw lap key
-  (session, driver, lap) is unique, so a partition holds one car's laps of
-  one session: bounded by race length whatever the data volume.
+* W1's running sum is chunked by lap number (``running_sum``): a window per
+  (car, chunk of 256 laps) plus offsets from per-chunk totals, so even an
+  unbounded car is spread over many tasks.
 * W2 needs the leader's cumulative time per (session, lap). That is an
   aggregate (partial + final, skew-safe) whose result has one row per
   (session, lap), joined back with a size-checked broadcast: the lap table is
@@ -15,10 +15,11 @@ Shuffle plan, designed so no step funnels a data-sized group into one task:
   aggregate per (session, lap, position) joined back on
   position = mine - 1: a shuffle join on a near-unique key, which AQE's
   skew-join can still split if one key is hot.
-* W4 looks up the next lap of the same car: a range frame [+1, +1] over the
-  same (session, driver) partition as W1.
+* W4 looks up the next lap of the same car with a range frame [+1, +1]
+  over (car, chunk of lap numbers); chunk boundaries are bridged by copying
+  each chunk's first lap into the previous chunk.
 
-All windows run before the driver lookup (J5), as in the reference: gaps
+All lookups run before the driver lookup (J5), as in the reference: gaps
 are computed over every car, including ones the lookup later rejects.
 """
 
@@ -29,35 +30,28 @@ from pyspark.sql import functions as F
 
 from pitlane.functions.cleanse import nullable_int, to_ms
 from pitlane.operators.joins import join_dim, resolve_driver
+from pitlane.operators.ranking import RUN_CHUNK, running_sum
 
 CAR = ["session_id", "driver"]
 
 
-def _car_window():
-    return Window.partitionBy(*CAR)
-
-
 def cumulative_ms(raw: DataFrame) -> DataFrame:
     """Running race time per car, summed in microseconds, rounded once.
 
     A lap without a time gets NULL, but the sum carries on after it (a
     pandas cumsum skips NaT). Laps are ordered by lap number (NULL last).
+    The running sum is chunked (``running_sum``), so even a car with an
+    unbounded number of laps is spread over many tasks.
     """
-    w = (
-        _car_window()
-        .orderBy(F.col("lap_number").asc_nulls_last(), F.col("lap_time_us").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     # session_id is NOT NULL in the model; stating it keeps every branch built
-    # on this window identical, so Spark reuses one shuffle for all of them.
-    # The running sum lands in a column first: to_ms reads its input three
-    # times, and each read of a window expression would be a separate window.
-    return (
-        raw.where(F.col("session_id").isNotNull())
-        .withColumn("_cum_us", F.sum("lap_time_us").over(w))
-        .withColumn("cum_ms", F.when(F.col("lap_time_us").isNotNull(), to_ms("_cum_us")))
-        .drop("_cum_us")
+    # on this sum identical, so Spark can reuse its shuffles.
+    run = running_sum(
+        raw.where(F.col("session_id").isNotNull()), CAR, "lap_number", "lap_time_us", "_cum_us",
+        tie=["lap_time_us"],
     )
+    return run.withColumn(
+        "cum_ms", F.when(F.col("lap_time_us").isNotNull(), to_ms("_cum_us"))
+    ).drop("_cum_us")
 
 
 def car_at_position(cum: DataFrame) -> DataFrame:
@@ -120,17 +114,30 @@ def with_gaps(raw: DataFrame) -> DataFrame:
     ).drop("leader_cum_ms", "ahead_cum_ms")
 
 
-def next_lap(raw: DataFrame, cols: list[str]) -> DataFrame:
+def next_lap(raw: DataFrame, cols: list[str], chunk: int = RUN_CHUNK) -> DataFrame:
     """For each lap, ``next_<col>`` of the same car's lap numbered one higher, and ``has_next``.
 
-    A range frame [+1, +1] over lap number reads exactly the lap
-    numbered n + 1 (first match), so a missing lap yields no next row.
+    A range frame [+1, +1] over lap number reads exactly the lap numbered
+    n + 1 (first match). The window is partitioned by (car, chunk of lap
+    numbers), never by car alone; each chunk's first lap is also copied into
+    the previous chunk, so the lap after a chunk's last lap is in reach.
+    Laps without a number have no next lap.
     """
-    w = _car_window().orderBy("lap_number").rangeBetween(1, 1)
-    out = raw.withColumn("has_next", F.count(F.lit(1)).over(w) > 0)
+    lap = F.col("lap_number")
+    numbered = raw.where(lap.isNotNull()).withColumn("_chunk", F.floor(lap / chunk)).withColumn("_copy", F.lit(False))
+    copies = (
+        numbered.where(lap - F.col("_chunk") * chunk < 1)
+        .withColumn("_chunk", F.col("_chunk") - 1).withColumn("_copy", F.lit(True))
+    )
+    w = Window.partitionBy(*CAR, "_chunk").orderBy(lap).rangeBetween(1, 1)
+    found = numbered.unionByName(copies).withColumn("has_next", F.count(F.lit(1)).over(w) > 0)
+    for c in cols:
+        found = found.withColumn(f"next_{c}", F.first(c, ignorenulls=False).over(w))
+    found = found.where(~F.col("_copy")).drop("_chunk", "_copy")
+    unnumbered = raw.where(lap.isNull()).withColumn("has_next", F.lit(False))
     for c in cols:
-        out = out.withColumn(f"next_{c}", F.first(c, ignorenulls=False).over(w))
-    return out
+        unnumbered = unnumbered.withColumn(f"next_{c}", F.lit(None).cast(raw.schema[c].dataType))
+    return found.unionByName(unnumbered)
 
 
 def pit_stops(raw: DataFrame) -> DataFrame:
@@ -140,9 +147,10 @@ def pit_stops(raw: DataFrame) -> DataFrame:
     lap's own, else the next lap's; ``stop_ms = to_ms(out - in)``, NULL if
     either is missing, negative if the own-lap pit-out is earlier (kept).
     """
-    nx = next_lap(raw, ["compound", "pit_out_us"])
+    nx = next_lap(raw.select(*CAR, "lap_number", "compound", "pit_in_us", "pit_out_us"),
+                  ["compound", "pit_out_us"]).where(F.col("pit_in_us").isNotNull())
     pit_out = F.when(F.col("pit_out_us").isNotNull(), F.col("pit_out_us")).otherwise(F.col("next_pit_out_us"))
-    return nx.where(F.col("pit_in_us").isNotNull()).select(
+    return nx.select(
         "session_id", "driver",
         nullable_int("lap_number").alias("lap_number"),
         F.col("compound").alias("compound_in"),

@@ -68,3 +68,10 @@ def test_results_do_not_depend_on_partitioning(spark):
     a = rows(timing.with_gaps(r))
     b = rows(timing.with_gaps(r.repartition(7)))
     assert a == b
+
+
+def test_next_lap_bridges_chunk_boundaries(spark):
+    r = raw(spark, RAW).select("session_id", "driver", "lap_number", "compound", "pit_out_us")
+    want = rows(timing.next_lap(r, ["compound", "pit_out_us"]))
+    for chunk in (1, 2, 3):
+        assert rows(timing.next_lap(r, ["compound", "pit_out_us"], chunk=chunk)) == want, chunk
