@@ -30,20 +30,17 @@ def to_ms(us: str | Column, rounding: str = "round") -> Column:
     ``round``: nearest ms, ties to even (Python ``round``), as the full
     ingest does. ``truncate``: toward zero (Python ``int``), as the simple
     ingest does, minus its float error.
+
+    ``us / 1000.0`` is exact at every tie (x.5 is a double) and cannot round
+    across one elsewhere, so both are exact for |us| < 2**53 / 1000
+    (about 104 days, far beyond any session).
     """
-    us = _c(us).cast("long")
+    ms = _c(us).cast("double") / 1000.0
     if rounding == "truncate":
-        return _trunc_ms(us)
+        return ms.cast("long")
     if rounding != "round":
         raise ValueError(f"rounding must be 'round' or 'truncate', not {rounding!r}")
-    r = F.pmod(us, F.lit(1000))
-    q = ((us - r) / 1000).cast("long")  # floor(us / 1000); exact below 2**53 us (285 years)
-    up = (r > 500) | ((r == 500) & (F.pmod(q, F.lit(2)) == 1))
-    return q + F.when(up, 1).otherwise(0)
-
-
-def _trunc_ms(us: Column) -> Column:
-    return ((us - us % 1000) / 1000).cast("long")  # Spark % keeps the dividend's sign
+    return F.bround(ms, 0).cast("long")
 
 
 def seconds_text_to_us(text: str | Column) -> Column:

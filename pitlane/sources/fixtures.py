@@ -14,7 +14,7 @@ tables, which is how the warehouse is used in production too.
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -199,13 +199,18 @@ def schedule_from(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Written fixture tables, re-read as DataFrames on every access."""
+    """Written fixture tables. They are write-once, so each table's DataFrame
+    (and its file listing) is built once and shared by every query."""
 
     spark: SparkSession
     root: str
+    _tables: dict = field(default_factory=dict, compare=False, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        df = self._tables.get(name)
+        if df is None:
+            df = self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        return df
 
     sessions = property(lambda self: self.table("sessions"))
     drivers = property(lambda self: self.table("drivers"))
