@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here assumes. AQE re-plans joins and coalesces
 # partitions at runtime; skew-join splits oversized shuffle partitions.
@@ -56,6 +56,17 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, in one columnar write job; the
+    files survive the loss of any executor.
+    """
+    path = new_output_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def new_output_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared folder."""
     root = shared_dir(spark).rstrip("/")

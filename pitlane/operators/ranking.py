@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.operators.filters import past_events
-from pitlane.config import shared_dir
+from pitlane.config import materialize
 from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim, memo_by_plan, small_side
 
 
@@ -99,7 +99,8 @@ def group_row_number(df: DataFrame, groups: Sequence[str], order: Sequence[str |
 
     1. Range-partition on (groups, order): a large group is cut into
        contiguous slices spread over several partitions. The slice ids are
-       pinned with a checkpoint (range bounds come from sampling).
+       pinned by writing them to the shared folder (range bounds come from
+       sampling, so they must not be recomputed).
     2. Number rows inside each (slice, group): a window over at most one
        partition's worth of rows.
     3. Offset of a (slice, group) = rows of the same group in earlier slices:
@@ -108,13 +109,12 @@ def group_row_number(df: DataFrame, groups: Sequence[str], order: Sequence[str |
     ``order`` must be a total order within a group, as for ``row_number``.
     """
     spark = df.sparkSession
-    shared_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    parts = (
+    parts = materialize(
         df.repartitionByRange(n, *[F.col(g) for g in groups], *order_cols)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
+        .withColumn("_slice", F.spark_partition_id()),
+        "slices",
     )
     local = parts.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_slice", *groups).orderBy(*order_cols))

@@ -24,7 +24,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.config import shared_dir
+from pitlane.config import materialize
 from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim
 
 # Largest update batch merged by broadcasting it (a lap row is ~100 bytes).
@@ -109,10 +109,9 @@ def upsert(
     conformed = _conform(updates.withColumn("_order", order_col), columns, defaults or {}, types)
     u = dedupe_last(conformed, keys, "_order", keep_salt=True).drop("_order")
     if size_bound is None:
-        # Written once to the shared checkpoint folder: the size check and
-        # the merge then read it instead of recomputing the batch.
-        shared_dir(updates.sparkSession)
-        u = u.checkpoint()
+        # Written once to the shared folder: the size check and the merge
+        # then read it instead of recomputing the batch.
+        u = materialize(u, "upsert-batch")
     rest = [c for c in columns if c not in keys]
     renamed = u.select(*keys, "_salt", *[F.col(c).alias("_u_" + c) for c in rest], F.lit(True).alias("_u_present"))
     u = u.drop("_salt")
@@ -174,7 +173,7 @@ def _range_number(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     slice is numbered locally, and a slice's offset is the count of all
     earlier slices (a table with one row per slice).
     """
-    parts = df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()).checkpoint()
+    parts = materialize(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), "key-slices")
     local = parts.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
     )
