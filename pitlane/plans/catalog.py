@@ -14,11 +14,14 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from pitlane.config import new_output_dir
 from pitlane.functions.cleanse import clean
+from pitlane.operators.filters import past_events
 from pitlane.operators import integrity, quality, ranking, timing, upsert
 from pitlane.plans import ingest, strategy, views
 from pitlane.schemas import LAPS
 from pitlane.sources.fixtures import warehouse
+from pitlane.streaming.lap_stream import stream_laps
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,15 +187,37 @@ def _x2(spark, sf_dir):
 
 def _x4(spark, sf_dir):
     """Drain the landed raw laps through the streaming ingest, then read the table it wrote."""
-    from pitlane.config import new_output_dir
-    from pitlane.streaming.lap_stream import stream_laps
-
     wh = warehouse(spark, sf_dir)
     out = new_output_dir(spark, "stream")
     stream_laps(spark, f"{wh.root}/raw_laps", wh.drivers, f"{out}/laps", checkpoint=f"{out}/_checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/laps").select(*LAPS.fieldNames())
 
 
+def _s2(spark, sf_dir):
+    return ingest.results_to_drivers(warehouse(spark, sf_dir).raw_results)
+
+
+def _u7(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return upsert.lookup_ids(wh.sessions, ingest.relanded_sessions(wh.sessions, wh.raw_laps),
+                             ingest.SESSION_KEY, "session_id")
+
+
+def _w5(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    bars = ranking.driver_row(strategy.stint_bounds(wh.laps, wh.drivers, wh.sessions))
+    return bars.select("session_id", "full_name", "driver_row").distinct()
+
+
+def _l4(spark, sf_dir):
+    laps = warehouse(spark, sf_dir).laps
+    return ranking.first_by(laps.where(F.col("lap_time_ms").isNotNull()), ["session_id", "driver_id"], ["lap_number"])
+
+
+def _f6(spark, sf_dir):
+    return past_events(warehouse(spark, sf_dir).schedule, AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     "va1_avg_gap_to_leader": _star_view(views.avg_gap_to_leader),
     "va2_best_laps": _star_view(views.best_laps),
@@ -235,4 +260,9 @@ QUERIES: dict[str, Query] = {
     "x1_outlier_filter": _x1,
     "x2_standardise": _x2,
     "x4_stream_ingest": _x4,
+    "s2_driver_results": _s2,
+    "u7_session_ids": _u7,
+    "w5_driver_rows": _w5,
+    "l4_first_timed_lap": _l4,
+    "f6_past_events": _f6,
 }
