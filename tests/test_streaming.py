@@ -25,3 +25,33 @@ def test_stream_ingest_matches_batch_ingest(spark, tmp_path):
     stream_laps(spark, landing, wh.drivers, table, checkpoint=ckpt).awaitTermination()
     full, _ = normalise_laps(raw, wh.drivers, fill_gaps=True)
     assert rows(spark.read.parquet(table).select(*full.columns)) == rows(full)
+
+
+def test_windowed_lap_counts_with_watermark(spark, tmp_path):
+    import datetime
+
+    from pitlane.streaming.lap_stream import lap_counts_by_window
+
+    t0 = datetime.datetime(2024, 3, 2, 15, 0, 0)
+    rows_in = [(1, 90_000_000 + i, t0 + datetime.timedelta(minutes=3 * i)) for i in range(8)]
+    src = str(tmp_path / "events")
+    spark.createDataFrame(rows_in, "session_id int, lap_time_us long, ts timestamp").write.parquet(src)
+    stream = spark.readStream.schema("session_id int, lap_time_us long, ts timestamp").parquet(src)
+    q = (lap_counts_by_window(stream, "ts", "10 minutes").writeStream.outputMode("complete")
+         .format("memory").queryName("lap_windows").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r["window"]["start"].minute, r["laps"], r["best_lap_us"]) for r in spark.table("lap_windows").collect())
+    assert got == [(0, 4, 90_000_000), (10, 3, 90_000_004), (20, 1, 90_000_007)]
+
+
+def test_views_run_on_a_stream(spark, tmp_path):
+    from pitlane.plans import views
+
+    wh = warehouse(spark, SF)
+    src = str(tmp_path / "laps")
+    wh.laps.write.parquet(src)
+    stream = spark.readStream.schema(wh.laps.schema).parquet(src)
+    q = (views.driver_avg_laptime(stream, wh.drivers, wh.sessions).writeStream.outputMode("complete")
+         .format("memory").queryName("va4_stream").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert rows(spark.table("va4_stream")) == rows(views.driver_avg_laptime(wh.laps, wh.drivers, wh.sessions))
