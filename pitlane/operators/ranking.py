@@ -93,9 +93,26 @@ def running_sum(df: DataFrame, groups: Sequence[str], order: str, value: str, ou
     return j.select(*df.columns, total.alias(out))
 
 
+# Largest group numbered by one plain window task; bigger groups are sliced.
+GROUP_WINDOW_MAX_ROWS = 1_000_000
+
+
+def largest_group(df: DataFrame, groups: Sequence[str]) -> int:
+    """Row count of the biggest group: an aggregate (partial + final), remembered per plan and files."""
+    def compute():
+        v = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        return 0 if v is None else int(v)
+    return memo_by_plan(df.select(*groups), ("largest_group", tuple(groups)), compute)
+
+
 def group_row_number(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column],
-                     out: str = "row_number", partitions: int | None = None) -> DataFrame:
-    """``row_number() over (partition by groups order by order)`` that never funnels a group into one task.
+                     out: str = "row_number", partitions: int | None = None,
+                     max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> DataFrame:
+    """``row_number() over (partition by groups order by order)`` that never funnels a big group into one task.
+
+    The largest group is counted first (an aggregate). Within
+    ``max_group_rows`` every group fits one task and the plain window is
+    used. Beyond it:
 
     1. Range-partition on (groups, order): a large group is cut into
        contiguous slices spread over several partitions. The slice ids are
@@ -109,8 +126,10 @@ def group_row_number(df: DataFrame, groups: Sequence[str], order: Sequence[str |
     ``order`` must be a total order within a group, as for ``row_number``.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if largest_group(df, groups) <= max_group_rows:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*groups).orderBy(*order_cols)).cast("int"))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = materialize(
         df.repartitionByRange(n, *[F.col(g) for g in groups], *order_cols)
         .withColumn("_slice", F.spark_partition_id()),

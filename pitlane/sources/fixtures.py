@@ -55,9 +55,9 @@ def lap_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem with session, driver, lap number and position.
 
     Lap numbering per (session, driver) and the running-time ranking per
-    (session, lap) are slice-wise row numbers (``group_row_number``): a
-    (session, lap) group holds every car of a lap and grows with the data,
-    so no group is sent whole to one task. Lap numbering orders by the full
+    (session, lap) use ``group_row_number``: a (session, lap) group holds
+    every car of a lap and grows with the data, so once the largest group
+    passes the bound it is numbered slice by slice instead of in one task. Lap numbering orders by the full
     source tuple because (l_orderkey, l_linenumber) is not unique in the
     test data. The running sum per (session, driver) is a window: that
     group is one car's laps of one session.

@@ -41,13 +41,15 @@ def test_gap_lookups_never_window_over_a_lap(spark):
     assert windows and all("lap_number" not in w and "driver" in w for w in windows)
 
 
-def test_fixture_ranking_is_slice_wise(spark):
-    from pitlane.sources.fixtures import lap_source
+def test_row_numbers_beyond_the_bound_are_slice_wise(spark):
+    from pitlane.operators.ranking import group_row_number
+    from pitlane.sources.fixtures import warehouse
 
-    p = plan(lap_source(spark, SF))
+    laps = warehouse(spark, SF).laps
+    p = plan(group_row_number(laps, ["session_id", "lap_number"], ["driver_id"], max_group_rows=0))
     windows = WINDOW_SPEC.findall(p)
-    # Row windows are per slice or per (session, driver). The only other one
-    # orders the per-slice counts (at most one row per slice for a group).
+    # Row windows are per slice; the only other one orders the per-slice
+    # counts (at most one row per slice for a group).
     assert windows
     for part, order in windows:
-        assert "_slice" in part or "_slice" in order or ("driver_id" in part and "lap_number" not in part), (part, order)
+        assert "_slice" in part or "_slice" in order, (part, order)

@@ -37,7 +37,8 @@ def test_group_row_number_matches_window_across_slices(spark):
     df = _data(spark).where(F.col("o").isNotNull())
     want = rows(df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o"))))
     for parts in (1, 5, 16):
-        assert rows(group_row_number(df, ["g"], [F.col("o")], out="rn", partitions=parts)) == want
+        assert rows(group_row_number(df, ["g"], [F.col("o")], out="rn", partitions=parts, max_group_rows=0)) == want
+    assert rows(group_row_number(df, ["g"], [F.col("o")], out="rn")) == want   # small groups: one window
 
 
 def test_arg_min_keeps_ties_on_both_paths(spark):
