@@ -12,16 +12,17 @@ from pyspark.sql import functions as F
 
 from pitlane.functions.cleanse import chart_subtitle, chart_title, compound_colour, lap_label
 from pitlane.operators.filters import ended_before, for_session
-from pitlane.operators.joins import join_dim, star
+from pitlane.operators.joins import join_dim
+from pitlane.operators.star_agg import Measure, star_aggregate
 from pitlane.operators.ranking import driver_row
 
 
 def stint_bounds(laps, drivers, sessions, session_id=None, session_type="Race") -> DataFrame:
     """Per (session, name, stint, compound): first and last lap number."""
-    return (
-        star(for_session(laps, session_id), drivers, sessions, session_type)
-        .groupBy("full_name", "session_id", "stint_id", "compound")
-        .agg(F.min("lap_number").alias("stint_start_lap"), F.max("lap_number").alias("stint_end_lap"))
+    return star_aggregate(
+        for_session(laps, session_id), drivers, sessions, session_type,
+        ["full_name", "session_id", "stint_id", "compound"],
+        [Measure("stint_start_lap", "min", "lap_number"), Measure("stint_end_lap", "max", "lap_number")],
     )
 
 

@@ -6,10 +6,12 @@ Family B (VB1-VB8, the ``v_*`` views) groups by
 They are different queries that share a topic; each keeps its own null
 filters (SURVEY §2.10-2.11).
 
-Every view is a star join of the laps fact with the two dimensions, each
-broadcast behind a row-count check (``join_dim``), so the fact is read
-once, filtered and joined in its scan stage, and shuffled only by the
-aggregate (after map-side partial aggregation) or by one window.
+Every grouped view is a ``star_aggregate``: with both dimensions broadcast
+behind the row-count check, the fact is read once, filtered and joined in
+its scan stage, and shuffled only by the aggregate after map-side partial
+aggregation; with a drivers table too big to broadcast, the laps are
+aggregated per (session, driver) before the join instead of shuffling
+every lap to it. Arg-min views (VB5, VB8) join an aggregate back.
 """
 
 from __future__ import annotations
@@ -17,10 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.operators.aggregates import avg2, count_rows, range_slope
 from pitlane.operators.filters import in_stint, race_only, timed, with_gap
-from pitlane.operators.joins import join_dim, small_side, star
+from pitlane.operators.joins import BROADCAST_MAX_ROWS, join_dim, small_side
 from pitlane.operators.ranking import arg_min
+from pitlane.operators.star_agg import Measure, star_aggregate
 
 SESSION_KEYS = ["year", "track", "session_type"]
 
@@ -31,41 +33,35 @@ def _driver(df: DataFrame) -> DataFrame:
 
 # ---- family A ---------------------------------------------------------------
 
+M = Measure
 
-def avg_gap_to_leader(laps, drivers, sessions, session_type="Race") -> DataFrame:
+
+def _agg(laps, drivers, sessions, session_type, keys, measures, lap_filter=None, max_dim_rows=BROADCAST_MAX_ROWS):
+    return star_aggregate(laps, drivers, sessions, session_type, keys, measures, lap_filter, max_dim_rows)
+
+
+def avg_gap_to_leader(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VA1."""
-    return (
-        with_gap(star(laps, drivers, sessions, session_type))
-        .groupBy("full_name", "session_id")
-        .agg(F.avg("gap_to_leader_ms").alias("avg_gap_ms"))
-    )
+    return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id"],
+                [M("avg_gap_ms", "avg", "gap_to_leader_ms")], with_gap, max_dim_rows)
 
 
-def best_laps(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def best_laps(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VA2: no null filter, so a driver without a timed lap gets a NULL row."""
-    return (
-        star(laps, drivers, sessions, session_type)
-        .groupBy("full_name", "session_id")
-        .agg(F.min("lap_time_ms").alias("best_lap_ms"))
-    )
+    return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id"],
+                [M("best_lap_ms", "min", "lap_time_ms")], None, max_dim_rows)
 
 
-def driver_avg_by_compound(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def driver_avg_by_compound(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VA3: a NULL compound is its own group."""
-    return (
-        star(laps, drivers, sessions, session_type)
-        .groupBy("full_name", "session_id", "compound")
-        .agg(F.avg("lap_time_ms").alias("avg_lap_time_ms"))
-    )
+    return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id", "compound"],
+                [M("avg_lap_time_ms", "avg", "lap_time_ms")], None, max_dim_rows)
 
 
-def driver_avg_laptime(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def driver_avg_laptime(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VA4 (flagship): mean lap time per driver name and session."""
-    return (
-        star(laps, drivers, sessions, session_type)
-        .groupBy("full_name", "session_id")
-        .agg(F.avg("lap_time_ms").alias("avg_lap_time_ms"))
-    )
+    return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id"],
+                [M("avg_lap_time_ms", "avg", "lap_time_ms")], None, max_dim_rows)
 
 
 def session_summary(laps, sessions, session_type="Race") -> DataFrame:
@@ -92,80 +88,66 @@ def session_summary(laps, sessions, session_type="Race") -> DataFrame:
     )
 
 
-def stint_summary(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def stint_summary(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VA6: NULL stint kept; ``count(*)`` includes untimed laps."""
-    return (
-        star(laps, drivers, sessions, session_type)
-        .groupBy("full_name", "session_id", "stint_id", "compound")
-        .agg(count_rows().alias("laps_in_stint"), F.avg("lap_time_ms").alias("avg_stint_lap_ms"))
-    )
+    return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id", "stint_id", "compound"],
+                [M("laps_in_stint", "rows"), M("avg_stint_lap_ms", "avg", "lap_time_ms")], None, max_dim_rows)
 
 
-def tyre_degradation(laps, drivers, sessions, session_type="Race") -> DataFrame:
-    """VA7: range over range, not a regression slope; NULL for one-lap stints."""
-    return (
-        timed(star(laps, drivers, sessions, session_type))
-        .groupBy("full_name", "session_id", "stint_id", "compound")
-        .agg(
-            range_slope("lap_time_ms", "lap_number").alias("degradation_ms_per_lap"),
-            count_rows().alias("laps_in_stint"),
-            F.min("lap_number").alias("stint_start_lap"),
-            F.max("lap_number").alias("stint_end_lap"),
-        )
+def tyre_degradation(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+    """VA7: range over range (A8), not a regression slope; NULL for one-lap stints."""
+    keys = ["full_name", "session_id", "stint_id", "compound"]
+    g = _agg(laps, drivers, sessions, session_type, keys,
+             [M("_y_hi", "max", "lap_time_ms"), M("_y_lo", "min", "lap_time_ms"),
+              M("_x_hi", "max", "lap_number"), M("_x_lo", "min", "lap_number"), M("laps_in_stint", "rows")],
+             timed, max_dim_rows)
+    return g.select(
+        *keys,
+        ((F.col("_y_hi") - F.col("_y_lo")) / F.nullif(F.col("_x_hi") - F.col("_x_lo"), F.lit(0))).alias(
+            "degradation_ms_per_lap"),
+        "laps_in_stint",
+        F.col("_x_lo").alias("stint_start_lap"),
+        F.col("_x_hi").alias("stint_end_lap"),
     )
 
 
 # ---- family B ---------------------------------------------------------------
 
 
-def v_driver_avg_by_compound(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def _timed_in_stint(laps: DataFrame) -> DataFrame:
+    return timed(in_stint(laps))
+
+
+def v_driver_avg_by_compound(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VB1."""
-    return _driver(
-        timed(star(laps, drivers, sessions, session_type))
-        .groupBy(*SESSION_KEYS, "full_name", "compound")
-        .agg(avg2("lap_time_ms").alias("avg_lap_time_ms"))
-    )
+    return _driver(_agg(laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name", "compound"],
+                        [M("avg_lap_time_ms", "avg2", "lap_time_ms")], timed, max_dim_rows))
 
 
-def v_driver_avg_laptime(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def v_driver_avg_laptime(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VB2: team is an extra group key."""
-    return _driver(
-        timed(star(laps, drivers, sessions, session_type))
-        .groupBy(*SESSION_KEYS, "full_name", "team")
-        .agg(avg2("lap_time_ms").alias("avg_lap_time_ms"))
-    )
+    return _driver(_agg(laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name", "team"],
+                        [M("avg_lap_time_ms", "avg2", "lap_time_ms")], timed, max_dim_rows))
 
 
-def v_stint_summary(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def v_stint_summary(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VB3: NULL stints dropped; ``COUNT(lap_number)``."""
-    return _driver(
-        timed(in_stint(star(laps, drivers, sessions, session_type)))
-        .groupBy(*SESSION_KEYS, "full_name", "stint_id", "compound")
-        .agg(
-            F.count("lap_number").alias("total_laps"),
-            avg2("lap_time_ms").alias("avg_lap_time_ms"),
-            F.min("lap_time_ms").alias("best_lap_time_ms"),
-            F.max("lap_time_ms").alias("worst_lap_time_ms"),
-            F.min("lap_number").alias("stint_start_lap"),
-            F.max("lap_number").alias("stint_end_lap"),
-        )
-    )
+    return _driver(_agg(
+        laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name", "stint_id", "compound"],
+        [M("total_laps", "count", "lap_number"), M("avg_lap_time_ms", "avg2", "lap_time_ms"),
+         M("best_lap_time_ms", "min", "lap_time_ms"), M("worst_lap_time_ms", "max", "lap_time_ms"),
+         M("stint_start_lap", "min", "lap_number"), M("stint_end_lap", "max", "lap_number")],
+        _timed_in_stint, max_dim_rows))
 
 
-def v_tyre_degradation(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def v_tyre_degradation(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VB4: NULL stints kept; ``COUNT(*)``; no slope despite the name."""
-    return _driver(
-        timed(star(laps, drivers, sessions, session_type))
-        .groupBy(*SESSION_KEYS, "full_name", "compound", "stint_id")
-        .agg(
-            count_rows().alias("laps_in_stint"),
-            F.min("lap_number").alias("stint_start_lap"),
-            F.max("lap_number").alias("stint_end_lap"),
-            avg2("lap_time_ms").alias("avg_lap_time_ms"),
-            F.min("lap_time_ms").alias("best_lap_time_ms"),
-            F.max("lap_time_ms").alias("worst_lap_time_ms"),
-        )
-    )
+    return _driver(_agg(
+        laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name", "compound", "stint_id"],
+        [M("laps_in_stint", "rows"), M("stint_start_lap", "min", "lap_number"),
+         M("stint_end_lap", "max", "lap_number"), M("avg_lap_time_ms", "avg2", "lap_time_ms"),
+         M("best_lap_time_ms", "min", "lap_time_ms"), M("worst_lap_time_ms", "max", "lap_time_ms")],
+        timed, max_dim_rows))
 
 
 def v_best_laps(laps, drivers, sessions, session_type="Race") -> DataFrame:
@@ -188,26 +170,19 @@ def v_best_laps(laps, drivers, sessions, session_type="Race") -> DataFrame:
     )
 
 
-def v_avg_gap_to_leader(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def v_avg_gap_to_leader(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VB6."""
-    return _driver(
-        with_gap(star(laps, drivers, sessions, session_type))
-        .groupBy(*SESSION_KEYS, "full_name")
-        .agg(avg2("gap_to_leader_ms").alias("avg_gap_to_leader_ms"))
-    )
+    return _driver(_agg(laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name"],
+                        [M("avg_gap_to_leader_ms", "avg2", "gap_to_leader_ms")], with_gap, max_dim_rows))
 
 
-def v_session_summary(laps, drivers, sessions, session_type="Race") -> DataFrame:
+def v_session_summary(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
     """VB7: per driver (unlike VA5), inner join."""
-    return _driver(
-        timed(star(laps, drivers, sessions, session_type))
-        .groupBy(*SESSION_KEYS, "full_name")
-        .agg(
-            F.count("lap_number").alias("total_laps"),
-            F.min("lap_time_ms").alias("best_lap_time_ms"),
-            avg2("lap_time_ms").alias("avg_lap_time_ms"),
-        )
-    )
+    return _driver(_agg(
+        laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name"],
+        [M("total_laps", "count", "lap_number"), M("best_lap_time_ms", "min", "lap_time_ms"),
+         M("avg_lap_time_ms", "avg2", "lap_time_ms")],
+        timed, max_dim_rows))
 
 
 def v_pitstops(laps, drivers, sessions, session_type="Race") -> DataFrame:
