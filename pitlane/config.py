@@ -56,6 +56,13 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The configured shared folder itself (``spark.checkpoint.dir``), without the
+    per-application subfolder Spark adds; the per-application one otherwise."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (conf or shared_dir(spark)).rstrip("/")
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet under the shared folder and read it back.
 

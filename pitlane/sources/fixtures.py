@@ -13,13 +13,18 @@ tables, which is how the warehouse is used in production too.
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import sys
 import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitlane.config import new_output_dir
+from pitlane import config, schemas
+from pitlane.config import new_output_dir, shared_base
+from pitlane.operators import joins, ranking
 from pitlane.operators.joins import join_dim
 from pitlane.operators.ranking import group_row_number
 
@@ -242,12 +247,40 @@ _BUILT: dict[tuple[str, str], Warehouse] = {}
 _LOCK = threading.Lock()
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The fixture warehouse for ``sf_dir``, built once per application."""
+def _build_id(sf_dir: str) -> str:
+    """Data folder + the code that defines the mapping: a changed mapping never reuses a build."""
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
+    for mod in (sys.modules[__name__], schemas, ranking, joins, config):
+        h.update(inspect.getsource(mod).encode())
+    return h.hexdigest()[:16]
+
+
+def _finished_build(spark: SparkSession, pointer: str) -> str | None:
+    try:
+        row = spark.read.parquet(pointer).first()
+    except Exception:  # no pointer yet, or one still being written
+        return None
+    return None if row is None else row["root"]
+
+
+def warehouse(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse:
+    """The fixture warehouse for ``sf_dir``: built once, then shared.
+
+    A finished build is recorded by a pointer table under the shared folder,
+    written only after every table is in place, so later applications
+    (``reuse=True``) read it instead of rebuilding; an interrupted build
+    leaves no pointer and is simply redone in a fresh folder.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         wh = _BUILT.get(key)
-        if wh is None:
-            wh = build(spark, sf_dir, new_output_dir(spark, "warehouse"))
-            _BUILT[key] = wh
+        if wh is not None:
+            return wh
+        pointer = f"{shared_base(spark)}/pitlane/warehouse-{_build_id(sf_dir)}.pointer"
+        root = _finished_build(spark, pointer) if reuse else None
+        if root is None:
+            root = new_output_dir(spark, "warehouse")
+            build(spark, sf_dir, root)
+            spark.createDataFrame([(root,)], "root string").coalesce(1).write.mode("overwrite").parquet(pointer)
+        wh = _BUILT[key] = Warehouse(spark, root)
         return wh
