@@ -181,6 +181,7 @@ def _range_number(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     offsets = counts.withColumn(
         "_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
+    # one offset row per range partition: bounded by the partition count
     return local.join(F.broadcast(offsets.select("_part", "_offset")), "_part").select(
         *df.columns, (F.col("_offset") + F.col("_local")).alias("_rn")
     )
