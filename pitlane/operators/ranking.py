@@ -50,38 +50,33 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     )
 
 
-# Laps per chunk of a running sum: a race is one chunk, a hot group many.
+# Laps per chunk of a lap-number-keyed window (W4): a race is one chunk.
 RUN_CHUNK = 256
 
 
-def max_order(df: DataFrame, order: str) -> float:
-    """Largest ``order`` value (-1 when none): one column scanned, remembered per plan and files."""
-    def compute():
-        v = df.agg(F.max(order)).first()[0]
-        return -1 if v is None else v
-    return memo_by_plan(df.select(order), ("max", order), compute)
-
-
 def running_sum(df: DataFrame, groups: Sequence[str], order: str, value: str, out: str,
-                tie: Sequence[str | Column] = (), chunk: int = RUN_CHUNK) -> DataFrame:
-    """``sum(value) over (partition by groups order by order[, tie] rows unbounded preceding)``, chunked.
-
-    Rows are cut into chunks of ``chunk`` consecutive ``order`` values (NULL
-    order last). The sum within a chunk is a window over one chunk; the
-    offset of a chunk is the total of the group's earlier chunks, from an
-    aggregate per (group, chunk) and a window over those totals, joined back
-    with a size-checked broadcast. A group of any size is spread over
-    ``size / chunk`` tasks instead of one. NULL values are skipped, as SUM does.
+                tie: Sequence[str | Column] = (), max_group_rows: int | None = None) -> DataFrame:
+    """``sum(value) over (partition by groups order by order[, tie] rows unbounded preceding)``.
+
+    The largest group is counted first (memoised aggregate). Within the
+    bound it is that plain window. Beyond it, rows are numbered slice-wise
+    (``group_row_number``) and cut into chunks of ``max_group_rows`` rows
+    by that number: the sum within a chunk is a window over one chunk, and a
+    chunk's offset is the total of the group's earlier chunks (an aggregate
+    per (group, chunk) and a window over those totals, joined back with a
+    size-checked broadcast). A hot group, even one of repeated lap numbers,
+    is spread over many tasks. NULL values are skipped, as SUM does.
     """
+    bound = GROUP_WINDOW_MAX_ROWS if max_group_rows is None else max_group_rows
     sort = [F.col(order).asc_nulls_last(), *[F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie]]
-    if max_order(df, order) < chunk:
-        # Every group fits one chunk: the chunked plan is this window, minus the offsets.
+    if largest_group(df, groups) <= bound:
         w = Window.partitionBy(*groups).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(value).over(w))
-    last = F.lit(2**62)
-    ck = df.withColumn("_chunk", F.coalesce(F.floor(F.col(order) / chunk), last))
+    chunk_rows = max(bound, 1)
+    numbered = group_row_number(df, groups, sort, out="_rn", max_group_rows=bound)
+    ck = numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / chunk_rows))
     keys = [*groups, "_chunk"]
-    within = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy(*keys).orderBy("_rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ck.withColumn("_run", F.sum(value).over(within))
     totals = ck.groupBy(*keys).agg(F.sum(value).alias("_tot"))
     earlier = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

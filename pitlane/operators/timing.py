@@ -3,9 +3,10 @@
 
 Shuffle plan, designed so no step funnels a data-sized group into one task:
 
-* W1's running sum is chunked by lap number (``running_sum``): a window per
-  (car, chunk of 256 laps) plus offsets from per-chunk totals, so even an
-  unbounded car is spread over many tasks.
+* W1's running sum (``running_sum``) is one window per car while the
+  largest car holds at most 1M rows (a memoised count). Beyond that it is
+  cut into chunks by row rank, each a window, plus offsets from per-chunk
+  totals, so even an unbounded car is spread over many tasks.
 * W2 needs the leader's cumulative time per (session, lap). That is an
   aggregate (partial + final, skew-safe) whose result has one row per
   (session, lap), joined back with a size-checked broadcast: the lap table is

@@ -28,9 +28,18 @@ def test_running_sum_matches_window_across_chunks(spark):
     w = (Window.partitionBy("g", "h").orderBy(F.col("o").asc_nulls_last(), F.col("v").asc_nulls_last())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     want = rows(df.withColumn("s", F.sum("v").over(w)).where(F.col("o").isNotNull()))
-    for chunk in (3, 50, 1000):
-        got = rows(running_sum(df, ["g", "h"], "o", "v", "s", tie=["v"], chunk=chunk).where(F.col("o").isNotNull()))
-        assert got == want, chunk
+    for bound in (3, 50, 10_000):
+        got = rows(running_sum(df, ["g", "h"], "o", "v", "s", tie=["v"], max_group_rows=bound)
+                   .where(F.col("o").isNotNull()))
+        assert got == want, bound
+
+
+def test_running_sum_splits_repeated_order_values(spark):
+    # one hot group whose order values all repeat: chunks by row rank still split it
+    df = spark.createDataFrame([(1, 1.0, i % 3, i) for i in range(60)], "g int, o double, v long, k long")
+    w = Window.partitionBy("g").orderBy("o", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = rows(df.withColumn("s", F.sum("v").over(w)))
+    assert rows(running_sum(df, ["g"], "o", "v", "s", tie=["k"], max_group_rows=7)) == want
 
 
 def test_group_row_number_matches_window_across_slices(spark):
