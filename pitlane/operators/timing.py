@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pitlane.functions.cleanse import nullable_int, to_ms
 from pitlane.operators.joins import join_dim, resolve_driver
-from pitlane.operators.ranking import RUN_CHUNK, running_sum
+from pitlane.operators.ranking import GROUP_WINDOW_MAX_ROWS, RUN_CHUNK, largest_group, running_sum
 
 CAR = ["session_id", "driver"]
 
@@ -115,26 +115,43 @@ def with_gaps(raw: DataFrame) -> DataFrame:
     ).drop("leader_cum_ms", "ahead_cum_ms")
 
 
-def next_lap(raw: DataFrame, cols: list[str], chunk: int = RUN_CHUNK) -> DataFrame:
+def next_lap(raw: DataFrame, cols: list[str], chunk: int = RUN_CHUNK,
+             max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> DataFrame:
     """For each lap, ``next_<col>`` of the same car's lap numbered one higher, and ``has_next``.
 
     A range frame [+1, +1] over lap number reads exactly the lap numbered
     n + 1 (first match). The window is partitioned by (car, chunk of lap
     numbers), never by car alone; each chunk's first lap is also copied into
     the previous chunk, so the lap after a chunk's last lap is in reach.
+    If a (car, chunk) partition still exceeds ``max_group_rows`` (only
+    with massively repeated lap numbers), the window runs over one row per
+    (car, lap) instead and its answers are joined back on (car, lap).
     Laps without a number have no next lap.
     """
     lap = F.col("lap_number")
-    numbered = raw.where(lap.isNotNull()).withColumn("_chunk", F.floor(lap / chunk)).withColumn("_copy", F.lit(False))
-    copies = (
-        numbered.where(lap - F.col("_chunk") * chunk < 1)
-        .withColumn("_chunk", F.col("_chunk") - 1).withColumn("_copy", F.lit(True))
-    )
+    numbered = raw.where(lap.isNotNull()).withColumn("_chunk", F.floor(lap / chunk))
     w = Window.partitionBy(*CAR, "_chunk").orderBy(lap).rangeBetween(1, 1)
-    found = numbered.unionByName(copies).withColumn("has_next", F.count(F.lit(1)).over(w) > 0)
-    for c in cols:
-        found = found.withColumn(f"next_{c}", F.first(c, ignorenulls=False).over(w))
-    found = found.where(~F.col("_copy")).drop("_chunk", "_copy")
+
+    def lookup(rows: DataFrame) -> DataFrame:
+        tagged = rows.withColumn("_copy", F.lit(False))
+        copies = (
+            tagged.where(lap - F.col("_chunk") * chunk < 1)
+            .withColumn("_chunk", F.col("_chunk") - 1).withColumn("_copy", F.lit(True))
+        )
+        found = tagged.unionByName(copies).withColumns(
+            {"has_next": F.count(F.lit(1)).over(w) > 0,
+             **{f"next_{c}": F.first(c, ignorenulls=False).over(w) for c in cols}}
+        )
+        return found.where(~F.col("_copy")).drop("_chunk", "_copy")
+
+    if largest_group(numbered, [*CAR, "_chunk"]) <= max_group_rows:
+        found = lookup(numbered)
+    else:
+        firsts = numbered.groupBy(*CAR, "lap_number", "_chunk").agg(
+            F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in cols])).alias("_v")
+        ).select(*CAR, "lap_number", "_chunk", "_v.*")
+        answers = lookup(firsts).select(*CAR, "lap_number", "has_next", *[f"next_{c}" for c in cols])
+        found = numbered.drop("_chunk").join(answers, [*CAR, "lap_number"], "left")
     unnumbered = raw.where(lap.isNull()).withColumn("has_next", F.lit(False))
     for c in cols:
         unnumbered = unnumbered.withColumn(f"next_{c}", F.lit(None).cast(raw.schema[c].dataType))

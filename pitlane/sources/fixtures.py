@@ -19,14 +19,14 @@ import sys
 import threading
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane import config, schemas
 from pitlane.config import new_output_dir, shared_base
 from pitlane.operators import joins, ranking
 from pitlane.operators.joins import join_dim
-from pitlane.operators.ranking import group_row_number
+from pitlane.operators.ranking import group_row_number, running_sum
 
 # TPC-H fixes region at 5 rows and nation at 25 rows at every scale factor.
 TPCH_FIXED_ROWS = {"region": 5, "nation": 25}
@@ -71,8 +71,8 @@ def lap_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     every car of a lap and grows with the data, so once the largest group
     passes the bound it is numbered slice by slice instead of in one task. Lap numbering orders by the full
     source tuple because (l_orderkey, l_linenumber) is not unique in the
-    test data. The running sum per (session, driver) is a window: that
-    group is one car's laps of one session.
+    test data. The running sum per (session, driver) is ``running_sum``,
+    checked the same way.
     """
     li = _read(spark, sf_dir, "lineitem").select("l_suppkey", *_LAP_ORDER)
     orders = _read(spark, sf_dir, "orders").select(
@@ -100,14 +100,9 @@ def lap_source(spark: SparkSession, sf_dir: str) -> DataFrame:
             LAP_BASE_MS + (F.floor("l_extendedprice").cast("int") % LAP_BUCKETS) * LAP_STEP_MS
         ).cast("int").alias("lap_time_ms"),
     )
-    running = (
-        Window.partitionBy("session_id", "driver_id").orderBy("lap_number")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    cum = timed.withColumn(
-        "cum_ms",
-        F.when(F.col("lap_time_ms").isNotNull(), F.sum("lap_time_ms").over(running).cast("int")),
-    )
+    cum = running_sum(timed, ["session_id", "driver_id"], "lap_number", "lap_time_ms", "_cum").withColumn(
+        "cum_ms", F.when(F.col("lap_time_ms").isNotNull(), F.col("_cum").cast("int"))
+    ).drop("_cum")
     ranked = group_row_number(
         cum, ["session_id", "lap_number"],
         [F.coalesce("cum_ms", F.lit(NO_TIME_SORT_MS)), F.col("driver_id")], out="_rank",

@@ -75,3 +75,4 @@ def test_next_lap_bridges_chunk_boundaries(spark):
     want = rows(timing.next_lap(r, ["compound", "pit_out_us"]))
     for chunk in (1, 2, 3):
         assert rows(timing.next_lap(r, ["compound", "pit_out_us"], chunk=chunk)) == want, chunk
+        assert rows(timing.next_lap(r, ["compound", "pit_out_us"], chunk=chunk, max_group_rows=0)) == want, chunk
