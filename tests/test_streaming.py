@@ -55,3 +55,17 @@ def test_views_run_on_a_stream(spark, tmp_path):
          .format("memory").queryName("va4_stream").trigger(availableNow=True).start())
     q.awaitTermination()
     assert rows(spark.table("va4_stream")) == rows(views.driver_avg_laptime(wh.laps, wh.drivers, wh.sessions))
+
+
+def test_replaying_a_batch_is_idempotent(spark, tmp_path):
+    from pitlane.streaming.lap_stream import merge_batch
+
+    wh = warehouse(spark, SF)
+    session = wh.raw_laps.select("session_id").orderBy("session_id").first()[0]
+    raw = wh.raw_laps.where(F.col("session_id") == session)
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "laps")
+    raw.write.partitionBy("session_id").parquet(landing)
+    merge_batch(spark, raw, landing, wh.drivers, table)
+    once = rows(spark.read.parquet(table))
+    merge_batch(spark, raw, landing, wh.drivers, table)   # the same micro-batch again, e.g. after a failure
+    assert rows(spark.read.parquet(table)) == once
