@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.functions.cleanse import nullable_int, to_ms
+from pitlane.operators.filters import pit_in_laps
 from pitlane.operators.joins import join_dim, resolve_driver
 from pitlane.operators.ranking import GROUP_WINDOW_MAX_ROWS, RUN_CHUNK, largest_group, running_sum
 
@@ -165,8 +166,8 @@ def pit_stops(raw: DataFrame) -> DataFrame:
     lap's own, else the next lap's; ``stop_ms = to_ms(out - in)``, NULL if
     either is missing, negative if the own-lap pit-out is earlier (kept).
     """
-    nx = next_lap(raw.select(*CAR, "lap_number", "compound", "pit_in_us", "pit_out_us"),
-                  ["compound", "pit_out_us"]).where(F.col("pit_in_us").isNotNull())
+    nx = pit_in_laps(next_lap(raw.select(*CAR, "lap_number", "compound", "pit_in_us", "pit_out_us"),
+                              ["compound", "pit_out_us"]))
     pit_out = F.when(F.col("pit_out_us").isNotNull(), F.col("pit_out_us")).otherwise(F.col("next_pit_out_us"))
     return nx.select(
         "session_id", "driver",

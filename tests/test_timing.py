@@ -76,3 +76,20 @@ def test_next_lap_bridges_chunk_boundaries(spark):
     for chunk in (1, 2, 3):
         assert rows(timing.next_lap(r, ["compound", "pit_out_us"], chunk=chunk)) == want, chunk
         assert rows(timing.next_lap(r, ["compound", "pit_out_us"], chunk=chunk, max_group_rows=0)) == want, chunk
+
+
+def test_pitstop_upsert_updates_and_inserts(spark):
+    from pitlane.operators.upsert import lookup_ids
+    from pitlane.plans.ingest import upsert_pitstops
+    from pitlane.schemas import PITSTOPS
+
+    base = spark.createDataFrame([(1, 10, 1, "SOFT", "WET", 1), (1, 10, 9, "HARD", None, None)], PITSTOPS)
+    got = rows(upsert_pitstops(base, raw(spark, RAW), _drivers(spark)))
+    assert got == [
+        (1, 10, 1, "SOFT", "HARD", 23400),     # updated from the landing
+        (1, 10, 9, "HARD", None, None),        # untouched
+        (1, 11, 2, "SOFT", "MEDIUM", -10000),  # inserted
+        (1, 11, 3, "MEDIUM", None, None),
+    ]
+    ids = lookup_ids(_drivers(spark), spark.createDataFrame([("BBB",)], "driver_code string"), ["driver_code"], "driver_id")
+    assert rows(ids) == [("BBB", 11)]
