@@ -257,12 +257,20 @@ def _build_id(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
+TABLES = ("sessions", "drivers", "laps", "raw_laps", "raw_results", "schedule")
+
+
 def _finished_build(spark: SparkSession, pointer: str) -> str | None:
+    """The root a pointer names, if every table under it is still readable."""
     try:
         row = spark.read.parquet(pointer).first()
-    except Exception:  # no pointer yet, or one still being written
+        if row is None:
+            return None
+        for t in TABLES:
+            spark.read.parquet(f"{row['root']}/{t}").schema
+    except Exception:  # no pointer yet, one still being written, or a removed build
         return None
-    return None if row is None else row["root"]
+    return row["root"]
 
 
 def warehouse(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse:
