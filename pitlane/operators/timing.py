@@ -7,15 +7,14 @@ Shuffle plan, designed so no step funnels a data-sized group into one task:
   largest car holds at most 1M rows (a memoised count). Beyond that it is
   cut into chunks by row rank, each a window, plus offsets from per-chunk
   totals, so even an unbounded car is spread over many tasks.
-* W2 needs the leader's cumulative time per (session, lap). That is an
-  aggregate (partial + final, skew-safe) whose result has one row per
-  (session, lap), joined back with a size-checked broadcast: the lap table is
-  not shuffled for it.
-* W3 needs the car one position ahead. A (session, lap) group grows with
-  the number of cars, so instead of a window over it, the lookup is an
-  aggregate per (session, lap, position) joined back on
-  position = mine - 1: a shuffle join on a near-unique key, which AQE's
-  skew-join can still split if one key is hot.
+* W2 needs the leader's cumulative time per (session, lap) and W3 the car
+  one position ahead. A (session, lap) group grows with the number of cars,
+  so its size is counted first (memoised). Within the bound, one window per
+  (session, lap) answers both. Beyond it, an aggregate per
+  (session, lap, position) (partial + final, skew-safe) serves as the
+  lookup table: its P1 rows are broadcast for W2 behind a size check, and
+  W3 joins it on position = mine - 1 (a near-unique key that AQE's
+  skew-join can still split).
 * W4 looks up the next lap of the same car with a range frame [+1, +1]
   over (car, chunk of lap numbers); chunk boundaries are bridged by copying
   each chunk's first lap into the previous chunk.
@@ -85,13 +84,37 @@ def car_ahead(lookup: DataFrame) -> DataFrame:
     )
 
 
-def with_gaps(raw: DataFrame) -> DataFrame:
+def _lookups_by_window(cum: DataFrame) -> DataFrame:
+    """Leader and car-ahead cumulative times with one window per (session, lap).
+
+    Used when no (session, lap) group exceeds the window bound: one shuffle,
+    no self-join. ``min_by`` skips rows whose ordering is NULL, so the
+    leader is the first car by code among the P1 rows; the range frame
+    [-1, -1] over position holds exactly the cars one place ahead.
+    """
+    pos = F.col("position")
+    valid = pos.isNotNull() & ~F.isnan(pos)
+    lap = Window.partitionBy("session_id", "lap_number")
+    p1 = valid & (pos == 1)
+    ahead = lap.orderBy(pos).rangeBetween(-1, -1)
+    return cum.withColumns({
+        "leader_cum_ms": F.min_by(F.when(p1, F.col("cum_ms")), F.when(p1, F.col("driver"))).over(lap),
+        "ahead_cum_ms": F.when(valid, F.min_by(F.col("cum_ms"), F.col("driver")).over(ahead)),
+    })
+
+
+def with_gaps(raw: DataFrame, max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> DataFrame:
     """W1 + W2 + W3 on raw laps: ``cum_ms``, ``gap_to_leader_ms``, ``interval_to_next_ms``.
 
     A provided value wins; otherwise the difference of cumulative times.
-    NULL when either side is missing; a gap may be negative.
+    NULL when either side is missing; a gap may be negative. The lookups
+    are a window per (session, lap) while the largest such group is within
+    ``max_group_rows`` (a memoised count), else an aggregate joined back.
     """
     cum = cumulative_ms(raw)
+    out = [*raw.columns, "cum_ms", "gap_to_leader_ms", "interval_to_next_ms"]
+    if largest_group(raw.where(F.col("session_id").isNotNull()), ["session_id", "lap_number"]) <= max_group_rows:
+        return _gap_columns(_lookups_by_window(cum)).select(*out)
     lookup = car_at_position(cum)
     leaders = leader_of_lap(lookup)
     ahead = car_ahead(lookup)
@@ -105,15 +128,17 @@ def with_gaps(raw: DataFrame) -> DataFrame:
         & (F.col("position") - 1 == F.col("ahead_position")),
         "left",
     ).drop("_a_session", "_a_lap", "ahead_position")
-    return j.withColumn(
-        "gap_to_leader_ms",
-        F.when(F.col("gap_to_leader_us").isNotNull(), to_ms("gap_to_leader_us"))
+    return _gap_columns(j).select(*out)
+
+
+def _gap_columns(j: DataFrame) -> DataFrame:
+    """Provided values win; else differences of cumulative times."""
+    return j.withColumns({
+        "gap_to_leader_ms": F.when(F.col("gap_to_leader_us").isNotNull(), to_ms("gap_to_leader_us"))
         .otherwise(F.col("cum_ms") - F.col("leader_cum_ms")),
-    ).withColumn(
-        "interval_to_next_ms",
-        F.when(F.col("interval_to_ahead_us").isNotNull(), to_ms("interval_to_ahead_us"))
+        "interval_to_next_ms": F.when(F.col("interval_to_ahead_us").isNotNull(), to_ms("interval_to_ahead_us"))
         .otherwise(F.col("cum_ms") - F.col("ahead_cum_ms")),
-    ).drop("leader_cum_ms", "ahead_cum_ms")
+    }).drop("leader_cum_ms", "ahead_cum_ms")
 
 
 def next_lap(raw: DataFrame, cols: list[str], chunk: int = RUN_CHUNK,

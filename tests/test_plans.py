@@ -35,8 +35,11 @@ WINDOW_SPEC = re.compile(
     r"Arguments: \[[^\[\]]*windowspecdefinition[^\[\]]*\], \[([^\[\]]*)\], \[([^\[\]]*)\]")
 
 
-def test_gap_lookups_never_window_over_a_lap(spark):
-    p = plan(QUERIES["w2_w3_gaps"](spark, SF))
+def test_gap_lookups_beyond_the_bound_never_window_over_a_lap(spark):
+    from pitlane.operators.timing import with_gaps
+    from pitlane.sources.fixtures import warehouse
+
+    p = plan(with_gaps(warehouse(spark, SF).raw_laps, max_group_rows=0))
     windows = WINDOW_PARTITION.findall(p)
     assert windows and all("lap_number" not in w and "driver" in w for w in windows)
 

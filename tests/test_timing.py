@@ -93,3 +93,8 @@ def test_pitstop_upsert_updates_and_inserts(spark):
     ]
     ids = lookup_ids(_drivers(spark), spark.createDataFrame([("BBB",)], "driver_code string"), ["driver_code"], "driver_id")
     assert rows(ids) == [("BBB", 11)]
+
+
+def test_gap_lookups_window_and_join_paths_agree(spark):
+    r = raw(spark, RAW + [(1, "QQQ", 1.0, 1.0, "SOFT", 95_000_000, 3.0, None, None, None, None)])  # duplicate P3
+    assert rows(timing.with_gaps(r)) == rows(timing.with_gaps(r, max_group_rows=0))
