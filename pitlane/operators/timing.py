@@ -41,8 +41,9 @@ def cumulative_ms(raw: DataFrame) -> DataFrame:
 
     A lap without a time gets NULL, but the sum carries on after it (a
     pandas cumsum skips NaT). Laps are ordered by lap number (NULL last).
-    The running sum is chunked (``running_sum``), so even a car with an
-    unbounded number of laps is spread over many tasks.
+    The running sum (``running_sum``) is one window per car while the
+    largest car is within the bound, and chunked by row rank beyond it, so
+    even a car with an unbounded number of laps is spread over many tasks.
     """
     # session_id is NOT NULL in the model; stating it keeps every branch built
     # on this sum identical, so Spark can reuse its shuffles.

@@ -17,6 +17,7 @@ import hashlib
 import inspect
 import sys
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -237,11 +238,17 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     src = spark.read.parquet(f"{root}/_lap_source")
     drivers_from(spark, sf_dir).write.parquet(f"{root}/drivers")
     drivers = spark.read.parquet(f"{root}/drivers")
-    laps_from(src).write.parquet(f"{root}/laps")
-    raw_laps_from(src).write.parquet(f"{root}/raw_laps")
-    sessions_from(spark, sf_dir, src).write.parquet(f"{root}/sessions")
-    raw_results_from(src, drivers).write.parquet(f"{root}/raw_results")
-    schedule_from(spark, sf_dir).write.parquet(f"{root}/schedule")
+    derived = {
+        "laps": laps_from(src),
+        "raw_laps": raw_laps_from(src),
+        "sessions": sessions_from(spark, sf_dir, src),
+        "raw_results": raw_results_from(src, drivers),
+        "schedule": schedule_from(spark, sf_dir),
+    }
+    # Independent write jobs, submitted together so their tasks share the cores.
+    with ThreadPoolExecutor(max_workers=len(derived)) as pool:
+        for f in [pool.submit(df.write.parquet, f"{root}/{name}") for name, df in derived.items()]:
+            f.result()
     return Warehouse(spark, root)
 
 
