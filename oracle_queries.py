@@ -496,6 +496,8 @@ SQL.update(INGEST)
 SQL.update(STRATEGY)
 SQL.update(QUALITY)
 SQL.update(MORE)
+# Registered v_session_summary read back through spark.sql: the VB7 result.
+SQL["s9_sql_view"] = SQL["vb7_session_summary"]
 # The streaming ingest must land exactly what the batch ingest (N2) computes.
 SQL["x4_stream_ingest"] = SQL["n2_laps_full"]
 

@@ -21,6 +21,7 @@ from pitlane.operators import integrity, quality, ranking, timing, upsert
 from pitlane.plans import ingest, strategy, views
 from pitlane.schemas import LAPS
 from pitlane.sources.fixtures import warehouse
+from pitlane.sources.landing import read_view, register_views
 from pitlane.streaming.lap_stream import stream_laps
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +219,13 @@ def _f6(spark, sf_dir):
     return past_events(warehouse(spark, sf_dir).schedule, AS_OF)
 
 
+def _s9(spark, sf_dir):
+    """S9 + S4: register the warehouse tables and every view, then read one through SQL."""
+    wh = warehouse(spark, sf_dir)
+    register_views(spark, {"laps": wh.laps, "drivers": wh.drivers, "sessions": wh.sessions})
+    return read_view(spark, "v_session_summary", session_type="Race")
+
+
 QUERIES: dict[str, Query] = {
     "va1_avg_gap_to_leader": _star_view(views.avg_gap_to_leader),
     "va2_best_laps": _star_view(views.best_laps),
@@ -265,4 +273,5 @@ QUERIES: dict[str, Query] = {
     "w5_driver_rows": _w5,
     "l4_first_timed_lap": _l4,
     "f6_past_events": _f6,
+    "s9_sql_view": _s9,
 }
