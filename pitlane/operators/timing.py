@@ -64,7 +64,7 @@ def car_at_position(cum: DataFrame) -> DataFrame:
     position - 1. Both lookups read this one table, so its shuffle is shared.
     """
     return (
-        cum.where(F.col("position").isNotNull() & ~F.isnan("position"))
+        cum.where(_numbered() & F.col("position").isNotNull() & ~F.isnan("position"))
         .groupBy("session_id", "lap_number", "position")
         .agg(F.min_by("cum_ms", "driver").alias("cum_at"))
     )
@@ -94,16 +94,21 @@ def _lookups_by_window(cum: DataFrame) -> DataFrame:
     [-1, -1] over position holds exactly the cars one place ahead.
     """
     pos = F.col("position")
-    valid = pos.isNotNull() & ~F.isnan(pos)
+    valid = _numbered() & pos.isNotNull() & ~F.isnan(pos)
     lap = Window.partitionBy("session_id", "lap_number")
     p1 = valid & (pos == 1)
     ahead = lap.orderBy(pos).rangeBetween(-1, -1)
     return cum.withColumns({
-        "leader_cum_ms": F.min_by(F.when(p1, F.col("cum_ms")), F.when(p1, F.col("driver"))).over(lap),
+        "leader_cum_ms": F.when(_numbered(), F.min_by(F.when(p1, F.col("cum_ms")), F.when(p1, F.col("driver"))).over(lap)),
         "ahead_cum_ms": F.when(valid, F.min_by(F.col("cum_ms"), F.col("driver")).over(ahead)),
     })
 
 
+def _numbered():
+    """A lap with a lap number: NULL and NaN never equal another lap (pandas NaN != NaN)."""
+    return F.col("lap_number").isNotNull() & ~F.isnan("lap_number")
+
+
 def with_gaps(raw: DataFrame, max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> DataFrame:
     """W1 + W2 + W3 on raw laps: ``cum_ms``, ``gap_to_leader_ms``, ``interval_to_next_ms``.
 
@@ -120,7 +125,7 @@ def with_gaps(raw: DataFrame, max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> Da
     leaders = leader_of_lap(lookup)
     ahead = car_ahead(lookup)
     # One leader row per (session, lap) with a car in P1: counted on the raw input, not on `cum`.
-    lead_keys = raw.where(F.col("position") == 1).select("session_id", "lap_number").distinct()
+    lead_keys = raw.where(_numbered() & (F.col("position") == 1)).select("session_id", "lap_number").distinct()
     j = join_dim(cum, leaders, ["session_id", "lap_number"], "left", bound=lead_keys)
     j = j.join(
         ahead,
