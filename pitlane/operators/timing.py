@@ -158,10 +158,10 @@ def next_lap(raw: DataFrame, cols: list[str], chunk: int = RUN_CHUNK,
     If a (car, chunk) partition still exceeds ``max_group_rows`` (only
     with massively repeated lap numbers), the window runs over one row per
     (car, lap) instead and its answers are joined back on (car, lap).
-    Laps without a number have no next lap.
+    Laps without a number (NULL or NaN) have no next lap.
     """
     lap = F.col("lap_number")
-    numbered = raw.where(lap.isNotNull()).withColumn("_chunk", F.floor(lap / chunk))
+    numbered = raw.where(_numbered()).withColumn("_chunk", F.floor(lap / chunk))
     w = Window.partitionBy(*CAR, "_chunk").orderBy(lap).rangeBetween(1, 1)
 
     def lookup(rows: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def next_lap(raw: DataFrame, cols: list[str], chunk: int = RUN_CHUNK,
         ).select(*CAR, "lap_number", "_chunk", "_v.*")
         answers = lookup(firsts).select(*CAR, "lap_number", "has_next", *[f"next_{c}" for c in cols])
         found = numbered.drop("_chunk").join(answers, [*CAR, "lap_number"], "left")
-    unnumbered = raw.where(lap.isNull()).withColumn("has_next", F.lit(False))
+    unnumbered = raw.where(~_numbered()).withColumn("has_next", F.lit(False))
     for c in cols:
         unnumbered = unnumbered.withColumn(f"next_{c}", F.lit(None).cast(raw.schema[c].dataType))
     return found.unionByName(unnumbered)

@@ -79,3 +79,36 @@ def test_gaps_match_model(spark, data):
                           "interval_to_next_ms")
         ]
         assert sorted(got, key=_key) == want, (bound, data)
+
+
+PIT_ROW = st.tuples(
+    st.sampled_from(["A", "B"]),
+    st.sampled_from([1.0, 2.0, 3.0, 4.0, None, float("nan")]),
+    st.sampled_from(["SOFT", "HARD", None]),
+    st.one_of(st.none(), st.integers(100, 200)),   # pit in (us)
+    st.one_of(st.none(), st.integers(50, 260)),    # pit out (us)
+)
+
+
+def pit_model(data):
+    """(driver, lap, compound_in, compound_out, stop_ms) per pit-in lap, before the driver lookup."""
+    out = []
+    for d, lap, comp, pin, pout in data:
+        if pin is None:
+            continue
+        nxt = [r for r in data if r[0] == d and _isnum(lap) and _isnum(r[1]) and r[1] == lap + 1]
+        comp_out = nxt[0][2] if nxt else None
+        out_time = pout if pout is not None else (nxt[0][4] if nxt else None)
+        stop = _ms(out_time - pin) if out_time is not None else None
+        out.append((d, int(lap) if _isnum(lap) else None, comp, comp_out, stop))
+    return sorted(out, key=_key)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(PIT_ROW, min_size=1, max_size=10, unique_by=lambda r: (r[0], r[1] if _isnum(r[1]) else id(r))))
+def test_pit_stops_match_model(spark, data):
+    raw = spark.createDataFrame(
+        [(1, d, lap, None, c, None, None, None, None, None, None, None, pin, pout) for d, lap, c, pin, pout in data],
+        RAW_LAPS)
+    got = rows(timing.pit_stops(raw), "driver", "lap_number", "compound_in", "compound_out", "stop_time_ms")
+    assert sorted(got, key=_key) == pit_model(data), data
