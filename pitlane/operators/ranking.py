@@ -50,10 +50,6 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     )
 
 
-# Laps per chunk of a lap-number-keyed window (W4): a race is one chunk.
-RUN_CHUNK = 256
-
-
 def running_sum(df: DataFrame, groups: Sequence[str], order: str, value: str, out: str,
                 tie: Sequence[str | Column] = (), max_group_rows: int | None = None) -> DataFrame:
     """``sum(value) over (partition by groups order by order[, tie] rows unbounded preceding)``.

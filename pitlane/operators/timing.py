@@ -31,10 +31,13 @@ from pyspark.sql import functions as F
 from pitlane.functions.cleanse import nullable_int, to_ms
 from pitlane.operators.filters import pit_in_laps
 from pitlane.operators.joins import join_dim, resolve_driver
-from pitlane.operators.ranking import GROUP_WINDOW_MAX_ROWS, RUN_CHUNK, largest_group, running_sum
+from pitlane.operators.ranking import GROUP_WINDOW_MAX_ROWS, largest_group, running_sum
 
 CAR = ["session_id", "driver"]
 
+# Lap numbers per chunk of the next-lap window (W4): a race is one chunk.
+RUN_CHUNK = 256
+
 
 def cumulative_ms(raw: DataFrame) -> DataFrame:
     """Running race time per car, summed in microseconds, rounded once.
