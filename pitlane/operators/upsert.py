@@ -21,11 +21,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.config import materialize
-from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim
+from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim, small_side
 
 # Largest update batch merged by broadcasting it (a lap row is ~100 bytes).
 # A race weekend is a few thousand laps; a bulk re-load takes the shuffle path.
@@ -190,3 +191,25 @@ def _range_number(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def lookup_ids(base: DataFrame, natural: DataFrame, natural_key: Sequence[str], id_col: str) -> DataFrame:
     """The ids of the given natural keys (the row just upserted)."""
     return join_dim(natural, base.select(*natural_key, id_col), list(natural_key))
+
+
+def upsert_partitions(spark, table_path: str, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
+                      schema, partition_col: str = "session_id", size_bound: DataFrame | None = None) -> None:
+    """Upsert ``updates`` into the parquet table at ``table_path``, rewriting only touched partitions.
+
+    The base is restricted to the ``partition_col`` values the batch touches
+    (a size-checked broadcast semi-join, so the scan prunes partitions),
+    merged with ``upsert``, materialised in the shared folder, and written
+    back with dynamic partition overwrite. Untouched partitions are never
+    read or rewritten, and re-running the same batch gives the same files'
+    contents (idempotent).
+    """
+    touched = small_side(updates.select(partition_col).distinct())
+    try:
+        base = spark.read.schema(schema).parquet(table_path)
+    except AnalysisException:  # first write: the table does not exist yet
+        base = spark.createDataFrame([], schema)
+    base = base.select(*schema.fieldNames()).join(touched, partition_col, "left_semi")
+    merged = materialize(upsert(base, updates, keys, update_cols, size_bound=size_bound), "partition-merge")
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(table_path))
