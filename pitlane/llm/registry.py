@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pitlane.llm import oracles
+from pitlane.llm.packing import op4_best_fit_packing
 from pitlane.llm.quality_rules import op1_quality_rules
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_best_fit_packing": op4_best_fit_packing,
 }
 
 ORACLES = {
