@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pitlane.llm import oracles
+from pitlane.llm.jaccard_join import op3_jaccard_join
 from pitlane.llm.packing import op4_best_fit_packing
 from pitlane.llm.quality_rules import op1_quality_rules
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
 }
 
