@@ -5,6 +5,7 @@ from __future__ import annotations
 from pitlane.llm import oracles
 from pitlane.llm.gam_quality import op6_quality_gam
 from pitlane.llm.jaccard_join import op3_jaccard_join
+from pitlane.llm.langid import op9_language_id
 from pitlane.llm.packing import op4_best_fit_packing
 from pitlane.llm.quality_rules import op1_quality_rules
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_quality_gam": op6_quality_gam,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES = {
