@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pitlane.llm import oracles
+from pitlane.llm.decontaminate import op7_decontamination
 from pitlane.llm.gam_quality import op6_quality_gam
 from pitlane.llm.jaccard_join import op3_jaccard_join
 from pitlane.llm.langid import op9_language_id
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_quality_gam": op6_quality_gam,
+    "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
 }
 
