@@ -8,12 +8,14 @@ from pitlane.llm.gam_quality import op6_quality_gam
 from pitlane.llm.jaccard_join import op3_jaccard_join
 from pitlane.llm.langid import op9_language_id
 from pitlane.llm.packing import op4_best_fit_packing
+from pitlane.llm.pii import op5_pii_deobfuscation
 from pitlane.llm.quality_rules import op1_quality_rules
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_pii_deobfuscation": op5_pii_deobfuscation,
     "op6_quality_gam": op6_quality_gam,
     "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
