@@ -128,7 +128,7 @@ _DOT = r"(?:dot|punkt|punto|point)"
 # Plain words stand for a sign only between what could be parts of an address or a number.
 _DISGUISE = re.compile(
     rf"(?P<digits>(?<!\w){_N}(?:[\s-]{{1,3}}{_N})*(?!\w))"
-    r"|(?P<at>\s{0,3}[\[({<]\s{0,3}(?:at|@|arroba|klammeraffe)\s{0,3}[\])}>]\s{0,3}|(?<=\w)\s{1,3}(?:at|arroba|klammeraffe)\s{1,3}(?=[\w-]+\s{0,3}[\[({<]?\s{0,3}(?:\.|dot|punkt|punto|point)))"
+    r"|(?P<at>\s{0,3}[\[({<]\s{0,3}(?:at|@|arroba|klammeraffe)\s{0,3}[\])}>]\s{0,3}|(?<=\w)\s{1,3}(?:at|arroba|klammeraffe)\s{1,3}(?=[\w-]+\s{0,3}[\[({<]?\s{0,3}(?:dot|punkt|punto|point)))"
     rf"|(?P<dot>\s{{0,3}}[\[({{<]\s{{0,3}}(?:{_DOT}|\.)\s{{0,3}}[\])}}>]\s{{0,3}}|(?<=\w)\s{{1,3}}{_DOT}\s{{1,3}}(?=\w))"
     r"|(?P<plus>(?<!\w)plus\s{1,3}(?=[0-9]|" + _N + r"))",
     re.IGNORECASE,
@@ -144,6 +144,10 @@ def _may_hide(t: str) -> bool:
     return any(c in t for c in "[({<") or not _HINTS.isdisjoint(t.lower().replace("-", " ").split())
 
 
+#: A disguised address ends in a name, not in a number.
+_NAME = re.compile(r"\.[A-Za-z]{2,}$")
+
+
 class Rewritten:
     """A text with, for each character, the source characters [start, end) it stands for."""
 
@@ -194,13 +198,11 @@ def hidden(t: str) -> list[Span]:
     if glyphs:
         r.replace([(m.start(), m.end(), GLYPHS[m.group()]) for m in _GLYPH.finditer(t)])
     r.replace(_word_parts(r.text))
-    if not r.changed.any():
-        # Only invisible characters went: what they parted now stands together.
-        return [(int(r.start[a]), k, int(r.end[b - 1])) for a, k, b in detect(r.text) if r.end[b - 1] - r.start[a] > b - a]
     out = []
-    for a, k, b in detect(r.text):
-        if r.changed[a:b].any() or r.end[b - 1] - r.start[a] > b - a:
-            out.append((int(r.start[a]), k, int(r.end[b - 1])))
+    for a, kind, b in detect(r.text):
+        moved = r.changed[a:b].any() or r.end[b - 1] - r.start[a] > b - a  # invisible characters leave no trace but length
+        if moved and (kind != "email" or _NAME.search(r.text, a, b)):
+            out.append((int(r.start[a]), kind, int(r.end[b - 1])))
     return out
 
 
