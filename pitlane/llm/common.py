@@ -1,18 +1,19 @@
 """Helpers shared by the corpus operators: table access, the label folds, written intermediates
-and a streaming reader of sorted groups for ``mapInPandas``."""
+and a streaming reader of whole sorted groups for ``mapInPandas``."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.config import materialize
 
-__all__ = ["fold", "grouped", "let", "materialize", "parts_for", "schema_with", "sigmoid", "table", "text_column"]
+__all__ = ["fold", "labelled_sample", "let", "materialize", "parts_for", "schema_with", "sigmoid", "table", "text_column", "whole_groups"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,14 @@ def fold(doc_id: Column | str, n: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % F.lit(n)
 
 
+def labelled_sample(labels: DataFrame, label: str, folds: int, held: int, max_rows: int) -> DataFrame:
+    """(doc_id, y) of at most ``max_rows`` labelled rows outside the held-out fold, the first
+    ones by a hash of the id; the bound makes the result small enough to broadcast."""
+    y = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null")
+    y = y.where(fold("doc_id", folds) != held)
+    return F.broadcast(y.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``.
 
@@ -53,29 +62,33 @@ def schema_with(df: DataFrame, extra: str, keep: Iterable[str]) -> str:
 
 def sigmoid(x):
     """Logistic function of a numpy array, safe for large arguments."""
-    import numpy as np
-
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
-def grouped(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Groups of consecutive rows with equal keys out of a partition sorted by them.
+def whole_groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, list[int]]]:
+    """Frames of whole groups out of a partition sorted by ``keys``, with the groups' bounds.
 
-    Only the group that runs over a batch's end is carried on, so memory follows the
-    largest group and not the partition.
+    Rows of a group that runs over a batch's end wait for the next batch, so memory follows
+    a batch and the largest group, not the partition.
     """
-    held: list[pd.DataFrame] = []
+    held: pd.DataFrame | None = None
     for batch in batches:
         if not len(batch):
             continue
-        codes = batch[keys].ne(batch[keys].shift()).any(axis=1).to_numpy()
-        codes[0] = True
-        starts = [*codes.nonzero()[0].tolist(), len(batch)]
-        for lo, hi in zip(starts, starts[1:]):
-            piece = batch.iloc[lo:hi]
-            if held and tuple(held[-1].iloc[-1][keys]) != tuple(piece.iloc[0][keys]):
-                yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
-                held = []
-            held.append(piece)
-    if held:
-        yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+        frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        bounds = _bounds(frame, keys)
+        held = frame.iloc[bounds[-1] :]
+        if len(bounds) > 1:
+            yield frame.iloc[: bounds[-1]], bounds
+    if held is not None and len(held):
+        yield held, [0, len(held)]
+
+
+def _bounds(frame: pd.DataFrame, keys: list[str]) -> list[int]:
+    """Starts of the groups of consecutive equal keys."""
+    new = np.zeros(len(frame), bool)
+    new[0] = True
+    for k in keys:
+        v = frame[k].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new).tolist()

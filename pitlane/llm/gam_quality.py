@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import fold, sigmoid, table
+from pitlane.llm.common import fold, labelled_sample, sigmoid, table
 
 #: Most labelled rows that the model is fitted on.
 MAX_TRAIN_ROWS = 20_000
@@ -206,17 +206,9 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = RATE,
     return m
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
-    """(doc_id, y) of at most ``max_rows`` labelled rows outside the held-out fold, the first
-    ones by a hash of the id; the bound makes the result small enough to broadcast."""
-    y = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(f"y in (0, 1) and doc_id is not null")
-    y = y.where(fold("doc_id", folds) != held)
-    return F.broadcast(y.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows))
-
-
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Gam:
     """The model, from the folds 1 to 4 of the labels."""
-    train = training_rows(docs, labels, "quality", 5, 0, max_rows)
+    train = labelled_sample(labels, "quality", 5, 0, max_rows)
     rows = with_features(docs.join(train, "doc_id").select("doc_id", "y", "text"), ["doc_id", "y"])
     rows = rows.withColumn("x", F.transform("x", lambda v: F.round(v, 9))).toPandas()
     if not len(rows):

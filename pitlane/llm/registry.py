@@ -10,9 +10,11 @@ from pitlane.llm.langid import op9_language_id
 from pitlane.llm.packing import op4_best_fit_packing
 from pitlane.llm.pii import op5_pii_deobfuscation
 from pitlane.llm.quality_rules import op1_quality_rules
+from pitlane.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_toxicity": op2_toxicity,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_pii_deobfuscation": op5_pii_deobfuscation,
