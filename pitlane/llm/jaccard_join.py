@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import grouped, materialize, table
+from pitlane.llm.common import materialize, table, whole_groups
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -179,31 +179,65 @@ def _candidates(units: DataFrame) -> DataFrame:
     """Units of (key, bi, bj) with signatures: nodes in a surviving pair, with their partners."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in grouped(batches, ["key", "bi", "bj"]):
-            if len(g) < 2:
-                continue
-            key, bi, bj = (int(g[c].iloc[0]) for c in ("key", "bi", "bj"))
-            sig = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(len(g), HASHES)
-            blk = g["blk"].to_numpy()
-            left, right = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
-            i, j = surviving_pairs(sig[left], sig[right], key >> 48, bi == bj)
-            if not len(i):
-                continue
-            i, j = left[i], right[j]
-            order = np.argsort(i, kind="stable")
-            i, j = i[order], j[order]
-            at = np.unique(np.concatenate([i, j]))
-            lo, hi = np.searchsorted(i, at), np.searchsorted(i, at, side="right")
-            node = g["node"].to_numpy()
-            yield pd.DataFrame(
-                {
-                    "key": key, "bi": bi, "bj": bj, "node": node[at], "n": g["n"].to_numpy()[at], "row": at,
-                    "partners": [j[x:y].tolist() for x, y in zip(lo, hi)], "doc_id": g["doc_id"].to_numpy()[at],
-                }
-            )
+        for frame, bounds in whole_groups(batches, ["key", "bi", "bj"]):
+            all_sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(len(frame), HASHES)
+            key, bi, bj, blk = (frame[c].to_numpy() for c in ("key", "bi", "bj", "blk"))
+            take, row, partners = [], [], []
+            for lo, hi in zip(bounds, bounds[1:]):
+                if hi - lo < 2:
+                    continue
+                sig, mine = all_sig[lo:hi], blk[lo:hi]
+                same = bi[lo] == bj[lo]
+                left = np.flatnonzero(mine == bi[lo])
+                right = left if same else np.flatnonzero(mine == bj[lo])
+                i, j = surviving_pairs(sig[left], sig[right], int(key[lo]) >> 48, same)
+                if not len(i):
+                    continue
+                i, j = left[i], right[j]
+                order = np.argsort(i, kind="stable")
+                i, j = i[order], j[order]
+                at = np.unique(np.concatenate([i, j]))
+                first, last = np.searchsorted(i, at), np.searchsorted(i, at, side="right")
+                take += (at + lo).tolist()
+                row += at.tolist()
+                partners += [j[x:y].tolist() for x, y in zip(first, last)]
+            if take:
+                out = frame.iloc[take][["key", "bi", "bj", "node", "n", "doc_id"]].reset_index(drop=True)
+                out["row"], out["partners"] = row, partners
+                yield out
 
     kind = dict(units.dtypes)["doc_id"]
-    return units.mapInPandas(run, f"key long, bi int, bj int, node binary, n long, row int, partners array<int>, doc_id {kind}")
+    return units.mapInPandas(run, f"key long, bi int, bj int, node binary, n long, doc_id {kind}, row int, partners array<int>")
+
+
+def _links(rows: dict[int, tuple], shingler: Shingler, threshold: float) -> list[tuple]:
+    """(node, linked documents, least node joined to) of a unit's nodes with a link."""
+    sets = {r: shingler(v[3]) for r, v in rows.items()}
+    links, root = dict.fromkeys(rows, 0), {r: r for r in rows}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for r, (node, n, partners, _) in rows.items():
+        a = sets[r]
+        for q in partners:
+            b = sets[q]
+            if min(len(a), len(b)) < threshold * max(len(a), len(b)):
+                continue
+            both = np.concatenate([a, b])
+            both.sort()
+            shared = int((both[1:] == both[:-1]).sum())
+            if shared >= threshold * (len(both) - shared):
+                links[r] += rows[q][1]
+                links[q] += n
+                x, y = find(r), find(q)
+                if x != y:
+                    low, high = (x, y) if rows[x][0] < rows[y][0] else (y, x)
+                    root[high] = low
+    return [(v[0], links[r], rows[find(r)][0]) for r, v in rows.items() if links[r]]
 
 
 def _verified(units: DataFrame, threshold: float) -> DataFrame:
@@ -212,37 +246,14 @@ def _verified(units: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
-        for g in grouped(batches, ["key", "bi", "bj"]):
-            first = {r: k for k, r in reversed(list(enumerate(g["row"])))}  # a repeated row of the table comes once
-            sets = {r: shingler(g["text"].iloc[k]) for r, k in first.items()}
-            n = dict(zip(g["row"], g["n"]))
-            node = dict(zip(g["row"], g["node"]))
-            links, root = dict.fromkeys(first, 0), {r: r for r in first}
-
-            def find(x: int) -> int:
-                while root[x] != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                return x
-
-            for r, k in first.items():
-                a = sets[r]
-                for q in g["partners"].iloc[k]:
-                    b = sets[q]
-                    if min(len(a), len(b)) < threshold * max(len(a), len(b)):
-                        continue
-                    both = np.concatenate([a, b])
-                    both.sort()
-                    shared = int((both[1:] == both[:-1]).sum())
-                    if shared >= threshold * (len(both) - shared):
-                        links[r] += n[q]
-                        links[q] += n[r]
-                        x, y = find(r), find(q)
-                        if x != y:
-                            root[x if node[x] > node[y] else y] = x if node[x] < node[y] else y
-            hit = [r for r in first if links[r]]
-            if hit:
-                yield pd.DataFrame({"node": [node[r] for r in hit], "links": [links[r] for r in hit], "to": [node[find(r)] for r in hit]})
+        for frame, bounds in whole_groups(batches, ["key", "bi", "bj"]):
+            cols = [frame[c].to_numpy() for c in ("row", "node", "n", "partners", "text")]
+            out: list[tuple] = []
+            for lo, hi in zip(bounds, bounds[1:]):
+                # A repeated row of the table comes more than once: the last one counts.
+                rows = {r: (node, n, partners, text) for r, node, n, partners, text in zip(*(c[lo:hi] for c in cols))}
+                out += _links(rows, shingler, threshold)
+            yield pd.DataFrame(out, columns=["node", "links", "to"])
 
     return units.mapInPandas(run, "node binary, links long, to binary")
 
