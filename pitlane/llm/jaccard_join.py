@@ -304,7 +304,8 @@ def jaccard_join(
     units = pairs.join(nodes, "node").repartition(*unit).sortWithinPartitions(*unit, "node")
     found = materialize(_candidates(units), "candidates")
 
-    wanted = found.join(src.withColumnRenamed("doc_id", "of"), ["node"]).where(F.col("doc_id").eqNullSafe(F.col("of"))).drop("of")
+    # A merge join at every size: the texts are shuffled once, by their digest.
+    wanted = found.hint("merge").join(src.withColumnRenamed("doc_id", "of"), ["node"]).where(F.col("doc_id").eqNullSafe(F.col("of"))).drop("of")
     checked = materialize(_verified(wanted.repartition(*unit).sortWithinPartitions(*unit, "row"), threshold), "links")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("node").alias("a"), F.col("to").alias("b")))
