@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pitlane.llm.license_texts import LICENSES
+from pitlane.llm.licenses import RULES as LICENSE_RULES
 from pitlane.llm.quality_rules import STOP_WORDS
 
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
@@ -56,3 +58,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   array_to_string(b, ',') AS broken, NOT base_failed AND len(b) = 0 AS kept
 FROM v
 """
+
+
+def _sql_canonical(column: str) -> str:
+    out = f"lower({column})"
+    for pattern, new in LICENSE_RULES:
+        new = new.replace("$1", r"\1").replace("$2", r"\2")
+        out = f"regexp_replace({out}, '{pattern}', '{new}', 'g')"
+    return out
+
+
+_KNOWN = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in LICENSES)
+
+OP8 = f"""
+WITH known AS (
+  SELECT DISTINCT license_id, array_to_string(list_filter(string_split({_sql_canonical('t')}, chr(10)), lambda x: x <> ''), ' ') AS form
+  FROM (VALUES {_KNOWN}) AS v(license_id, t)
+), d AS (
+  SELECT doc_id, list_filter(string_split({_sql_canonical('text')}, chr(10)), lambda x: x <> '') AS lines FROM documents
+), u AS (
+  SELECT doc_id, true AS whole, array_to_string(lines, ' ') AS form FROM d WHERE len(lines) > 0
+  UNION ALL
+  SELECT doc_id, false, unnest(lines) FROM d WHERE len(lines) > 1
+)
+SELECT doc_id, license_id, bool_or(whole) AS whole, count(*) AS n_units
+FROM u JOIN known USING (form) WHERE form <> '' GROUP BY ALL
+"""

@@ -7,6 +7,7 @@ from pitlane.llm.decontaminate import op7_decontamination
 from pitlane.llm.gam_quality import op6_quality_gam
 from pitlane.llm.jaccard_join import op3_jaccard_join
 from pitlane.llm.langid import op9_language_id
+from pitlane.llm.licenses import op8_license_digests
 from pitlane.llm.packing import op4_best_fit_packing
 from pitlane.llm.pii import op5_pii_deobfuscation
 from pitlane.llm.quality_rules import op1_quality_rules
@@ -20,9 +21,11 @@ QUERIES = {
     "op5_pii_deobfuscation": op5_pii_deobfuscation,
     "op6_quality_gam": op6_quality_gam,
     "op7_decontamination": op7_decontamination,
+    "op8_license_digests": op8_license_digests,
     "op9_language_id": op9_language_id,
 }
 
 ORACLES = {
     "op1_quality_rules": oracles.OP1,
+    "op8_license_digests": oracles.OP8,
 }
