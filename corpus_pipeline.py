@@ -1,14 +1,62 @@
-"""The training-data pipeline: stages over ``documents``, each calling one corpus operator."""
+"""The training-data pipeline: stages over ``documents``, each calling one corpus operator.
+
+Every stage works on all rows its predecessor kept, and returns the columns of ``documents`` but
+the last, which returns the packed pieces. Edge cases are those of the operators; an empty
+table goes through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitlane.llm.common import materialize, table
+from pitlane.llm.decontaminate import drop_contaminated
+from pitlane.llm.gam_quality import keep_good
+from pitlane.llm.jaccard_join import keep_one
+from pitlane.llm.packing import pack_documents
+from pitlane.llm.secrets import redact_secrets
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reported secrets are masked in the texts; ``n_chars`` follows."""
+    out = redact_secrets(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return out
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 ids."""
+    import public_tokenizers
+
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("packing", packing),
+]
 
-#: SQL cannot state the trained and approximate-then-verified stages; tests hold them against brute force.
+#: SQL cannot state the trained stage; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

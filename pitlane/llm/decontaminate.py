@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -125,27 +126,33 @@ class Matcher:
         return [(self.items[n][0], d, e) for n, (d, e) in sorted(found.items())]
 
 
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
+    """The normalised items, in lists of at most about ``BLOCK_CHARS`` characters: a list is
+    read when its pass is planned, and is all that a pass broadcasts."""
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
+    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    n = parts_for(total, BLOCK_CHARS // 2)
+    for block in range(n):
+        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block) if n > 1 else items
+        yield [(r["item_id"], normal(r["text"])) for r in mine.orderBy("item_id", "text").collect()]
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """The kept columns of each document with item_id, distance and end for each item in it."""
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = parts_for(total, BLOCK_CHARS // 2)
-    src = docs.select(*keep, docs[text].cast("string").alias("_text"))
+    src = docs.select(*keep, docs[text].cast("string").alias("__leak_text"))
     kinds = dict(src.dtypes)
-    ddl = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"item_id {dict(items.dtypes)['item_id']}, distance int, end long"])
-    spark = docs.sparkSession
+    ddl = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"item_id {dict(benchmark.dtypes)['item_id']}, distance int, end long"])
+    context = docs.sparkSession.sparkContext
 
-    def searched(block: int) -> DataFrame:
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        found = [(r["item_id"], normal(r["text"])) for r in mine.orderBy("item_id", "text").collect()]
-        sent = spark.sparkContext.broadcast(found)
+    def searched(items: list[tuple[object, str]]) -> DataFrame:
+        sent = context.broadcast(items)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             match = Matcher(sent.value, rate)
             for b in batches:
-                hits = [(at, *hit) for at, t in enumerate(b["_text"]) for hit in match(t)]
+                hits = [(at, *hit) for at, t in enumerate(b["__leak_text"]) for hit in match(t)]
                 out = b[list(keep)].iloc[[h[0] for h in hits]].reset_index(drop=True)
                 for k, c in enumerate(("item_id", "distance", "end"), 1):
                     out[c] = [h[k] for h in hits]
@@ -153,23 +160,23 @@ def matches(
 
         return src.mapInPandas(run, ddl)
 
-    out = searched(0)
-    for block in range(1, blocks):
-        out = out.unionAll(searched(block))
-    return out
+    return reduce(DataFrame.unionAll, map(searched, _blocks(benchmark)))
+
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text: str = "text") -> DataFrame:
+    """The documents in which no item stands: one pass over the rows for each block of items,
+    without a join or a shuffle."""
+    context = docs.sparkSession.sparkContext
+    for items in _blocks(benchmark):
+        sent = context.broadcast(items)
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The documents in which no item stands.
+        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            match = Matcher(sent.value, rate)
+            for b in batches:
+                yield b[[not match(t) for t in b[text]]]
 
-    Ids that are contaminated leave by an anti-join; the search itself moves no text. A row
-    without an id is matched by its text's digest too.
-    """
-    mark = docs.withColumn("_md5", F.md5(F.col("text").cast("string")))
-    bad = matches(mark, benchmark, rate, keep=("doc_id", "_md5")).select("doc_id", "_md5").distinct()
-    bad = bad.select(F.col("doc_id").alias("_bad_id"), F.col("_md5").alias("_bad_md5"))
-    hit = (mark["_md5"] == bad["_bad_md5"]) & mark["doc_id"].eqNullSafe(bad["_bad_id"])
-    return mark.join(bad, hit, "left_anti").select(docs.columns)
+        docs = docs.mapInPandas(run, docs.schema)
+    return docs
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

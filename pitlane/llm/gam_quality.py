@@ -82,13 +82,13 @@ def features(text: str | None) -> list[float]:
 
 def with_features(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns and an array of feature values, for whole texts in batches."""
-    src = docs.select(*keep, docs[text].cast("string").alias("_text"))
+    src = docs.select(*keep, docs[text].cast("string").alias("__gam_text"))
     kinds = dict(src.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = b[keep].copy()
-            out["x"] = [features(t) for t in b["_text"]]
+            out["x"] = [features(t) for t in b["__gam_text"]]
             yield out
 
     return src.mapInPandas(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "x array<double>"]))
@@ -209,7 +209,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = RATE,
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Gam:
     """The model, from the folds 1 to 4 of the labels."""
     train = labelled_sample(labels, "quality", 5, 0, max_rows)
-    rows = with_features(docs.join(train, "doc_id").select("doc_id", "y", "text"), ["doc_id", "y"])
+    rows = with_features(docs.select("doc_id", "text").join(train, "doc_id"), ["doc_id", "y"])
     rows = rows.withColumn("x", F.transform("x", lambda v: F.round(v, 9))).toPandas()
     if not len(rows):
         return Gam()
@@ -218,19 +218,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_RO
     return fit(np.array(rows["x"].tolist()), rows["y"].to_numpy(float))
 
 
-def score_quality(docs: DataFrame, model: Gam, keep: list[str], text: str = "text") -> DataFrame:
-    """The kept columns and ``score``."""
-    src = docs.select(*keep, docs[text].cast("string").alias("_text"))
+def score_quality(docs: DataFrame, model: Gam, keep: list[str], text: str = "text", score: str = "score") -> DataFrame:
+    """The kept columns and the score, by name ``score``."""
+    src = docs.select(*keep, docs[text].cast("string").alias("__gam_text"))
     kinds = dict(src.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = b[keep].copy()
-            x = np.round(np.array([features(t) for t in b["_text"]]).reshape(len(b), len(FEATURES)), 9)
-            out["score"] = model.score(x)
+            x = np.round(np.array([features(t) for t in b["__gam_text"]]).reshape(len(b), len(FEATURES)), 9)
+            out[score] = model.score(x)
             yield out
 
-    return src.mapInPandas(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "score double"]))
+    return src.mapInPandas(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"`{score}` double"]))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """The documents whose score reaches ``cut``, columns unchanged."""
+    scored = score_quality(docs, fit_quality(docs, labels), docs.columns, score="__gam_score")
+    return scored.where(F.col("__gam_score") >= cut).select(docs.columns)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:

@@ -278,16 +278,17 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def jaccard_join(
-    docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, text: str = "text", id_col: str = "doc_id"
-) -> DataFrame:
-    """One row per document: ``class_id`` (the least id among the documents joined to it by
-    links), ``n_links`` (documents with a similarity of ``threshold`` or more, copies
-    included) and ``n_copies`` (documents with the same text, itself included)."""
+def _source(docs: DataFrame, text: str, id_col: str) -> DataFrame:
+    """doc_id, node (md5 of the text; null for a null text) and text."""
+    base = docs.select(docs[id_col].alias("doc_id"), docs[text].cast("string").alias("text"))
+    return base.select("doc_id", F.unhex(F.md5("text")).alias("node"), "text")
+
+
+def classes(src: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """Per node with a word: its least doc_id, n rows, links to documents of other nodes, and
+    root, the least node of its connected component."""
     if threshold < THRESHOLD:
         raise ValueError(f"the bands are laid out for a threshold of {THRESHOLD} or more")
-    base = docs.select(docs[id_col].alias("doc_id"), docs[text].cast("string").alias("text"))
-    src = base.select("doc_id", F.unhex(F.md5("text")).alias("node"), "text")
     sketched = _sketch(src.where("text is not null").select("node", "text"))
     counted = src.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
     nodes = materialize(sketched.groupBy("node").agg(F.min("sig").alias("sig")).join(counted, "node"), "nodes")
@@ -309,12 +310,20 @@ def jaccard_join(
     checked = materialize(_verified(wanted.repartition(*unit).sortWithinPartitions(*unit, "row"), threshold), "links")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("node").alias("a"), F.col("to").alias("b")))
-
-    # Classes by the least document id, spread back over nodes, then over documents.
     named = nodes.select("node", "n", "doc_id").join(links, "node", "left").join(roots, "node", "left")
-    named = named.withColumn("root", F.coalesce("root", "node"))
+    return named.withColumns({"root": F.coalesce("root", "node"), "links": F.coalesce("links", F.lit(0))})
+
+
+def jaccard_join(
+    docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, text: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
+    """One row per document: ``class_id`` (the least id among the documents joined to it by
+    links), ``n_links`` (documents with a similarity of ``threshold`` or more, copies
+    included) and ``n_copies`` (documents with the same text, itself included)."""
+    src = _source(docs, text, id_col)
+    named = classes(src, threshold, block)
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    of_node = named.join(least, "root").select("node", "class_id", "n", F.coalesce("links", F.lit(0)).alias("links"))
+    of_node = named.join(least, "root").select("node", "class_id", "n", "links")
     out = src.select("doc_id", "node").join(of_node, "node", "left")
     return out.select(
         "doc_id",
@@ -324,6 +333,27 @@ def jaccard_join(
     )
 
 
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The documents less all but one of each class: the row with the least id (null ids last),
+    then the least digest, stays. Documents without a word all stay."""
+    src = _source(docs, text, id_col)
+    named = materialize(classes(src, threshold).select("root", "node", "doc_id"), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("node"))
+    stays = named.groupBy("root").agg(F.min(order).alias("s")).select(F.col("s.doc_id").alias("__keep_id"), F.col("s.node").alias("node"))
+    # How often the row that stays comes, by id and digest alone: no text is moved for it.
+    times = src.where("node is not null").groupBy(F.col("doc_id").alias("of"), "node").agg(F.count(F.lit(1)).alias("__times"))
+    stays = stays.join(times, "node").where(F.col("__keep_id").eqNullSafe(F.col("of"))).drop("of")
+    verdict = named.select("node").join(stays, "node", "left").withColumnRenamed("node", "__keep_node")
+    verdict = materialize(verdict, "verdicts")
+    digest = F.unhex(F.md5(docs[text].cast("string")))
+    judged = docs.withColumn("__keep_own", digest).join(verdict.hint("merge"), F.col("__keep_own") == F.col("__keep_node"), "left")
+    stay = judged[id_col].eqNullSafe(F.col("__keep_id")) & F.col("__times").isNotNull()
+    out = judged.where(F.col("__keep_node").isNull() | (stay & (F.col("__times") == 1))).select(docs.columns)
+    if verdict.where("__times > 1").limit(1).count():
+        out = out.unionAll(judged.where(stay & (F.col("__times") > 1)).dropDuplicates(["__keep_own"]).select(docs.columns))
+    return out
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join over all documents."""
     return jaccard_join(table(spark, sf_dir, "documents"))

@@ -205,7 +205,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, rate: float =
 def training_sample(docs: DataFrame, rows: int = ROWS_PER_LANG) -> DataFrame:
     """At most about ``rows`` texts for each of the ``MAX_LANGS`` most frequent languages of the
     training folds: those whose id's hash lies below the language's share."""
-    seen = docs.where("lang is not null and doc_id is not null and text is not null").where(fold("doc_id", 4) != 2)
+    seen = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where("lang is not null and doc_id is not null and text is not null").where(fold("doc_id", 4) != 2)
     seen = seen.where(F.length("text") <= MAX_SAMPLE_CHARS).where(F.col("text").rlike(r"\p{L}"))
     share = seen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
     share = share.select("lang", (F.lit(float(rows)) / F.col("n")).alias("share"))

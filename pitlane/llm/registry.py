@@ -11,6 +11,7 @@ from pitlane.llm.licenses import op8_license_digests
 from pitlane.llm.packing import op4_best_fit_packing
 from pitlane.llm.pii import op5_pii_deobfuscation
 from pitlane.llm.quality_rules import op1_quality_rules
+from pitlane.llm.secrets import op10_secret_scan
 from pitlane.llm.toxicity import op2_toxicity
 
 QUERIES = {
@@ -23,6 +24,7 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_license_digests": op8_license_digests,
     "op9_language_id": op9_language_id,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES = {

@@ -250,7 +250,7 @@ def choose_lexicon(counts: pd.DataFrame) -> list[tuple[str, bool]]:
 
 def _scan(docs: DataFrame, entries: list[Entry], keep: list[str]) -> DataFrame:
     """Kept columns, number of words and hits of every whole text."""
-    src = docs.select(*keep, docs["text"].cast("string").alias("_text"))
+    src = docs.select(*keep, docs["text"].cast("string").alias("__tox_text"))
     kinds = dict(src.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -259,7 +259,7 @@ def _scan(docs: DataFrame, entries: list[Entry], keep: list[str]) -> DataFrame:
             if len(known) > 500_000:
                 known.clear()
             out = b[keep].copy()
-            got = [hits(t, automaton, known) for t in b["_text"]]
+            got = [hits(t, automaton, known) for t in b["__tox_text"]]
             out["n_words"] = [n for n, _ in got]
             out["hits"] = [[{"entry": h[0], "edits": h[1], "quoted": h[2], "said": h[3], "addressed": h[4]} for h in f] for _, f in got]
             yield out
@@ -286,7 +286,7 @@ def _fit_layer(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> ToxModel:
     """Lexicon, weights and layer from the training folds."""
     sample = labelled_sample(labels, "toxic", 5, 0, max_rows)
-    train = docs.join(sample, "doc_id").where("text is not null").select("doc_id", "y", F.col("text").cast("string").alias("text"))
+    train = docs.select("doc_id", "text").join(sample, "doc_id").where("text is not null").select("doc_id", "y", F.col("text").cast("string").alias("text"))
     train = materialize(train, "toxicity-sample")  # bounded rows, read three times
     totals = train.dropDuplicates(["text", "y"]).agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     total, toxic = int(totals[0]), int(totals[1])
@@ -323,7 +323,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_R
 
 def score_toxicity(docs: DataFrame, model: ToxModel, keep: list[str]) -> DataFrame:
     """Kept columns with score, number of hits and of quoted hits."""
-    src = docs.select(*keep, docs["text"].cast("string").alias("_text"))
+    src = docs.select(*keep, docs["text"].cast("string").alias("__tox_text"))
     kinds = dict(src.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -332,7 +332,7 @@ def score_toxicity(docs: DataFrame, model: ToxModel, keep: list[str]) -> DataFra
             if len(known) > 500_000:
                 known.clear()
             out = b[keep].copy()
-            got = [hits(t, automaton, known) for t in b["_text"]]
+            got = [hits(t, automaton, known) for t in b["__tox_text"]]
             out["score"] = model.scores([doc_features(n, f, model.entries) for n, f in got])
             out["n_hits"] = [len(f) for _, f in got]
             out["n_quoted"] = [sum(h[2] for h in f) for _, f in got]
