@@ -34,6 +34,9 @@ MAX_SAMPLE_CHARS = 20_000
 BUCKETS = 1 << 17
 DIM = 16
 EPOCHS = 6
+RATE = 0.5
+#: Greatest share of one subword in a step: short texts would make the weights run away.
+MOST_SHARE = 0.05
 UND = "und"
 #: Share of right answers that calibrated rejection may lose.
 REJECT = 0.005
@@ -152,7 +155,7 @@ class Predictor:
         return out
 
 
-def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, rate: float = 2.0, seed: int = 7) -> LangModel:
+def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> LangModel:
     """SGD on embeddings and layer, then the temperature on every tenth row kept apart."""
     names = sorted(set(langs))
     if not names:
@@ -183,7 +186,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, rate: float =
             back = out @ p
             out -= np.outer(hidden, p)
             bias -= 0.1 * p
-            emb[ids] -= np.outer(w, back) * DIM
+            emb[ids] -= np.outer(np.minimum(w, MOST_SHARE), back) * DIM
     m = LangModel(names, (emb @ out).astype(np.float32), bias)
     z = [(m.logits(texts[r]), y[r]) for r in np.flatnonzero(apart)]
     z = [(a, b) for a, b in z if a is not None]
