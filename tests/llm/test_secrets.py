@@ -1,0 +1,98 @@
+import hashlib
+import re
+
+from pitlane.llm import secrets as S
+
+from .conftest import EDGES
+from .llm_data import data, texts
+
+KEY = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKE1"
+ACCESS = "AKIA" + "B" * 16
+
+
+def brute(t):
+    out = [
+        (m.start(), 0, "assign", m.end())
+        for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t or "")
+        if len(m[2]) >= 8
+    ]
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t or "") if len(m[0]) >= 16]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t or "") if len(m[0]) >= 32]
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(out))
+
+
+ODD = [
+    "token: secret: abcdefghijkl", "token=secret=abcdefghij", "é password = 'hunter2hunter2' API_KEY=short", "AKIAAKIAAKIA", f"{ACCESS}{'a' * 40}",
+    "passwd:" + " " * 50 + "x" * 9, "secret=" * 50, "0" * 31 + "g" + "f" * 32 + "AKIA" + "0" * 12, "TOKEN\n=abcdefgh",
+]
+
+
+def test_base_equals_the_patterns(spark):
+    rows = texts("sf0.01") + [(10_000 + k, t) for k, t in enumerate(ODD)]
+    got = {r.doc_id: r for r in S.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        want = brute(t)
+        assert got[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest(), t
+        assert [got[i][f"n_{k}"] for k in S.BASE] == [want.count(k + ":") for k in S.BASE]
+        assert set(filter(None, want.split(","))) <= set(got[i].spans.split(","))
+
+
+def spans(spark, *rows):
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.spans) for r in S.find_secrets(df).collect())
+    return [[(k, rows[i][int(a) : int(b)]) for k, a, b in (x.split(":") for x in s.split(",") if x)] for i, s in got]
+
+
+def test_weak_parts_count_only_together(spark):
+    far = "word " * 60
+    got = spans(
+        spark, KEY, f"{ACCESS} {KEY}", f"{ACCESS}\n \n{KEY}", f"{ACCESS} {far} {KEY}", f"user: bob, key {KEY}", "user: bob at https://a.b/c",
+        f"https://a.b/c {KEY}", f'password="{KEY}"',
+    )
+    assert [[k for k, _ in g] for g in got] == [[], ["access", "key"], ["access"], ["access"], ["account", "key"], [], ["endpoint", "key"], ["assign"]]
+    assert got[1] == [("access", ACCESS), ("key", KEY)]
+
+
+def test_links_equal_all_pairs(spark):
+    """The binned interval join against a loop over all pairs of parts."""
+    import random
+
+    r = random.Random(3)
+    rows = []
+    for i in range(40):
+        words = [r.choice([ACCESS, KEY, "user=bob", "https://a.b/c", "password=abcdefgh1", "\n\n"] + ["word " * 9] * 12) for _ in range(60)]
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = [p.asDict() for p in S.parts(df).collect()]
+    want = {
+        (a["doc_id"], a["kind"], a["start"])
+        for a in parts
+        if not a["base"]
+        for b in parts
+        if a["doc_id"] == b["doc_id"] and a["scope"] == b["scope"] and S.ROLE[b["kind"]] in S.NEEDS[a["kind"]] and abs(a["start"] - b["start"]) <= S.WINDOW
+    }
+    assert {(r.doc_id, r.kind, r.start) for r in S.linked(S.parts(df)).collect()} == want and want
+
+
+def test_redaction_masks_what_is_reported(spark, edge_docs, no_docs):
+    rows = ["user=bob key " + KEY + " at https://x.y end", KEY, f"{ACCESS} é {KEY} x", 'PASSWORD = "hunter2hunter2" z', "clean text: a=b", "", None]
+    got = sorted((r.doc_id, r.text) for r in S.redact_secrets(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect())
+    m = S.MASK
+    assert [t for _, t in got] == [f"{m} key {m} at {m} end", KEY, f"{m} é {m} x", f'PASSWORD = "{m}" z', "clean text: a=b", "", None]
+    out = S.redact_secrets(edge_docs)
+    assert out.columns == edge_docs.columns and out.count() == edge_docs.count() and S.redact_secrets(no_docs).count() == 0
+
+
+def test_edges(spark, edge_docs, no_docs):
+    got = S.find_secrets(edge_docs).collect()
+    assert len(got) == edge_docs.count() and S.find_secrets(no_docs).count() == 0
+    by = {r.doc_id: r for r in got}
+    assert all(by[k].base_sha256 == hashlib.sha256(brute(t).encode()).hexdigest() for k, t in enumerate(EDGES))
+    twice = spark.createDataFrame([(None, ODD[2]), (None, ODD[2]), (1, ODD[2])], "doc_id long, text string")
+    assert {(r.n_assign, r.spans) for r in S.find_secrets(twice).collect()} == {(1, brute(ODD[2]))} and S.find_secrets(twice).count() == 3
+
+
+def test_native_only(spark):
+    plan = S.find_secrets(spark.read.parquet(data("sf0.001", "documents")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan

@@ -1,0 +1,77 @@
+import random
+
+import numpy as np
+
+from pitlane.llm import toxicity as T
+
+from .conftest import EDGES, prose
+from .llm_data import data
+from .test_gam_quality import LABELS, auc
+
+
+def distance(a, b):
+    prev = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        cur = [i]
+        for j, y in enumerate(b, 1):
+            cur.append(min(prev[j - 1] + (x != y), prev[j] + 1, cur[-1] + 1))
+        prev = cur
+    return prev[-1]
+
+
+def test_automaton_equals_edit_distances():
+    r = random.Random(5)
+    entries = [T.Entry("".join(r.choice("abc") for _ in range(n)), k % 2 == 0, 1.0, 1.0) for k, n in enumerate([4, 4, 5, 5, 6, 7, 9, 10])]
+    automaton = T.LexiconAutomaton(entries)
+    for _ in range(4000):
+        word = "".join(r.choice("abcd") for _ in range(r.randint(1, 12)))
+        want = None
+        for n, e in enumerate(entries):
+            forms = [word[:k] for k in range(len(word) + 1)] if e.stem else [word]
+            d = min(distance(f, e.text) for f in forms)
+            if d <= T.edits_allowed(len(e.text)) and (want is None or (d, n) < want):
+                want = (d, n)
+        got = automaton.match(word)
+        assert (got and got[0]) == (want and want[0]), (word, got, want)
+
+
+def test_spellings_are_undone():
+    for token in ("Idiot!", "1d10t", "i.d.i.o.t", "idiiiiot", '"idiot",', "I-D-I-O-T"):
+        assert T.plain_word(token) == "idiot", token
+
+
+def test_quotation_scores_less_than_abuse():
+    entries = [T.Entry("idiot", False, 5.0, 4.0), T.Entry("moron", False, 5.0, 4.0)]
+    automaton, model = T.LexiconAutomaton(entries), T.ToxModel(entries, T.PRIOR)
+
+    def score(t):
+        return model.scores([T.doc_features(*T.hits(t, automaton, {}), entries)])[0]
+
+    abuse, quoted, clean = score("you are an idiot and a moron"), score('the words "idiot" and "moron" were called insults'), score("a quiet day")
+    assert abuse > 0.5 > quoted > clean
+    assert score("you are an idoit and a m0ron") > 0.5
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(data("sf0.1", t)) for t in ("documents", "labels"))
+    got = T.score_toxicity(docs, T.fit_toxicity(docs, labels), ["doc_id"]).join(labels, "doc_id").where(T.fold("doc_id", 5) == 0).toPandas()
+    assert auc(got["score"].to_numpy(), got["toxic"].to_numpy()) > 0.93
+    pred = got["score"] >= 0.5
+    assert (pred == got["toxic"].astype(bool)).mean() > 0.97 and got["toxic"][pred].mean() > 0.95
+
+
+def test_edges(spark, edge_docs, no_docs):
+    rows = [(k, f"{prose(k, 30)} grumblefoot {prose(k + 99, 30)} grumblefoots") for k in range(100, 140)] + [(k, prose(k, 60)) for k in range(200, 300)]
+    train = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'c' AS y")
+    labels = spark.createDataFrame([(i, 1, int(i < 200)) for i, _ in rows] + [(None, 1, 1), (100, None, None), (9999, 1, 1)], LABELS)
+    model = T.fit_toxicity(train, labels)
+    assert [e.text for e in model.entries][0].startswith("grumble") and len(model.entries) == 1
+    got = T.score_toxicity(edge_docs, model, ["doc_id"]).collect()
+    by = {r.doc_id: r.score for r in got}
+    assert len(got) == edge_docs.count() and len({by[k] for k in range(len(EDGES))}) == 1 and by[0] < 0.2
+    bad = T.score_toxicity(spark.createDataFrame([(1, "you grumb1efoot grumblefoot")], "doc_id long, text string"), model, ["doc_id"]).first()
+    assert bad.score > 0.5 and bad.n_hits == 2
+    assert T.score_toxicity(no_docs, model, ["doc_id"]).count() == 0
+    empty = T.fit_toxicity(edge_docs, labels.where("false"))
+    assert empty.entries == [] and np.ptp([r.score for r in T.score_toxicity(edge_docs, empty, ["doc_id"]).collect()]) == 0
+    assert T.fit_toxicity(no_docs, labels).entries == []
