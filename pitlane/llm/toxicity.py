@@ -209,23 +209,28 @@ class ToxModel:
 
 
 def lexicon_counts(train: DataFrame) -> DataFrame:
-    """(form, whole, texts, toxic): in how many distinct training texts a prefix occurs, and in
-    how many as a whole word."""
+    """(form, texts, toxic, whole_toxic): in how many distinct training texts a prefix occurs, in
+    how many toxic ones, and in how many of these as a whole word."""
     token = F.transform(F.split(F.lower("text"), r"[^\p{L}0-9@$!]+"), lambda w: F.translate(w, "013457@$!", "oieastasi"))
     words = F.array_distinct(F.filter(token, lambda w: F.length(w) >= SHORTEST))
-    forms = F.flatten(
+    each = train.dropDuplicates(["text", "y"]).select("y", words.alias("words"))
+    # Strings only, so distinct forms are found by hashing; whole words are marked by "=".
+    heads = F.flatten(
         F.transform(
-            words,
-            lambda w: F.transform(
-                F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length(w))),
-                lambda k: F.struct(F.substring(w, F.lit(1), k).alias("form"), (F.length(w) == k).alias("whole")),
-            ),
+            "words",
+            lambda w: F.transform(F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length(w))), lambda k: F.substring(w, F.lit(1), k)),
         )
     )
-    # Per text each prefix once, marked as a whole word if it is one there.
-    each = train.dropDuplicates(["text", "y"]).select("y", F.explode(F.array_distinct(forms)).alias("f"))
-    each = each.select("y", "f.form", "f.whole")
-    return each.groupBy("form", "whole").agg(F.count(F.lit(1)).alias("texts"), F.sum("y").alias("toxic"))
+    whole = F.transform(F.filter("words", lambda w: F.length(w) <= LONGEST), lambda w: F.concat(F.lit("="), w))
+    forms = each.select("y", F.explode(F.concat(F.array_distinct(heads), whole)).alias("f"))
+    counts = forms.groupBy("f").agg(F.count(F.lit(1)).alias("texts"), F.sum("y").alias("toxic"))
+    marked = F.col("f").startswith("=")
+    counts = counts.select(F.when(marked, F.substring("f", 2, LONGEST)).otherwise(F.col("f")).alias("form"), marked.alias("whole"), "texts", "toxic")
+
+    def total(c: str, whole: bool):
+        return F.sum(F.when(F.col("whole") == whole, F.col(c)).otherwise(0))
+
+    return counts.groupBy("form").agg(total("texts", False).alias("texts"), total("toxic", False).alias("toxic"), total("toxic", True).alias("whole_toxic"))
 
 
 def choose_lexicon(counts: pd.DataFrame) -> list[tuple[str, bool]]:
@@ -292,9 +297,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_R
     total, toxic = int(totals[0]), int(totals[1])
     if not toxic or toxic == total:
         return ToxModel([], PRIOR.copy())
-    forms = lexicon_counts(train).groupBy("form").agg(
-        F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"), F.sum(F.when(F.col("whole"), F.col("toxic")).otherwise(0)).alias("whole_toxic")
-    )
+    forms = lexicon_counts(train)
     base, t, c = toxic / total, F.col("toxic"), F.col("texts") - F.col("toxic")
     g = 2 * (t * F.log(t / (F.col("texts") * base)) + F.when(c > 0, c * F.log(c / (F.col("texts") * (1 - base)))).otherwise(0.0))
     telling = forms.where((t >= LEAST_TEXTS) & (t / F.col("texts") >= F.lit(min(0.95, LIFT * base)))).withColumn("g", g).where(F.col("g") >= LEAST_G)
