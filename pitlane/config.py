@@ -74,6 +74,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that ``materialize`` made, once nothing reads it any more."""
+    spark = df.sparkSession
+    root = shared_dir(spark).rstrip("/") + "/pitlane/"
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.toUri().getPath().startswith(jvm.org.apache.hadoop.fs.Path(root).toUri().getPath()):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_output_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared folder."""
     root = shared_dir(spark).rstrip("/")

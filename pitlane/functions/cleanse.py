@@ -48,6 +48,18 @@ def seconds_text_to_us(text: str | Column) -> Column:
     return (F.trim(_c(text)).try_cast("decimal(38,6)") * 1000000).cast("long")
 
 
+def duration_text_to_us(text: str | Column) -> Column:
+    """C1 for text: ``[D days ][H:]M:S[.f]`` or plain seconds -> microseconds; anything else is NULL."""
+    t = F.trim(_c(text))
+    clock = r"^(?:(\d+) days? )?(?:(\d+):)?(\d+):(\d+(?:\.\d+)?)$"
+
+    def part(k: int, us: int) -> Column:
+        return F.coalesce(F.nullif(F.regexp_extract(t, clock, k), F.lit("")).try_cast("decimal(28,6)"), F.lit(0)) * us
+
+    total = part(1, 86_400_000_000) + part(2, 3_600_000_000) + part(3, 60_000_000) + part(4, 1_000_000)
+    return F.when(t.rlike(clock), total.cast("long")).otherwise(seconds_text_to_us(t))
+
+
 def nullable_int(x: str | Column) -> Column:
     """Float-with-NaN -> int, truncating; NaN and NULL -> NULL (ANSI casts of NaN raise)."""
     x = _c(x)

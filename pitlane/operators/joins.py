@@ -1,89 +1,73 @@
-"""Joins: star join (J1, J2), code lookup (J5), size-checked broadcast.
-
-A dimension is broadcast only after a bounded row count proves it small
-(``limit(n + 1).count()`` reads at most n + 1 rows); beyond the bound the
-join stays a shuffle join and AQE may still split skewed partitions.
-Facts are never broadcast.
+"""Joins: dimensions, code lookup (J5), size-checked broadcast without a job.
+
+A dimension is broadcast only while Catalyst's own size estimate of it, in
+bytes, is within a bound. For a stored table that estimate comes from the
+file listing; for a derived side it never undershoots the stored input, so
+such a side is left to AQE, which turns a join into a broadcast from the
+real shuffle size. Nothing is executed to size a side, and facts are never
+broadcast.
 """
 
 from __future__ import annotations
 
-import threading
+from collections import OrderedDict
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) broadcast to every executor. A driver or session
-# row is well under 100 bytes, so the bound keeps a broadcast below ~100 MB.
-BROADCAST_MAX_ROWS = 1_000_000
-
+# Largest dimension (estimated bytes) broadcast to every executor.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
-_MEMO: dict[tuple, object] = {}
-_MEMO_LOCK = threading.Lock()
+_MEMO: OrderedDict[tuple, object] = OrderedDict()
+_MEMO_LOCK = Lock()
+MEMO_MAX = 256
 
 
-def _plan_key(df: DataFrame, tag) -> tuple | None:
-    """Plan identity plus the exact input files: a rewritten table never reuses an answer."""
-    try:
-        files = tuple(sorted(df.inputFiles()))
-    except Exception:
-        return None
-    if not files:  # local data or checkpointed RDDs: not cached
-        return None
-    return (df.semanticHash(), files, tag)
+def size_in_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate for the optimised plan; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def memo_by_plan(df: DataFrame, tag, compute):
-    """``compute()`` once per (plan of ``df``, its input files, ``tag``); a small driver-side answer."""
-    key = _plan_key(df, tag)
-    if key is not None:
-        with _MEMO_LOCK:
-            if key in _MEMO:
-                return _MEMO[key]
+    """``compute()`` once per (optimised plan of ``df``, its estimated size, ``tag``); the last ``MEMO_MAX`` are kept.
+
+    A rewritten table has other files and so another size; an answer only picks
+    between plans with equal results, so even a stale one changes no row.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    key = (df.sparkSession.sparkContext.applicationId, plan.semanticHash(), int(plan.stats().sizeInBytes()), tag)
+    with _MEMO_LOCK:
+        if key in _MEMO:
+            _MEMO.move_to_end(key)
+            return _MEMO[key]
     value = compute()
-    if key is not None:
-        with _MEMO_LOCK:
-            _MEMO[key] = value
+    with _MEMO_LOCK:
+        _MEMO[key] = value
+        while len(_MEMO) > MEMO_MAX:
+            _MEMO.popitem(last=False)
     return value
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+def forget_sizes() -> None:
+    """Drop all remembered answers (the bench's cold runs)."""
+    with _MEMO_LOCK:
+        _MEMO.clear()
 
-    Answers are remembered per (plan, input files), so a dimension read by
-    several queries is counted once.
-    """
-    return memo_by_plan(df, ("fits", max_rows), lambda: df.limit(max_rows + 1).count() <= max_rows)
 
+def fits(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` is estimated at ``max_bytes`` or less."""
+    return size_in_bytes(df) <= max_bytes
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
-    """``df`` marked for broadcast when its row count is within the bound.
 
-    ``bound``, when given, is a cheaper DataFrame with at least as many rows
-    as ``df`` (e.g. its distinct keys read straight from the input); it is
-    counted instead, so ``df`` itself is not computed twice.
-    """
-    return F.broadcast(df) if fits(df if bound is None else bound, max_rows) else df
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """A stored dimension marked for broadcast while its size is within the bound."""
+    return F.broadcast(df) if fits(df, max_bytes) else df
 
 
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int = BROADCAST_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Fact-to-dimension join with a size-checked broadcast of the dimension."""
-    return fact.join(small_side(dim, max_rows, bound), on, how)
-
-
-def star(laps: DataFrame, drivers: DataFrame, sessions: DataFrame, session_type: str | None = "Race") -> DataFrame:
-    """Laps ⋈ drivers ⋈ sessions (inner), optionally restricted to one session type (F1).
-
-    The session-type filter applies to the sessions dimension; the inner join
-    with the filtered, broadcast dimension then drops other sessions' laps in
-    the scan stage, with no shuffle of the fact.
-    """
-    s = sessions.select("session_id", "year", "track", "session_type")
-    if session_type is not None:
-        s = s.where(F.col("session_type") == F.lit(session_type))
-    d = drivers.select("driver_id", "full_name", "team")
-    return join_dim(join_dim(laps, s, "session_id"), d, "driver_id")
+    return fact.join(small_side(dim, max_bytes), on, how)
 
 
 def resolve_driver(df: DataFrame, drivers: DataFrame, code_col: str = "driver") -> tuple[DataFrame, DataFrame]:

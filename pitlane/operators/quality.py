@@ -3,7 +3,7 @@ without code; definitions are ours (SURVEY §2.12).
 
 Both compute per-group statistics with aggregates (partial + final, so a
 hot session is combined map-side) and join the small per-group result
-back with a size-checked broadcast, instead of a window over the group.
+back, instead of a window over the group; AQE broadcasts it from its real size.
 """
 
 from __future__ import annotations
@@ -13,11 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.operators.joins import small_side
-
 
 def _null_safe_join(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    s = small_side(stats.select(*[F.col(k).alias(f"_k_{k}") for k in by], *[c for c in stats.columns if c not in by]))
+    s = stats.select(*[F.col(k).alias(f"_k_{k}") for k in by], *[c for c in stats.columns if c not in by])
     cond = None
     for k in by:
         c = df[k].eqNullSafe(s[f"_k_{k}"])
@@ -64,7 +62,7 @@ def standardise(laps: DataFrame, by: Sequence[str] = ("session_id",), col: str =
     stats = laps.where(F.col(col).isNotNull()).groupBy(*by).agg(
         F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_sd")
     )
-    out = laps.join(small_side(stats), by, "left")  # session keys are never NULL
+    out = laps.join(stats, by, "left")  # session keys are never NULL
     return out.select(
         *[c for c in laps.columns if c != "compound"],
         F.upper(F.trim("compound")).alias("compound"),

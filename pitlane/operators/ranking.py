@@ -15,26 +15,26 @@ from pyspark.sql import functions as F
 
 from pitlane.operators.filters import past_events
 from pitlane.config import materialize
-from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim, memo_by_plan, small_side
+from pitlane.operators.joins import memo_by_plan
 
 
 def _asc_nulls_last(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).asc_nulls_last()
 
 
-def arg_min(df: DataFrame, by: Sequence[str], order: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def arg_min(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     """Rows whose ``order`` value is the minimum of their ``by`` group, ties kept.
 
     An aggregate of the group minimum (partial + final, so a hot group is
     combined map-side) joined back on (by, order). The minimum table has one
-    row per group: within the row bound it is broadcast and ``df`` is never
-    shuffled; beyond it the join-back is a shuffle join that AQE can split
-    when one group is hot. Rows with a NULL ``order`` (or NULL group key)
-    never qualify, as in an equality join-back.
+    row per group; AQE broadcasts it when its shuffle turns out small and
+    can split a hot group otherwise, so nothing is run to size it. Rows with
+    a NULL ``order`` (or NULL group key) never qualify, as in an equality
+    join-back.
     """
     cand = df.where(F.col(order).isNotNull())
     mins = cand.groupBy(*by).agg(F.min(order).alias(order))
-    return cand.join(small_side(mins, max_rows), [*by, order], "inner").select(*df.columns)
+    return cand.join(mins, [*by, order], "inner").select(*df.columns)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -59,9 +59,10 @@ def running_sum(df: DataFrame, groups: Sequence[str], order: str, value: str, ou
     (``group_row_number``) and cut into chunks of ``max_group_rows`` rows
     by that number: the sum within a chunk is a window over one chunk, and a
     chunk's offset is the total of the group's earlier chunks (an aggregate
-    per (group, chunk) and a window over those totals, joined back with a
-    size-checked broadcast). A hot group, even one of repeated lap numbers,
-    is spread over many tasks. NULL values are skipped, as SUM does.
+    per (group, chunk) and a window over those totals, joined back null-safe,
+    as a NULL group key is a group of a window too). A hot group, even one
+    of repeated lap numbers, is spread over many tasks. NULL values are
+    skipped, as SUM does.
     """
     bound = GROUP_WINDOW_MAX_ROWS if max_group_rows is None else max_group_rows
     sort = [F.col(order).asc_nulls_last(), *[F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie]]
@@ -76,20 +77,38 @@ def running_sum(df: DataFrame, groups: Sequence[str], order: str, value: str, ou
     local = ck.withColumn("_run", F.sum(value).over(within))
     totals = ck.groupBy(*keys).agg(F.sum(value).alias("_tot"))
     earlier = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, F.sum("_tot").over(earlier).alias("_off"))  # NULL: nothing earlier
-    j = local.join(small_side(offsets), keys, "inner")
+    offsets = totals.select(  # NULL: nothing earlier
+        *[F.col(k).alias(f"_o_{k}") for k in keys], F.sum("_tot").over(earlier).alias("_off"))
+    j = local.join(offsets, _same(keys), "inner")
     # NULL while nothing non-NULL has been summed, like the plain window
     total = F.when(F.col("_run").isNull() & F.col("_off").isNull(), F.lit(None)).otherwise(
         F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(F.col("_run"), F.lit(0)))
     return j.select(*df.columns, total.alias(out))
 
 
+def _same(keys: Sequence[str]) -> Column:
+    """Null-safe equality of ``k`` and ``_o_k`` for all keys."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    return cond
+
+
 # Largest group numbered by one plain window task; bigger groups are sliced.
 GROUP_WINDOW_MAX_ROWS = 1_000_000
 
 
 def largest_group(df: DataFrame, groups: Sequence[str]) -> int:
-    """Row count of the biggest group: an aggregate (partial + final), remembered per plan and files."""
+    """Row count of the biggest group, or of the whole input while that is within the window bound.
+
+    A stored table's total comes from the file footers, a far cheaper job than
+    the aggregate per group, which runs only on inputs beyond the bound.
+    Both are remembered per plan.
+    """
+    total = memo_by_plan(df.select(F.lit(1)), "rows", df.count)
+    if total <= GROUP_WINDOW_MAX_ROWS:
+        return total
+
     def compute():
         v = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
         return 0 if v is None else int(v)
@@ -135,35 +154,22 @@ def group_row_number(df: DataFrame, groups: Sequence[str], order: Sequence[str |
         F.col("_slice").alias("_o_slice"), *[F.col(g).alias(f"_o_{g}") for g in groups],
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
     )
-    cond = F.col("_slice") == F.col("_o_slice")
-    for g in groups:
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
-    joined = local.join(small_side(offsets), cond, "inner")
+    cond = (F.col("_slice") == F.col("_o_slice")) & _same(groups)
+    joined = local.join(offsets, cond, "inner")
     return joined.select(
         *df.columns, (F.col("_offset") + F.col("_local")).cast("int").alias(out)
     )
 
 
-# Up to this many distinct (session, driver name) pairs are ranked with one
-# window per session; beyond it, with the slice-wise row number.
-DRIVER_ROW_WINDOW_MAX = 1_000_000
-
-
 def driver_row(df: DataFrame, session_col: str = "session_id", name_col: str = "full_name") -> DataFrame:
     """Chart row per (session, driver name): names ascending, reversed, numbered from 0.
 
-    Ranks the distinct (session, name) pairs only (so dense rank = row
-    number), then joins the row number back.
+    ``df`` holds a handful of rows per driver and session (stints), so a
+    session's rows are bounded by its drivers and their stints: one dense
+    rank per session, with the input evaluated once.
     """
-    names = df.select(session_col, name_col).distinct()
-    order = [F.col(name_col).desc()]
-    if fits(names, DRIVER_ROW_WINDOW_MAX):
-        w = Window.partitionBy(session_col).orderBy(*order)
-        rows = names.withColumn("_rn", F.row_number().over(w))
-    else:
-        rows = group_row_number(names, [session_col], order, out="_rn")
-    rows = rows.select(session_col, name_col, (F.col("_rn") - 1).cast("int").alias("driver_row"))
-    return join_dim(df, rows, [session_col, name_col])
+    w = Window.partitionBy(session_col).orderBy(F.col(name_col).desc())
+    return df.withColumn("driver_row", (F.dense_rank().over(w) - 1).cast("int"))
 
 
 def latest_event(schedule: DataFrame, today) -> DataFrame:

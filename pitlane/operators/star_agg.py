@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim, small_side
+from pitlane.operators.joins import BROADCAST_MAX_BYTES, fits, join_dim, small_side
 
 
 @dataclass(frozen=True)
@@ -77,7 +77,7 @@ def star_aggregate(
     keys: Sequence[str],
     measures: Sequence[Measure],
     lap_filter: Callable[[DataFrame], DataFrame] | None = None,
-    max_dim_rows: int = BROADCAST_MAX_ROWS,
+    max_dim_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Group the star join of laps, drivers and sessions by ``keys`` with ``measures``.
 
@@ -93,8 +93,8 @@ def star_aggregate(
     s = s.select("session_id", *s_cols)
     d = drivers.select("driver_id", *d_cols)
     fact = lap_filter(laps) if lap_filter else laps
-    if fits(d, max_dim_rows):
-        joined = join_dim(join_dim(fact, s, "session_id"), d, "driver_id", max_rows=max_dim_rows)
+    if fits(d, max_dim_bytes):
+        joined = join_dim(join_dim(fact, s, "session_id"), d, "driver_id", max_bytes=max_dim_bytes)
         return joined.groupBy(*keys).agg(*[_direct(m).alias(m.name) for m in measures])
     # Eager aggregation: reduce the fact per (session, driver, lap keys) before the big join.
     fact = fact.join(small_side(s.select("session_id")), "session_id", "left_semi")

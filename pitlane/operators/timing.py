@@ -4,15 +4,18 @@
 Shuffle plan, designed so no step funnels a data-sized group into one task:
 
 * W1's running sum (``running_sum``) is one window per car while the
-  largest car holds at most 1M rows (a memoised count). Beyond that it is
-  cut into chunks by row rank, each a window, plus offsets from per-chunk
-  totals, so even an unbounded car is spread over many tasks.
+  table, or else its largest car, holds at most 1M rows (footer count, then
+  one aggregate, both remembered). Beyond that it is cut into chunks by row
+  rank, each a window, plus offsets from per-chunk totals, so even an
+  unbounded car is spread over many tasks.
+* The laps' order is the frame order (``seq``): it orders W1's sum, decides which
+  of several matching rows is the first (J6-J8), and which update is the last.
 * W2 needs the leader's cumulative time per (session, lap) and W3 the car
   one position ahead. A (session, lap) group grows with the number of cars,
   so its size is counted first (memoised). Within the bound, one window per
   (session, lap) answers both. Beyond it, an aggregate per
   (session, lap, position) (partial + final, skew-safe) serves as the
-  lookup table: its P1 rows are broadcast for W2 behind a size check, and
+  lookup table: W2 joins its P1 rows (AQE broadcasts them if they turn out small), and
   W3 joins it on position = mine - 1 (a near-unique key that AQE's
   skew-join can still split).
 * W4 looks up the next lap of the same car with a range frame [+1, +1]
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from pitlane.functions.cleanse import nullable_int, to_ms
 from pitlane.operators.filters import pit_in_laps
-from pitlane.operators.joins import join_dim, resolve_driver
+from pitlane.operators.joins import resolve_driver
 from pitlane.operators.ranking import GROUP_WINDOW_MAX_ROWS, largest_group, running_sum
 
 CAR = ["session_id", "driver"]
@@ -39,28 +42,31 @@ CAR = ["session_id", "driver"]
 RUN_CHUNK = 256
 
 
-def cumulative_ms(raw: DataFrame) -> DataFrame:
+def cumulative_ms(raw: DataFrame, max_group_rows: int | None = None) -> DataFrame:
     """Running race time per car, summed in microseconds, rounded once.
 
     A lap without a time gets NULL, but the sum carries on after it (a
-    pandas cumsum skips NaT). Laps are ordered by lap number (NULL last).
+    pandas cumsum skips NaT). Laps are summed in frame order, then by lap
+    number (NULL last). A row without a session or driver belongs to no
+    group of a pandas groupby, so its cumulative time is NULL; it is kept.
     The running sum (``running_sum``) is one window per car while the
     largest car is within the bound, and chunked by row rank beyond it, so
     even a car with an unbounded number of laps is spread over many tasks.
     """
-    # session_id is NOT NULL in the model; stating it keeps every branch built
-    # on this sum identical, so Spark can reuse its shuffles.
     run = running_sum(
-        raw.where(F.col("session_id").isNotNull()), CAR, "lap_number", "lap_time_us", "_cum_us",
-        tie=["lap_time_us"],
+        raw, CAR, "seq", "lap_time_us", "_cum_us", tie=["lap_number", "lap_time_us"], max_group_rows=max_group_rows
     )
-    return run.withColumn(
-        "cum_ms", F.when(F.col("lap_time_us").isNotNull(), to_ms("_cum_us"))
-    ).drop("_cum_us")
+    known = F.col("session_id").isNotNull() & F.col("driver").isNotNull() & F.col("lap_time_us").isNotNull()
+    return run.withColumn("cum_ms", F.when(known, to_ms("_cum_us"))).drop("_cum_us")
+
+
+def _frame_order():
+    """Frame order as a sort key without NULLs: ``seq`` (absent last), then the driver's code."""
+    return F.struct(F.col("seq").isNull(), F.col("seq"), F.col("driver").isNull(), F.col("driver"))
 
 
 def car_at_position(cum: DataFrame) -> DataFrame:
-    """J6/J7 lookup table: per (session, lap, position) the cumulative time of its first car (by code).
+    """J6/J7 lookup table: per (session, lap, position) the cumulative time of its first car in frame order.
 
     An aggregate over a near-unique key (partial + final, skew-safe). The
     leader (J6) is its position-1 row; the car ahead (J7) is the row at
@@ -69,12 +75,12 @@ def car_at_position(cum: DataFrame) -> DataFrame:
     return (
         cum.where(_numbered() & F.col("position").isNotNull() & ~F.isnan("position"))
         .groupBy("session_id", "lap_number", "position")
-        .agg(F.min_by("cum_ms", "driver").alias("cum_at"))
+        .agg(F.min_by("cum_ms", _frame_order()).alias("cum_at"))
     )
 
 
 def leader_of_lap(lookup: DataFrame) -> DataFrame:
-    """leader's cumulative time per (session, lap): the first car (by code) in position 1."""
+    """leader's cumulative time per (session, lap): the first car of the frame in position 1."""
     return lookup.where(F.col("position") == 1).select(
         "session_id", "lap_number", F.col("cum_at").alias("leader_cum_ms")
     )
@@ -93,7 +99,7 @@ def _lookups_by_window(cum: DataFrame) -> DataFrame:
 
     Used when no (session, lap) group exceeds the window bound: one shuffle,
     no self-join. ``min_by`` skips rows whose ordering is NULL, so the
-    leader is the first car by code among the P1 rows; the range frame
+    leader is the first car of the frame among the P1 rows; the range frame
     [-1, -1] over position holds exactly the cars one place ahead.
     """
     pos = F.col("position")
@@ -102,8 +108,8 @@ def _lookups_by_window(cum: DataFrame) -> DataFrame:
     p1 = valid & (pos == 1)
     ahead = lap.orderBy(pos).rangeBetween(-1, -1)
     return cum.withColumns({
-        "leader_cum_ms": F.when(_numbered(), F.min_by(F.when(p1, F.col("cum_ms")), F.when(p1, F.col("driver"))).over(lap)),
-        "ahead_cum_ms": F.when(valid, F.min_by(F.col("cum_ms"), F.col("driver")).over(ahead)),
+        "leader_cum_ms": F.when(_numbered(), F.min_by(F.col("cum_ms"), F.when(p1, _frame_order())).over(lap)),
+        "ahead_cum_ms": F.when(valid, F.min_by(F.col("cum_ms"), _frame_order()).over(ahead)),
     })
 
 
@@ -120,16 +126,14 @@ def with_gaps(raw: DataFrame, max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> Da
     are a window per (session, lap) while the largest such group is within
     ``max_group_rows`` (a memoised count), else an aggregate joined back.
     """
-    cum = cumulative_ms(raw)
+    cum = cumulative_ms(raw, max_group_rows)
     out = [*raw.columns, "cum_ms", "gap_to_leader_ms", "interval_to_next_ms"]
-    if largest_group(raw.where(F.col("session_id").isNotNull()), ["session_id", "lap_number"]) <= max_group_rows:
+    if largest_group(raw, ["session_id", "lap_number"]) <= max_group_rows:
         return _gap_columns(_lookups_by_window(cum)).select(*out)
     lookup = car_at_position(cum)
     leaders = leader_of_lap(lookup)
     ahead = car_ahead(lookup)
-    # One leader row per (session, lap) with a car in P1: counted on the raw input, not on `cum`.
-    lead_keys = raw.where(_numbered() & (F.col("position") == 1)).select("session_id", "lap_number").distinct()
-    j = join_dim(cum, leaders, ["session_id", "lap_number"], "left", bound=lead_keys)
+    j = cum.join(leaders, ["session_id", "lap_number"], "left")
     j = j.join(
         ahead,
         (F.col("session_id") == F.col("_a_session"))
@@ -154,18 +158,23 @@ def next_lap(raw: DataFrame, cols: list[str], chunk: int = RUN_CHUNK,
              max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> DataFrame:
     """For each lap, ``next_<col>`` of the same car's lap numbered one higher, and ``has_next``.
 
-    A range frame [+1, +1] over lap number reads exactly the lap numbered
-    n + 1 (first match). The window is partitioned by (car, chunk of lap
-    numbers), never by car alone; each chunk's first lap is also copied into
-    the previous chunk, so the lap after a chunk's last lap is in reach.
-    If a (car, chunk) partition still exceeds ``max_group_rows`` (only
-    with massively repeated lap numbers), the window runs over one row per
-    (car, lap) instead and its answers are joined back on (car, lap).
-    Laps without a number (NULL or NaN) have no next lap.
+    A range frame [+1, +1] over lap number holds exactly the laps numbered
+    n + 1; of several, the first in frame order counts (then the least
+    values, so the answer never depends on row order). The window is
+    partitioned by (car, chunk of lap numbers), never by car alone; each
+    chunk's first laps are also copied into the previous chunk, so the lap
+    after a chunk's last lap is in reach. If a lap number of a car comes
+    more than ``max_group_rows`` times (so ``chunk`` times that in a window),
+    the window runs over one row per (car, lap), chosen by the same order,
+    and its answers are joined back on (car, lap). Laps without a number
+    (NULL or NaN), session or driver have no next lap.
     """
     lap = F.col("lap_number")
-    numbered = raw.where(_numbered()).withColumn("_chunk", F.floor(lap / chunk))
+    linked = _numbered() & F.col("session_id").isNotNull() & F.col("driver").isNotNull()
+    numbered = raw.where(linked).withColumn("_chunk", F.floor(lap / chunk))
     w = Window.partitionBy(*CAR, "_chunk").orderBy(lap).rangeBetween(1, 1)
+    order = F.struct(F.col("seq").isNull(), F.col("seq"), *[F.col(c) for c in cols])
+    first = F.min_by(F.struct(*[F.col(c) for c in cols]), order)
 
     def lookup(rows: DataFrame) -> DataFrame:
         tagged = rows.withColumn("_copy", F.lit(False))
@@ -173,35 +182,35 @@ def next_lap(raw: DataFrame, cols: list[str], chunk: int = RUN_CHUNK,
             tagged.where(lap - F.col("_chunk") * chunk < 1)
             .withColumn("_chunk", F.col("_chunk") - 1).withColumn("_copy", F.lit(True))
         )
-        found = tagged.unionByName(copies).withColumns(
-            {"has_next": F.count(F.lit(1)).over(w) > 0,
-             **{f"next_{c}": F.first(c, ignorenulls=False).over(w) for c in cols}}
+        found = tagged.unionByName(copies).withColumn("_next", first.over(w))
+        found = found.withColumns(
+            {"has_next": F.col("_next").isNotNull(), **{f"next_{c}": F.col("_next")[c] for c in cols}}
         )
-        return found.where(~F.col("_copy")).drop("_chunk", "_copy")
+        return found.where(~F.col("_copy")).drop("_chunk", "_copy", "_next")
 
-    if largest_group(numbered, [*CAR, "_chunk"]) <= max_group_rows:
+    if largest_group(raw, [*CAR, "lap_number"]) <= max_group_rows:
         found = lookup(numbered)
     else:
         firsts = numbered.groupBy(*CAR, "lap_number", "_chunk").agg(
-            F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in cols])).alias("_v")
-        ).select(*CAR, "lap_number", "_chunk", "_v.*")
+            F.min(F.col("seq")).alias("seq"), first.alias("_v")
+        ).select(*CAR, "lap_number", "_chunk", "seq", "_v.*")
         answers = lookup(firsts).select(*CAR, "lap_number", "has_next", *[f"next_{c}" for c in cols])
         found = numbered.drop("_chunk").join(answers, [*CAR, "lap_number"], "left")
-    unnumbered = raw.where(~_numbered()).withColumn("has_next", F.lit(False))
+    unnumbered = raw.where(~linked).withColumn("has_next", F.lit(False))
     for c in cols:
         unnumbered = unnumbered.withColumn(f"next_{c}", F.lit(None).cast(raw.schema[c].dataType))
-    return found.unionByName(unnumbered)
+    return found.unionByName(unnumbered).select(*raw.columns, "has_next", *[f"next_{c}" for c in cols])
 
 
-def pit_stops(raw: DataFrame) -> DataFrame:
+def pit_stops(raw: DataFrame, max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> DataFrame:
     """W4 on raw laps: one row per pit-in lap (F7), before the driver lookup.
 
     ``compound_out`` is the next lap's compound. The pit-out time is the
     lap's own, else the next lap's; ``stop_ms = to_ms(out - in)``, NULL if
     either is missing, negative if the own-lap pit-out is earlier (kept).
     """
-    nx = pit_in_laps(next_lap(raw.select(*CAR, "lap_number", "compound", "pit_in_us", "pit_out_us"),
-                              ["compound", "pit_out_us"]))
+    nx = pit_in_laps(next_lap(raw.select(*CAR, "lap_number", "seq", "compound", "pit_in_us", "pit_out_us"),
+                              ["compound", "pit_out_us"], max_group_rows=max_group_rows))
     pit_out = F.when(F.col("pit_out_us").isNotNull(), F.col("pit_out_us")).otherwise(F.col("next_pit_out_us"))
     return nx.select(
         "session_id", "driver",
@@ -209,6 +218,7 @@ def pit_stops(raw: DataFrame) -> DataFrame:
         F.col("compound").alias("compound_in"),
         F.col("next_compound").alias("compound_out"),
         to_ms(pit_out - F.col("pit_in_us")).alias("stop_time_ms"),
+        "seq",
     )
 
 
@@ -228,17 +238,19 @@ def _lap_columns(df: DataFrame, rounding: str) -> list:
     ]
 
 
-def normalise_laps(raw: DataFrame, drivers: DataFrame, fill_gaps: bool = False) -> tuple[DataFrame, DataFrame]:
+def normalise_laps(raw: DataFrame, drivers: DataFrame, fill_gaps: bool = False, keep_seq: bool = False,
+                   max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
     """N1 (``fill_gaps=False``) and N2 (``fill_gaps=True``): raw laps -> warehouse laps.
 
     Returns ``(laps, rejected)``: rejected raw laps have an unknown driver
     code (F10). N1 truncates to ms and keeps provided gaps only; N2 rounds
     and fills missing gaps from cumulative times (computed over all cars,
     before the lookup). A NULL lap number is kept as NULL by both (the
-    reference's N2 would raise on it).
+    reference's N2 would raise on it). ``keep_seq`` adds the frame order, by
+    which an upsert tells the last of several rows.
     """
     if fill_gaps:
-        src = with_gaps(raw)
+        src = with_gaps(raw, max_group_rows)
         rounding = "round"
         gap = F.col("gap_to_leader_ms").cast("int").alias("gap_to_leader_ms")
         ivl = F.col("interval_to_next_ms").cast("int").alias("interval_to_next_ms")
@@ -248,14 +260,15 @@ def normalise_laps(raw: DataFrame, drivers: DataFrame, fill_gaps: bool = False)
         gap = to_ms("gap_to_leader_us", rounding).cast("int").alias("gap_to_leader_ms")
         ivl = to_ms("interval_to_ahead_us", rounding).cast("int").alias("interval_to_next_ms")
     known, rejected = resolve_driver(src, drivers)
-    return known.select(*_lap_columns(known, rounding), gap, ivl), rejected.select(*raw.columns)
+    return known.select(*_lap_columns(known, rounding), gap, ivl, *(["seq"] if keep_seq else [])), rejected.select(*raw.columns)
 
 
-def normalise_pitstops(raw: DataFrame, drivers: DataFrame) -> DataFrame:
+def normalise_pitstops(raw: DataFrame, drivers: DataFrame, keep_seq: bool = False,
+                       max_group_rows: int = GROUP_WINDOW_MAX_ROWS) -> DataFrame:
     """Pit stops (W4) with driver ids; unknown codes dropped."""
-    known, _ = resolve_driver(pit_stops(raw), drivers)
+    known, _ = resolve_driver(pit_stops(raw, max_group_rows), drivers)
     return known.select(
         F.col("session_id").cast("int").alias("session_id"),
         F.col("driver_id").cast("int").alias("driver_id"),
-        "lap_number", "compound_in", "compound_out", "stop_time_ms",
+        "lap_number", "compound_in", "compound_out", "stop_time_ms", *(["seq"] if keep_seq else []),
     )

@@ -11,10 +11,11 @@ Plain parquet has no MERGE, so an upsert returns the new table contents:
   ``col = VALUES(col)``) and keeps every other column from the base row;
   an unmatched update is inserted, filling columns it lacks with defaults.
 
-Two physical plans, chosen by a bounded row count of the deduplicated
-updates: a small batch is broadcast and the base is only scanned (left
-join plus a semi-join for the inserted keys, no shuffle of the base);
-a large batch uses one full outer join, shuffling both sides by key.
+The deduplicated batch is written once to the shared folder. Two physical
+plans, chosen by its written size in bytes (known from the file listing,
+without a job): a small batch is broadcast and the base is only scanned
+(left join plus a semi-join for the inserted keys, no shuffle of the
+base); a large batch uses one full outer join, shuffling both sides by key.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.config import materialize
-from pitlane.operators.joins import BROADCAST_MAX_ROWS, fits, join_dim, small_side
+from pitlane.config import discard, materialize
+from pitlane.operators.joins import fits, join_dim
 
-# Largest update batch merged by broadcasting it (a lap row is ~100 bytes).
+# Largest update batch merged by broadcasting it, in estimated bytes.
 # A race weekend is a few thousand laps; a bulk re-load takes the shuffle path.
-UPSERT_BROADCAST_MAX_ROWS = 100_000
+UPSERT_BROADCAST_MAX_BYTES = 16 * 1024 * 1024
+# Largest number of new dimension keys ranked in one ordered window.
+RANK_MAX_ROWS = 1_000_000
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -90,29 +93,22 @@ def upsert(
     update_cols: Sequence[str],
     order: str | Column | None = None,
     defaults: Mapping[str, object] | None = None,
-    max_broadcast_rows: int = UPSERT_BROADCAST_MAX_ROWS,
-    size_bound: DataFrame | None = None,
+    max_broadcast_bytes: int = UPSERT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """The base table after upserting ``updates`` on ``keys``.
 
     ``update_cols`` empty gives INSERT IGNORE (U3). ``order`` (a column of
     ``updates``) picks the last of several updates to one key. ``defaults``
     fills base columns an inserted row lacks (e.g. ``weather='{}'``).
-    ``size_bound`` is a cheap DataFrame with at least as many rows as the
-    batch (e.g. the raw laps a normalised batch came from); without one the
-    deduplicated batch is checkpointed so that counting it does not
-    recompute it.
     """
     keys = list(keys)
     types = {f.name: f.dataType for f in base.schema.fields}
     columns = base.columns
     order_col = F.lit(0) if order is None else (F.col(order) if isinstance(order, str) else order)
     conformed = _conform(updates.withColumn("_order", order_col), columns, defaults or {}, types)
-    u = dedupe_last(conformed, keys, "_order", keep_salt=True).drop("_order")
-    if size_bound is None:
-        # Written once to the shared folder: the size check and the merge
-        # then read it instead of recomputing the batch.
-        u = materialize(u, "upsert-batch")
+    # Written once to the shared folder: however often the merge reads the
+    # batch, its normalisation runs once.
+    u = materialize(dedupe_last(conformed, keys, "_order", keep_salt=True).drop("_order"), "upsert-batch")
     rest = [c for c in columns if c not in keys]
     renamed = u.select(*keys, "_salt", *[F.col(c).alias("_u_" + c) for c in rest], F.lit(True).alias("_u_present"))
     u = u.drop("_salt")
@@ -128,7 +124,7 @@ def upsert(
                 out.append(F.when(b_present, F.col(c)).otherwise(F.col("_u_" + c)).alias(c))
         return out
 
-    if fits(u if size_bound is None else size_bound, max_broadcast_rows):
+    if fits(u, max_broadcast_bytes):
         # Small batch: the base is scanned twice and never shuffled. Equality
         # never matches a NULL key, so such rows fall through as inserts.
         updated = base.join(F.broadcast(renamed.drop("_salt")), keys, "left").select(
@@ -138,26 +134,27 @@ def upsert(
         inserted = u.join(F.broadcast(matched), keys, "left_anti")
         return updated.unionByName(inserted)
 
-    # Large batch: one full outer join on (key, salt). The dedupe aggregate
-    # already hash-partitioned the batch that way, so only the base shuffles.
+    # Large batch: one full outer join on (key, salt).
     b = base.withColumn("_salt", _null_key_salt(keys)).withColumn("_b_present", F.lit(True))
     j = b.join(renamed, [*keys, "_salt"], "full_outer")
     return j.select(*merged(F.col("_u_present").isNotNull(), F.col("_b_present").isNotNull()))
 
 
 def assign_ids(base: DataFrame, new_keys: DataFrame, natural_key: Sequence[str], id_col: str,
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               max_rows: int = RANK_MAX_ROWS) -> DataFrame:
     """AUTO_INCREMENT for natural keys absent from ``base``.
 
     Returns ``new_keys``' distinct, unseen keys with ``id_col`` =
     max(existing id) + rank of the key in ascending order. Dimension inserts
-    per batch are small: the count is checked before the keys are ranked
-    in one ordered window; a larger batch is numbered range-partition by
-    range-partition (offsets from per-partition counts), never in one task.
+    per batch are small: the unseen keys are written once and counted from
+    the file footers before they are ranked in one ordered window; a larger
+    batch is numbered range-partition by range-partition (offsets from
+    per-partition counts), never in one task.
     """
     fresh = new_keys.select(*natural_key).distinct().join(base.select(*natural_key), list(natural_key), "left_anti")
+    fresh = materialize(fresh, "fresh-keys")
     top = base.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    if fits(fresh, max_rows):
+    if fresh.count() <= max_rows:
         w = Window.orderBy(*[F.col(k).asc_nulls_last() for k in natural_key])
         numbered = fresh.withColumn("_rn", F.row_number().over(w))
     else:
@@ -193,23 +190,60 @@ def lookup_ids(base: DataFrame, natural: DataFrame, natural_key: Sequence[str],
     return join_dim(natural, base.select(*natural_key, id_col), list(natural_key))
 
 
+# Rows of one session that one task writes, about: a larger session's rows are salted over files.
+ROWS_PER_FILE = 2_000_000
+
+
+def write_partitions(df: DataFrame, table_path: str, partition_col: str = "session_id") -> None:
+    """Replace the partitions of ``df`` (already materialised) by dynamic overwrite.
+
+    Rows are clustered by partition first, so the number of files follows the
+    partitions and their sizes, never the number of tasks.
+    """
+    counts = df.groupBy(partition_col).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("_files"))
+    salted = df.join(counts, partition_col).withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.col("_files")))
+    (salted.repartition(partition_col, "_salt").drop("_files", "_salt").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(table_path))
+
+
+def key_range(df: DataFrame, col: str) -> Column:
+    """A literal min-max filter on ``col`` from the values in ``df``: two numbers reach the driver.
+
+    A literal filter prunes partitions of a scan at planning time, and lets
+    dynamic pruning select the exact ones within the range.
+    """
+    lo, hi = df.agg(F.min(col), F.max(col)).first()
+    return F.lit(False) if lo is None else F.col(col).between(lo, hi)
+
+
+def read_table(spark, table_path: str, schema) -> DataFrame:
+    """A warehouse table by its schema; one that does not exist yet, or has no rows, is empty."""
+    try:
+        return spark.read.schema(schema).parquet(table_path).select(*schema.fieldNames())
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def upsert_partitions(spark, table_path: str, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-                      schema, partition_col: str = "session_id", size_bound: DataFrame | None = None) -> None:
+                      schema, partition_col: str = "session_id", order: str | Column | None = None,
+                      full_partitions: bool = False) -> None:
     """Upsert ``updates`` into the parquet table at ``table_path``, rewriting only touched partitions.
 
     The base is restricted to the ``partition_col`` values the batch touches
-    (a size-checked broadcast semi-join, so the scan prunes partitions),
-    merged with ``upsert``, materialised in the shared folder, and written
-    back with dynamic partition overwrite. Untouched partitions are never
-    read or rewritten, and re-running the same batch gives the same files'
-    contents (idempotent).
+    (a literal range plus a semi-join, so the scan prunes partitions), merged
+    with ``upsert``, materialised in the shared folder, and written back with
+    dynamic partition overwrite. Untouched partitions are never read or
+    rewritten. ``full_partitions`` says that the batch holds all rows of its
+    partitions: then base rows with a NULL key, which an update can never
+    match, are replaced by the batch's, and a replay changes nothing.
     """
-    touched = small_side(updates.select(partition_col).distinct())
-    try:
-        base = spark.read.schema(schema).parquet(table_path)
-    except AnalysisException:  # first write: the table does not exist yet
-        base = spark.createDataFrame([], schema)
-    base = base.select(*schema.fieldNames()).join(touched, partition_col, "left_semi")
-    merged = materialize(upsert(base, updates, keys, update_cols, size_bound=size_bound), "partition-merge")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(table_path))
+    batch = materialize(updates, "partition-batch")
+    in_range = key_range(batch, partition_col)
+    touched = batch.select(partition_col).where(in_range).distinct()
+    base = read_table(spark, table_path, schema).where(in_range).join(touched, partition_col, "left_semi")
+    if full_partitions:
+        base = base.where(~_any_null(keys))
+    merged = materialize(upsert(base, batch, keys, update_cols, order=order), "partition-merge")
+    write_partitions(merged, table_path, partition_col)
+    discard(batch)
+    discard(merged)

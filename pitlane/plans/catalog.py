@@ -14,13 +14,14 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from pitlane.config import new_output_dir
-from pitlane.functions.cleanse import clean
+from pitlane.config import materialize, new_output_dir
+from pitlane.functions.cleanse import clean, duration_text_to_us
 from pitlane.operators.filters import past_events
 from pitlane.operators import integrity, quality, ranking, timing, upsert
 from pitlane.plans import ingest, strategy, views
-from pitlane.schemas import LAPS
+from pitlane.schemas import LAPS, WAREHOUSE
 from pitlane.sources.fixtures import warehouse
+from pitlane.sources import landing
 from pitlane.sources.landing import read_view, register_views
 from pitlane.streaming.lap_stream import stream_laps
 
@@ -42,21 +43,30 @@ def _session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.session_summary(wh.laps, wh.sessions)
 
 
-def _w1(spark, sf_dir):
-    raw = warehouse(spark, sf_dir).raw_laps
-    return timing.cumulative_ms(raw).select("session_id", "driver", "lap_number", "cum_ms")
+def _w1(**path) -> Query:
+    def run(spark, sf_dir):
+        raw = warehouse(spark, sf_dir).raw_laps
+        return timing.cumulative_ms(raw, **path).select("session_id", "driver", "lap_number", "cum_ms")
 
+    return run
 
-def _w2_w3(spark, sf_dir):
-    raw = warehouse(spark, sf_dir).raw_laps
-    return timing.with_gaps(raw).select(
-        "session_id", "driver", "lap_number", "position", "cum_ms", "gap_to_leader_ms", "interval_to_next_ms"
-    )
 
+def _w2_w3(**path) -> Query:
+    def run(spark, sf_dir):
+        raw = warehouse(spark, sf_dir).raw_laps
+        return timing.with_gaps(raw, **path).select(
+            "session_id", "driver", "lap_number", "position", "cum_ms", "gap_to_leader_ms", "interval_to_next_ms"
+        )
 
-def _w4_n3(spark, sf_dir):
-    wh = warehouse(spark, sf_dir)
-    return timing.normalise_pitstops(wh.raw_laps, wh.drivers)
+    return run
+
+
+def _w4_n3(**path) -> Query:
+    def run(spark, sf_dir):
+        wh = warehouse(spark, sf_dir)
+        return timing.normalise_pitstops(wh.raw_laps, wh.drivers, **path)
+
+    return run
 
 
 def _n1(spark, sf_dir):
@@ -74,19 +84,25 @@ def _f10(spark, sf_dir):
     return timing.normalise_laps(wh.raw_laps, wh.drivers)[1]
 
 
+# A year whose sessions the base of U1 lacks.
+UNSEEN_YEAR = 1995
+
 # Injected "today" for the as-of queries (F6, L3): fixed, so results are reproducible.
 AS_OF = datetime.date(2001, 7, 15)
 
 
 def _u1(spark, sf_dir):
+    """Into a base that lacks one year's sessions and counts one lap less in the others."""
     wh = warehouse(spark, sf_dir)
-    base = ingest.warehouse_sessions(wh.sessions)
+    old = wh.sessions.where(F.col("year") != UNSEEN_YEAR).withColumn("total_laps", F.col("total_laps") - 1)
+    base = ingest.warehouse_sessions(old)
     return ingest.upsert_sessions(base, ingest.relanded_sessions(wh.sessions, wh.raw_laps))
 
 
 def _u2(spark, sf_dir):
+    """Into a base that lacks every seventh driver."""
     wh = warehouse(spark, sf_dir)
-    return ingest.upsert_drivers(wh.drivers, wh.raw_results)
+    return ingest.upsert_drivers(wh.drivers.where(F.col("driver_id") % 7 != 3), wh.raw_results)
 
 
 def _u3(spark, sf_dir):
@@ -95,14 +111,25 @@ def _u3(spark, sf_dir):
     return ingest.insert_teams(base, wh.raw_results)
 
 
-def _u4(spark, sf_dir):
-    wh = warehouse(spark, sf_dir)
-    return ingest.upsert_laps(wh.laps, wh.raw_laps, wh.drivers)
+def _u4(**path) -> Query:
+    def run(spark, sf_dir):
+        """Into a base that lacks every fifth lap and has an old compound on every third."""
+        wh = warehouse(spark, sf_dir)
+        lap = F.col("lap_number")
+        base = wh.laps.where(lap % 5 != 0).withColumn("compound", F.when(lap % 3 == 0, "OLD").otherwise(F.col("compound")))
+        return ingest.upsert_laps(base, wh.raw_laps, wh.drivers, **path)
+
+    return run
 
 
 def _u5(spark, sf_dir):
+    """Into a base with old values, without every third lap's stop, and with stops no lap has."""
     wh = warehouse(spark, sf_dir)
-    return ingest.upsert_pitstops(ingest.empty_pitstops(spark), wh.raw_laps, wh.drivers)
+    stops = timing.normalise_pitstops(wh.raw_laps, wh.drivers)
+    lap = F.col("lap_number")
+    old = stops.where(lap % 3 != 0).withColumns({"compound_in": F.lit("OLD"), "stop_time_ms": F.lit(1).cast("long")})
+    lost = stops.where(lap % 3 == 0).withColumn("lap_number", lap + 1000)
+    return ingest.upsert_pitstops(old.unionAll(lost), wh.raw_laps, wh.drivers)
 
 
 def _u6(spark, sf_dir):
@@ -186,12 +213,28 @@ def _x2(spark, sf_dir):
     )
 
 
+def _x3(spark, sf_dir):
+    """The whole ingest of all landed sessions from nothing, run twice, then VA4 over its tables."""
+    wh = warehouse(spark, sf_dir)
+    root = new_output_dir(spark, "ingested")
+    for _ in range(2):
+        ingest.run_ingest(spark, wh.landed_laps, wh.raw_results, root)
+    laps = upsert.read_table(spark, f"{root}/laps", LAPS)
+    return views.driver_avg_laptime(laps, spark.read.parquet(f"{root}/drivers"), spark.read.parquet(f"{root}/sessions"))
+
+
 def _x4(spark, sf_dir):
-    """Drain the landed raw laps through the streaming ingest, then read the table it wrote."""
+    """Land the raw laps by session, opening laps first; drain them in several micro-batches through
+    the streaming ingest, and read the table it wrote."""
     wh = warehouse(spark, sf_dir)
     out = new_output_dir(spark, "stream")
-    stream_laps(spark, f"{wh.root}/raw_laps", wh.drivers, f"{out}/laps", checkpoint=f"{out}/_checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/laps").select(*LAPS.fieldNames())
+    early = F.coalesce(F.col("lap_number") <= 3, F.lit(False))
+    for part in (wh.raw_laps.where(early), wh.raw_laps.where(~early)):
+        part.repartition("session_id").write.mode("append").partitionBy("session_id").parquet(f"{out}/landing")
+    files = wh.sessions.count()  # of each landing, at most: so two micro-batches or more
+    query = stream_laps(spark, f"{out}/landing", wh.drivers, f"{out}/laps", checkpoint=f"{out}/_checkpoint", max_files=files)
+    query.awaitTermination()
+    return upsert.read_table(spark, f"{out}/laps", LAPS)
 
 
 def _s2(spark, sf_dir):
@@ -226,6 +269,87 @@ def _s9(spark, sf_dir):
     return read_view(spark, "v_session_summary", session_type="Race")
 
 
+def _s1(spark, sf_dir):
+    """One session by its natural key, through the landing reader."""
+    wh = warehouse(spark, sf_dir)
+    return landing.landed_laps(spark, f"{wh.root}/landed_laps", year=1995, event="ASIA", session="Race")
+
+
+def _s2_read(spark, sf_dir):
+    """The results of two sessions, through the landing reader."""
+    return landing.raw_results(spark, f"{warehouse(spark, sf_dir).root}/raw_results", session_ids=[521, 631])
+
+
+def _s3(spark, sf_dir):
+    """One season's schedule, through the landing reader."""
+    return landing.schedule(spark, f"{warehouse(spark, sf_dir).root}/schedule", year=1996)
+
+
+def _s5(spark, sf_dir):
+    """Write the sessions partitioned by year and read them back."""
+    wh = warehouse(spark, sf_dir)
+    path = new_output_dir(spark, "s5") + "/sessions"
+    landing.write_table(wh.sessions, path, partition_by=["year"])
+    return spark.read.schema(wh.sessions.schema).parquet(path)
+
+
+def _s6_s7(spark, sf_dir):
+    """Rows of each table after creating it, after creating it again over rows, and after replacing it."""
+    wh = warehouse(spark, sf_dir)
+    root = new_output_dir(spark, "s6")
+    rows = {"sessions": ingest.warehouse_sessions(wh.sessions), "drivers": wh.drivers, "laps": wh.laps}
+    out = None
+
+    def count(name: str, step: str) -> DataFrame:
+        table = upsert.read_table(spark, f"{root}/{name}", WAREHOUSE[name])
+        return table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), F.lit(step).alias("step"), "n")
+
+    for step in ("created", "kept", "replaced"):
+        landing.init_tables(spark, root, list(rows), replace=step == "replaced")
+        for name, df in rows.items():
+            now = materialize(count(name, step), "s6-count")
+            out = now if out is None else out.unionAll(now)
+            if step == "created":
+                landing.write_table(df, f"{root}/{name}", mode="overwrite")
+    return out
+
+
+def _f5(spark, sf_dir):
+    """the stint bars of one session."""
+    wh = warehouse(spark, sf_dir)
+    return strategy.stint_bounds(wh.laps, wh.drivers, wh.sessions, session_id=521)
+
+
+def _l1(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return views.ordered(views.v_pitstops(wh.laps, wh.drivers, wh.sessions), views.V_PITSTOPS_ORDER)
+
+
+def _c1(spark, sf_dir):
+    """C1 on text: lap times written as seconds, as minutes and as a timedelta, read back."""
+    raw = warehouse(spark, sf_dir).raw_laps.where(F.col("lap_time_us").isNotNull())
+    us = F.col("lap_time_us")
+    seconds = F.format_string("%d.%06d", F.floor(us / 1000000), us % 1000000)
+    clock = F.format_string("%d:%02d.%06d", F.floor(us / 60000000), F.floor(us / 1000000) % 60, us % 1000000)
+    delta = F.concat(F.lit("0 days 00:"), F.format_string("%02d:%02d.%06d", F.floor(us / 60000000), F.floor(us / 1000000) % 60, us % 1000000))
+    kind = F.col("seq") % 4
+    text = F.when(kind == 0, seconds).when(kind == 1, clock).when(kind == 2, delta).otherwise(F.lit("n/a"))
+    return raw.select("session_id", "seq", duration_text_to_us(text).alias("lap_time_us"))
+
+
+def _c8(spark, sf_dir):
+    """C8 + U1: the sessions that landed laps name, by the official event name or the short one."""
+    return ingest.landed_sessions(warehouse(spark, sf_dir).landed_laps)
+
+
+def _forced_star(fn) -> Query:
+    def run(spark, sf_dir):
+        wh = warehouse(spark, sf_dir)
+        return fn(wh.laps, wh.drivers, wh.sessions, max_dim_bytes=0)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "va1_avg_gap_to_leader": _star_view(views.avg_gap_to_leader),
     "va2_best_laps": _star_view(views.best_laps),
@@ -242,16 +366,34 @@ QUERIES: dict[str, Query] = {
     "vb6_avg_gap_to_leader": _star_view(views.v_avg_gap_to_leader),
     "vb7_session_summary": _star_view(views.v_session_summary),
     "vb8_pitstops": _star_view(views.v_pitstops),
-    "w1_cumulative_time": _w1,
-    "w2_w3_gaps": _w2_w3,
-    "w4_n3_pitstops": _w4_n3,
+    "w1_cumulative_time": _w1(),
+    "w2_w3_gaps": _w2_w3(),
+    "w4_n3_pitstops": _w4_n3(),
+    # The plans for inputs beyond a size bound, forced here, under the same SQL.
+    "va4_driver_avg_laptime_forced": _forced_star(views.driver_avg_laptime),
+    "vb3_stint_summary_forced": _forced_star(views.v_stint_summary),
+    "w1_cumulative_time_forced": _w1(max_group_rows=3),
+    "w2_w3_gaps_forced": _w2_w3(max_group_rows=3),
+    "w4_n3_pitstops_forced": _w4_n3(max_group_rows=0),
+    "u4_upsert_laps_forced": _u4(max_broadcast_bytes=0),
+    "s1_landed_laps": _s1,
+    "s2_read_results": _s2_read,
+    "s3_read_schedule": _s3,
+    "s5_write_table": _s5,
+    "s6_s7_init_tables": _s6_s7,
+    "f5_one_session": _f5,
+    "l1_ordered_pitstops": _l1,
+    "l2_ordered_bars": _strategy(strategy.ordered_bars),
+    "c1_text_durations": _c1,
+    "c8_event_names": _c8,
+    "x3_run_ingest": _x3,
     "n1_laps_simple": _n1,
     "n2_laps_full": _n2,
     "f10_rejected_laps": _f10,
     "u1_upsert_sessions": _u1,
     "u2_upsert_drivers": _u2,
     "u3_insert_teams": _u3,
-    "u4_upsert_laps": _u4,
+    "u4_upsert_laps": _u4(),
     "u5_upsert_pitstops": _u5,
     "u6_surrogate_keys": _u6,
     "q1_duplicate_keys": _q1,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pitlane.functions.cleanse import chart_subtitle, chart_title, compound_colour, lap_label
 from pitlane.operators.filters import ended_before, for_session
 from pitlane.operators.joins import join_dim
+from pitlane.plans.views import ordered
 from pitlane.operators.star_agg import Measure, star_aggregate
 from pitlane.operators.ranking import driver_row
 
@@ -26,10 +27,15 @@ def stint_bounds(laps, drivers, sessions, session_id=None, session_type="Race")
     )
 
 
-# L2: the chart query's order (full_name, stint_start_lap).
+# L2: the chart query's order (full_name, stint_start_lap), within a session.
 BARS_ORDER = ["session_id", "full_name", "stint_start_lap"]
 
 
+def ordered_bars(laps, drivers, sessions, session_id=None) -> DataFrame:
+    """L2: the chart's bars in drawing order."""
+    return ordered(strategy_bars(laps, drivers, sessions, session_id), BARS_ORDER)
+
+
 def strategy_bars(laps, drivers, sessions, session_id=None) -> DataFrame:
     """G1: one bar per stint: driver row (W5), start lap, width, colour (C14)."""
     bars = driver_row(stint_bounds(laps, drivers, sessions, session_id))

@@ -7,7 +7,7 @@ They are different queries that share a topic; each keeps its own null
 filters (SURVEY §2.10-2.11).
 
 Every grouped view is a ``star_aggregate``: with both dimensions broadcast
-behind the row-count check, the fact is read once, filtered and joined in
+behind a byte bound, the fact is read once, filtered and joined in
 its scan stage, and shuffled only by the aggregate after map-side partial
 aggregation; with a drivers table too big to broadcast, the laps are
 aggregated per (session, driver) before the join instead of shuffling
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.operators.filters import in_stint, race_only, timed, with_gap
-from pitlane.operators.joins import BROADCAST_MAX_ROWS, join_dim, small_side
+from pitlane.operators.joins import BROADCAST_MAX_BYTES, join_dim, small_side
 from pitlane.operators.ranking import arg_min
 from pitlane.operators.star_agg import Measure, star_aggregate
 
@@ -36,32 +36,32 @@ def _driver(df: DataFrame) -> DataFrame:
 M = Measure
 
 
-def _agg(laps, drivers, sessions, session_type, keys, measures, lap_filter=None, max_dim_rows=BROADCAST_MAX_ROWS):
-    return star_aggregate(laps, drivers, sessions, session_type, keys, measures, lap_filter, max_dim_rows)
+def _agg(laps, drivers, sessions, session_type, keys, measures, lap_filter=None, max_dim_bytes=BROADCAST_MAX_BYTES):
+    return star_aggregate(laps, drivers, sessions, session_type, keys, measures, lap_filter, max_dim_bytes)
 
 
-def avg_gap_to_leader(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def avg_gap_to_leader(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VA1."""
     return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id"],
-                [M("avg_gap_ms", "avg", "gap_to_leader_ms")], with_gap, max_dim_rows)
+                [M("avg_gap_ms", "avg", "gap_to_leader_ms")], with_gap, max_dim_bytes)
 
 
-def best_laps(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def best_laps(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VA2: no null filter, so a driver without a timed lap gets a NULL row."""
     return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id"],
-                [M("best_lap_ms", "min", "lap_time_ms")], None, max_dim_rows)
+                [M("best_lap_ms", "min", "lap_time_ms")], None, max_dim_bytes)
 
 
-def driver_avg_by_compound(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def driver_avg_by_compound(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VA3: a NULL compound is its own group."""
     return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id", "compound"],
-                [M("avg_lap_time_ms", "avg", "lap_time_ms")], None, max_dim_rows)
+                [M("avg_lap_time_ms", "avg", "lap_time_ms")], None, max_dim_bytes)
 
 
-def driver_avg_laptime(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def driver_avg_laptime(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VA4 (flagship): mean lap time per driver name and session."""
     return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id"],
-                [M("avg_lap_time_ms", "avg", "lap_time_ms")], None, max_dim_rows)
+                [M("avg_lap_time_ms", "avg", "lap_time_ms")], None, max_dim_bytes)
 
 
 def session_summary(laps, sessions, session_type="Race") -> DataFrame:
@@ -88,19 +88,19 @@ def session_summary(laps, sessions, session_type="Race") -> DataFrame:
     )
 
 
-def stint_summary(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def stint_summary(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VA6: NULL stint kept; ``count(*)`` includes untimed laps."""
     return _agg(laps, drivers, sessions, session_type, ["full_name", "session_id", "stint_id", "compound"],
-                [M("laps_in_stint", "rows"), M("avg_stint_lap_ms", "avg", "lap_time_ms")], None, max_dim_rows)
+                [M("laps_in_stint", "rows"), M("avg_stint_lap_ms", "avg", "lap_time_ms")], None, max_dim_bytes)
 
 
-def tyre_degradation(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def tyre_degradation(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VA7: range over range (A8), not a regression slope; NULL for one-lap stints."""
     keys = ["full_name", "session_id", "stint_id", "compound"]
     g = _agg(laps, drivers, sessions, session_type, keys,
              [M("_y_hi", "max", "lap_time_ms"), M("_y_lo", "min", "lap_time_ms"),
               M("_x_hi", "max", "lap_number"), M("_x_lo", "min", "lap_number"), M("laps_in_stint", "rows")],
-             timed, max_dim_rows)
+             timed, max_dim_bytes)
     return g.select(
         *keys,
         ((F.col("_y_hi") - F.col("_y_lo")) / F.nullif(F.col("_x_hi") - F.col("_x_lo"), F.lit(0))).alias(
@@ -118,36 +118,36 @@ def _timed_in_stint(laps: DataFrame) -> DataFrame:
     return timed(in_stint(laps))
 
 
-def v_driver_avg_by_compound(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def v_driver_avg_by_compound(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VB1."""
     return _driver(_agg(laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name", "compound"],
-                        [M("avg_lap_time_ms", "avg2", "lap_time_ms")], timed, max_dim_rows))
+                        [M("avg_lap_time_ms", "avg2", "lap_time_ms")], timed, max_dim_bytes))
 
 
-def v_driver_avg_laptime(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def v_driver_avg_laptime(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VB2: team is an extra group key."""
     return _driver(_agg(laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name", "team"],
-                        [M("avg_lap_time_ms", "avg2", "lap_time_ms")], timed, max_dim_rows))
+                        [M("avg_lap_time_ms", "avg2", "lap_time_ms")], timed, max_dim_bytes))
 
 
-def v_stint_summary(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def v_stint_summary(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VB3: NULL stints dropped; ``COUNT(lap_number)``."""
     return _driver(_agg(
         laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name", "stint_id", "compound"],
         [M("total_laps", "count", "lap_number"), M("avg_lap_time_ms", "avg2", "lap_time_ms"),
          M("best_lap_time_ms", "min", "lap_time_ms"), M("worst_lap_time_ms", "max", "lap_time_ms"),
          M("stint_start_lap", "min", "lap_number"), M("stint_end_lap", "max", "lap_number")],
-        _timed_in_stint, max_dim_rows))
+        _timed_in_stint, max_dim_bytes))
 
 
-def v_tyre_degradation(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def v_tyre_degradation(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VB4: NULL stints kept; ``COUNT(*)``; no slope despite the name."""
     return _driver(_agg(
         laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name", "compound", "stint_id"],
         [M("laps_in_stint", "rows"), M("stint_start_lap", "min", "lap_number"),
          M("stint_end_lap", "max", "lap_number"), M("avg_lap_time_ms", "avg2", "lap_time_ms"),
          M("best_lap_time_ms", "min", "lap_time_ms"), M("worst_lap_time_ms", "max", "lap_time_ms")],
-        timed, max_dim_rows))
+        timed, max_dim_bytes))
 
 
 def v_best_laps(laps, drivers, sessions, session_type="Race") -> DataFrame:
@@ -170,19 +170,19 @@ def v_best_laps(laps, drivers, sessions, session_type="Race") -> DataFrame:
     )
 
 
-def v_avg_gap_to_leader(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def v_avg_gap_to_leader(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VB6."""
     return _driver(_agg(laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name"],
-                        [M("avg_gap_to_leader_ms", "avg2", "gap_to_leader_ms")], with_gap, max_dim_rows))
+                        [M("avg_gap_to_leader_ms", "avg2", "gap_to_leader_ms")], with_gap, max_dim_bytes))
 
 
-def v_session_summary(laps, drivers, sessions, session_type="Race", max_dim_rows=BROADCAST_MAX_ROWS) -> DataFrame:
+def v_session_summary(laps, drivers, sessions, session_type="Race", max_dim_bytes=BROADCAST_MAX_BYTES) -> DataFrame:
     """VB7: per driver (unlike VA5), inner join."""
     return _driver(_agg(
         laps, drivers, sessions, session_type, [*SESSION_KEYS, "full_name"],
         [M("total_laps", "count", "lap_number"), M("best_lap_time_ms", "min", "lap_time_ms"),
          M("avg_lap_time_ms", "avg2", "lap_time_ms")],
-        timed, max_dim_rows))
+        timed, max_dim_bytes))
 
 
 def v_pitstops(laps, drivers, sessions, session_type="Race") -> DataFrame:

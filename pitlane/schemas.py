@@ -72,6 +72,7 @@ PITSTOPS = _struct(
 
 RAW_LAPS = _struct(
     ("session_id", I, False),
+    ("seq", L, True),  # place in the source frame, which the reference's order rests on
     ("driver", S, True),
     ("lap_number", D, True),
     ("stint", D, True),
@@ -101,6 +102,15 @@ SCHEDULE = _struct(
     ("event_date", T.TimestampNTZType(), True),
 )
 
+# Laps as they land: the session by its natural key, ids unknown.
+LANDED_LAPS = T.StructType([
+    T.StructField("year", I, False),
+    T.StructField("event_name", S, True),
+    T.StructField("official_event_name", S, True),
+    T.StructField("session_name", S, False),
+    *RAW_LAPS.fields[1:],
+])
+
 WAREHOUSE = {
     "sessions": SESSIONS,
     "drivers": DRIVERS,
@@ -109,4 +119,4 @@ WAREHOUSE = {
     "pitstops": PITSTOPS,
 }
 
-LANDING = {"raw_laps": RAW_LAPS, "raw_results": RAW_RESULTS, "schedule": SCHEDULE}
+LANDING = {"raw_laps": RAW_LAPS, "landed_laps": LANDED_LAPS, "raw_results": RAW_RESULTS, "schedule": SCHEDULE}

@@ -38,6 +38,7 @@ LAP_BASE_MS, LAP_STEP_MS, LAP_BUCKETS = 80000, 97, 50
 GAP_STEP_MS, AHEAD_STEP_US, PIT_LAP_US = 1371, 137000, 90000000
 UNRACED_SESSION = (9991, 2002, "UNRACED", "Race", 0)
 NO_TIME_SORT_MS = 2000000000
+SEQ_STEP = 1000000  # the frame holds a car's laps together, in order
 
 _LAP_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity",
@@ -137,6 +138,7 @@ def raw_laps_from(src: DataFrame) -> DataFrame:
     t = F.col("lap_time_ms").cast("long")
     return src.select(
         "session_id",
+        (F.col("driver_id").cast("long") * SEQ_STEP + lap).alias("seq"),
         F.concat(F.when(F.col("driver_id") % 20 == 7, "X").otherwise("D"), F.col("driver_id").cast("string")).alias("driver"),
         F.col("lap_number").cast("double").alias("lap_number"),
         F.when(F.col("l_discount") == 0.0, F.lit(None)).otherwise(F.col("stint_no")).cast("double").alias("stint"),
@@ -155,6 +157,18 @@ def raw_laps_from(src: DataFrame) -> DataFrame:
     )
 
 
+def landed_laps_from(raw_laps: DataFrame, sessions: DataFrame) -> DataFrame:
+    """The raw laps as they land: session by natural key. In even years the event has no official name."""
+    even = F.col("year") % 2 == 0
+    named = sessions.select(
+        "session_id", "year", "track", F.col("session_type").alias("session_name"),
+        F.when(even, F.col("track")).otherwise(F.concat(F.lit("GP "), F.col("track"))).alias("event_name"),
+        F.when(even, F.lit("")).otherwise(F.col("track")).alias("official_event_name"),
+    )
+    keyed = join_dim(raw_laps, named, "session_id")
+    return keyed.select(*schemas.LANDED_LAPS.fieldNames())
+
+
 def drivers_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = _fixed_dim(spark, sf_dir, "nation", "n_nationkey", "n_name")
@@ -225,6 +239,7 @@ class Warehouse:
     laps = property(lambda self: self.table("laps"))
     raw_laps = property(lambda self: self.table("raw_laps"))
     raw_results = property(lambda self: self.table("raw_results"))
+    landed_laps = property(lambda self: self.table("landed_laps"))
     schedule = property(lambda self: self.table("schedule"))
 
 
@@ -249,6 +264,8 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     with ThreadPoolExecutor(max_workers=len(derived)) as pool:
         for f in [pool.submit(df.write.parquet, f"{root}/{name}") for name, df in derived.items()]:
             f.result()
+    written = Warehouse(spark, root)
+    landed_laps_from(written.raw_laps, written.sessions).write.parquet(f"{root}/landed_laps")
     return Warehouse(spark, root)
 
 
@@ -256,15 +273,22 @@ _BUILT: dict[tuple[str, str], Warehouse] = {}
 _LOCK = threading.Lock()
 
 
-def _build_id(sf_dir: str) -> str:
-    """Data folder + the code that defines the mapping: a changed mapping never reuses a build."""
+def _build_id(spark: SparkSession, sf_dir: str) -> str:
+    """Data folder, its files (names, sizes, times) and the code that defines the mapping: neither
+    changed data nor a changed mapping ever reuses a build."""
     h = hashlib.sha1(sf_dir.rstrip("/").encode())
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in SOURCES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        for f in path.getFileSystem(conf).listStatus(path):
+            h.update(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}\n".encode())
     for mod in (sys.modules[__name__], schemas, ranking, joins, config):
         h.update(inspect.getsource(mod).encode())
     return h.hexdigest()[:16]
 
 
-TABLES = ("sessions", "drivers", "laps", "raw_laps", "raw_results", "schedule")
+TABLES = ("sessions", "drivers", "laps", "raw_laps", "landed_laps", "raw_results", "schedule")
+SOURCES = ("lineitem", "orders", "supplier", "nation", "region")
 
 
 def _finished_build(spark: SparkSession, pointer: str) -> str | None:
@@ -288,12 +312,13 @@ def warehouse(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Warehouse
     (``reuse=True``) read it instead of rebuilding; an interrupted build
     leaves no pointer and is simply redone in a fresh folder.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    build_id = _build_id(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, build_id)
     with _LOCK:
         wh = _BUILT.get(key)
         if wh is not None:
             return wh
-        pointer = f"{shared_base(spark)}/pitlane/warehouse-{_build_id(sf_dir)}.pointer"
+        pointer = f"{shared_base(spark)}/pitlane/warehouse-{build_id}.pointer"
         root = _finished_build(spark, pointer) if reuse else None
         if root is None:
             root = new_output_dir(spark, "warehouse")

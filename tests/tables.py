@@ -52,9 +52,10 @@ def tables(spark):
 
 
 def raw(spark, rows):
-    """Raw laps: (session_id, driver, lap, stint, compound, lap_us, pos, gap_us, ivl_us, pit_in_us, pit_out_us)."""
+    """Raw laps in frame order: (session_id, driver, lap, stint, compound, lap_us, pos, gap_us, ivl_us, pit_in_us,
+    pit_out_us)."""
     full = [
-        (s, d, n, st, c, t, None if t is None else t // 4, None, None, p, g, i, pi, po)
-        for (s, d, n, st, c, t, p, g, i, pi, po) in rows
+        (s, k, d, n, st, c, t, None if t is None else t // 4, None, None, p, g, i, pi, po)
+        for k, (s, d, n, st, c, t, p, g, i, pi, po) in enumerate(rows)
     ]
     return spark.createDataFrame(full, RAW_LAPS)

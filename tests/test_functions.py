@@ -31,3 +31,12 @@ def test_chart_labels(spark):
     df = spark.createDataFrame([("Bahrain", 2024, "Race", 57)], "track string, year int, t string, n int")
     r = df.select(chart_title("track"), chart_subtitle("year", "t"), lap_label("n")).first()
     assert tuple(r) == ("Bahrain – Pit Stop Strategy", "2024 Race", "Lap 57")
+
+
+def test_text_durations(spark):
+    from pitlane.functions.cleanse import duration_text_to_us
+
+    texts = ["90.5", "1:30.5", "0:01:30.5", "0 days 00:01:30.500000", "1 day 00:00:01", " 12 ", "abc", "", None, "1:2:3:4"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = [r[0] for r in df.orderBy("k").select(duration_text_to_us("t")).collect()]
+    assert got == [90_500_000] * 4 + [86_401_000_000, 12_000_000, None, None, None, None]

@@ -1,0 +1,51 @@
+"""The whole ingest by natural session keys."""
+
+from conftest import rows
+from tables import raw
+from timing_rows import RAW
+
+from pyspark.sql import functions as F
+
+from pitlane.operators.upsert import read_table
+from pitlane.plans import ingest, views
+from pitlane.schemas import LANDED_LAPS, LAPS, PITSTOPS, RAW_RESULTS
+
+RESULTS = [(0, "AAA", "Alex", "Red", None), (0, "BBB", "Ben", "Blue", None)]
+
+
+def landed(spark, laps, year=2024, event="Bahrain", official="", session="Race"):
+    df = raw(spark, laps).withColumns({
+        "year": F.lit(year), "event_name": F.lit(event), "official_event_name": F.lit(official), "session_name": F.lit(session)})
+    return spark.createDataFrame(df.select(*LANDED_LAPS.fieldNames()).collect(), LANDED_LAPS)
+
+
+def state(spark, root):
+    return [rows(read_table(spark, f"{root}/laps", LAPS)), rows(read_table(spark, f"{root}/pitstops", PITSTOPS)),
+            *(rows(spark.read.parquet(f"{root}/{t}")) for t in ("sessions", "drivers", "teams"))]
+
+
+def test_sessions_are_identified_and_replay_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    laps = [r for r in RAW if r[1] in ("AAA", "BBB")] + [(1, "AAA", None, None, None, 1_000_000, None, None, None, None, None)]
+    results = spark.createDataFrame(RESULTS, RAW_RESULTS)
+    two = landed(spark, laps).unionAll(landed(spark, laps[:2], 2025, "Miami", "Miami GP"))
+    audit = ingest.run_ingest(spark, two, results, root)
+    assert rows(audit, "laps_found", "laps_written", "pitstops_written") == [(2, 2, 1), (7, 7, 3)]
+    once = state(spark, root)
+    assert [r[:5] for r in once[2]] == [(1, 2024, "Bahrain", "Race", 3), (2, 2025, "Miami GP", "Race", 2)]
+    assert {r[0] for r in once[0]} == {1, 2}
+    va4 = views.driver_avg_laptime(*(spark.read.parquet(f"{root}/{t}") for t in ("laps", "drivers", "sessions")))
+    assert {r[:2] for r in rows(va4, "full_name", "session_id")} == {("Alex", 1), ("Ben", 1), ("Alex", 2)}
+    for _ in range(2):
+        ingest.run_ingest(spark, two, results, root)
+        assert state(spark, root) == once
+    ingest.run_ingest(spark, landed(spark, laps[:1], 2025, "Miami", "Miami GP"), results, root)   # one session alone
+    assert [r for r in state(spark, root)[0] if r[0] == 1] == [r for r in once[0] if r[0] == 1]
+
+
+def test_a_session_without_pit_stops_ingests(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    laps = [(1, "AAA", 1.0, 1.0, "SOFT", 90_000_000, 1.0, None, None, None, None)]
+    audit = ingest.run_ingest(spark, landed(spark, laps), spark.createDataFrame(RESULTS, RAW_RESULTS), root)
+    assert rows(audit) == [(1, 1, 1, 1, 0)]
+    assert read_table(spark, f"{root}/pitstops", PITSTOPS).count() == 0

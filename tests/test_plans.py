@@ -56,3 +56,43 @@ def test_row_numbers_beyond_the_bound_are_slice_wise(spark):
     assert windows
     for part, order in windows:
         assert "_slice" in part or "_slice" in order, (part, order)
+
+
+def jobs_of(spark, build) -> int:
+    """Spark jobs that run while a query's plan is built, with no remembered sizes."""
+    from pitlane.operators.joins import forget_sizes
+
+    forget_sizes()
+    tracker, group = spark.sparkContext.statusTracker(), f"plan-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "build")
+    try:
+        build()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_plan_runs_few_jobs(spark):
+    for name, most in (("s10_ingest_audit", 4), ("vb5_best_laps", 0), ("vb8_pitstops", 0), ("w2_w3_gaps", 2),
+                       ("va4_driver_avg_laptime", 0), ("g1_strategy_bars", 0), ("x1_outlier_filter", 0)):
+        QUERIES[name](spark, SF)   # the fixture build is not counted
+        assert jobs_of(spark, lambda: QUERIES[name](spark, SF)) <= most, name
+
+
+def test_arg_min_views_scan_the_laps_at_most_twice(spark):
+    for name in ("vb5_best_laps", "vb8_pitstops"):
+        p = plan(QUERIES[name](spark, SF))
+        assert len(re.findall(r"Location: .*/laps\]", p)) <= 2, name
+
+
+def test_a_micro_batch_prunes_the_landing_by_partition(spark, tmp_path):
+    from pitlane.sources.fixtures import warehouse
+    from pitlane.streaming.lap_stream import landed_of
+
+    raw = warehouse(spark, SF).raw_laps
+    path = str(tmp_path / "landing")
+    raw.write.partitionBy("session_id").parquet(path)
+    first = raw.select("session_id").orderBy("session_id").first()[0]
+    p = plan(landed_of(spark, raw.where(f"session_id = {first}"), path))
+    filters = re.findall(r"PartitionFilters: \[(.*)\]", p)
+    assert any("session_id" in f and (f"= {first})" in f) for f in filters), filters

@@ -50,12 +50,20 @@ def test_group_row_number_matches_window_across_slices(spark):
     assert rows(group_row_number(df, ["g"], [F.col("o")], out="rn")) == want   # small groups: one window
 
 
-def test_arg_min_keeps_ties_on_both_paths(spark):
+def test_arg_min_keeps_ties(spark):
     df = spark.createDataFrame([(1, 5, "x"), (1, 5, "y"), (1, 7, "z"), (2, None, "n"), (2, 9, "m")],
                                "k int, t int, tag string")
     want = [(1, 5, "x"), (1, 5, "y"), (2, 9, "m")]
     assert rows(arg_min(df, ["k"], "t")) == want
-    assert rows(arg_min(df, ["k"], "t", max_rows=0)) == want
+
+
+def test_running_sum_keeps_rows_with_null_group_keys_on_both_paths(spark):
+    data = [(None, 1.0, 5), (None, 2.0, 6), (1, 1.0, 7), (None, None, None)]
+    df = spark.createDataFrame(data, "g int, o double, v long")
+    want = [(1, 1.0, 7, 7), (None, 1.0, 5, 5), (None, 2.0, 6, 11), (None, None, None, 11)]
+    for bound in (1, 2, 10**6):
+        assert rows(running_sum(df, ["g"], "o", "v", "s", max_group_rows=bound)) == want, bound
+
 
 
 def test_first_by_one_row_per_key(spark):

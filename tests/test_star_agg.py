@@ -18,7 +18,7 @@ STAR_VIEWS = [
 def test_eager_path_equals_broadcast_path(spark, fn):
     for laps, drivers, sessions in (tables(spark), _wh(spark)):
         a = fn(laps, drivers, sessions)
-        b = fn(laps, drivers, sessions, max_dim_rows=0)
+        b = fn(laps, drivers, sessions, max_dim_bytes=0)
         assert a.columns == b.columns
         assert rows(a) == rows(b)
 

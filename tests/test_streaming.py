@@ -69,3 +69,53 @@ def test_replaying_a_batch_is_idempotent(spark, tmp_path):
     once = rows(spark.read.parquet(table))
     merge_batch(spark, raw, landing, wh.drivers, table)   # the same micro-batch again, e.g. after a failure
     assert rows(spark.read.parquet(table)) == once
+
+
+def test_replays_leave_a_session_with_unnumbered_laps_unchanged(spark, tmp_path):
+    from pitlane.streaming.lap_stream import merge_batch
+
+    wh = warehouse(spark, SF)
+    session = wh.raw_laps.select("session_id").orderBy("session_id").first()[0]
+    raw = wh.raw_laps.where(F.col("session_id") == session)
+    raw = raw.withColumn("lap_number", F.when(F.col("lap_number") > 2, F.col("lap_number")))   # some NULL
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "laps")
+    raw.repartition(3).write.partitionBy("session_id").parquet(landing)
+    landed = spark.read.schema(raw.schema).parquet(landing)
+    seen = []
+    for _ in range(3):
+        merge_batch(spark, landed, landing, wh.drivers, table)
+        seen.append(rows(spark.read.parquet(table)))
+    assert seen[0] == seen[1] == seen[2] and any(r[2] is None or r[1] is None for r in seen[0])
+
+
+def test_file_count_follows_sessions_not_tasks(spark, tmp_path):
+    import glob
+
+    from pitlane.operators.upsert import write_partitions
+
+    wh = warehouse(spark, SF)
+    table = str(tmp_path / "laps")
+    write_partitions(wh.laps.repartition(13), table)
+    sessions = wh.laps.select("session_id").distinct().count()
+    assert len(glob.glob(f"{table}/session_id=*/*.parquet")) == sessions
+
+
+def test_intermediates_are_deleted(spark, tmp_path):
+    import glob
+
+    from pitlane.config import shared_dir
+    from pitlane.streaming.lap_stream import merge_batch
+
+    wh = warehouse(spark, SF)
+    session = wh.raw_laps.select("session_id").orderBy("session_id").first()[0]
+    raw = wh.raw_laps.where(F.col("session_id") == session)
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "laps")
+    raw.write.partitionBy("session_id").parquet(landing)
+    root = shared_dir(spark).removeprefix("file:")
+
+    def left() -> int:
+        return len(glob.glob(f"{root}/pitlane/partition-*"))
+
+    before = left()
+    merge_batch(spark, raw, landing, wh.drivers, table)
+    assert left() == before

@@ -37,7 +37,7 @@ def test_cumulative_skips_untimed_lap_but_keeps_summing(spark):
 def test_gaps_and_intervals(spark):
     g = timing.with_gaps(raw(spark, RAW))
     got = {(r[0], r[1]): (r[2], r[3]) for r in rows(g, "driver", "lap_number", "gap_to_leader_ms", "interval_to_next_ms")}
-    # leader of lap 1: AAA and NUL both in P1, first by code is AAA
+    # leader of lap 1: AAA and NUL both in P1, AAA is first in the frame
     assert got[("BBB", 1.0)] == (91000 - 90001, 91000 - 92000)   # car ahead is the unknown ZZZ
     assert got[("ZZZ", 1.0)] == (1500, 92000 - 90001)             # provided gap wins (rounded)
     assert got[("BBB", 2.0)] == (None, None)                       # leader AAA has no time on lap 2
@@ -71,7 +71,7 @@ def test_results_do_not_depend_on_partitioning(spark):
 
 
 def test_next_lap_bridges_chunk_boundaries(spark):
-    r = raw(spark, RAW).select("session_id", "driver", "lap_number", "compound", "pit_out_us")
+    r = raw(spark, RAW).select("session_id", "seq", "driver", "lap_number", "compound", "pit_out_us")
     want = rows(timing.next_lap(r, ["compound", "pit_out_us"]))
     for chunk in (1, 2, 3):
         assert rows(timing.next_lap(r, ["compound", "pit_out_us"], chunk=chunk)) == want, chunk
@@ -98,3 +98,60 @@ def test_pitstop_upsert_updates_and_inserts(spark):
 def test_gap_lookups_window_and_join_paths_agree(spark):
     r = raw(spark, RAW + [(1, "QQQ", 1.0, 1.0, "SOFT", 95_000_000, 3.0, None, None, None, None)])  # duplicate P3
     assert rows(timing.with_gaps(r)) == rows(timing.with_gaps(r, max_group_rows=0))
+
+
+def test_a_repeated_lap_number_takes_the_first_of_the_frame_on_both_paths(spark):
+    laps = [
+        (1, "AAA", 1.0, 1.0, "SOFT", 1, None, None, None, 100, None),
+        (1, "AAA", 2.0, 1.0, None, 1, None, None, None, None, None),       # the first lap 2: no compound
+        (1, "AAA", 2.0, 1.0, "HARD", 1, None, None, None, None, 5_100),
+        (1, "AAA", 2.0, 1.0, "HARD", 1, None, None, None, None, 5_100),    # repeated row
+    ]
+    r = raw(spark, laps)
+    for df in (r, r.repartition(3)):
+        for bound in (10**6, 0):
+            got = rows(timing.pit_stops(df, max_group_rows=bound), "driver", "lap_number", "compound_out", "stop_time_ms")
+            assert got == [("AAA", 1, None, None)], bound
+
+
+def test_duplicate_positions_take_the_first_of_the_frame_on_both_paths(spark):
+    laps = [
+        (1, "ZZZ", 1.0, 1.0, "SOFT", 90_000_000, 1.0, None, None, None, None),   # in P1 and first in the frame
+        (1, "AAA", 1.0, 1.0, "SOFT", 95_000_000, 1.0, None, None, None, None),
+        (1, "BBB", 1.0, 1.0, "SOFT", 99_000_000, 2.0, None, None, None, None),
+    ]
+    for bound in (10**6, 0):
+        got = rows(timing.with_gaps(raw(spark, laps), max_group_rows=bound), "driver", "gap_to_leader_ms", "interval_to_next_ms")
+        assert got == [("AAA", 5000, None), ("BBB", 9000, 9000), ("ZZZ", 0, None)], bound
+
+
+def test_laps_without_driver_have_no_cumulative_time_and_stay(spark):
+    laps = [
+        (1, None, 1.0, 1.0, "SOFT", 90_000_000, 1.0, None, None, 7, None),
+        (1, None, 2.0, 1.0, "HARD", 90_000_000, 2.0, None, None, None, 9),
+        (1, "AAA", 1.0, 1.0, "SOFT", 91_000_000, 3.0, None, None, None, None),
+    ]
+    for bound in (10**6, 0):
+        got = rows(timing.cumulative_ms(raw(spark, laps), max_group_rows=bound), "driver", "lap_number", "cum_ms")
+        assert got == [("AAA", 1.0, 91000), (None, 1.0, None), (None, 2.0, None)], bound
+        got = rows(timing.pit_stops(raw(spark, laps), max_group_rows=bound), "driver", "compound_out", "stop_time_ms")
+        assert got == [(None, None, None)], bound
+
+
+def test_the_running_sum_follows_the_frame(spark):
+    laps = [(1, "AAA", n, 1.0, "SOFT", int(n) * 1_000_000, None, None, None, None, None) for n in (2.0, 1.0)]
+    assert rows(timing.cumulative_ms(raw(spark, laps)), "lap_number", "cum_ms") == [(1.0, 3000), (2.0, 2000)]
+
+
+def test_the_last_row_of_the_frame_wins_an_upsert(spark):
+    from pitlane.plans.ingest import upsert_laps
+    from pitlane.schemas import LAPS
+
+    laps = [
+        (1, "AAA", 1.0, 1.0, "SOFT", 99_000_000, 1.0, None, None, None, None),
+        (1, "AAA", 1.0, 2.0, None, None, None, None, None, None, None),   # later in the frame, smaller values
+    ]
+    base = spark.createDataFrame([], LAPS)
+    for path in ({}, {"max_broadcast_bytes": 0}):
+        got = rows(upsert_laps(base, raw(spark, laps), _drivers(spark), **path), "lap_number", "stint_id", "compound")
+        assert got == [(1, 2, None)]

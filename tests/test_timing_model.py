@@ -14,7 +14,7 @@ from pitlane.schemas import RAW_LAPS
 LAP = st.sampled_from([1.0, 2.0, 3.0, None, float("nan")])
 ROW = st.tuples(
     st.sampled_from([1, 2]),                                   # session
-    st.sampled_from(["A", "B", "C"]),                          # driver
+    st.sampled_from(["A", "B", "C", None]),                    # driver
     LAP,
     st.one_of(st.none(), st.integers(80_000_000, 80_003_000)),  # lap time (us)
     st.sampled_from([1.0, 2.0, 3.0, None]),                     # position
@@ -35,6 +35,8 @@ def model(data):
     cum = [None] * len(data)
     cars = {}
     for i, r in enumerate(data):
+        if r[1] is None:
+            continue   # in no group: no cumulative time
         cars.setdefault((r[0], r[1]), []).append(i)
     for idxs in cars.values():
         # lap order: numbers ascending, then NaN, then NULL (the documented order); ties by lap time
@@ -46,7 +48,7 @@ def model(data):
                 total, seen = total + data[i][3], True
                 cum[i] = _ms(total)
     def first_at(s, lap, pos):
-        hits = sorted((data[j][1], cum[j]) for j in range(len(data))
+        hits = sorted(((data[j][1] is None, data[j][1] or "", j), cum[j]) for j in range(len(data))
                       if data[j][0] == s and _isnum(lap) and _isnum(data[j][2]) and data[j][2] == lap
                       and data[j][4] == pos)
         return hits[0][1] if hits else None
@@ -68,7 +70,7 @@ def _key(t):
 @given(st.lists(ROW, min_size=1, max_size=10, unique_by=lambda r: (r[0], r[1], r[2] if _isnum(r[2]) else id(r))))
 def test_gaps_match_model(spark, data):
     raw = spark.createDataFrame(
-        [(s, d, lap, None, None, t, None, None, None, pos, g, None, None, None) for s, d, lap, t, pos, g in data],
+        [(s, None, d, lap, None, None, t, None, None, None, pos, g, None, None, None) for s, d, lap, t, pos, g in data],
         RAW_LAPS)
     want = sorted(model(data), key=_key)
     for bound in (10**6, 0):   # window path, aggregate + join path
@@ -108,7 +110,7 @@ def pit_model(data):
 @given(st.lists(PIT_ROW, min_size=1, max_size=10, unique_by=lambda r: (r[0], r[1] if _isnum(r[1]) else id(r))))
 def test_pit_stops_match_model(spark, data):
     raw = spark.createDataFrame(
-        [(1, d, lap, None, c, None, None, None, None, None, None, None, pin, pout) for d, lap, c, pin, pout in data],
+        [(1, None, d, lap, None, c, None, None, None, None, None, None, None, pin, pout) for d, lap, c, pin, pout in data],
         RAW_LAPS)
     got = rows(timing.pit_stops(raw), "driver", "lap_number", "compound_in", "compound_out", "stop_time_ms")
     assert sorted(got, key=_key) == pit_model(data), data

@@ -20,7 +20,7 @@ def _keys():
 def _both_paths(spark, updates, **kw):
     small = upsert(_base(spark), updates, _keys(), ["total_laps"], defaults={"weather": "{}", "safety_car_count": 0}, **kw)
     large = upsert(_base(spark), updates, _keys(), ["total_laps"], defaults={"weather": "{}", "safety_car_count": 0},
-                   max_broadcast_rows=0, **kw)
+                   max_broadcast_bytes=0, **kw)
     a, b = rows(small), rows(large)
     assert a == b
     return a

@@ -39,6 +39,6 @@ def test_upsert_matches_model(spark, base_rows, upd_rows):
     base = spark.createDataFrame(base_rows, "a int, b int, v int, w int")
     upd = spark.createDataFrame(upd_rows, "a int, b int, v int, o int")
     want = model(base_rows, upd_rows)
-    for bound in (100, 0):   # broadcast merge and full outer join
-        got = rows(upsert(base, upd, ["a", "b"], ["v"], order="o", max_broadcast_rows=bound))
+    for bound in (1 << 20, 0):   # broadcast merge and full outer join
+        got = rows(upsert(base, upd, ["a", "b"], ["v"], order="o", max_broadcast_bytes=bound))
         assert got == want, (bound, base_rows, upd_rows)
