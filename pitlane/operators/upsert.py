@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from pitlane.config import discard, materialize
 from pitlane.operators.joins import fits, join_dim
 
-# Largest update batch merged by broadcasting it, in estimated bytes.
+# Largest update batch merged by broadcasting it, in bytes as written (about 100,000 laps).
 # A race weekend is a few thousand laps; a bulk re-load takes the shuffle path.
-UPSERT_BROADCAST_MAX_BYTES = 16 * 1024 * 1024
+UPSERT_BROADCAST_MAX_BYTES = 2 * 1024 * 1024
 # Largest number of new dimension keys ranked in one ordered window.
 RANK_MAX_ROWS = 1_000_000
 
