@@ -57,12 +57,17 @@ WEAK = ("key", "account", "endpoint")
 #: What a kind is in a credential, and which roles a weak one needs near it.
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "key": "secret", "account": "id", "endpoint": "place"}
 NEEDS = {"key": ("id", "place"), "account": ("secret",), "endpoint": ("secret",)}
-#: Every part has one of these.
-HINT = r"[:=]|AKIA|[0-9a-f]{32}|[A-Za-z0-9+/]{40}"
+#: A run in which a hexadecimal or high-entropy token may stand; entered at its start only.
+LONG_RUN = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32}"
 
 SPAN = "struct<start:long,ord:int,kind:string,end:long>"
 
 
+def _hinted(text: Column) -> Column:
+    """A cheap test that every text with a part passes."""
+    return F.coalesce(text.contains(":") | text.contains("=") | text.contains("AKIA") | text.rlike(LONG_RUN), F.lit(False))
+
+
 def _literal(values: dict[str, object]) -> Column:
     """A lookup of ``kind``."""
     c = F.lit(None)
@@ -101,9 +106,10 @@ KEY = ["doc_id", "md5"]
 
 def parts(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """All parts of documents: doc_id, md5, kind, start, end and scope."""
-    src = docs.select(docs[id_col].alias("doc_id"), docs[text].cast("string").alias("text")).where(F.col("text").rlike(HINT))
+    src = docs.select(docs[id_col].alias("doc_id"), docs[text].cast("string").alias("text")).where(_hinted(F.col("text")))
     one = src.select("doc_id", _digest(src["text"]).alias("md5"), F.concat(*(_matches(F.col("text"), k) for k in PATTERNS)).alias("m"))
-    rows = one.select(*KEY, F.posexplode("m").alias("pos", "m")).select(*KEY, "pos", "m.*").distinct()
+    # An inner explode lets the optimiser put "m is not null" before the hint, and so match every text.
+    rows = one.select(*KEY, F.posexplode_outer("m").alias("pos", "m")).where("pos is not null").select(*KEY, "pos", "m.*").distinct()
     before = Window.partitionBy(*KEY, "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(before).cast("long"))
     rows = rows.withColumn("start", F.col("end") - F.col("len")).where(F.col("size") >= _literal({k: v[2] for k, v in PATTERNS.items()}))
@@ -192,8 +198,8 @@ def redact_secrets(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     joined to the scan's result, whose linked spans are cut out by their offsets.
     """
     t = docs[text].cast("string")
-    weak_part = F.coalesce(t.rlike("|".join(f"(?:{PATTERNS[k][0]})" for k in WEAK)), F.lit(False))
-    plain = docs.where(~weak_part).withColumn(text, F.when(t.rlike(HINT), _mask_base(t)).otherwise(t))
+    weak_part = _hinted(t) & F.coalesce(t.rlike("|".join(f"(?:{PATTERNS[k][0]})" for k in WEAK)), F.lit(False))
+    plain = docs.where(~weak_part).withColumn(text, F.when(_hinted(t), _mask_base(t)).otherwise(t))
     some = docs.where(weak_part)
     r = reported(some, text, id_col).select(
         F.col("doc_id").alias("__scan_id"),
