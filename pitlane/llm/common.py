@@ -8,12 +8,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.config import materialize
 
-__all__ = ["fold", "labelled_sample", "let", "materialize", "parts_for", "schema_with", "sigmoid", "table", "text_column", "whole_groups"]
+__all__ = ["fold", "labelled_sample", "let", "materialize", "parts_for", "sigmoid", "table", "text_column", "texts_of", "whole_groups"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,17 +55,18 @@ def text_column(df: DataFrame, column: str = "text") -> Column:
     return df[column].cast("string")
 
 
-def schema_with(df: DataFrame, extra: str, keep: Iterable[str]) -> str:
-    """DDL of the kept columns of ``df`` followed by ``extra``."""
-    kinds = dict(df.dtypes)
-    return ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), extra])
-
-
 def sigmoid(x):
     """Logistic function of a numpy array, safe for large arguments."""
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
+def texts_of(batch: pa.RecordBatch, column: str, rows: int = 512) -> Iterator[str | None]:
+    """A column's strings, a few hundred at a time: the rest of the batch stays in Arrow's buffers."""
+    c = batch.column(batch.schema.get_field_index(column))
+    for lo in range(0, len(c), rows):
+        yield from c.slice(lo, rows).to_pylist()
+
+
 def whole_groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, list[int]]]:
     """Frames of whole groups out of a partition sorted by ``keys``, with the groups' bounds.
 

@@ -24,10 +24,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import parts_for, table
+from pitlane.llm.common import parts_for, table, texts_of
 
 #: Edits allowed per character of the normalised item.
 ERROR_RATE = 0.07
@@ -170,12 +171,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR
     for items in _blocks(benchmark):
         sent = context.broadcast(items)
 
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             match = Matcher(sent.value, rate)
             for b in batches:
-                yield b[[not match(t) for t in b[text]]]
+                yield b.filter(pa.array([not match(t) for t in texts_of(b, text)], pa.bool_()))
 
-        docs = docs.mapInPandas(run, docs.schema)
+        docs = docs.mapInArrow(run, docs.schema)
     return docs
 
 

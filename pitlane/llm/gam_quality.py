@@ -23,11 +23,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import fold, labelled_sample, sigmoid, table
+from pitlane.llm.common import fold, labelled_sample, sigmoid, table, texts_of
 
 #: Most labelled rows that the model is fitted on.
 MAX_TRAIN_ROWS = 20_000
@@ -82,16 +82,26 @@ def features(text: str | None) -> list[float]:
 
 def with_features(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns and an array of feature values, for whole texts in batches."""
-    src = docs.select(*keep, docs[text].cast("string").alias("__gam_text"))
-    kinds = dict(src.dtypes)
+    return _add(docs, keep, text, "x array<double>", lambda x: pa.array(list(x), pa.list_(pa.float64())))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _add(docs: DataFrame, keep: list[str], text: str, column: str, of) -> DataFrame:
+    """The kept columns and one more, made from the rows' feature values.
+
+    The kept columns, texts among them, never leave Arrow's buffers.
+    """
+    own = text in keep and dict(docs.dtypes)[text] == "string"
+    src = docs.select(*keep) if own else docs.select(*keep, docs[text].cast("string").alias("__gam_text"))
+    name, kinds = text if own else "__gam_text", dict(src.dtypes)
+    added = column.split()[0].strip("`")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = b[keep].copy()
-            out["x"] = [features(t) for t in b["__gam_text"]]
-            yield out
+            x = np.array([features(t) for t in texts_of(b, name)]).reshape(b.num_rows, len(FEATURES))
+            columns = [b.column(b.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays([*columns, of(np.round(x, 9))], [*keep, added])
 
-    return src.mapInPandas(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "x array<double>"]))
+    return src.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), column]))
 
 
 @dataclass
@@ -210,7 +220,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_RO
     """The model, from the folds 1 to 4 of the labels."""
     train = labelled_sample(labels, "quality", 5, 0, max_rows)
     rows = with_features(docs.select("doc_id", "text").join(train, "doc_id"), ["doc_id", "y"])
-    rows = rows.withColumn("x", F.transform("x", lambda v: F.round(v, 9))).toPandas()
+    rows = rows.toPandas()
     if not len(rows):
         return Gam()
     rows["k"] = [tuple(v) for v in rows["x"]]
@@ -220,17 +230,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_RO
 
 def score_quality(docs: DataFrame, model: Gam, keep: list[str], text: str = "text", score: str = "score") -> DataFrame:
     """The kept columns and the score, by name ``score``."""
-    src = docs.select(*keep, docs[text].cast("string").alias("__gam_text"))
-    kinds = dict(src.dtypes)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = b[keep].copy()
-            x = np.round(np.array([features(t) for t in b["__gam_text"]]).reshape(len(b), len(FEATURES)), 9)
-            out[score] = model.score(x)
-            yield out
-
-    return src.mapInPandas(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"`{score}` double"]))
+    return _add(docs, keep, text, f"`{score}` double", lambda x: pa.array(model.score(x), pa.float64()))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:

@@ -30,10 +30,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import materialize, table, whole_groups
+from pitlane.llm.common import materialize, table, texts_of, whole_groups
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -53,7 +54,7 @@ def _word_hash(w: str) -> int:
 class Shingler:
     """Distinct 64-bit shingle hashes of texts; remembers words' hashes within a task."""
 
-    def __init__(self, words: int = WORDS, remembered: int = 1 << 20):
+    def __init__(self, words: int = WORDS, remembered: int = 1 << 17):
         self.words, self.remembered, self.known = words, remembered, {}
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -144,22 +145,22 @@ def surviving_pairs(a: np.ndarray, b: np.ndarray, band: int, same: bool) -> tupl
 def _sketch(docs: DataFrame) -> DataFrame:
     """node (md5), n rows of it, signature - of the texts with a word."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for b in batches:
             group, rows, size = [], [], 0
-            for at, t in enumerate(b["text"]):
+            for at, t in enumerate(texts_of(b, "text")):
                 s = shingler(t)
                 if len(s):
                     group.append(s)
                     rows.append(at)
                     size += len(s)
-                if group and (size > 1 << 16 or at + 1 == len(b)):
-                    sig = signatures(group)
-                    yield pd.DataFrame({"node": b["node"].iloc[rows], "sig": [x.tobytes() for x in sig]})
+                if group and (size > 1 << 16 or at + 1 == b.num_rows):
+                    sig = pa.array([x.tobytes() for x in signatures(group)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), sig], ["node", "sig"])
                     group, rows, size = [], [], 0
 
-    return docs.mapInPandas(run, "node binary, sig binary")
+    return docs.mapInArrow(run, "node binary, sig binary")
 
 
 def _band_rows(nodes: DataFrame) -> DataFrame:
