@@ -77,8 +77,11 @@ def _buckets(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.n
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return _LETTERS.findall(text.lower()) if text else []
+    """Runs of letters, lower-cased; signs that count as word characters but are none go."""
+    found = _LETTERS.findall(text.lower()) if text else []
+    if found and not "".join(found).isalpha():
+        found = [w for w in ("".join(filter(str.isalpha, w)) for w in found) if w]
+    return found
 
 
 def subwords(text: str, buckets: int = BUCKETS) -> np.ndarray:

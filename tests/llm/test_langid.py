@@ -34,6 +34,10 @@ def test_language_source_and_held_out_rows_do_not_matter(spark):
     assert a == b and "zz" not in {r[1] for r in b}
 
 
+def test_signs_are_no_letters():
+    assert L.words_of("m² ½ Ⅷ x") == ["m", "x"] and L.words_of("² ½") == [] and L.words_of("Ünï") == ["ünï"]
+
+
 def test_edges(spark, edge_docs, no_docs):
     m = L.fit_langid(spark.read.parquet(data("sf0.001", "documents")))
     got = L.identify(edge_docs, m).collect()
