@@ -135,13 +135,27 @@ _DISGUISE = re.compile(
 )
 _NUMBER = re.compile(_N, re.IGNORECASE)
 _AFTER = re.compile(rf"\s{{1,3}}{_DOT}\s", re.IGNORECASE)
-#: Words one of which a disguise without brackets holds.
-_HINTS = frozenset({*_NUMBERS, "dot", "punkt", "punto", "point"})
+_WORD = re.compile(r"\w+")
+_SIGNS = ("dot", "punkt", "punto", "point")
+#: Words one of which a disguise without brackets holds, if its address has no sign inside of a word.
+_HINTS = frozenset({*_NUMBERS, *_SIGNS, "plus"})
+_AT = frozenset({"at", "arroba", "klammeraffe"})
+#: Letters that ``re.IGNORECASE`` takes for ASCII ones though ``lower`` does not.
+_FOLD = str.maketrans("İıſ", "iis")
+
+
+def _lower(t: str) -> str:
+    return t.lower() if t.isascii() else t.translate(_FOLD).lower()
 
 
 def _may_hide(t: str) -> bool:
     """A cheap test that no disguised text fails."""
-    return any(c in t for c in "[({<") or not _HINTS.isdisjoint(t.lower().replace("-", " ").split())
+    if any(c in t for c in "[({<"):
+        return True
+    low = _lower(t)
+    words = set(_WORD.findall(low))
+    # What follows a plain "at" may hold its sign within a word: "at lapointe.com".
+    return not _HINTS.isdisjoint(words) or not _AT.isdisjoint(words) and any(s in low for s in _SIGNS)
 
 
 #: A disguised address ends in a name, not in a number.
@@ -183,7 +197,7 @@ def _word_parts(t: str) -> list[tuple[int, int, str]]:
                 continue  # a lone number word is one
             for k, w in enumerate(words):
                 stop = words[k + 1].start() if k + 1 < len(words) else w.end()
-                out.append((w.start(), stop, _NUMBERS[w.group().lower()]))
+                out.append((w.start(), stop, _NUMBERS[_lower(w.group())]))
         else:
             out.append((m.start(), m.end(), {"at": "@", "dot": ".", "plus": "+"}[m.lastgroup]))
     return out

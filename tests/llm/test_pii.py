@@ -75,6 +75,34 @@ def test_long_runs_stay_linear(text):
     P.spans(text)
 
 
+@pytest.mark.parametrize("tail", ["now", "now (today)"])
+@pytest.mark.parametrize(
+    ("text", "kind", "part"),
+    [
+        ("call plus 49 30 1234 5678 ", "phone", "plus 49 30 1234 5678"),
+        ('"plus 1 202 555 0147" ', "phone", "plus 1 202 555 0147"),
+        ("by ,PLUS\t49-30-1234-5678. ", "phone", "PLUS\t49-30-1234-5678"),
+        ("mail jane at lapointe.com ", "email", "jane at lapointe.com"),
+        ("at one two seven dot zero dot zero dot ſıx, ", "ip", "one two seven dot zero dot zero dot ſıx"),
+    ],
+)
+def test_disguises_do_not_depend_on_other_characters(text, kind, part, tail):
+    at = text.index(part)
+    assert P.spans(text + tail) == ([], [(at, kind, at + len(part))])
+
+
+def test_the_gate_loses_nothing(monkeypatch):
+    """spans() with the gate equals spans() without it."""
+    r = random.Random(5)
+    words = [*P._NUMBERS, "plus", "Plus", "dot", "punkt", "point", "at", "arroba", "jane", "lapointe.com", "mydot.org", "mail", "com", "49", "30 1234 5678", "10.0.0", "ONE", "ſix", "fıve", "x"]
+    gaps = [" ", " ", " ", " ", "-", "  ", ", ", ".", '"', "\n", "", "/", "\u3000", " ("]
+    rows = ["".join(r.choice(words) + r.choice(gaps) for _ in range(r.randint(1, 9))) for _ in range(30_000)]
+    rows += [t for _, t in texts("sf0.01")]
+    gated = [P.spans(t) for t in rows]
+    monkeypatch.setattr(P, "_may_hide", lambda t: True)
+    assert gated == [P.spans(t) for t in rows] and any(len(every) > len(base) for base, every in gated)
+
+
 def test_edges(edge_docs, no_docs):
     got = P.find_pii(edge_docs).collect()
     assert len(got) == edge_docs.count() and P.find_pii(no_docs).count() == 0
