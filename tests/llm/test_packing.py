@@ -65,6 +65,19 @@ def test_edges(edge_docs, no_docs, tokenizer):
     assert P.pack_documents(no_docs, PATH).count() == 0
 
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "  <|endoftext|>\n\n<|endoftext|> ", "<|endoftext| >", "é<|endoftext|>" + " word" * 3000]
+
+
+def test_added_tokens_are_those_of_tokenizers_at_its_defaults(spark):
+    plain = Tokenizer.from_file(PATH)
+    assert plain.encode(ADDED[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    ids_of = P.load_ids(PATH)
+    for t in ADDED + [x for x in EDGES if x and len(x) < 70_000]:
+        assert ids_of(t).tolist() == plain.encode(t, add_special_tokens=False).ids
+    rows = list(enumerate(ADDED))
+    check(P.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect(), rows, plain)
+
+
 def test_sequences_hold_the_ids(spark, tokenizer):
     df = spark.createDataFrame([(1, "one two"), (2, "three"), (3, None)], "doc_id long, text string")
     seqs = P.sequences(P.pack_documents(df, PATH, with_ids=True)).collect()
