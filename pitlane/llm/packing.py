@@ -42,15 +42,22 @@ PIECE = "piece int, start long, length long"
 #: Pre-tokenizer of byte-level vocabularies (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: A run of white space, as SPLIT's engine knows it, that may be too long for that engine's stack.
+_LONG_GAP = re.compile(r"(?<!{0}){0}{{10000,}}+".format(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"))
+
 
 @lru_cache(2)  # one for each worker process, not for each task
 def load_encoder(path: str):
     """An encoder for the vocabulary and merges of a byte-level tokenizer file.
 
     It gives the ids that ``tokenizers`` gives for the file (the tests compare both), in a
-    quarter of the CPU time, for texts without added tokens: it takes their strings for
-    ordinary text. ``load_ids`` knows them.
+    quarter of the CPU time, for texts without added tokens, whose strings it takes for
+    ordinary text, and without very long white space, which it refuses. ``load_ids`` takes all.
     """
+    return _encoder(path, SPLIT)
+
+
+def _encoder(path: str, pattern: str):
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
@@ -63,7 +70,7 @@ def load_encoder(path: str):
     order = [ranks[bytes(byte_of[c] for c in "".join(m if isinstance(m, list) else m.split(" ")))] for m in spec["model"]["merges"]]
     if spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"] or order != sorted(order):
         raise ValueError(f"{path}: not a byte-level vocabulary whose ids follow its merges")
-    return tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 @lru_cache(2)
@@ -71,6 +78,23 @@ def load_ids(path: str) -> Callable[[str], np.ndarray]:
     """The ids of a text as ``tokenizers`` gives them for the file at its defaults, without the
     tokens its post-processor adds: an added token's string in a text is that token."""
     encoder = load_encoder(path)
+    piece = lru_cache(1)(lambda: _encoder(path, r"[\s\S]+"))  # takes a text as one piece
+
+    def plain(text: str) -> np.ndarray:
+        try:
+            return encoder.encode_to_numpy(text)
+        except ValueError:  # SPLIT goes back over white space, and its engine's stack is bounded
+            gaps = list(_LONG_GAP.finditer(text))
+            if not gaps:
+                raise
+        out, at = [], 0
+        for m in gaps:
+            # SPLIT makes one piece of a run but for its last character, or of all at the text's end.
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            out += [encoder.encode_to_numpy(text[at : m.start()]), piece().encode_to_numpy(text[m.start() : end])]
+            at = end
+        return np.concatenate([*out, encoder.encode_to_numpy(text[at:])])
+
     with open(path, encoding="utf-8") as f:
         added = json.load(f)["added_tokens"]
     if any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in added):
@@ -81,12 +105,12 @@ def load_ids(path: str) -> Callable[[str], np.ndarray]:
 
     def ids(text: str) -> np.ndarray:
         if not any(x in text for x in id_of):
-            return encoder.encode_to_numpy(text)
+            return plain(text)
         out, at = [], 0
         for m in any_added.finditer(text):
-            out += [encoder.encode_to_numpy(text[at : m.start()]), np.array([id_of[m.group()]], "<u4")]
+            out += [plain(text[at : m.start()]), np.array([id_of[m.group()]], "<u4")]
             at = m.end()
-        return np.concatenate([*out, encoder.encode_to_numpy(text[at:])])
+        return np.concatenate([*out, plain(text[at:])])
 
     return ids
 

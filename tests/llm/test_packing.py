@@ -78,6 +78,23 @@ def test_added_tokens_are_those_of_tokenizers_at_its_defaults(spark):
     check(P.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect(), rows, plain)
 
 
+M = 1_200_000
+GAPS = [
+    " " * M + "x", "a" + " " * M, "\n" * M + "1", " \r\n\t" * (M // 4) + "!", "é" + "\u3000" * M + "ß" + " " * M + "\n." + "\x85" * M,
+    " " * M + "<|endoftext|>" + " " * M + "\nend", " " * 20_000 + "a" + "\n" * 20_000 + " b" + " " * M + " it's " + " " * 9_999 + "c", "\x1c" * M + " x",
+]
+
+
+def test_long_white_space(spark):
+    plain = Tokenizer.from_file(PATH)
+    ids_of = P.load_ids(PATH)
+    for t in GAPS:
+        assert ids_of(t).tolist() == plain.encode(t, add_special_tokens=False).ids
+    assert len(ids_of(" " * 6_000_000)) > 0
+    rows = [(0, GAPS[0]), (1, "one"), (2, GAPS[5])]
+    check(P.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect(), rows, plain)
+
+
 def test_sequences_hold_the_ids(spark, tokenizer):
     df = spark.createDataFrame([(1, "one two"), (2, "three"), (3, None)], "doc_id long, text string")
     seqs = P.sequences(P.pack_documents(df, PATH, with_ids=True)).collect()
