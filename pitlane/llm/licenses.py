@@ -1,7 +1,7 @@
 """License scan: canonical digest lookup.
 
-A text's canonical form is lower case, without copyright lines, with equivalent spellings
-made one and every run of other characters than letters and digits made a space. The md5 of
+A text's canonical form is lower case, without copyright notices and the addresses in them,
+with equivalent spellings made one and every run of other characters than letters and digits made a space. The md5 of
 a whole text's form, and of each of its lines', is hash-joined to the digests of the known
 licences; nothing is matched in part.
 
@@ -23,9 +23,29 @@ from pitlane.llm.license_texts import LICENSES
 
 BROADCAST_ROWS = 10_000
 
-#: (pattern, replacement) applied in order to lower-cased text. Lines stay apart by \n.
+#: Where a notice ends: at the line's end, or where a licence goes on in the same line.
+_ENDS = (
+    r"(permission (?:is hereby|is granted|to use)|redistribution and use|everyone (?:is permitted|may copy)|(?:licensed|released|distributed) under"
+    r"|this (?:software|program|library|file|work|product) (?:is|may)|(?:gnomovision|<program>) comes with|\n|\z)"
+)
+#: Words that go on with a sentence after "copyright" or after the list item "(c)"; a notice goes on with a holder.
+_SENTENCE = (
+    r"(?:(?:notice|holder|owner|law|license|licence|line|interest|permission|statement|disclaimer|right|act|claim|work)s?|ownership|doctrines|treaty"
+    r"|protect(?:ed|ion)|infring[a-z]+|patent|like|also|and|are|as|for|if|in|is|of|on|or|resulting|those|to|the (?:software|library|program))"
+)
+_ITEM = r"(?:you|under|representations|if|to|a|an|all|any|in|this|that|each|such|when|where|with|without|no|or|and|it|must|may|the licen)"
+
+#: (pattern, replacement) applied in order to lower-cased text. Lines stay apart by \n. Neither a
+#: sentence that a wrap makes begin with "copyright" nor the text behind a notice goes with it.
 RULES = (
-    (r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$", " "),
+    (r"\ball[ \t\n]+rights[ \t\n]+reserved\b(?: by [^\n.]*)?", " "),
+    (r"\b(?:51[ \t\n]+franklin|59[ \t\n]+temple|675[ \t\n]+mass)[^;]{0,80}?\busa\b|<https?://fsf\.org/>", " "),
+    (r"\bcopyright[ \t]*(?:\(c\)|©)[ \t\n]*_[_ \t\n]*", " "),
+    (r"\bcopyright[ \t,:]*(?:\(c\)|©|[0-9<\[{]|year\b)[^\n]*?" + _ENDS, " $1"),
+    (r"(?m)^[^\p{L}\p{N}\n]*(?:©|\(c\)[ \t]*(?:copyright\b|[0-9<\[{]))[^\n]*?" + _ENDS, " $1"),
+    (r"\bcopyright([^\p{L}\p{N}]+" + _SENTENCE + r"\b)", "copyrightx$1"),
+    (r"\(c\)([^\p{L}\p{N}]+" + _ITEM + ")", "cx$1"),
+    (r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\))[^\n]*?" + _ENDS, " $1"),
     (r"[^\p{L}\p{N}\n]+", " "),
     (r"\b(licen|defen|offen)ce", "$1se"),
     (r"(\p{L}{3})is(e|ed|es|ing|ation)\b", "$1iz$2"),

@@ -1,3 +1,6 @@
+import re
+import textwrap
+
 import pytest
 
 from pitlane.llm import licenses as L
@@ -17,6 +20,33 @@ def test_whole_texts_in_other_spellings(spark):
     assert found(spark, mit, british, british + " more", TEXTS["ISC"].replace("\n\n", "\n")) == [(0, "MIT", True, 1), (1, "MIT", True, 1), (3, "ISC", True, 1)]
 
 
+def wrapped(text, width):
+    """Paragraphs filled anew, but those that hold a notice."""
+    out = []
+    for p in re.split(r"\n[ \t]*\n", text):
+        notice = re.search(r"copyright\s*(\(c\)|[\[<])", p, re.IGNORECASE)
+        out.append(p if notice else textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False))
+    return "\n\n".join(out)
+
+
+def test_wrapping_does_not_matter(spark):
+    rows, want = [], []
+    for i, t in LICENSES:
+        for text in (*(wrapped(t, w) for w in range(60, 101, 5 if "\n" in t else 100)), " ".join(t.split())):
+            want.append((len(rows), i))
+            rows.append(text)
+    got = {(a, b) for a, b, whole, _ in found(spark, *rows) if whole}
+    assert [(i, rows[k][:60]) for k, i in want if (k, i) not in got] == []
+
+
+def test_only_notices_go(spark):
+    notices = ["Copyright (c) 2020 A B", "Copyright 2019-2021 The Authors", "© Some One", "(c) 2020 X", "Copyright [yyyy] [name]", "Copyright Some One", "Copyright (C) A\nCopyright (C) B\nAll rights reserved."]
+    body = TEXTS["ISC"].split("\n\n", 2)[2]
+    rows = [f"{n}\n\n{body}" for n in notices] + [body.replace("the above copyright notice", "the above\ncopyright notice"), body.replace("copyright notice", "copyright\nnotice"), "Copyright (c) 2020 A B " + body]
+    assert found(spark, *rows) == [(k, "ISC", True, 1) for k in range(len(rows))]
+    assert found(spark, body.replace("copyright notice", "notice")) == []
+
+
 def test_lines_count_as_units(spark):
     line = "Released under the MIT Licence."
     assert found(spark, f"prose\n{line}\nmore", line, f"x {line}", f"{line}\n  released UNDER the mit license\nLicensed under CC BY-NC 4.0") == [
