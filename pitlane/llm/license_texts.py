@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pkgutil
+import re
+
 _MIT = """MIT License
 
 Copyright (c) <year> <copyright holders>
@@ -71,6 +74,23 @@ def _without_title(text: str) -> str:
     return text.split("\n", 2)[2]
 
 
+#: Whole licences kept as files, ``texts/<identifier>.txt``.
+_FILES = (
+    "Apache-2.0", "Artistic-1.0-Perl", "BSL-1.0", "CC0-1.0", "GFDL-1.2-only", "GFDL-1.3-only", "GPL-1.0-only", "GPL-2.0-only", "GPL-3.0-only",
+    "LGPL-2.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-1.1", "MPL-2.0", "Unlicense",
+)
+
+
+def _file(name: str) -> str:
+    return pkgutil.get_data(__package__, f"texts/{name}.txt").decode("utf-8")
+
+
+def _with_and_without_appendix(text: str) -> list[str]:
+    """The text, and if it ends in an appendix on its use, also the text without that and without the line before it."""
+    terms = re.split(r"(?im)^[ \t]*(?:(?:appendix|addendum): )?how to (?:apply|use) th(?:e|ese|is) ", text)[0]
+    return list(dict.fromkeys([text, terms, re.sub(r"(?m)^ *END OF TERMS AND CONDITIONS\s*\Z", "", terms)]))
+
+
 #: (identifier, text): whole licences with and without a title, file notices and one-line notices.
 LICENSES: list[tuple[str, str]] = [
     ("MIT", _MIT), ("MIT", _without_title(_MIT)),
@@ -97,4 +117,6 @@ LICENSES: list[tuple[str, str]] = [
     *((f"CC-{kind.upper().replace(' ', '-')}-4.0", f"Licensed under CC {kind.upper()} 4.0") for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd")),
     *((f"CC-{kind.upper().replace(' ', '-')}-4.0", f"This work is licensed under CC {kind.upper()} 4.0") for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd")),
     ("CC0-1.0", "Licensed under CC0 1.0"),
+    *((name, text) for name in _FILES for text in _with_and_without_appendix(_file(name))),
+    ("BSD-3-Clause", _file("BSD-3-Clause-UC")),
 ]

@@ -26,12 +26,12 @@ BROADCAST_ROWS = 10_000
 #: Where a notice ends: at the line's end, or where a licence goes on in the same line.
 _ENDS = (
     r"(permission (?:is hereby|is granted|to use)|redistribution and use|everyone (?:is permitted|may copy)|(?:licensed|released|distributed) under"
-    r"|this (?:software|program|library|file|work|product) (?:is|may)|(?:gnomovision|<program>) comes with|\n|\z)"
+    r"|this (?:software|program|library|file|work|product) (?:is|may|comes)|(?:gnomovision|<program>) comes with|\n|\z)"
 )
 #: Words that go on with a sentence after "copyright" or after the list item "(c)"; a notice goes on with a holder.
 _SENTENCE = (
     r"(?:(?:notice|holder|owner|law|license|licence|line|interest|permission|statement|disclaimer|right|act|claim|work)s?|ownership|doctrines|treaty"
-    r"|protect(?:ed|ion)|infring[a-z]+|patent|like|also|and|are|as|for|if|in|is|of|on|or|resulting|those|to|the (?:software|library|program))"
+    r"|protect(?:ed|ion)|infring[a-z]+|patent|like|also|and|are|as|for|if|in|is|of|on|or|resulting|those|to|the[ \t\r\n]+(?:software|library|program))"
 )
 _ITEM = r"(?:you|under|representations|if|to|a|an|all|any|in|this|that|each|such|when|where|with|without|no|or|and|it|must|may|the licen)"
 
@@ -50,7 +50,7 @@ RULES = (
     (r"\b(licen|defen|offen)ce", "$1se"),
     (r"(\p{L}{3})is(e|ed|es|ing|ation)\b", "$1iz$2"),
     (r"(\p{L}{2})our(s|ed|able|ite)?\b", "$1or$2"),
-    (r"\b(sub|non|re) (licens|infring|distribut)", "$1$2"),
+    (r"\b(sub|non|re)[ \n]+(licens|infring|distribut)", "$1$2"),
     (r"\b(judg|acknowledg)ement", "$1ment"),
     (r"\bhttps\b", "http"),
     (r"(?m)^ +| +$", ""),

@@ -20,6 +20,16 @@ def test_whole_texts_in_other_spellings(spark):
     assert found(spark, mit, british, british + " more", TEXTS["ISC"].replace("\n\n", "\n")) == [(0, "MIT", True, 1), (1, "MIT", True, 1), (3, "ISC", True, 1)]
 
 
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "CC0-1.0", "GFDL-1.3", "Artistic"])
+def test_whole_texts_of_common_licences(spark, name):
+    with open(f"/usr/share/common-licenses/{name}") as f:
+        text = f.read()
+    ids = {"GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only", "GFDL-1.3": "GFDL-1.3-only", "Artistic": "Artistic-1.0-Perl"}
+    got = found(spark, text, text.upper(), text.split("END OF TERMS")[0], text[:-300])
+    whole = [(k, i) for k, i, w, _ in got if w]
+    assert whole == [(k, ids.get(name, name)) for k in ((0, 1, 2))] and not any(k == 3 and w for k, _, w, _ in got)
+
+
 def wrapped(text, width):
     """Paragraphs filled anew, but those that hold a notice."""
     out = []
