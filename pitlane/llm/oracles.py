@@ -84,3 +84,32 @@ WITH known AS (
 SELECT doc_id, license_id, bool_or(whole) AS whole, count(*) AS n_units
 FROM u JOIN known USING (form) WHERE form <> '' GROUP BY ALL
 """
+
+#: crc32 of a string's UTF-8 bytes: the table of the reflected polynomial, then a fold over the bytes.
+_CRC_TABLE = """
+SELECT list(v ORDER BY i) AS tab FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256) AS r(i)
+)"""
+
+
+def _crc32(text: str) -> str:
+    """The checksum of a text expression, beside a relation with the table ``tab``."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+OP12 = f"""
+WITH crc AS MATERIALIZED ({_CRC_TABLE}), d AS MATERIALIZED (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc32("coalesce(text, '')")} AS text_crc32
+  FROM documents, crc
+), c AS (
+  SELECT *, sum(size) OVER (o ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total, row_number() OVER o AS n
+  FROM d WINDOW o AS (ORDER BY doc_id NULLS FIRST, text_crc32, size)
+), s AS (
+  SELECT *, least(15, (2 * before + size) * 16 // (2 * total))::INTEGER AS shard FROM c
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  (row_number() OVER (PARTITION BY shard ORDER BY n) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM s
+"""

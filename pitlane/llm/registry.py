@@ -12,6 +12,7 @@ from pitlane.llm.packing import op4_best_fit_packing
 from pitlane.llm.pii import op5_pii_deobfuscation
 from pitlane.llm.quality_rules import op1_quality_rules
 from pitlane.llm.secrets import op10_secret_scan
+from pitlane.llm.sharding import op12_byte_shards
 from pitlane.llm.toxicity import op2_toxicity
 
 QUERIES = {
@@ -25,9 +26,11 @@ QUERIES = {
     "op8_license_digests": op8_license_digests,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op12_byte_shards": op12_byte_shards,
 }
 
 ORACLES = {
     "op1_quality_rules": oracles.OP1,
     "op8_license_digests": oracles.OP8,
+    "op12_byte_shards": oracles.OP12,
 }
