@@ -113,3 +113,77 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
   (row_number() OVER (PARTITION BY shard ORDER BY n) - 1)::BIGINT AS slot, NULL::INTEGER AS grown_shard
 FROM s
 """
+
+# Row by row over each conversation, for each of four states (nothing yet, after s, u, a) the cheapest
+# edits so far, the ASCII-least of equals, with the repaired rows.
+_FAR11 = "{'cost': 1000000000, 'audit': '', 'rows': ''}"
+
+
+def _with11(state: str, cost: str, letter: str, line: str = "''") -> str:
+    return f"{{'cost': {state}.cost + {cost}, 'audit': {state}.audit || {letter}, 'rows': {state}.rows || {line}}}"
+
+
+def _insert11(state: str, role: str) -> str:
+    return _with11(state, "5", "'I'", f"chr(10) || '{role}:'")
+
+
+_GO11 = [_with11(f"p{k}", "2", "'D'") for k in range(4)]
+_STAY11 = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+
+
+def _move11(state: str, initial: str, role: str) -> str:
+    """Keep or rerole the row from a state to a role; neither if it must go."""
+    kept = _with11(state, _STAY11, "'K'", "chr(10) || role || ':' || text")
+    changed = _with11(state, f"1 + {_STAY11}", "'R'", f"chr(10) || '{role}:' || text")
+    must_go = "fault IN ('blank', 'duplicate')"
+    return f"CASE WHEN {must_go} OR left(role, 1) <> '{initial}' THEN {_FAR11} ELSE {kept} END, CASE WHEN {must_go} THEN {_FAR11} ELSE {changed} END"
+
+
+OP11 = f"""
+WITH RECURSIVE crc AS MATERIALIZED ({_CRC_TABLE}), source AS MATERIALIZED (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations, crc
+), damaged AS MATERIALIZED (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM source, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END)
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), md5(length(role)::VARCHAR || ':' || role || text)) AS i,
+    regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS last
+  FROM damaged
+), faulty AS MATERIALIZED (
+  SELECT *, CASE WHEN last = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS neighbours
+  FROM placed
+), walk AS (
+  SELECT DISTINCT conv_id, 0 AS i, {{'cost': 0, 'audit': '', 'rows': ''}} AS s0, {_FAR11} AS s1, {_FAR11} AS s2, {_FAR11} AS s3 FROM faulty
+  UNION ALL
+  SELECT conv_id, i, list_min([{_GO11[0]}]), list_min([{_GO11[1]}, {_move11("p0", "s", "system").split(", CASE")[0]}]),
+    list_min([{_GO11[2]}, {_move11("p0", "u", "user")}, {_move11("p1", "u", "user")}, {_move11("p3", "u", "user")}]),
+    list_min([{_GO11[3]}, {_move11("p2", "a", "assistant")}])
+  FROM (
+    SELECT q.*, list_min([p3_, {_insert11("p2", "assistant")}]) AS p3
+    FROM (
+      SELECT f.conv_id, f.i, f.role, f.text, f.fault, w.s0 AS p0, w.s1 AS p1, w.s3 AS p3_,
+        list_min([w.s2, {_insert11("w.s0", "user")}, {_insert11("w.s1", "user")}, {_insert11("w.s3", "user")}]) AS p2
+      FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+    ) q
+  )
+), ended AS (
+  SELECT conv_id, list_min([s0, s3, {_insert11("s2", "assistant")}, {_with11("s1", "10", "'II'", "chr(10) || 'user:' || chr(10) || 'assistant:'")}]) AS best
+  FROM walk QUALIFY i = max(i) OVER (PARTITION BY conv_id)
+), counts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (neighbours NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.rows, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

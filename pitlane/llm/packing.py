@@ -74,9 +74,8 @@ def _encoder(path: str, pattern: str):
 
 
 @lru_cache(2)
-def load_ids(path: str) -> Callable[[str], np.ndarray]:
-    """The ids of a text as ``tokenizers`` gives them for the file at its defaults, without the
-    tokens its post-processor adds: an added token's string in a text is that token."""
+def load_plain_ids(path: str) -> Callable[[str], np.ndarray]:
+    """The ids of any text, in which the strings of added tokens are ordinary text."""
     encoder = load_encoder(path)
     piece = lru_cache(1)(lambda: _encoder(path, r"[\s\S]+"))  # takes a text as one piece
 
@@ -95,6 +94,14 @@ def load_ids(path: str) -> Callable[[str], np.ndarray]:
             at = end
         return np.concatenate([*out, encoder.encode_to_numpy(text[at:])])
 
+    return plain
+
+
+@lru_cache(2)
+def load_ids(path: str) -> Callable[[str], np.ndarray]:
+    """The ids of a text as ``tokenizers`` gives them for the file at its defaults, without the
+    tokens its post-processor adds: an added token's string in a text is that token."""
+    plain = load_plain_ids(path)
     with open(path, encoding="utf-8") as f:
         added = json.load(f)["added_tokens"]
     if any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in added):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pitlane.llm import oracles
+from pitlane.llm.alignment import op13_token_alignment
+from pitlane.llm.conversations import op11_conversation_repair
 from pitlane.llm.decontaminate import op7_decontamination
 from pitlane.llm.gam_quality import op6_quality_gam
 from pitlane.llm.jaccard_join import op3_jaccard_join
@@ -26,11 +28,14 @@ QUERIES = {
     "op8_license_digests": op8_license_digests,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_byte_shards": op12_byte_shards,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
     "op1_quality_rules": oracles.OP1,
     "op8_license_digests": oracles.OP8,
+    "op11_conversation_repair": oracles.OP11,
     "op12_byte_shards": oracles.OP12,
 }
