@@ -21,6 +21,7 @@ strings of special tokens are ordinary text.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -37,6 +38,9 @@ from pitlane.llm.packing import load_encoder, load_plain_ids
 
 #: Characters of text whose results make one output batch, about: bounds what a task holds.
 BATCH_CHARS = 1_000_000
+#: Words whose ids a worker remembers, and the longest of them.
+MAX_WORDS, MAX_WORD_CHARS = 200_000, 32
+_WORD = re.compile(" +[^ ]+| +$")
 _SPACE = "\u2581"  # the piece vocabulary's sign for a space (fixed value)
 
 
@@ -89,6 +93,10 @@ class Pair:
         encoder = load_encoder(path_a)
         self.encode_a = load_plain_ids(path_a)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        # If no piece goes on behind a word's end, words are encoded alone, and known ones once.
+        names = (self.pieces.id_to_piece(k) for k in range(self.pieces.vocab_size()))
+        self.by_words = not any(_SPACE in name.lstrip(_SPACE) for name in names)
+        self.words: dict[str, list[int]] = {}
         self.a_bytes = [self._bytes_a(encoder, k) for k in range(encoder.n_vocab)]
         self.b_bytes = [self._bytes_b(k) for k in range(self.pieces.vocab_size())]
         self.a_len = np.array([len(x) for x in self.a_bytes], "int64")
@@ -105,13 +113,29 @@ class Pair:
         piece = self.pieces.id_to_piece(k)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(k) else piece.replace(_SPACE, " ").encode()
 
+    def encode_b(self, text: str) -> list[int]:
+        """B's ids of a text, which adds a space before it."""
+        if not self.by_words or _SPACE in text:  # the sign itself may follow anything
+            return self.pieces.encode(text)
+        known, out = self.words, []
+        if len(known) > MAX_WORDS:
+            known.clear()
+        for word in _WORD.findall(f" {text}"):
+            ids = known.get(word)
+            if ids is None:
+                ids = self.pieces.encode(word[1:]) if len(word) > 1 else [self.pieces.piece_to_id(_SPACE)]
+                if len(word) <= MAX_WORD_CHARS:
+                    known[word] = ids
+            out += ids
+        return out
+
     def __call__(self, text: str | None) -> Alignment | None:
         """The alignment of both encodings of a space and the text; None if there are no tokens."""
         if not text:
             return None
         raw = f" {text}".encode()
         a = self.encode_a(f" {text}")
-        b = np.array(self.pieces.encode(text), "int64")  # adds the space itself
+        b = np.array(self.encode_b(text), "int64")
         if b"".join([self.a_bytes[k] for k in a.tolist()]) != raw or b"".join([self.b_bytes[k] for k in b.tolist()]) != raw:
             return None
         odd = irregular_groups(self.a_len[a].cumsum().tolist(), self.b_len[b].cumsum().tolist())
