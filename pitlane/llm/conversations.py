@@ -393,7 +393,7 @@ _DIGEST = [(c, pa.int64()) for c in (*_Digest.COUNTS, "least", "most", "distinct
 PIECE_CHARS = 1_000_000
 
 
-def _edit_digests(batches: Iterator[pa.RecordBatch], conv_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _edit_digests(batches: Iterator[pa.RecordBatch], conv_type: pa.DataType, piece_chars: int) -> Iterator[pa.RecordBatch]:
     """One row for a conversation that lies whole in the partition; else pieces in order, each with its
     repaired text in place of the hash."""
     columns = ["conv", "part", "at", "edit", "times", "role", "text", "turn", "source_role", "fault", "whole"]
@@ -412,7 +412,7 @@ def _edit_digests(batches: Iterator[pa.RecordBatch], conv_type: pa.DataType) ->
         for lo in range(0, b.num_rows, 512):
             some = b.slice(lo, 512)
             for row in zip(*(some.column(some.schema.get_field_index(c)).to_pylist() for c in columns)):
-                if digest is None or row[0] != conv or (not whole and chars > PIECE_CHARS):
+                if digest is None or row[0] != conv or (not whole and chars > piece_chars):
                     if digest is not None:
                         close(part)
                     conv, part, at, whole = row[0], row[1], row[2], row[10]
@@ -464,13 +464,13 @@ def _joined_digests(batches: Iterator[pa.RecordBatch], conv_type: pa.DataType) -
         yield done()
 
 
-def digests(edits: DataFrame) -> DataFrame:
+def digests(edits: DataFrame, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """One row for each conversation that has an edit: counts of faults, costs, turns, audit and
     the hash of the repaired rows."""
     kind = dict(edits.dtypes)["conv"]
     conv_type = edits.select("conv").limit(0).toArrow().schema.field("conv").type
     ddl = ", ".join(f"`{c}` {'long' if t == pa.int64() else 'string'}" for c, t in _DIGEST)
-    pieces = edits.mapInArrow(lambda batches: _edit_digests(batches, conv_type), f"conv {kind}, part long, at long, whole boolean, lines long, text string, {ddl}")
+    pieces = edits.mapInArrow(lambda batches: _edit_digests(batches, conv_type, piece_chars), f"conv {kind}, part long, at long, whole boolean, lines long, text string, {ddl}")
     pieces = materialize(pieces, "conversation-pieces")
     columns = ["conv", *(c for c, _ in _DIGEST)]
     over = pieces.where(~F.col("whole")).repartition("conv").sortWithinPartitions("conv", "part", "at")

@@ -1,0 +1,226 @@
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import duckdb
+import pytest
+
+from pitlane.llm import conversations as C
+from pitlane.llm import oracles
+
+from .llm_data import data
+
+COLUMNS = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+SCHEMA = "conv_id long, turn long, role string, text string"
+WELL = re.compile(r"(s?(ua)+)?")
+
+
+def every_edit(rows):
+    """The least (cost, audit) over all sequences of edits with at most two inserted rows."""
+    choices = []
+    for initial, cut, _ in rows:
+        go = [(2, "D", "")]
+        if initial is not None:
+            stay = 5 if cut else 0
+            go += [(stay, "K", initial or "?"), (1 + stay, "R", "u"), (1 + stay, "R", "a")]
+        choices.append(go)
+    gaps = range(len(rows) + 1)
+    inserts = [()] + [((g, x),) for g in gaps for x in "ua"]
+    inserts += [((g, x), (h, y)) for g in gaps for h in gaps if g <= h for x in "ua" for y in "ua"]
+    best = None
+    for picked in itertools.product(*choices):
+        for ins in inserts:
+            cost, audit, roles = 5 * len(ins), "", ""
+            for k in gaps:
+                for g, x in ins:
+                    if g == k:
+                        audit, roles = audit + "I", roles + x
+                if k < len(rows):
+                    cost, audit, roles = cost + picked[k][0], audit + picked[k][1], roles + picked[k][2]
+            if WELL.fullmatch(roles) and (best is None or (cost, audit) < best):
+                best = cost, audit
+    return best
+
+
+def walked(rows, state=0):
+    letters, cost = [[] for _ in range(len(rows) + 1)], 0
+    for letter, at, _ in C.walk(rows, C.END, state):
+        letters[at].append(letter)
+        cost += {"K": 0, "R": 1, "D": 2, "I": 5}[letter] + (5 if letter in "KR" and rows[at][1] else 0)
+    audit = ""
+    for (_, _, extra), part in itertools.zip_longest(rows, letters, fillvalue=(None, None, 0)):
+        audit += "".join(part) + "D" * extra
+        cost += 2 * extra
+    return cost, audit
+
+
+def some_rows(r, n):
+    return [(r.choice(["s", "u", "a", ""]), r.random() < 0.2, 0) if r.random() < 0.85 else (None, False, 1) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_walk_equals_every_sequence_of_edits(seed):
+    r = random.Random(seed)
+    rows = some_rows(r, r.randint(0, 4))
+    assert walked(rows) == every_edit(rows)
+
+
+def test_costs_are_those_of_the_walk_and_checkpoints_few():
+    rows = some_rows(random.Random(5), 10_000)
+    block, kept = C.checkpoints(rows, C.END)
+    assert block == 100 and len(kept) == 101
+    costs = C.END
+    for row in reversed(rows):
+        costs = C.before(row, costs)
+    assert kept[0] == costs and walked(rows)[0] == costs[0]
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_parts_connect(seed):
+    """Crossings and exits of parts give the walk of the whole."""
+    r = random.Random(seed)
+    rows = some_rows(r, 60)
+    cuts = sorted(r.sample(range(61), 3))
+    parts = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, 60])]
+    behind, costs = [], C.END
+    for part in reversed(parts):
+        behind.insert(0, costs)
+        costs = C.through(C.crossing(part), costs)
+    state, out, done = 0, [], 0
+    for k, part in enumerate(parts):
+        out += [(x, done + at, to) for x, at, to in C.walk(part, behind[k], state, last=k == len(parts) - 1)]
+        state, done = C.leaves(part, behind[k], state), done + len(part)
+    assert out == list(C.walk(rows, C.END, 0))
+
+
+def model(rows):
+    """The contract over the rows of a table, one conversation after another."""
+    text_of = lambda x: " " if x is None else str(x)
+    convs = {}
+    for conv, turn, role, text in rows:
+        kept = convs.setdefault(conv, [])
+        role, kind = text_of(role), zlib.crc32(f"{text_of(conv)}:{text_of(turn)}".encode()) % 20
+        text = {1: "", 2: re.sub("[.!?]", "", text_of(text))}.get(kind, text_of(text))
+        if kind == 4:
+            role = "user"
+        kept += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    for conv, kept in convs.items():
+        kept.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2][:64], hashlib.md5(f"{len(x[1])}:{x[1]}{x[2]}".encode()).hexdigest()))
+        seen, faults = set(), []
+        for _, role, text in kept:
+            body = text.strip(C.WHITE)
+            faults.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else None)
+            seen.add((role, text))
+        moves = {}
+        light = [C._row(role[:1], f, 1) for (_, role, _), f in zip(kept, faults)]
+        for letter, at, to in C.walk(light, C.END, 0):
+            moves.setdefault(at, []).append((letter, to))
+        audit, lines, cost = "", [], 0
+        for k in range(len(kept) + 1):
+            did = moves.get(k, [])
+            if k < len(kept) and light[k][0] is None:
+                did = [("D", None)]
+            for letter, to in did:
+                audit += letter
+                cost += {"K": 0, "R": 1, "D": 2, "I": 5}[letter] + (5 if letter in "KR" and faults[k] == "truncated" else 0)
+                if letter != "D":
+                    role = kept[k][1] if letter == "K" else {2: "user", 3: "assistant"}[to]
+                    lines.append(f"{role}:{'' if letter == 'I' else kept[k][2]}")
+        initials = [role[:1] for _, role, _ in kept]
+        turns = [t for t, _, _ in kept if t is not None]
+        yield (
+            conv, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *(faults.count(f) for f in ("blank", "duplicate", "truncated")),
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])), cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+
+
+def some_table(seed, convs=40):
+    r = random.Random(seed)
+    out = []
+    for conv in [None, *range(convs)]:
+        for turn in range(r.randint(1, 12)):
+            turn = r.choice([turn, turn, turn, turn * 2, None])
+            role = r.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None])
+            out.append((conv, turn, role, r.choice(["Yes.", "No", "Why?", " \n", "", None, "Ok! \t", f"Text {r.randint(0, 3)}."])))
+    return out
+
+
+def write(spark, tmp_path, rows, extra=("'x' AS part", "1 AS times", "'y' AS digest")):
+    path = str(tmp_path / "sf")
+    spark.createDataFrame(rows, SCHEMA).selectExpr("*", *extra).repartition(4).write.parquet(f"{path}/conversations.parquet")
+    return path
+
+
+def result(spark, path):
+    return sorted((tuple(r) for r in C.op11_conversation_repair(spark, path).select(COLUMNS).collect()), key=repr)
+
+
+def sql(path):
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select conv_id, turn, role, text from '{path}'")
+    return sorted(con.execute(oracles.OP11).fetchall(), key=repr)
+
+
+def test_query_equals_its_sql(spark):
+    got = C.op11_conversation_repair(spark, "/root/testdata/sf0.01")
+    assert got.columns == COLUMNS
+    assert result(spark, "/root/testdata/sf0.01") == sql(data("sf0.01", "conversations"))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_tables_with_nulls_and_ties(spark, tmp_path, seed):
+    rows = some_table(seed)
+    path = write(spark, tmp_path, rows)
+    want = sorted(model(rows), key=repr)
+    assert result(spark, path) == want == sql(f"{path}/conversations.parquet/*.parquet")
+
+
+def test_a_conversation_over_many_partitions(spark, tmp_path):
+    r = random.Random(3)
+    long = [(7, k, r.choice(["user", "assistant", "user", "system"]), r.choice(["Yes.", f"Text {k}.", "no end", " ", f"Part {k % 50}!"])) for k in range(4000)]
+    copies = [(8, 1, "user", "Same.")] * 2000
+    rows = long + copies + some_table(9)
+    path = write(spark, tmp_path, rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edits = C.repair(C.damaged(spark.read.parquet(f"{path}/conversations.parquet")))
+        parts = {r.part for r in edits.where("conv = 7").select("part").distinct().collect()}
+        got = result(spark, path)
+        whole = C.digests(edits).collect()
+        in_pieces = C.digests(edits, piece_chars=200).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) > 3 and sorted(map(repr, whole)) == sorted(map(repr, in_pieces))
+    assert got == sorted(model(rows), key=repr)
+
+
+def test_repaired_rows_are_well_formed(spark, tmp_path):
+    rows = some_table(4)
+    turns = spark.createDataFrame(rows, SCHEMA)
+    left = {}
+    for r in sorted(C.repaired(C.repair(turns)).collect(), key=lambda r: (r.part, r.at)):
+        left.setdefault(r.conv, []).append(r)
+    assert left and all(WELL.fullmatch("".join(r.role[:1] for r in part)) for part in left.values())
+    assert all(r.text is not None for part in left.values() for r in part)
+
+
+def test_all_rows_dropped_empty_table_and_a_very_long_text(spark, tmp_path):
+    gone = next(k for k in range(1000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
+    kept = next(k for k in range(1000) if zlib.crc32(f"{k}:0".encode()) % 20 > 4)
+    rows = [(gone, 0, "user", "Hi."), (kept, 0, "user", "word " * 400_000 + ".")]
+    path = write(spark, tmp_path, rows)
+    got = result(spark, path)
+    assert got == sorted(model(rows), key=repr)
+    assert [r for r in got if r[0] == gone] == [(gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+    empty = str(tmp_path / "none")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{empty}/conversations.parquet")
+    assert result(spark, empty) == []
+
+
+def test_other_key_types(spark):
+    rows = [("b", 1.5, "user", "Hi."), ("b", 2.5, "assistant", "Ho."), ("a", 0.5, "assistant", "No.")]
+    turns = spark.createDataFrame(rows, "c string, t double, r string, x string")
+    got = {(r.conv, r.edit) for r in C.repair(turns, "c", "t", "r", "x").collect()}
+    assert got == {("b", "K"), ("a", "D")}
