@@ -294,7 +294,8 @@ WHERE p.pit_in_us IS NOT NULL"""
 TIMING = {
     "w1_cumulative_time": _CUM + "SELECT session_id, driver, lap_number, cum_ms FROM rcum",
     "w2_w3_gaps": _CUM + "SELECT * FROM rgaps",
-    "w4_n3_pitstops": _W4_BODY,
+    # Materialised, so that a statement around it cannot unfold it again.
+    "w4_n3_pitstops": ",\nw4 AS MATERIALIZED (" + _W4_BODY + ")\nSELECT * FROM w4",
     "n1_laps_simple": f"""
 SELECT r.session_id, d.driver_id, CAST(r.lap_number AS INT) AS lap_number, CAST(r.stint AS INT) AS stint_id,
        r.compound, {_ms_trunc('r.lap_time_us')} AS lap_time_ms, {_ms_trunc('r.sector1_us')} AS sector1_ms,
@@ -359,7 +360,7 @@ FROM latest u WHERE u.driver_code NOT IN (SELECT driver_code FROM old)""",
 SELECT trim(team) AS team_name FROM drivers WHERE trim(coalesce(team, '')) <> ''
 UNION
 SELECT team_any FROM res WHERE team_any <> ''""",
-    "u4_upsert_laps": _CUM + ",\nn2 AS (" + _N2_BODY + """)
+    "u4_upsert_laps": _CUM + ",\nn2 AS MATERIALIZED (" + _N2_BODY + """)
 SELECT * FROM n2
 UNION ALL
 SELECT l.* REPLACE (CASE WHEN lap_number % 3 = 0 THEN 'OLD' ELSE compound END AS compound) FROM laps l
@@ -544,6 +545,55 @@ WHERE i.session_type = 'Race'
 GROUP BY d.full_name, i.new_id""",
 }
 
+# ---- X5: weather and stops (as-of join and all pairs where Spark cuts time into buckets) ----
+
+_WEATHER = """,
+weather AS (
+  SELECT CAST((user_id % 7 + 2) * 100 + (user_id // 7 % 5 + 1) * 10 + CASE event_type WHEN 'error' THEN 2 ELSE 1 END AS INT) AS session_id,
+         CASE WHEN event_id % 50 <> 0 THEN epoch_us(ts) // 10000000 % 100 * 10000 + 100000 END AS at_ms,
+         event_id AS sample, value AS track_temp, event_type = 'purchase' AS rainfall,
+         CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) AS wind
+  FROM events
+)"""
+_LAP_WEATHER = _CUM + _WEATHER + """,
+latest AS (
+  SELECT session_id, at_ms, max_by(sample, sample) AS sample, arg_max(track_temp, sample) AS track_temp,
+         arg_max(rainfall, sample) AS rainfall, arg_max(wind, sample) AS wind
+  FROM weather WHERE at_ms IS NOT NULL GROUP BY session_id, at_ms
+),
+lap_weather AS MATERIALIZED (
+  SELECT r.session_id, r.driver, r.lap_number, r.stint, r.compound, r.lap_time_us, c.cum_ms, w.at_ms, w.sample, w.track_temp, w.rainfall, w.wind
+  FROM raw_laps r JOIN rcum c ON c.session_id = r.session_id AND c.driver = r.driver AND c.lap_number = r.lap_number
+  ASOF LEFT JOIN latest w ON w.session_id = c.session_id AND w.at_ms <= c.cum_ms
+)"""
+_STOPS = _CUM + """,
+stops AS MATERIALIZED (
+  SELECT p.session_id, p.driver, CAST(p.lap_number AS INT) AS lap_number, CAST(p.position AS INT) AS position, c.cum_ms AS from_ms,
+         c.cum_ms + CAST(round_even((coalesce(p.pit_out_us, n.pit_out_us) - p.pit_in_us) / 1000.0, 0) AS BIGINT) AS to_ms
+  FROM raw_laps p JOIN rcum c ON c.session_id = p.session_id AND c.driver = p.driver AND c.lap_number = p.lap_number
+  LEFT JOIN raw_laps n ON n.session_id = p.session_id AND n.driver = p.driver AND n.lap_number = p.lap_number + 1
+  WHERE p.pit_in_us IS NOT NULL
+)"""
+
+RACE = {
+    "x5_lap_weather": _LAP_WEATHER + "\nSELECT * FROM lap_weather",
+    "x5_weather_pace": _LAP_WEATHER + """
+SELECT session_id, compound, rainfall, count(*) AS laps, avg(lap_time_us) AS avg_lap_us, max(wind) AS max_wind
+FROM lap_weather WHERE at_ms IS NOT NULL AND lap_time_us IS NOT NULL GROUP BY ALL""",
+    "x5_pit_traffic": _STOPS + """
+SELECT a.*, CASE WHEN a.to_ms > a.from_ms THEN (SELECT count(*) FROM stops b WHERE b.session_id = a.session_id AND b.to_ms > b.from_ms
+    AND b.from_ms < a.to_ms AND a.from_ms < b.to_ms) - 1 END AS others
+FROM stops a""",
+    "x5_pit_battles": _STOPS + """
+SELECT b.session_id, b.position - 1 AS place, b.driver AS behind, b.lap_number AS behind_lap, a.driver AS ahead, a.lap_number AS ahead_lap,
+       CASE WHEN b.from_ms < a.from_ms THEN 'undercut' WHEN b.from_ms > a.from_ms THEN 'overcut' ELSE 'together' END AS kind,
+       greatest(least(a.to_ms, b.to_ms) - greatest(a.from_ms, b.from_ms), 0) AS both_in_ms, y.position < x.position AS gained
+FROM stops b JOIN stops a ON a.session_id = b.session_id AND a.position = b.position - 1
+  AND a.from_ms < a.to_ms AND b.from_ms < b.to_ms AND a.from_ms < b.to_ms + 30000 AND b.from_ms < a.to_ms + 30000
+LEFT JOIN raw_laps x ON x.session_id = a.session_id AND x.driver = a.driver AND x.lap_number = greatest(a.lap_number, b.lap_number) + 1
+LEFT JOIN raw_laps y ON y.session_id = b.session_id AND y.driver = b.driver AND y.lap_number = greatest(a.lap_number, b.lap_number) + 1""",
+}
+
 SQL: dict[str, str] = {}
 SQL.update(VIEWS_A)
 SQL.update(VIEWS_B)
@@ -552,12 +602,14 @@ SQL.update(INGEST)
 SQL.update(STRATEGY)
 SQL.update(QUALITY)
 SQL.update(MORE)
+SQL.update(RACE)
 SQL.update(LANDING)
 # An order is no part of a set of rows: the tests hold it.
 SQL["l1_ordered_pitstops"] = SQL["vb8_pitstops"]
 SQL["l2_ordered_bars"] = SQL["g1_strategy_bars"]
 # Forced plans answer the same questions.
-for _name in ("va4_driver_avg_laptime", "vb3_stint_summary", "w1_cumulative_time", "w2_w3_gaps", "w4_n3_pitstops", "u4_upsert_laps"):
+for _name in ("va4_driver_avg_laptime", "vb3_stint_summary", "w1_cumulative_time", "w2_w3_gaps", "w4_n3_pitstops", "u4_upsert_laps",
+              "x5_lap_weather"):
     SQL[_name + "_forced"] = SQL[_name]
 # Registered v_session_summary read back through spark.sql: the VB7 result.
 SQL["s9_sql_view"] = SQL["vb7_session_summary"]

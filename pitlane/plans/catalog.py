@@ -18,7 +18,7 @@ from pitlane.config import materialize, new_output_dir
 from pitlane.functions.cleanse import clean, duration_text_to_us
 from pitlane.operators.filters import past_events
 from pitlane.operators import integrity, quality, ranking, timing, upsert
-from pitlane.plans import ingest, strategy, views
+from pitlane.plans import ingest, race, strategy, views
 from pitlane.schemas import LAPS, WAREHOUSE
 from pitlane.sources.fixtures import warehouse
 from pitlane.sources import landing
@@ -237,6 +237,27 @@ def _x4(spark, sf_dir):
     return upsert.read_table(spark, f"{out}/laps", LAPS)
 
 
+def _x5_weather(**path) -> Query:
+    def run(spark, sf_dir):
+        wh = warehouse(spark, sf_dir)
+        return race.enrich_weather(wh.raw_laps, wh.weather, **path)
+
+    return run
+
+
+def _x5_pace(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    return race.weather_pace(wh.raw_laps, wh.weather)
+
+
+def _x5_traffic(spark, sf_dir):
+    return race.pit_traffic(warehouse(spark, sf_dir).raw_laps)
+
+
+def _x5_battles(spark, sf_dir):
+    return race.pit_battles(warehouse(spark, sf_dir).raw_laps)
+
+
 def _s2(spark, sf_dir):
     return ingest.results_to_drivers(warehouse(spark, sf_dir).raw_results)
 
@@ -410,6 +431,11 @@ QUERIES: dict[str, Query] = {
     "x1_outlier_filter": _x1,
     "x2_standardise": _x2,
     "x4_stream_ingest": _x4,
+    "x5_lap_weather": _x5_weather(),
+    "x5_lap_weather_forced": _x5_weather(max_group_rows=3),
+    "x5_weather_pace": _x5_pace,
+    "x5_pit_traffic": _x5_traffic,
+    "x5_pit_battles": _x5_battles,
     "s2_driver_results": _s2,
     "u7_session_ids": _u7,
     "w5_driver_rows": _w5,

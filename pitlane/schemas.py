@@ -102,6 +102,16 @@ SCHEDULE = _struct(
     ("event_date", T.TimestampNTZType(), True),
 )
 
+# Weather samples: milliseconds on the session's clock, and which sample of a time is the later.
+WEATHER = _struct(
+    ("session_id", I, True),
+    ("at_ms", L, True),
+    ("sample", L, True),
+    ("track_temp", D, True),
+    ("rainfall", T.BooleanType(), True),
+    ("wind", I, True),
+)
+
 # Laps as they land: the session by its natural key, ids unknown.
 LANDED_LAPS = T.StructType([
     T.StructField("year", I, False),
@@ -119,4 +129,4 @@ WAREHOUSE = {
     "pitstops": PITSTOPS,
 }
 
-LANDING = {"raw_laps": RAW_LAPS, "landed_laps": LANDED_LAPS, "raw_results": RAW_RESULTS, "schedule": SCHEDULE}
+LANDING = {"raw_laps": RAW_LAPS, "landed_laps": LANDED_LAPS, "raw_results": RAW_RESULTS, "schedule": SCHEDULE, "weather": WEATHER}

@@ -38,6 +38,7 @@ LAP_BASE_MS, LAP_STEP_MS, LAP_BUCKETS = 80000, 97, 50
 GAP_STEP_MS, AHEAD_STEP_US, PIT_LAP_US = 1371, 137000, 90000000
 UNRACED_SESSION = (9991, 2002, "UNRACED", "Race", 0)
 NO_TIME_SORT_MS = 2000000000
+WEATHER_FROM_MS, WEATHER_SLOT_MS, WEATHER_SLOTS = 100000, 10000, 100
 SEQ_STEP = 1000000  # the frame holds a car's laps together, in order
 
 _LAP_ORDER = [
@@ -219,6 +220,24 @@ def schedule_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weather_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather samples on the sessions' clocks out of the events: a user's events belong to one track
+    and year, and their time falls into 10-second slots, so samples tie; every fiftieth has no time."""
+    ev = _read(spark, sf_dir, "events")
+    # The stored time is without zone: counted from an epoch without zone, whatever the session's.
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz"))
+    slot = F.floor(us / (WEATHER_SLOT_MS * 1000)) % WEATHER_SLOTS
+    user = F.col("user_id")
+    return ev.select(
+        ((user % 7 + 2) * 100 + (F.floor(user / 7) % 5 + 1) * 10 + F.when(F.col("event_type") == "error", 2).otherwise(1)).cast("int").alias("session_id"),
+        F.when(F.col("event_id") % 50 != 0, slot * WEATHER_SLOT_MS + WEATHER_FROM_MS).cast("long").alias("at_ms"),
+        F.col("event_id").cast("long").alias("sample"),
+        F.col("value").cast("double").alias("track_temp"),
+        (F.col("event_type") == "purchase").alias("rainfall"),
+        F.get_json_object("props", "$.k").cast("int").alias("wind"),
+    )
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Written fixture tables. They are write-once, so each table's DataFrame
@@ -241,6 +260,7 @@ class Warehouse:
     raw_results = property(lambda self: self.table("raw_results"))
     landed_laps = property(lambda self: self.table("landed_laps"))
     schedule = property(lambda self: self.table("schedule"))
+    weather = property(lambda self: self.table("weather"))
 
 
 def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
@@ -259,6 +279,7 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
         "sessions": sessions_from(spark, sf_dir, src),
         "raw_results": raw_results_from(src, drivers),
         "schedule": schedule_from(spark, sf_dir),
+        "weather": weather_from(spark, sf_dir),
     }
     # Independent write jobs, submitted together so their tasks share the cores.
     with ThreadPoolExecutor(max_workers=len(derived)) as pool:
@@ -287,8 +308,8 @@ def _build_id(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-TABLES = ("sessions", "drivers", "laps", "raw_laps", "landed_laps", "raw_results", "schedule")
-SOURCES = ("lineitem", "orders", "supplier", "nation", "region")
+TABLES = ("sessions", "drivers", "laps", "raw_laps", "landed_laps", "raw_results", "schedule", "weather")
+SOURCES = ("lineitem", "orders", "supplier", "nation", "region", "events")
 
 
 def _finished_build(spark: SparkSession, pointer: str) -> str | None:
