@@ -21,7 +21,6 @@ strings of special tokens are ordinary text.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -38,9 +37,8 @@ from pitlane.llm.packing import load_encoder, load_plain_ids
 
 #: Characters of text whose results make one output batch, about: bounds what a task holds.
 BATCH_CHARS = 1_000_000
-#: Words whose ids a worker remembers, and the longest of them.
-MAX_WORDS, MAX_WORD_CHARS = 200_000, 32
-_WORD = re.compile(" +[^ ]+| +$")
+#: Ends compared at first; the step doubles while they agree.
+FIRST_STEP = 8
 _SPACE = "\u2581"  # the piece vocabulary's sign for a space (fixed value)
 
 
@@ -53,34 +51,38 @@ class Alignment(NamedTuple):
     b_sizes: np.ndarray
 
 
-def irregular_groups(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int, int]]:
-    """(group, A tokens, B tokens) of the groups that are not one to one. The ends rise strictly
-    and the last ones are equal."""
-    out = []
-    i = j = group = 0  # all before i, j and group is done; the shift is j - i
-    n = len(ends_a)
-    while i < n:
-        step = 1
-        while ends_a[i : i + step] == ends_b[j : j + step]:  # a stretch of one-to-one groups
-            if i + step >= n:  # the last ends are equal, so both sides end here
+def irregular_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> list[tuple[int, int, int]]:
+    """(group, A tokens, B tokens) of the groups that are not one to one. The ends (int64) rise
+    strictly and the last ones are equal."""
+    wide = 8  # bytes of an end: stretches are compared as bytes
+    raw_a, raw_b = ends_a.tobytes(), ends_b.tobytes()
+    a_list, b_list = ends_a.tolist(), ends_b.tolist()
+    out, size = [], len(raw_a)
+    i = j = spared = 0  # all before i and j is done; the shift is j - i; groups are i - spared
+    while i * wide < size:
+        x, y, step = i * wide, j * wide, FIRST_STEP * wide
+        while raw_a[x : x + step] == raw_b[y : y + step]:  # a stretch of one-to-one groups
+            x, y = x + step, y + step
+            if x >= size:  # the last ends are equal, so both sides end here
                 return out
-            i, j, group = i + step, j + step, group + step
             step *= 2
-        while step > 1:  # the first difference is in this step: halve to it
+        while step > wide:  # the first difference is in this step: halve to it
             step >>= 1
-            if ends_a[i : i + step] == ends_b[j : j + step]:
-                i, j, group = i + step, j + step, group + step
+            if raw_a[x : x + step] == raw_b[y : y + step]:
+                x, y = x + step, y + step
+        i, j = x // wide, y // wide
         x, y = i, j
-        a, b = ends_a[x], ends_b[y]
+        a, b = a_list[x], b_list[y]
         while a != b:
             if a < b:
                 x += 1
-                a = ends_a[x]
+                a = a_list[x]
             else:
                 y += 1
-                b = ends_b[y]
-        out.append((group, x + 1 - i, y + 1 - j))
-        i, j, group = x + 1, y + 1, group + 1
+                b = b_list[y]
+        out.append((i - spared, x + 1 - i, y + 1 - j))
+        spared += x - i
+        i, j = x + 1, y + 1
     return out
 
 
@@ -93,10 +95,6 @@ class Pair:
         encoder = load_encoder(path_a)
         self.encode_a = load_plain_ids(path_a)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        # If no piece goes on behind a word's end, words are encoded alone, and known ones once.
-        names = (self.pieces.id_to_piece(k) for k in range(self.pieces.vocab_size()))
-        self.by_words = not any(_SPACE in name.lstrip(_SPACE) for name in names)
-        self.words: dict[str, list[int]] = {}
         self.a_bytes = [self._bytes_a(encoder, k) for k in range(encoder.n_vocab)]
         self.b_bytes = [self._bytes_b(k) for k in range(self.pieces.vocab_size())]
         self.a_len = np.array([len(x) for x in self.a_bytes], "int64")
@@ -113,37 +111,26 @@ class Pair:
         piece = self.pieces.id_to_piece(k)
         return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(k) else piece.replace(_SPACE, " ").encode()
 
-    def encode_b(self, text: str) -> list[int]:
-        """B's ids of a text, which adds a space before it."""
-        if not self.by_words or _SPACE in text:  # the sign itself may follow anything
-            return self.pieces.encode(text)
-        known, out = self.words, []
-        if len(known) > MAX_WORDS:
-            known.clear()
-        for word in _WORD.findall(f" {text}"):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.pieces.encode(word[1:]) if len(word) > 1 else [self.pieces.piece_to_id(_SPACE)]
-                if len(word) <= MAX_WORD_CHARS:
-                    known[word] = ids
-            out += ids
-        return out
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """A's and B's ids of a space and a text; None if B's do not spell it (A's, over bytes, spell any)."""
+        b = self.pieces.encode(text)  # adds the space itself
+        text = f" {text}"
+        if b"".join(map(self.b_bytes.__getitem__, b)) != text.encode():
+            return None
+        return self.encode_a(text).astype("<i4"), np.array(b, "<i4")
 
     def __call__(self, text: str | None) -> Alignment | None:
         """The alignment of both encodings of a space and the text; None if there are no tokens."""
-        if not text:
-            return None
-        raw = f" {text}".encode()
-        a = self.encode_a(f" {text}")
-        b = np.array(self.encode_b(text), "int64")
-        if b"".join([self.a_bytes[k] for k in a.tolist()]) != raw or b"".join([self.b_bytes[k] for k in b.tolist()]) != raw:
+        ids = self.encode(text) if text else None
+        if ids is None:
             return None
-        odd = irregular_groups(self.a_len[a].cumsum().tolist(), self.b_len[b].cumsum().tolist())
+        a, b = ids
+        odd = irregular_groups(self.a_len[a].cumsum(), self.b_len[b].cumsum())
         at, in_a, in_b = np.array(odd, "int64").reshape(-1, 3).T
         groups = len(a) - int((in_a - 1).sum())
         a_sizes, b_sizes = np.ones(groups, "int32"), np.ones(groups, "int32")
         a_sizes[at], b_sizes[at] = in_a, in_b
-        return Alignment(a.astype("int32"), b.astype("int32"), a_sizes, b_sizes)
+        return Alignment(a, b, a_sizes, b_sizes)
 
 
 @lru_cache(2)  # one for each worker process, not for each task
