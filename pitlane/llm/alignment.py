@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pitlane.config import new_output_dir
-from pitlane.llm.common import table, texts_of
+from pitlane.llm.common import bounded_batches, table, texts_of
 from pitlane.llm.packing import load_encoder, load_plain_ids
 
 #: Characters of text whose results make one output batch, about: bounds what a task holds.
@@ -161,6 +161,7 @@ def aligned(
     keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """The kept columns of each document with what ``view`` makes of its alignment (``fields``)."""
+    bounded_batches(docs.sparkSession)
     src = docs.select(*keep, docs[text].cast("string").alias("__align_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

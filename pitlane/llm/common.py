@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pitlane.config import materialize
 
-__all__ = ["fold", "labelled_sample", "let", "materialize", "parts_for", "sigmoid", "table", "text_column", "texts_of", "whole_groups"]
+__all__ = ["bounded_batches", "fold", "labelled_sample", "let", "materialize", "parts_for", "sigmoid", "table", "text_column", "texts_of", "whole_groups"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch on its way to or from Python, about: whole texts make batches bounded by rows alone too large.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Bound the session's Arrow batches by bytes; a smaller bound that the session has stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(key).removesuffix("b"))
+    if not 0 < now <= most:
+        spark.conf.set(key, str(most))
+
+
 def fold(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``: the fold a document belongs to."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.config import shared_dir
-from pitlane.llm.common import materialize, table
+from pitlane.llm.common import bounded_batches, materialize, table
 
 KEEP, REROLE, DELETE, INSERT = "K", "R", "D", "I"
 RE_COST, DEL_COST, INS_COST, CUT_COST = 1, 2, 5, 5
@@ -273,6 +273,7 @@ def repair(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
     """The edits of every conversation, in order of (part, at): edit (K, R, D or I), times, the
     repaired row's role and text (null if deleted), the original row's turn, source_role and
     fault (null if inserted), and whether the conversation lies whole in one part."""
+    bounded_batches(turns.sparkSession)
     rows = ordered_rows(turns, conv, turn, role, text)
     kinds = dict(rows.dtypes)
     sent = turns.sparkSession.sparkContext.broadcast(_connected(rows, kinds["conv"]))

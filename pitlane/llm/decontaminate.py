@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import parts_for, table, texts_of
+from pitlane.llm.common import bounded_batches, parts_for, table, texts_of
 
 #: Edits allowed per character of the normalised item.
 ERROR_RATE = 0.07
@@ -166,8 +166,9 @@ def matches(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text: str = "text") -> DataFrame:
     """The documents in which no item stands: one pass over the rows for each block of items,
-    without a join or a shuffle."""
+    without a join or a shuffle, in batches bounded by bytes."""
     context = docs.sparkSession.sparkContext
+    bounded_batches(docs.sparkSession)
     for items in _blocks(benchmark):
         sent = context.broadcast(items)
 
