@@ -594,6 +594,27 @@ LEFT JOIN raw_laps x ON x.session_id = a.session_id AND x.driver = a.driver AND
 LEFT JOIN raw_laps y ON y.session_id = b.session_id AND y.driver = b.driver AND y.lap_number = greatest(a.lap_number, b.lap_number) + 1""",
 }
 
+# ---- X4: what the streams must have kept ------------------------------------
+
+_KEY = "session_id || '/' || driver || '/' || seq"
+
+STREAMS = {
+    "x4_messages": f"""
+SELECT {_KEY} AS key, CASE WHEN seq % 97 = 0 OR (seq % 79 = 3) THEN 'corrupt' WHEN seq % 83 = 2 THEN 'no identity' END AS reason,
+       CASE WHEN reason IS NULL THEN lap_number END AS lap_number, CASE WHEN reason IS NULL THEN lap_time_us END AS lap_time_us,
+       CASE WHEN reason IS NULL THEN compound END AS compound,
+       CASE WHEN reason IS NULL THEN CASE WHEN seq % 89 = 1 THEN 'sensor' ELSE '' END END AS unknown
+FROM raw_laps""",
+    "x4_deduplicated": f""",
+sent AS (SELECT {_KEY} AS key, seq % 1000000 AS lap, seq // 1000000 % 10 AS car FROM raw_laps)
+SELECT key, CASE WHEN lap = 2 AND car = 3 THEN 'late' ELSE 'accepted' END AS status,
+       CASE WHEN lap IN (4, 8) AND car = 1 THEN 2 ELSE 1 END AS landed
+FROM sent""",
+    "x4_results_join": """
+SELECT l.session_id, l.driver, l.seq, r.team_name
+FROM raw_laps l LEFT JOIN raw_results r ON r.session_id = l.session_id AND trim(r.abbreviation) = l.driver""",
+}
+
 SQL: dict[str, str] = {}
 SQL.update(VIEWS_A)
 SQL.update(VIEWS_B)
@@ -603,6 +624,7 @@ SQL.update(STRATEGY)
 SQL.update(QUALITY)
 SQL.update(MORE)
 SQL.update(RACE)
+SQL.update(STREAMS)
 SQL.update(LANDING)
 # An order is no part of a set of rows: the tests hold it.
 SQL["l1_ordered_pitstops"] = SQL["vb8_pitstops"]
@@ -615,6 +637,8 @@ for _name in ("va4_driver_avg_laptime", "vb3_stint_summary", "w1_cumulative_time
 SQL["s9_sql_view"] = SQL["vb7_session_summary"]
 # The streaming ingest must land exactly what the batch ingest (N2) computes.
 SQL["x4_stream_ingest"] = SQL["n2_laps_full"]
+# And so must the timing from state.
+SQL["x4_stateful_timing"] = SQL["n2_laps_full"]
 
 
 def oracle_sql() -> dict[str, str]:

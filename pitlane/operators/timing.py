@@ -251,16 +251,19 @@ def normalise_laps(raw: DataFrame, drivers: DataFrame, fill_gaps: bool = False,
     """
     if fill_gaps:
         src = with_gaps(raw, max_group_rows)
-        rounding = "round"
-        gap = F.col("gap_to_leader_ms").cast("int").alias("gap_to_leader_ms")
-        ivl = F.col("interval_to_next_ms").cast("int").alias("interval_to_next_ms")
-    else:
-        src = raw
-        rounding = "truncate"
-        gap = to_ms("gap_to_leader_us", rounding).cast("int").alias("gap_to_leader_ms")
-        ivl = to_ms("interval_to_ahead_us", rounding).cast("int").alias("interval_to_next_ms")
-    known, rejected = resolve_driver(src, drivers)
-    return known.select(*_lap_columns(known, rounding), gap, ivl, *(["seq"] if keep_seq else [])), rejected.select(*raw.columns)
+        _, rejected = resolve_driver(src, drivers)
+        return warehouse_laps(src, drivers, keep_seq), rejected.select(*raw.columns)
+    gap = to_ms("gap_to_leader_us", "truncate").cast("int").alias("gap_to_leader_ms")
+    ivl = to_ms("interval_to_ahead_us", "truncate").cast("int").alias("interval_to_next_ms")
+    known, rejected = resolve_driver(raw, drivers)
+    return known.select(*_lap_columns(known, "truncate"), gap, ivl, *(["seq"] if keep_seq else [])), rejected.select(*raw.columns)
+
+
+def warehouse_laps(timed: DataFrame, drivers: DataFrame, keep_seq: bool = False) -> DataFrame:
+    """Raw laps with their gaps (``with_gaps``) as warehouse rows, rounded; unknown drivers dropped."""
+    known, _ = resolve_driver(timed, drivers)
+    gaps = [F.col(c).cast("int").alias(c) for c in ("gap_to_leader_ms", "interval_to_next_ms")]
+    return known.select(*_lap_columns(known, "round"), *gaps, *(["seq"] if keep_seq else []))
 
 
 def normalise_pitstops(raw: DataFrame, drivers: DataFrame, keep_seq: bool = False,

@@ -23,7 +23,9 @@ from pitlane.schemas import LAPS, WAREHOUSE
 from pitlane.sources.fixtures import warehouse
 from pitlane.sources import landing
 from pitlane.sources.landing import read_view, register_views
+from pitlane.streaming import live_timing, messages
 from pitlane.streaming.lap_stream import stream_laps
+from pitlane.streaming.settings import state_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -237,6 +239,99 @@ def _x4(spark, sf_dir):
     return upsert.read_table(spark, f"{out}/laps", LAPS)
 
 
+#: State partitions of the registered streams; their state is small.
+STREAM_PARTITIONS = 4
+
+
+def _x4_state(spark, sf_dir):
+    """Raw laps land out of order in two goes; each is drained in two micro-batches by a stream of its own
+    start, from the state the first one left; the newest versions are read."""
+    wh = warehouse(spark, sf_dir)
+    out = new_output_dir(spark, "timing")
+    part = F.pmod(F.xxhash64("session_id", "driver", "seq"), F.lit(10))
+    for landed in (wh.raw_laps.where(part < 6), wh.raw_laps.where(part >= 6)):
+        landed.repartition(4, F.xxhash64("seq", "driver")).write.mode("append").parquet(f"{out}/landing")
+        live_timing.stream_timing(spark, f"{out}/landing", wh.drivers, f"{out}/log", f"{out}/_checkpoint", max_files=2,
+                                  state_partitions=STREAM_PARTITIONS).awaitTermination()
+    return live_timing.latest(spark, f"{out}/log").drop("seq")
+
+
+def _lap_clock(raw: DataFrame):
+    """When a lap's message is sent: all sessions run at once, a lap each 90 seconds."""
+    return F.timestamp_seconds(F.col("seq") % 1_000_000 * 90)
+
+
+def _x4_messages(spark, sf_dir):
+    """Laps as messages, some cut off, mistyped, without a driver, or with a field more; read in micro-batches
+    into laps and rejected messages, of which all are returned."""
+    wh = warehouse(spark, sf_dir)
+    out = new_output_dir(spark, "messages")
+    raw, seq = wh.raw_laps, F.col("seq")
+    anonymous = F.when(seq % 83 != 2, F.col("driver"))
+    sent = raw.select(
+        messages.lap_key().alias("key"),
+        F.to_json(F.struct(*(anonymous.alias("driver") if c == "driver" else F.col(c) for c in raw.columns))).alias("value"),
+        _lap_clock(raw).alias("timestamp"), "seq",
+    )
+    value = (
+        F.when(seq % 97 == 0, F.expr("substring(value, 1, length(value) - 9)"))
+        .when(seq % 79 == 3, F.regexp_replace("value", '"lap_number":[0-9.]+', '"lap_number":"one"'))
+        .when(seq % 89 == 1, F.regexp_replace("value", "^[{]", '{"sensor":7,'))
+        .otherwise(F.col("value"))
+    )
+    sent.withColumn("value", value).drop("seq").repartition(4).write.json(f"{out}/landing")
+    messages.stream_messages(spark, f"{out}/landing", f"{out}/laps", f"{out}/rejected", f"{out}/_checkpoint", max_files=2).awaitTermination()
+    laps, rejected = spark.read.parquet(f"{out}/laps"), spark.read.parquet(f"{out}/rejected")
+    columns = ["key", "reason", "lap_number", "lap_time_us", "compound", "unknown"]
+    good = laps.withColumns({"reason": F.lit(None).cast("string"), "unknown": F.concat_ws(",", "unknown_fields")})
+    return good.select(columns).unionByName(rejected.select("key", "reason"), allowMissingColumns=True)
+
+
+def _x4_dedup(spark, sf_dir):
+    """Messages land in three goes with replays within the watermark and some laps behind it."""
+    wh = warehouse(spark, sf_dir)
+    out = new_output_dir(spark, "dedup")
+    sent = messages.lap_messages(wh.raw_laps, _lap_clock(wh.raw_laps)).withColumn("seq", F.substring_index("key", "/", -1).cast("long"))
+    lap, car = F.col("seq") % 1_000_000, F.floor(F.col("seq") / 1_000_000) % 10
+    kept_back, again = (lap == 2) & (car == 3), car == 1
+    landings = [
+        (lap <= 4) & ~kept_back,
+        ((lap > 4) & (lap <= 8)) | ((lap == 4) & again),
+        (lap > 8) | kept_back | ((lap == 8) & again),
+    ]
+    for landing_ in landings:
+        sent.where(landing_).drop("seq").repartition(2).write.mode("append").json(f"{out}/landing")
+        with state_settings(spark, STREAM_PARTITIONS):
+            messages.stream_deduplicated(spark, f"{out}/landing", f"{out}/accepted", f"{out}/_checkpoint", delay="3 minutes").awaitTermination()
+    landed = spark.read.schema(messages.MESSAGES).json(f"{out}/landing")
+    accepted = spark.read.parquet(f"{out}/accepted")
+    late = messages.late_messages(landed, accepted)
+    status = accepted.select("key", F.lit("accepted").alias("status")).unionByName(late.select("key", F.col("reason").alias("status")))
+    return status.join(messages.landed_counts(landed, accepted), "key").select("key", "status", "landed")
+
+
+def _x4_join(spark, sf_dir):
+    """A stream of laps joined to a stream of results two hours after the start; rows of no session move both watermarks on."""
+    wh = warehouse(spark, sf_dir)
+    out = new_output_dir(spark, "stream-join")
+    laps = wh.raw_laps.select("session_id", "driver", "seq", _lap_clock(wh.raw_laps).alias("timestamp"))
+    results = wh.raw_results.select("session_id", clean("abbreviation").alias("driver"), "team_name", F.timestamp_seconds(F.lit(7200)).alias("published"))
+    results = results.where("driver <> ''")
+    # The rows themselves, then twice one row of no session: the first moves the watermarks, under which the second is read.
+    for day in (0, 100, 101):
+        for landed, name, time in ((laps, "laps", "timestamp"), (results, "results", "published")):
+            # Not NULL, which an inner side may drop before its watermark sees it.
+            fill = {"session_id": F.lit(-1), "driver": F.lit("none"), time: F.timestamp_seconds(F.lit(day * 86400))}
+            moved = landed.limit(1).select(*(fill.get(c, F.lit(None)).cast(t).alias(c) for c, t in landed.dtypes))
+            (moved if day else landed).write.mode("append").parquet(f"{out}/{name}")
+        streams = [spark.readStream.schema(df.schema).parquet(f"{out}/{name}") for df, name in ((laps, "laps"), (results, "results"))]
+        joined = messages.join_results(*streams, "1 minute", "1 minute", "3 hours")
+        with state_settings(spark, STREAM_PARTITIONS):
+            sink = joined.writeStream.outputMode("append").format("parquet").option("path", f"{out}/joined").option("checkpointLocation", f"{out}/_checkpoint")
+            sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/joined").where("session_id >= 0").select("session_id", "driver", "seq", "team_name")
+
+
 def _x5_weather(**path) -> Query:
     def run(spark, sf_dir):
         wh = warehouse(spark, sf_dir)
@@ -431,6 +526,10 @@ QUERIES: dict[str, Query] = {
     "x1_outlier_filter": _x1,
     "x2_standardise": _x2,
     "x4_stream_ingest": _x4,
+    "x4_stateful_timing": _x4_state,
+    "x4_messages": _x4_messages,
+    "x4_deduplicated": _x4_dedup,
+    "x4_results_join": _x4_join,
     "x5_lap_weather": _x5_weather(),
     "x5_lap_weather_forced": _x5_weather(max_group_rows=3),
     "x5_weather_pace": _x5_pace,
