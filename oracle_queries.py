@@ -637,6 +637,13 @@ for _name in ("va4_driver_avg_laptime", "vb3_stint_summary", "w1_cumulative_time
 SQL["s9_sql_view"] = SQL["vb7_session_summary"]
 # The streaming ingest must land exactly what the batch ingest (N2) computes.
 SQL["x4_stream_ingest"] = SQL["n2_laps_full"]
+# Views over refreshed parts are the views over the laps.
+for _name, _of in {"va1": "va1_avg_gap_to_leader", "va3": "va3_driver_avg_by_compound", "va5": "va5_session_summary",
+                   "va7": "va7_tyre_degradation", "vb3": "vb3_stint_summary", "vb7": "vb7_session_summary"}.items():
+    SQL[f"s9_refreshed_{_name}"] = SQL[_of]
+SQL["s9_refreshed_seasons"] = """
+SELECT s.year, s.session_type, count(*) AS total_laps, count(DISTINCT l.driver_id) AS drivers_count
+FROM laps l JOIN sessions s ON s.session_id = l.session_id GROUP BY s.year, s.session_type"""
 # And so must the timing from state.
 SQL["x4_stateful_timing"] = SQL["n2_laps_full"]
 

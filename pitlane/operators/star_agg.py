@@ -69,6 +69,37 @@ def _merge(m: Measure) -> Column:
     return F.sum(p).cast("long")  # count, rows
 
 
+#: Of a table of stored partials: the number of laps a row stands for. Its presence tells such a table.
+PARTIAL_ROWS = "_rows"
+_MEASURED = ("lap_time_ms", "gap_to_leader_ms", "lap_number")
+
+
+def lap_partials(laps: DataFrame) -> DataFrame:
+    """Laps reduced to what the grouped views need, mergeable over any of their keys.
+
+    Laps with and without a time, and with and without a gap, are kept apart, and a measure's least
+    value stands under its own name: so the views' NULL filters mean the same here as on the laps.
+    """
+    grain = ["session_id", "driver_id", "stint_id", "compound"]
+    timed, gapped = F.col("lap_time_ms").isNotNull().alias("_timed"), F.col("gap_to_leader_ms").isNotNull().alias("_gapped")
+    parts = [F.count(F.lit(1)).alias(PARTIAL_ROWS)]
+    for c in _MEASURED:
+        parts += [F.min(c).alias(c), F.max(c).alias(f"_hi_{c}"), F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
+    return laps.groupBy(*grain, timed, gapped).agg(*parts).drop("_timed", "_gapped")
+
+
+def _stored(m: Measure) -> Column:
+    """A measure over stored partials."""
+    if m.kind in ("avg", "avg2"):
+        mean = F.sum(f"_s_{m.col}").cast("double") / F.nullif(F.sum(f"_n_{m.col}"), F.lit(0))
+        return F.round(mean, 2) if m.kind == "avg2" else mean
+    if m.kind == "min":
+        return F.min(m.col)
+    if m.kind == "max":
+        return F.max(f"_hi_{m.col}")
+    return F.sum(PARTIAL_ROWS if m.kind == "rows" else f"_n_{m.col}").cast("long")
+
+
 def star_aggregate(
     laps: DataFrame,
     drivers: DataFrame,
@@ -82,7 +113,8 @@ def star_aggregate(
     """Group the star join of laps, drivers and sessions by ``keys`` with ``measures``.
 
     ``keys`` may name lap columns and driver/session attributes; the result
-    has ``keys`` then the measure columns, named as given.
+    has ``keys`` then the measure columns, named as given. ``laps`` may also be stored
+    partials of laps (``lap_partials``), which are merged.
     """
     s_cols = [c for c in ("year", "track", "session_type") if c in keys]
     d_cols = [c for c in ("full_name", "team") if c in keys]
@@ -93,6 +125,9 @@ def star_aggregate(
     s = s.select("session_id", *s_cols)
     d = drivers.select("driver_id", *d_cols)
     fact = lap_filter(laps) if lap_filter else laps
+    if PARTIAL_ROWS in laps.columns:
+        joined = join_dim(join_dim(fact, s, "session_id"), d, "driver_id", max_bytes=max_dim_bytes)
+        return joined.groupBy(*keys).agg(*[_stored(m).alias(m.name) for m in measures])
     if fits(d, max_dim_bytes):
         joined = join_dim(join_dim(fact, s, "session_id"), d, "driver_id", max_bytes=max_dim_bytes)
         return joined.groupBy(*keys).agg(*[_direct(m).alias(m.name) for m in measures])

@@ -18,7 +18,7 @@ from pitlane.config import materialize, new_output_dir
 from pitlane.functions.cleanse import clean, duration_text_to_us
 from pitlane.operators.filters import past_events
 from pitlane.operators import integrity, quality, ranking, timing, upsert
-from pitlane.plans import ingest, race, strategy, views
+from pitlane.plans import ingest, race, refresh, strategy, views
 from pitlane.schemas import LAPS, WAREHOUSE
 from pitlane.sources.fixtures import warehouse
 from pitlane.sources import landing
@@ -239,6 +239,33 @@ def _x4(spark, sf_dir):
     return upsert.read_table(spark, f"{out}/laps", LAPS)
 
 
+_REFRESHED: dict[tuple[str, str], str] = {}
+
+
+def _refreshed(fn) -> Query:
+    """A view over the stored parts, after an ingest that changed, added and emptied sessions: first a
+    season is missing, every third session has another compound, and a session that is to have no laps has some."""
+    def run(spark, sf_dir):
+        wh = warehouse(spark, sf_dir)
+        key = (spark.sparkContext.applicationId, wh.root)
+        if key not in _REFRESHED:
+            root = new_output_dir(spark, "refresh")
+            late, other = F.col("session_id").between(500, 599), F.col("session_id") % 3 == 0
+            emptied = wh.laps.where("session_id = 631").withColumn("session_id", F.lit(9991))
+            first = wh.laps.where(~late).withColumn("compound", F.when(other, "OLD").otherwise(F.col("compound"))).unionByName(emptied)
+            refresh.refresh_partials(spark, root, first, first)
+            everything = wh.sessions.select("session_id")
+            refresh.refresh_partials(spark, root, wh.laps, everything.where(late | other | (F.col("session_id") == 9991)))
+            _REFRESHED[key] = root
+        return fn(wh, *refresh.stored(spark, _REFRESHED[key]))
+
+    return run
+
+
+def _refreshed_view(view) -> Query:
+    return _refreshed(lambda wh, partials, seen: view(partials, wh.drivers, wh.sessions))
+
+
 #: State partitions of the registered streams; their state is small.
 STREAM_PARTITIONS = 4
 
@@ -526,6 +553,13 @@ QUERIES: dict[str, Query] = {
     "x1_outlier_filter": _x1,
     "x2_standardise": _x2,
     "x4_stream_ingest": _x4,
+    "s9_refreshed_va1": _refreshed_view(views.avg_gap_to_leader),
+    "s9_refreshed_va3": _refreshed_view(views.driver_avg_by_compound),
+    "s9_refreshed_va5": _refreshed(lambda wh, partials, seen: refresh.session_summary(partials, seen, wh.sessions)),
+    "s9_refreshed_va7": _refreshed_view(views.tyre_degradation),
+    "s9_refreshed_vb3": _refreshed_view(views.v_stint_summary),
+    "s9_refreshed_vb7": _refreshed_view(views.v_session_summary),
+    "s9_refreshed_seasons": _refreshed(lambda wh, partials, seen: refresh.season_summary(partials, seen, wh.sessions)),
     "x4_stateful_timing": _x4_state,
     "x4_messages": _x4_messages,
     "x4_deduplicated": _x4_dedup,

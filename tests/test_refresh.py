@@ -1,0 +1,94 @@
+"""S9 refresh: views over stored parts equal the views over the laps after any change of sessions."""
+
+import glob
+
+import pytest
+from conftest import rows
+from test_ingest import RESULTS, landed
+from timing_rows import RAW
+
+from pyspark.sql import functions as F
+
+from pitlane.operators.star_agg import lap_partials
+from pitlane.operators.upsert import read_table
+from pitlane.plans import ingest, refresh, views
+from pitlane.schemas import DRIVERS, LAPS, RAW_RESULTS
+
+SESSIONS = [(1, 2024, "Bahrain", "Race"), (2, 2024, "Miami", "Race"), (3, 2025, "Monza", "Race"), (4, 2025, "Monza", "Sprint"), (5, 2026, "Spa", "Race")]
+DRIVER_ROWS = [(1, "A", "Ann", "Red"), (2, "B", "Bob", "Blue"), (3, "C", "Bob", None), (32_768, "D", "Dee", "Red"), (70_000, "E", "Eve", "Red")]
+GROUPED = {n: f for n, f in {**views.FAMILY_A, **views.FAMILY_B}.items() if n not in ("v_best_laps", "v_pitstops")}
+
+
+def laps_of(spark, sessions, shift=0):
+    out = []
+    for s in sessions:
+        for d in (1, 2, 3, 32_768, 70_000):
+            for n in range(1, 5):
+                time = None if (n + d + s) % 4 == 0 else 80_000 + 37 * n + d % 100 + shift
+                gap = None if (n + s) % 3 == 0 else 100 * n
+                lap = None if (s, d, n) == (1, 2, 3) else n
+                out.append((s, d, lap, None if n == 4 else 1 + n // 3, ["SOFT", None, "HARD"][(n + s) % 3], time, 1, 2, 3, n, gap, None))
+    return spark.createDataFrame(out, LAPS)
+
+
+@pytest.fixture(scope="module")
+def dims(spark):
+    return spark.createDataFrame(DRIVER_ROWS, DRIVERS), spark.createDataFrame(SESSIONS, "session_id int, year int, track string, session_type string")
+
+
+def ids(spark, *sessions):
+    return spark.createDataFrame([(s,) for s in sessions], "session_id int")
+
+
+def assert_views_agree(spark, root, laps, drivers, sessions):
+    partials, seen = refresh.stored(spark, root)
+    for name, view in GROUPED.items():
+        assert rows(view(partials, drivers, sessions)) == rows(view(laps, drivers, sessions)), name
+    for kind in ("Race", "Sprint", None):
+        assert rows(refresh.session_summary(partials, seen, sessions, kind)) == rows(views.session_summary(laps, sessions, kind))
+    want = laps.join(sessions, "session_id").groupBy("year", "session_type").agg(F.count("*"), F.count_distinct("driver_id"))
+    assert rows(refresh.season_summary(partials, seen, sessions)) == rows(want)
+
+
+def test_views_follow_changed_added_and_emptied_sessions(spark, tmp_path, dims):
+    root = str(tmp_path)
+    first = laps_of(spark, [1, 2, 4])
+    refresh.refresh_partials(spark, root, first, ids(spark, 1, 2, 4))
+    assert_views_agree(spark, root, first, *dims)
+    untouched = sorted(glob.glob(f"{root}/*/session_id=4/*.parquet"))
+    then = laps_of(spark, [1], shift=500).where("driver_id <> 3").unionByName(laps_of(spark, [3, 4]))  # 1 changed, 3 added, 2 emptied
+    refresh.refresh_partials(spark, root, then, ids(spark, 1, 2, 3, 99))
+    assert_views_agree(spark, root, then, *dims)
+    assert sorted(glob.glob(f"{root}/*/session_id=4/*.parquet")) == untouched
+    assert refresh.stored(spark, root)[0].where("session_id IN (2, 99)").count() == 0
+    refresh.refresh_partials(spark, root, then, ids(spark, 1, 2, 3, 99))  # again
+    assert_views_agree(spark, root, then, *dims)
+    back = then.unionByName(laps_of(spark, [2]))
+    refresh.refresh_partials(spark, root, back, ids(spark, 2))  # a session comes back
+    assert_views_agree(spark, root, back, *dims)
+
+
+def test_distinct_sets_merge_over_buckets(spark):
+    laps = laps_of(spark, [1, 2, 3]).where("NOT (session_id = 2 AND driver_id = 70000)")
+    seen = refresh.drivers_seen(laps)
+    assert {r.bucket for r in seen.collect()} == {1, 3} or seen.select("bucket").distinct().count() > 1
+    assert rows(refresh.distinct_drivers(seen, ["session_id"])) == [(1, 5), (2, 4), (3, 5)]
+
+
+def test_partials_are_few(spark):
+    laps = laps_of(spark, [1])
+    many = laps.crossJoin(spark.range(50)).drop("id")
+    assert lap_partials(many).count() == lap_partials(laps).count()
+
+
+def test_ingest_refreshes_what_it_touches(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    laps = [r for r in RAW if r[1] in ("AAA", "BBB")]
+    results = spark.createDataFrame(RESULTS, RAW_RESULTS)
+    for batch in (landed(spark, laps), landed(spark, laps[:3], 2025, "Miami", "Miami GP"), landed(spark, laps[:2])):
+        ingest.run_ingest(spark, batch, results, root, refresh=True)
+        d, s = (spark.read.parquet(f"{root}/{t}") for t in ("drivers", "sessions"))
+        partials, seen = refresh.stored(spark, root)
+        now = read_table(spark, f"{root}/laps", LAPS)
+        assert rows(views.driver_avg_laptime(partials, d, s)) == rows(views.driver_avg_laptime(now, d, s))
+        assert rows(refresh.session_summary(partials, seen, s)) == rows(views.session_summary(now, s))
