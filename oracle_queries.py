@@ -594,6 +594,17 @@ LEFT JOIN raw_laps x ON x.session_id = a.session_id AND x.driver = a.driver AND
 LEFT JOIN raw_laps y ON y.session_id = b.session_id AND y.driver = b.driver AND y.lap_number = greatest(a.lap_number, b.lap_number) + 1""",
 }
 
+VARIANT = {
+    "c17_weather_variant": _WEATHER + """,
+per AS (SELECT session_id, count(*) AS samples, min(track_temp) AS track_min, max(track_temp) AS track_max, bool_or(rainfall) AS wet
+        FROM weather WHERE session_id % 7 <> 0 GROUP BY session_id)
+SELECT s.session_id, CAST(p.samples AS INT) AS samples, p.track_min, p.track_max, p.wet
+FROM sessions s LEFT JOIN per p ON p.session_id = s.session_id""",
+    "q4_malformed_weather": _WEATHER + """
+SELECT 'sessions' AS table_name, 'weather' AS column_name, count(DISTINCT w.session_id) AS malformed_count
+FROM weather w JOIN sessions s ON s.session_id = w.session_id WHERE w.session_id % 7 = 0""",
+}
+
 # ---- X4: what the streams must have kept ------------------------------------
 
 _KEY = "session_id || '/' || driver || '/' || seq"
@@ -625,6 +636,7 @@ SQL.update(QUALITY)
 SQL.update(MORE)
 SQL.update(RACE)
 SQL.update(STREAMS)
+SQL.update(VARIANT)
 SQL.update(LANDING)
 # An order is no part of a set of rows: the tests hold it.
 SQL["l1_ordered_pitstops"] = SQL["vb8_pitstops"]

@@ -15,6 +15,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from pitlane.config import materialize, new_output_dir
+from pitlane.functions import weather_json
 from pitlane.functions.cleanse import clean, duration_text_to_us
 from pitlane.operators.filters import past_events
 from pitlane.operators import integrity, quality, ranking, timing, upsert
@@ -239,6 +240,30 @@ def _x4(spark, sf_dir):
     return upsert.read_table(spark, f"{out}/laps", LAPS)
 
 
+def _weather_texts(wh) -> DataFrame:
+    """Each session's weather as it lands, a JSON text by natural key; every seventh is cut off."""
+    per = wh.weather.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("samples"), F.struct(F.min("track_temp").alias("min"), F.max("track_temp").alias("max")).alias("track"),
+        F.bool_or("rainfall").alias("wet"),
+    )
+    text = F.to_json(F.struct("samples", "track", "wet"))
+    cut = F.when(F.col("session_id") % 7 == 0, F.substring(text, 1, 11)).otherwise(text)
+    keyed = per.select("session_id", cut.alias("weather"))
+    return wh.sessions.select("session_id", *ingest.SESSION_KEY).join(keyed, "session_id").drop("session_id")
+
+
+def _c17(spark, sf_dir):
+    """The sessions' weather as a stored Variant: written, upserted from JSON, written again and read by path."""
+    wh = warehouse(spark, sf_dir)
+    base = materialize(weather_json.with_variant(ingest.warehouse_sessions(wh.sessions)), "c17-sessions")
+    merged = materialize(weather_json.upsert_weather(base, _weather_texts(wh)), "c17-sessions")
+    return weather_json.weather_fields(merged).select("session_id", *weather_json.FIELDS)
+
+
+def _q4_json(spark, sf_dir):
+    return weather_json.malformed_json(_weather_texts(warehouse(spark, sf_dir)), "sessions", ["weather"])
+
+
 _REFRESHED: dict[tuple[str, str], str] = {}
 
 
@@ -553,6 +578,8 @@ QUERIES: dict[str, Query] = {
     "x1_outlier_filter": _x1,
     "x2_standardise": _x2,
     "x4_stream_ingest": _x4,
+    "c17_weather_variant": _c17,
+    "q4_malformed_weather": _q4_json,
     "s9_refreshed_va1": _refreshed_view(views.avg_gap_to_leader),
     "s9_refreshed_va3": _refreshed_view(views.driver_avg_by_compound),
     "s9_refreshed_va5": _refreshed(lambda wh, partials, seen: refresh.session_summary(partials, seen, wh.sessions)),

@@ -1,0 +1,37 @@
+"""C17: weather as a Variant; malformed JSON is reported, not raised."""
+
+from conftest import rows
+
+from pyspark.sql import functions as F
+
+from pitlane.functions import weather_json as W
+
+KEYED = "year int, track string, session_type string, weather string"
+TEXTS = ['{"samples":3,"track":{"max":31.5}}', "{}", '{"samples":', "", "[1]", "7", "null", None, '{"samples":"many","wet":true}']
+
+
+def test_malformed_texts_are_counted_and_parse_to_null(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "weather string")
+    assert rows(W.malformed_json(df, "sessions", ["weather"])) == [("sessions", "weather", 5)]
+    got = [(r.text, r.known) for r in W.with_variant(df.withColumn("text", F.col("weather"))).select("text", F.col("weather").isNotNull().alias("known")).collect()]
+    assert [t for t, known in got if known] == [TEXTS[0], TEXTS[1], TEXTS[8]]
+
+
+def test_fields_are_typed_and_null_where_absent_or_of_another_type(spark, tmp_path):
+    df = W.with_variant(spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS)], "session_id int, weather string"))
+    df.write.parquet(f"{tmp_path}/sessions")  # a Variant is stored and read as one
+    got = {r.session_id: tuple(r)[1:] for r in W.weather_fields(spark.read.parquet(f"{tmp_path}/sessions")).collect()}
+    assert got[0] == (3, None, 31.5, None) and got[8] == (None, None, None, True)
+    assert all(got[k] == (None,) * 4 for k in range(1, 8))
+
+
+def test_upsert_takes_the_last_well_formed_text_and_adds_no_session(spark):
+    base = W.with_variant(spark.createDataFrame([(2024, "Spa", "Race", '{"samples":1}'), (2024, "Monza", "Race", '{"samples":2}'), (2025, "Spa", "Race", None)], KEYED))
+    updates = [
+        (2024, "Spa", "Race", '{"samples":10}', 1), (2024, "Spa", "Race", '{"samples":11}', 3), (2024, "Spa", "Race", '{"samples":12}', 2),
+        (2024, "Spa", "Race", '{"sam', 9),  # the last, but malformed
+        (2024, "Monza", "Race", "nonsense", 1), (2025, "Spa", "Race", '{"samples":5}', None), (2026, "Spa", "Race", '{"samples":6}', 1),
+    ]
+    got = W.upsert_weather(base, spark.createDataFrame(updates, KEYED + ", seq int"), "seq")
+    assert got.columns == base.columns
+    assert rows(W.weather_fields(got), "year", "track", "samples") == [(2024, "Monza", 2), (2024, "Spa", 11), (2025, "Spa", 5)]
