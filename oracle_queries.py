@@ -649,6 +649,7 @@ for _name in ("va4_driver_avg_laptime", "vb3_stint_summary", "w1_cumulative_time
 SQL["s9_sql_view"] = SQL["vb7_session_summary"]
 # The streaming ingest must land exactly what the batch ingest (N2) computes.
 SQL["x4_stream_ingest"] = SQL["n2_laps_full"]
+SQL["s1_session_source"] = "SELECT * FROM raw_laps WHERE session_id IN (521, 631) AND lap_number <= 5"
 # Views over refreshed parts are the views over the laps.
 for _name, _of in {"va1": "va1_avg_gap_to_leader", "va3": "va3_driver_avg_by_compound", "va5": "va5_session_summary",
                    "va7": "va7_tyre_degradation", "vb3": "vb3_stint_summary", "vb7": "vb7_session_summary"}.items():

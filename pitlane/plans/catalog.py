@@ -22,7 +22,7 @@ from pitlane.operators import integrity, quality, ranking, timing, upsert
 from pitlane.plans import ingest, race, refresh, strategy, views
 from pitlane.schemas import LAPS, WAREHOUSE
 from pitlane.sources.fixtures import warehouse
-from pitlane.sources import landing
+from pitlane.sources import landing, session_source
 from pitlane.sources.landing import read_view, register_views
 from pitlane.streaming import live_timing, messages
 from pitlane.streaming.lap_stream import stream_laps
@@ -443,6 +443,13 @@ def _s1(spark, sf_dir):
     return landing.landed_laps(spark, f"{wh.root}/landed_laps", year=1995, event="ASIA", session="Race")
 
 
+def _s1_source(spark, sf_dir):
+    """The opening laps of two sessions, through the source with a partition per session."""
+    path = new_output_dir(spark, "s1") + "/laps"
+    landing.write_table(warehouse(spark, sf_dir).raw_laps.repartition("session_id"), path, partition_by=["session_id"])
+    return session_source.read_sessions(spark, path).where("session_id IN (521, 631) AND lap_number <= 5")
+
+
 def _s2_read(spark, sf_dir):
     """The results of two sessions, through the landing reader."""
     return landing.raw_results(spark, f"{warehouse(spark, sf_dir).root}/raw_results", session_ids=[521, 631])
@@ -545,6 +552,7 @@ QUERIES: dict[str, Query] = {
     "w4_n3_pitstops_forced": _w4_n3(max_group_rows=0),
     "u4_upsert_laps_forced": _u4(max_broadcast_bytes=0),
     "s1_landed_laps": _s1,
+    "s1_session_source": _s1_source,
     "s2_read_results": _s2_read,
     "s3_read_schedule": _s3,
     "s5_write_table": _s5,
