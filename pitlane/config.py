@@ -85,6 +85,18 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system of a path, the path as its object)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, by the file system its path names."""
+    fs, where = file_system(spark, path)
+    return fs.exists(where)
+
+
 def new_output_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared folder."""
     root = shared_dir(spark).rstrip("/")

@@ -22,11 +22,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.config import discard, materialize
+from pitlane.config import discard, exists, materialize
 from pitlane.operators.joins import fits, join_dim
 
 # Largest update batch merged by broadcasting it, in bytes as written (about 100,000 laps).
@@ -43,38 +42,33 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def _null_key_salt(keys: Sequence[str]) -> Column:
-    """0 for a complete key; a per-row unique value when any key part is NULL.
+def _spread(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """0 for a complete key; a hash of the row when any key part is NULL.
 
-    Such rows never conflict, so they must neither be merged by the dedupe
-    aggregate nor pile up in the one hash partition NULL keys map to: the
-    salt makes each its own group and spreads them over partitions.
+    Such rows match nothing; the hash, which a task that is run again gives alike, only keeps
+    them out of the one partition that NULL keys map to.
     """
-    return F.when(_any_null(keys), F.monotonically_increasing_id() + 1).otherwise(F.lit(0))
+    return F.when(_any_null(keys), F.xxhash64(*columns)).otherwise(F.lit(0).cast("long"))
 
 
-def dedupe_last(df: DataFrame, keys: Sequence[str], order: str | Column | None,
-                keep_salt: bool = False) -> DataFrame:
+def dedupe_last(df: DataFrame, keys: Sequence[str], order: str | Column | None) -> DataFrame:
     """One row per complete key, the one with the greatest ``order``; NULL-key rows all kept.
 
     An aggregate (``max_by``), so a key with many updates is combined
-    map-side. Ties on ``order`` resolve to the greatest full row.
-    ``keep_salt`` returns the ``_salt`` column the result is partitioned by.
+    map-side. Ties on ``order`` resolve to the greatest full row. A NULL-key
+    row is grouped by its whole content and comes as often as it came: nothing
+    depends on the order of rows, so a stage that is run again loses or doubles none.
     """
     keys = list(keys)
     cols = [c for c in df.columns if c not in keys]
-    salted = df.withColumn("_salt", _null_key_salt(keys))
-    salt = ["_salt"] if keep_salt else []
-    if not cols:
-        return salted.select(*keys, "_salt").distinct().select(*keys, *salt)
+    loose = _any_null(keys)
     order_col = F.lit(0) if order is None else (F.col(order) if isinstance(order, str) else order)
-    ordering = F.struct(order_col, *[F.col(c) for c in cols])
-    return (
-        salted.groupBy(*keys, "_salt")
-        .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_row"))
-        .select(*keys, "_salt", "_row.*")
-        .select(*df.columns, *salt)
+    row = F.struct(*[F.col(c) for c in cols]) if cols else F.struct(F.lit(0).alias("_nothing"))
+    picked = df.withColumns({"_loose": F.when(loose, row), "_by": F.struct(order_col, row), "_whole": row}).groupBy(*keys, "_loose").agg(
+        F.max_by("_whole", "_by").alias("_row"), F.count(F.lit(1)).cast("int").alias("_times")
     )
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(loose, F.col("_times")).otherwise(1))).alias("_copy")
+    return picked.select(*keys, "_row", copies).select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def _conform(updates: DataFrame, columns: Sequence[str], defaults: Mapping[str, object], types) -> DataFrame:
@@ -108,10 +102,9 @@ def upsert(
     conformed = _conform(updates.withColumn("_order", order_col), columns, defaults or {}, types)
     # Written once to the shared folder: however often the merge reads the
     # batch, its normalisation runs once.
-    u = materialize(dedupe_last(conformed, keys, "_order", keep_salt=True).drop("_order"), "upsert-batch")
+    u = materialize(dedupe_last(conformed, keys, "_order").drop("_order"), "upsert-batch")
     rest = [c for c in columns if c not in keys]
-    renamed = u.select(*keys, "_salt", *[F.col(c).alias("_u_" + c) for c in rest], F.lit(True).alias("_u_present"))
-    u = u.drop("_salt")
+    renamed = u.select(*keys, _spread(keys, columns).alias("_salt"), *[F.col(c).alias("_u_" + c) for c in rest], F.lit(True).alias("_u_present"))
 
     def merged(u_present: Column, b_present: Column) -> list[Column]:
         out = []
@@ -135,7 +128,7 @@ def upsert(
         return updated.unionByName(inserted)
 
     # Large batch: one full outer join on (key, salt).
-    b = base.withColumn("_salt", _null_key_salt(keys)).withColumn("_b_present", F.lit(True))
+    b = base.withColumn("_salt", _spread(keys, columns)).withColumn("_b_present", F.lit(True))
     j = b.join(renamed, [*keys, "_salt"], "full_outer")
     return j.select(*merged(F.col("_u_present").isNotNull(), F.col("_b_present").isNotNull()))
 
@@ -217,11 +210,14 @@ def key_range(df: DataFrame, col: str) -> Column:
 
 
 def read_table(spark, table_path: str, schema) -> DataFrame:
-    """A warehouse table by its schema; one that does not exist yet, or has no rows, is empty."""
-    try:
-        return spark.read.schema(schema).parquet(table_path).select(*schema.fieldNames())
-    except AnalysisException:
+    """A warehouse table by its schema; one that does not exist yet, or has no rows, is empty.
+
+    Only an absent folder is taken for an absent table: any other trouble is raised, since a merge into a
+    base taken for empty would overwrite what is there.
+    """
+    if not exists(spark, table_path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(table_path).select(*schema.fieldNames())
 
 
 def upsert_partitions(spark, table_path: str, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
