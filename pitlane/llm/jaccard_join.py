@@ -9,10 +9,13 @@ shingle), similar texts have Jaccard similarity of at least 0.8.
 3. Buckets with two nodes or more are split into blocks of at most ``block`` nodes, and each
    pair of blocks is one unit of work, so neither a hot passage nor a huge group of near
    copies lands in one task. A pair is handled in the first band that it shares only.
-4. Within a unit the signatures are compared 40 values at a time; a pair whose posterior
-   probability of reaching 0.8 falls below ``tolerance`` is dropped.
-5. What is left is verified on the whole texts' shingle sets. A unit gives each node's number
-   of linked documents and a spanning forest of its links, never all pairs.
+4. Within a unit the signatures are compared 48 values at a time; a pair whose posterior
+   probability of reaching 0.8 falls below ``tolerance`` is dropped, and so is one that turns out to
+   share an earlier band. Only the nodes that are left in some pair are written, with their
+   signatures: the pairs are found again from these where the texts are, and never written.
+5. What is left is verified on the whole texts' shingle sets, in a unit of many near copies by one
+   product of its node x shingle incidence. A unit gives each node's number of linked documents and
+   the least node that its links join it to, never all pairs.
 6. Classes are the connected components of the links, by distributed label propagation over
    written tables; nothing is gathered on the driver but the number of changed rows.
 
@@ -40,9 +43,11 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
-STEP = 40
+STEP = 48  # whole bands
 TOLERANCE = 1e-6
 BLOCK = 512
+#: Shingles of a unit that are multiplied at once: bounds the matrix.
+COLUMNS = 8192
 _WORD = re.compile(r"\w+")
 _M = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -130,15 +135,16 @@ def surviving_pairs(a: np.ndarray, b: np.ndarray, band: int, same: bool) -> tupl
     need = least_matches()
     matches = np.zeros(len(i), np.int32)
     for k, lo in enumerate(range(0, HASHES, STEP), 1):
+        earlier = min(STEP // ROWS, max(0, band - lo // ROWS))  # bands before this one among the compared
+        keep = np.empty(len(i), bool)
         for at in range(0, len(i), 1 << 16):  # in slices: bounded memory
             s = slice(at, at + (1 << 16))
-            matches[s] += (a[i[s], lo : lo + STEP] == b[j[s], lo : lo + STEP]).sum(axis=1, dtype=np.int32)
-        keep = matches >= need[k]
+            equal = a[i[s], lo : lo + STEP] == b[j[s], lo : lo + STEP]
+            matches[s] += equal.sum(axis=1, dtype=np.int32)
+            keep[s] = matches[s] >= need[k]
+            if earlier:
+                keep[s] &= ~equal[:, : earlier * ROWS].reshape(-1, earlier, ROWS).all(axis=2).any(axis=1)
         i, j, matches = i[keep], j[keep], matches[keep]
-    for k in range(band):
-        s = slice(k * ROWS, (k + 1) * ROWS)
-        new = (a[i, s] != b[j, s]).any(axis=1)
-        i, j = i[new], j[new]
     return i, j
 
 
@@ -176,84 +182,101 @@ def _band_rows(nodes: DataFrame) -> DataFrame:
     return rows.select(F.explode("keys").alias("key"), "node")
 
 
+def _unit_pairs(sig: np.ndarray, blk: np.ndarray, key: int, bi: int, bj: int) -> tuple[np.ndarray, np.ndarray]:
+    """Surviving pairs of a unit's nodes, by their places."""
+    left = np.flatnonzero(blk == bi)
+    right = left if bi == bj else np.flatnonzero(blk == bj)
+    i, j = surviving_pairs(sig[left], sig[right], key >> 48, bi == bj)
+    return left[i], right[j]
+
+
+def _signatures(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), HASHES)
+
+
 def _candidates(units: DataFrame) -> DataFrame:
-    """Units of (key, bi, bj) with signatures: nodes in a surviving pair, with their partners."""
+    """Units of (key, bi, bj) with signatures: the nodes that are in a surviving pair."""
+    columns = ["key", "bi", "bj", "blk", "node", "n", "doc_id", "sig"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, bounds in whole_groups(batches, ["key", "bi", "bj"]):
-            all_sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(len(frame), HASHES)
+            all_sig = _signatures(frame["sig"])
             key, bi, bj, blk = (frame[c].to_numpy() for c in ("key", "bi", "bj", "blk"))
-            take, row, partners = [], [], []
+            take = []
             for lo, hi in zip(bounds, bounds[1:]):
-                if hi - lo < 2:
-                    continue
-                sig, mine = all_sig[lo:hi], blk[lo:hi]
-                same = bi[lo] == bj[lo]
-                left = np.flatnonzero(mine == bi[lo])
-                right = left if same else np.flatnonzero(mine == bj[lo])
-                i, j = surviving_pairs(sig[left], sig[right], int(key[lo]) >> 48, same)
-                if not len(i):
-                    continue
-                i, j = left[i], right[j]
-                order = np.argsort(i, kind="stable")
-                i, j = i[order], j[order]
-                at = np.unique(np.concatenate([i, j]))
-                first, last = np.searchsorted(i, at), np.searchsorted(i, at, side="right")
-                take += (at + lo).tolist()
-                row += at.tolist()
-                partners += [j[x:y].tolist() for x, y in zip(first, last)]
+                if hi - lo > 1:
+                    i, j = _unit_pairs(all_sig[lo:hi], blk[lo:hi], int(key[lo]), bi[lo], bj[lo])
+                    take += (np.union1d(i, j) + lo).tolist()
             if take:
-                out = frame.iloc[take][["key", "bi", "bj", "node", "n", "doc_id"]].reset_index(drop=True)
-                out["row"], out["partners"] = row, partners
-                yield out
-
-    kind = dict(units.dtypes)["doc_id"]
-    return units.mapInPandas(run, f"key long, bi int, bj int, node binary, n long, doc_id {kind}, row int, partners array<int>")
-
-
-def _links(rows: dict[int, tuple], shingler: Shingler, threshold: float) -> list[tuple]:
-    """(node, linked documents, least node joined to) of a unit's nodes with a link."""
-    sets = {r: shingler(v[3]) for r, v in rows.items()}
-    links, root = dict.fromkeys(rows, 0), {r: r for r in rows}
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for r, (node, n, partners, _) in rows.items():
-        a = sets[r]
-        for q in partners:
-            b = sets[q]
-            if min(len(a), len(b)) < threshold * max(len(a), len(b)):
-                continue
-            both = np.concatenate([a, b])
+                yield frame.iloc[take][columns].reset_index(drop=True)
+
+    kinds = dict(units.dtypes)
+    return units.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in columns))
+
+
+def shared_shingles(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many shingles the sets of each pair have in common."""
+    if len(i) <= 4 * len(sets):
+        out = np.empty(len(i), np.int64)
+        for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
+            both = np.concatenate([sets[x], sets[y]])
             both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            if shared >= threshold * (len(both) - shared):
-                links[r] += rows[q][1]
-                links[q] += n
-                x, y = find(r), find(q)
-                if x != y:
-                    low, high = (x, y) if rows[x][0] < rows[y][0] else (y, x)
-                    root[high] = low
-    return [(v[0], links[r], rows[find(r)][0]) for r, v in rows.items() if links[r]]
+            out[k] = (both[1:] == both[:-1]).sum()
+        return out
+    # Many pairs of few nodes: the product of the incidence matrix with itself, some columns at a time.
+    _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    common = seen[column] > 1  # others are in no pair's intersection
+    row, column = row[common], column[common]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers below 2^24: exact
+    for first in range(0, len(seen), COLUMNS):
+        lo, hi = np.searchsorted(column, [first, first + COLUMNS])
+        if hi > lo:
+            part, at = np.unique(column[lo:hi], return_inverse=True)
+            block = np.zeros((len(sets), len(part)), np.float32)
+            block[row[lo:hi], at] = 1
+            total += block @ block.T
+    return total[i, j].astype(np.int64)
+
+
+def _links(nodes: list[bytes], n: np.ndarray, sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float) -> list[tuple]:
+    """(node, linked documents, least node joined to) of a unit's nodes, in their order, with a link."""
+    size = np.array([len(s) for s in sets])
+    near = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j])
+    i, j = i[near], j[near]
+    shared = shared_shingles(sets, i, j)
+    linked = shared >= threshold * (size[i] + size[j] - shared)
+    i, j = i[linked], j[linked]
+    links = np.zeros(len(nodes), np.int64)
+    np.add.at(links, i, n[j])
+    np.add.at(links, j, n[i])
+    root = np.arange(len(nodes))
+    while True:  # the least place among neighbours, and what that one has already found
+        before = root.copy()
+        np.minimum.at(root, i, before[j])
+        np.minimum.at(root, j, before[i])
+        root = root[root]
+        if (root == before).all():
+            break
+    return [(nodes[k], int(links[k]), nodes[root[k]]) for k in np.flatnonzero(links).tolist()]
 
 
 def _verified(units: DataFrame, threshold: float) -> DataFrame:
-    """Units with texts: per node its number of linked documents and the least node that the
-    unit's links join it to."""
+    """Units with signatures and texts: per node its number of linked documents and the least
+    node that the unit's links join it to."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
         for frame, bounds in whole_groups(batches, ["key", "bi", "bj"]):
-            cols = [frame[c].to_numpy() for c in ("row", "node", "n", "partners", "text")]
+            key, bi, bj, blk, n, node, text = (frame[c].to_numpy() for c in ("key", "bi", "bj", "blk", "n", "node", "text"))
             out: list[tuple] = []
             for lo, hi in zip(bounds, bounds[1:]):
-                # A repeated row of the table comes more than once: the last one counts.
-                rows = {r: (node, n, partners, text) for r, node, n, partners, text in zip(*(c[lo:hi] for c in cols))}
-                out += _links(rows, shingler, threshold)
+                # A repeated row of the table comes more than once, one after another: one counts.
+                at = [k for k in range(lo, hi) if k == lo or node[k] != node[k - 1]]
+                i, j = _unit_pairs(_signatures(frame["sig"].iloc[at]), blk[at], int(key[lo]), bi[lo], bj[lo])
+                out += _links([bytes(node[k]) for k in at], n[at], [shingler(text[k]) for k in at], i, j, threshold)
             yield pd.DataFrame(out, columns=["node", "links", "to"])
 
     return units.mapInPandas(run, "node binary, links long, to binary")
@@ -308,7 +331,7 @@ def classes(src: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) ->
 
     # A merge join at every size: the texts are shuffled once, by their digest.
     wanted = found.hint("merge").join(src.withColumnRenamed("doc_id", "of"), ["node"]).where(F.col("doc_id").eqNullSafe(F.col("of"))).drop("of")
-    checked = materialize(_verified(wanted.repartition(*unit).sortWithinPartitions(*unit, "row"), threshold), "links")
+    checked = materialize(_verified(wanted.repartition(*unit).sortWithinPartitions(*unit, "node"), threshold), "links")
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("node").alias("a"), F.col("to").alias("b")))
     named = nodes.select("node", "n", "doc_id").join(links, "node", "left").join(roots, "node", "left")

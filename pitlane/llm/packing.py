@@ -37,6 +37,7 @@ OPEN_BINS = 16_384
 PIECES_PER_PART = 20_000
 
 PIECE = "piece int, start long, length long"
+_ROW = "__pack_row"
 
 
 #: Pre-tokenizer of byte-level vocabularies (fixed value).
@@ -204,7 +205,9 @@ def best_fit_pack(pieces: DataFrame, parts: int, max_tokens: int = MAX_TOKENS, o
     against 1.0103 in random order.
     """
     cols = [c for c in pieces.columns if c not in ("sequence_id", "offset")]  # a former packing's go
-    order = F.xxhash64(F.lit(17), *(pieces[c] for c in ("doc_id", "piece", "length", "start")))
+    salt = [_ROW] if _ROW in pieces.columns else []  # else equal pieces are dealt alike
+    cols = [c for c in cols if c != _ROW]
+    order = F.xxhash64(F.lit(17), *(pieces[c] for c in ("doc_id", "piece", "length", "start", *salt)))
     dealt = pieces.withColumn("__pack_order", order).repartition(parts, "__pack_order").sortWithinPartitions(F.desc("length"), "__pack_order", *cols)
     kinds = dict(pieces.dtypes)
 
@@ -225,8 +228,13 @@ def best_fit_pack(pieces: DataFrame, parts: int, max_tokens: int = MAX_TOKENS, o
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """Tokenize once (the pieces are a written table), then pack in as many parts as their number asks for."""
-    pieces = materialize(token_pieces(docs, tokenizer_path, max_tokens, with_ids), "pieces")
+    """Tokenize once (the pieces are a written table), then pack in as many parts as their number asks for.
+
+    The pieces are numbered as they are written, so repeated rows and null ids are dealt apart, and
+    a task that is run again deals them alike.
+    """
+    pieces = token_pieces(docs, tokenizer_path, max_tokens, with_ids).withColumn(_ROW, F.monotonically_increasing_id())
+    pieces = materialize(pieces, "pieces")
     return best_fit_pack(pieces, parts_for(pieces.count(), PIECES_PER_PART), max_tokens)
 
 

@@ -1,16 +1,24 @@
 import random
+import re
 from collections import defaultdict
 
+import numpy as np
+
 from pitlane.llm import jaccard_join as J
 
 from .conftest import EDGES, prose
 from .llm_data import texts
 
 
+def shingles(text):
+    """Runs of five words; a shorter text is one."""
+    words = re.findall(r"\w+", text.lower()) if text else []
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
 def brute(rows):
     """(doc_id, class_id, n_links) from all pairs that share a shingle."""
-    shingler = J.Shingler()
-    sets = [shingler(t) for _, t in rows]
+    sets = [shingles(t) for _, t in rows]
     root, links, where = list(range(len(rows))), [0] * len(rows), defaultdict(list)
 
     def find(x):
@@ -20,7 +28,7 @@ def brute(rows):
 
     for k, s in enumerate(sets):
         shared = defaultdict(int)
-        for h in s.tolist():
+        for h in s:
             for o in where[h]:
                 shared[o] += 1
             where[h].append(k)
@@ -82,3 +90,36 @@ def test_pruning_never_drops_similar_signatures():
     need = J.least_matches()
     assert all(0 < n < s for n, s in zip(need[1:], range(J.STEP, J.HASHES + 1, J.STEP)))
     assert need[-1] < 0.8 * J.HASHES  # a pair at the threshold passes with its expected matches
+
+
+def test_shared_shingles_by_pairs_and_by_product(monkeypatch):
+    monkeypatch.setattr(J, "COLUMNS", 64)  # several blocks of columns
+    r = random.Random(4)
+    sets = [np.unique(np.array([r.randrange(400) for _ in range(r.randint(1, 300))], np.uint64)) for _ in range(40)]
+    i, j = np.triu_indices(40, 1)
+    want = [len({*sets[a].tolist()} & {*sets[b].tolist()}) for a, b in zip(i, j)]
+    assert J.shared_shingles(sets, i, j).tolist() == want  # many pairs
+    assert J.shared_shingles(sets, i[:50], j[:50]).tolist() == want[:50]  # few
+
+
+def test_a_pair_survives_in_the_first_band_it_shares_only():
+    r = np.random.default_rng(1)
+    a = r.integers(0, 256, (60, J.HASHES)).astype(np.uint8)
+    b = a.copy()
+    b[r.random(b.shape) < 0.15] ^= 1  # near copies
+    keys_a, keys_b = J.bands_of(a), J.bands_of(b)
+    for k in range(60):
+        common = np.flatnonzero(keys_a[k] == keys_b[k])
+        found = [band for band in range(J.BANDS) if len(J.surviving_pairs(a[k : k + 1], b[k : k + 1], band, False)[0]) and band in common]
+        assert found == common[:1].tolist()
+
+
+def test_a_large_group_is_written_as_nodes_not_pairs(spark, monkeypatch):
+    base, seen = prose(11, 120), []
+    rows = [(k, near(base, 2, k)) for k in range(700)]
+    keep = J.materialize
+    monkeypatch.setattr(J, "materialize", lambda df, label: seen.append((label, keep(df, label))) or seen[-1][1])
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), block=64).collect())
+    assert got == brute(rows)
+    found = dict(seen)["candidates"]
+    assert not [t for _, t in found.dtypes if t.startswith("array")]

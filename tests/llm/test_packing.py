@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pitlane.llm import packing as P
@@ -111,3 +112,12 @@ def test_the_fullest_bin_closes_first():
 
 def test_cut_puts_the_rest_first():
     assert P.cut(5000) == [(0, 904), (904, 2048), (2952, 2048)] and P.cut(4096) == [(0, 2048), (2048, 2048)] and P.cut(1) == [(0, 1)]
+
+
+def test_repeated_rows_are_dealt_over_the_parts(spark):
+    docs = spark.createDataFrame([(None, "")] * 4000 + [(7, "the same text")] * 1000, "doc_id long, text string")
+    pieces = P.materialize(P.token_pieces(docs, PATH, with_ids=False).withColumn(P._ROW, F.monotonically_increasing_id()), "pieces")
+    packed = P.best_fit_pack(pieces, 8)
+    assert P._ROW not in packed.columns
+    by_part = [r["count"] for r in packed.groupBy(F.shiftright("sequence_id", 40)).count().collect()]
+    assert sum(by_part) == 5000 and len(by_part) == 8 and max(by_part) < 900
