@@ -608,7 +608,7 @@ SQL["l1_ordered_pitstops"] = SQL["vb8_pitstops"]
 SQL["l2_ordered_bars"] = SQL["g1_strategy_bars"]
 # Forced plans answer the same questions.
 for _name in ("va4_driver_avg_laptime", "vb3_stint_summary", "w1_cumulative_time", "w2_w3_gaps", "w4_n3_pitstops", "u4_upsert_laps",
-              "x5_lap_weather"):
+              "x5_lap_weather", "u6_surrogate_keys"):
     SQL[_name + "_forced"] = SQL[_name]
 # Registered v_session_summary read back through spark.sql: the VB7 result.
 SQL["s9_sql_view"] = SQL["vb7_session_summary"]

@@ -135,10 +135,13 @@ def _u5(spark, sf_dir):
     return ingest.upsert_pitstops(old.unionAll(lost), wh.raw_laps, wh.drivers)
 
 
-def _u6(spark, sf_dir):
-    wh = warehouse(spark, sf_dir)
-    seen = wh.raw_laps.select(F.col("driver").alias("driver_code"))
-    return upsert.assign_ids(wh.drivers, seen, ["driver_code"], "driver_id")
+def _u6(**path) -> Query:
+    def run(spark, sf_dir):
+        wh = warehouse(spark, sf_dir)
+        seen = wh.raw_laps.select(F.col("driver").alias("driver_code"))
+        return upsert.assign_ids(wh.drivers, seen, ["driver_code"], "driver_id", **path)
+
+    return run
 
 
 def _q1(spark, sf_dir):
@@ -571,7 +574,8 @@ QUERIES: dict[str, Query] = {
     "u3_insert_teams": _u3,
     "u4_upsert_laps": _u4(),
     "u5_upsert_pitstops": _u5,
-    "u6_surrogate_keys": _u6,
+    "u6_surrogate_keys": _u6(),
+    "u6_surrogate_keys_forced": _u6(max_rows=0),
     "q1_duplicate_keys": _q1,
     "q2_orphans": _q2,
     "q3_cascade_delete": _q3,
