@@ -3,14 +3,16 @@
 A text's subwords are the character n-grams (1 to 4) of its words with their edges marked,
 lower-cased, hashed into ``buckets`` rows of an embedding table. Their mean, weighted by
 their number in the text, goes through a linear layer and a softmax. Table and layer are
-trained by stochastic gradient descent in numpy on a bounded, per-language even hash sample;
-since the layer is linear, the trained product (buckets x languages) is all that is kept.
+trained by stochastic gradient descent in numpy on a bounded hash sample that is even over the
+languages and holds each of them. Since the layer is linear, the trained product (buckets x
+languages) stands for both while there are at most ``DIM`` languages; beyond that the table keeps its ``DIM``
+columns, so a model and what a task remembers of words have a bound whatever the number of languages.
 A temperature fitted on a part of the sample that training did not see calibrates the
 probabilities, and ``accepted`` is false below the score that only a small share of that part's
 right answers has.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; rows without a
-language are not learned from; with no training row at all everything is ``und`` with score 0;
+language are not learned from; a language of one row is learned from it; with no training row at all everything is ``und`` with score 0;
 with one language that is the answer; ties go to the language first in order; extra columns are not read.
 """
 
@@ -25,12 +27,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import fold, table
+from pitlane.llm.common import fold, materialize, table
 
-#: Bounds of the sample that is trained on: rows per language, languages, characters of a text.
+#: Bounds of the sample that is trained on, about: rows of a language, rows and characters in all (shared evenly by
+#: the languages; each has a row at least), and characters of a text, of which a longer one gives its first.
 ROWS_PER_LANG = 600
-MAX_LANGS = 400
+SAMPLE_ROWS = 24_000
+SAMPLE_CHARS = 40_000_000
 MAX_SAMPLE_CHARS = 20_000
+#: Languages whose shares are broadcast to the rows; more are joined.
+BROADCAST_LANGS = 100_000
 BUCKETS = 1 << 17
 DIM = 16
 EPOCHS = 6
@@ -98,10 +104,12 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class LangModel:
-    """Languages, the trained bucket x language table, temperature and rejection bound."""
+    """Languages, a table of bucket rows, the layer behind it (none if the table is the product with it
+    already), temperature and rejection bound."""
 
     langs: list[str]
-    weights: np.ndarray
+    table: np.ndarray
+    layer: np.ndarray | None
     bias: np.ndarray
     temperature: float = 1.0
     least: float = 0.0
@@ -111,15 +119,24 @@ class LangModel:
         e = np.exp(z - z.max(axis=-1, keepdims=True))
         return e / e.sum(axis=-1, keepdims=True)
 
-    def logits(self, text: str | None) -> np.ndarray | None:
+    def of_mean(self, mean: np.ndarray) -> np.ndarray:
+        """Logits out of the mean of a text's bucket rows."""
+        return (mean if self.layer is None else mean @ self.layer) + self.bias
+
+    def mean(self, text: str | None) -> np.ndarray | None:
         ids = subwords(text) if text else ()
         if not len(ids) or not self.langs:
             return None
-        return self.weights[ids].sum(axis=0, dtype=np.float64) / len(ids) + self.bias
+        return self.table[ids].sum(axis=0, dtype=np.float64) / len(ids)
+
+    def logits(self, text: str | None) -> np.ndarray | None:
+        mean = self.mean(text)
+        return None if mean is None else self.of_mean(mean)
 
 
 class Predictor:
-    """Scores texts by their words; a word's sums over its subwords are kept within a task."""
+    """Scores texts by their words; a word's sums over its subwords are kept within a task, for at most
+    about ``remembered`` words of ``DIM`` + 1 numbers."""
 
     def __init__(self, model: LangModel, remembered: int = 400_000):
         self.model, self.remembered = model, remembered
@@ -127,16 +144,21 @@ class Predictor:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.sums = np.zeros((0, len(self.model.langs) + 1))
+        self.sums = np.zeros((0, self.model.table.shape[1] + 1))
 
     def learn(self, words: list[str]) -> None:
         ids, word = _buckets(words)
-        w = self.model.weights
-        cols = [np.bincount(word, w[ids, k], len(words)) for k in range(w.shape[1])]
-        cols.append(np.bincount(word, minlength=len(words)))
+        w = self.model.table
         first = len(self.known)
+        if first + len(words) > len(self.sums):  # room for as many again: rows are copied seldom
+            more = np.zeros((max(1024, 2 * (first + len(words))), w.shape[1] + 1))
+            more[:first] = self.sums[:first]
+            self.sums = more
+        mine = self.sums[first : first + len(words)]
+        for k in range(w.shape[1]):
+            mine[:, k] = np.bincount(word, w[ids, k], len(words))
+        mine[:, -1] = np.bincount(word, minlength=len(words))
         self.known.update(zip(words, range(first, first + len(words))))
-        self.sums = np.concatenate([self.sums, np.column_stack(cols)])
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         m, out = self.model, []
@@ -152,7 +174,7 @@ class Predictor:
                     out.append((UND, 0.0, False))
                     continue
                 total = self.sums[[self.known[w] for w in ws]].sum(axis=0)
-                p = m.probabilities(total[:-1] / total[-1] + m.bias)
+                p = m.probabilities(m.of_mean(total[:-1] / total[-1]))
                 k = int(np.argmax(p))
                 out.append((m.langs[k], float(p[k]), bool(p[k] >= m.least)))
         return out
@@ -162,9 +184,10 @@ def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, rate: float =
     """SGD on embeddings and layer, then the temperature on every tenth row kept apart."""
     names = sorted(set(langs))
     if not names:
-        return LangModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+        return LangModel([], np.zeros((BUCKETS, 0), np.float32), None, np.zeros(0))
     bags = [bag(t) for t in texts]
-    y = np.array([names.index(v) for v in langs])
+    place = {v: k for k, v in enumerate(names)}
+    y = np.array([place[v] for v in langs])
     apart = np.arange(len(y)) % 10 == 9
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
@@ -190,33 +213,48 @@ def fit(texts: list[str], langs: list[str], epochs: int = EPOCHS, rate: float =
             out -= np.outer(hidden, p)
             bias -= 0.1 * p
             emb[ids] -= np.outer(np.minimum(w, MOST_SHARE), back) * DIM
-    m = LangModel(names, (emb @ out).astype(np.float32), bias)
-    z = [(m.logits(texts[r]), y[r]) for r in np.flatnonzero(apart)]
-    z = [(a, b) for a, b in z if a is not None]
-    if z:
-        logits, truth = np.array([a for a, _ in z]), np.array([b for _, b in z])
-
-        def loss(t: float) -> float:
+    if len(names) <= DIM:
+        m = LangModel(names, (emb @ out).astype(np.float32), None, bias)
+    else:
+        m = LangModel(names, emb.astype(np.float32), out, bias)
+    means = [(m.mean(texts[r]), y[r]) for r in np.flatnonzero(apart)]
+    means = [(a, b) for a, b in means if a is not None]
+    if means:
+        hidden, truth = np.array([a for a, _ in means]), np.array([b for _, b in means])
+
+        def scores(t: float) -> tuple[np.ndarray, np.ndarray]:
+            """Probability of the truth, and of the answer where that is right, else -1; some rows at a time."""
             m.temperature = t
-            return -float(np.log(m.probabilities(logits)[np.arange(len(truth)), truth] + 1e-12).mean())
-
-        m.temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
-        p = m.probabilities(logits)
-        right = p.argmax(axis=1) == truth
-        if right.any():
-            m.least = float(np.quantile(p.max(axis=1)[right], REJECT))
+            of_truth, of_answer = np.empty(len(truth)), np.full(len(truth), -1.0)
+            for lo in range(0, len(truth), 128):
+                p = m.probabilities(m.of_mean(hidden[lo : lo + 128]))
+                of_truth[lo : lo + 128] = p[np.arange(len(p)), truth[lo : lo + 128]]
+                right = p.argmax(axis=1) == truth[lo : lo + 128]
+                of_answer[lo : lo + 128][right] = p.max(axis=1)[right]
+            return of_truth, of_answer
+
+        m.temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=lambda t: -float(np.log(scores(t)[0] + 1e-12).mean()))
+        answers = scores(m.temperature)[1]
+        if (answers >= 0).any():
+            m.least = float(np.quantile(answers[answers >= 0], REJECT))
     return m
 
 
-def training_sample(docs: DataFrame, rows: int = ROWS_PER_LANG) -> DataFrame:
-    """At most about ``rows`` texts for each of the ``MAX_LANGS`` most frequent languages of the
-    training folds: those whose id's hash lies below the language's share."""
+def training_sample(docs: DataFrame, rows: int = ROWS_PER_LANG, all_rows: int = SAMPLE_ROWS, all_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """A sample of the training folds that holds every language: the texts whose id's hash lies below their
+    language's share, which keeps to its part of all rows and characters, and the least hash of each."""
     seen = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where("lang is not null and doc_id is not null and text is not null").where(fold("doc_id", 4) != 2)
-    seen = seen.where(F.length("text") <= MAX_SAMPLE_CHARS).where(F.col("text").rlike(r"\p{L}"))
-    share = seen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    share = share.select("lang", (F.lit(float(rows)) / F.col("n")).alias("share"))
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return seen.join(F.broadcast(share), "lang").where(spread < F.col("share")).select("doc_id", "lang", "text")
+    seen = seen.where(F.col("text").rlike(r"\p{L}")).withColumn("spread", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30))
+    chars = F.least(F.length("text"), F.lit(MAX_SAMPLE_CHARS))
+    each = seen.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(chars).alias("chars"), F.min("spread").alias("least"))
+    each = materialize(each, "languages")
+    langs = max(1, each.count())
+    share = F.least(F.lit(min(rows, all_rows / langs)) / F.col("n"), F.lit(all_chars / langs) / F.col("chars"))
+    each = each.select("lang", share.alias("share"), "least")
+    joined = seen.join(F.broadcast(each) if langs <= BROADCAST_LANGS else each, "lang")
+    return joined.where((F.col("spread") < F.col("share")) | (F.col("spread") <= F.col("least"))).select(
+        "doc_id", "lang", F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text")
+    )
 
 
 def fit_langid(docs: DataFrame, rows: int = ROWS_PER_LANG) -> LangModel:
@@ -226,7 +264,7 @@ def fit_langid(docs: DataFrame, rows: int = ROWS_PER_LANG) -> LangModel:
 
 def identify(docs: DataFrame, model: LangModel, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Id, lang_pred, score and accepted of every whole text; the model goes out as a broadcast
-    variable (buckets x languages floats)."""
+    variable (buckets x ``DIM`` floats at most, and ``DIM`` for each language)."""
     src = docs.select(docs[id_col].alias("doc_id"), docs[text].cast("string").alias("text"))
     kind = dict(src.dtypes)["doc_id"]
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -244,4 +282,5 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents, learned from the training folds."""
     docs = table(spark, sf_dir, "documents")
     out = identify(docs, fit_langid(docs))
-    return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+    held = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))  # a null id is in no fold
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "accepted")
