@@ -1,11 +1,12 @@
 import random
+import re
 
 import numpy as np
 
 from pitlane.llm import toxicity as T
 
 from .conftest import EDGES, prose
-from .llm_data import data
+from .llm_data import data, texts
 from .test_gam_quality import LABELS, auc
 
 
@@ -75,3 +76,56 @@ def test_edges(spark, edge_docs, no_docs):
     empty = T.fit_toxicity(edge_docs, labels.where("false"))
     assert empty.entries == [] and np.ptp([r.score for r in T.score_toxicity(edge_docs, empty, ["doc_id"]).collect()]) == 0
     assert T.fit_toxicity(no_docs, labels).entries == []
+
+
+class Searched:
+    """``LexiconAutomaton.match`` by edit distances to every entry."""
+
+    def __init__(self, entries):
+        self.entries = entries
+
+    def match(self, word):
+        best = None
+        for n, e in enumerate(self.entries):
+            most = T.edits_allowed(len(e.text))
+            forms = [word[:k] for k in range(max(0, len(e.text) - most), min(len(word), len(e.text) + most) + 1)] if e.stem else [word]
+            d = min((distance(f, e.text) for f in forms if abs(len(f) - len(e.text)) <= most), default=99)
+            if d <= most and (best is None or (d, n) < best):
+                best = (d, n)
+        return best
+
+
+def test_whole_query_equals_the_plain_version(spark):
+    docs, labels = (spark.read.parquet(data("sf0.001", t)) for t in ("documents", "labels"))
+    model = T.fit_toxicity(docs, labels)
+    got = {r.doc_id: r for r in T.op2_toxicity(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == 200
+    for i, t in texts("sf0.001")[:80]:
+        n, found = T.hits(t, Searched(model.entries), {})
+        x = np.array(T.doc_features(n, found, model.entries))
+        want = 1 / (1 + np.exp(-(model.coef[0] + x @ model.coef[1:])))
+        assert np.isclose(got[i].score, want) and got[i].n_hits == len(found) and got[i].predicted == int(got[i].score >= 0.5)
+
+
+def test_lexicon_counts_equal_a_plain_count(spark):
+    rows = [(1, "Bad badly badger, b4d!"), (0, "bad badge"), (1, "Bad badly badger, b4d!"), (1, ""), (0, "aa aaa aaaa")]
+    got = {tuple(r) for r in T.lexicon_counts(spark.createDataFrame(rows, "y int, text string")).collect()}
+    want = {}
+    for y, t in set(rows):
+        words = {w.translate(str.maketrans("013457@$!", "oieastasi")) for w in re.split(r"[^a-z0-9@$!]+", t.lower())}
+        words = {w for w in words if len(w) >= T.SHORTEST}
+        heads = {w[:k] for w in words for k in range(T.SHORTEST, min(T.LONGEST, len(w)) + 1)}
+        for f in heads:
+            c = want.setdefault(f, [0, 0, 0])
+            c[0], c[1] = c[0] + 1, c[1] + y
+            c[2] += y * (f in words)
+    assert got == {(f, *c) for f, c in want.items()}
+
+
+def test_held_out_labels_and_other_columns_do_not_matter(spark):
+    docs, labels = (spark.read.parquet(data("sf0.01", t)) for t in ("documents", "labels"))
+    held = T.fold("doc_id", 5) == 0
+    turned = labels.withColumn("toxic", T.F.when(held, 1 - T.F.col("toxic")).otherwise(T.F.col("toxic")))
+    other = docs.withColumns({"lang": T.F.lit("zz"), "source": T.F.lit(None).cast("string")})
+    a, b = (sorted(map(tuple, T.score_toxicity(d, T.fit_toxicity(d, v), ["doc_id"]).collect())) for d, v in ((docs, labels), (other, turned)))
+    assert a == b
