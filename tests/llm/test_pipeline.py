@@ -63,5 +63,5 @@ def test_edges_go_through(spark, edge_docs):
 
 
 def test_one_query_for_each_operator():
-    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 14))
     assert [n for n, _ in C.STAGES] == ["quality", "near_duplicates", "decontamination", "secret_scan", "packing"]
