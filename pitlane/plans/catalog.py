@@ -299,14 +299,14 @@ STREAM_PARTITIONS = 4
 
 
 def _x4_state(spark, sf_dir):
-    """Raw laps land out of order in two goes; each is drained in two micro-batches by a stream of its own
-    start, from the state the first one left; the newest versions are read."""
+    """Raw laps land out of order in two goes, each drained by a start of the stream, the second from the
+    state that the first one left; the newest versions are read."""
     wh = warehouse(spark, sf_dir)
     out = new_output_dir(spark, "timing")
     part = F.pmod(F.xxhash64("session_id", "driver", "seq"), F.lit(10))
     for landed in (wh.raw_laps.where(part < 6), wh.raw_laps.where(part >= 6)):
         landed.repartition(4, F.xxhash64("seq", "driver")).write.mode("append").parquet(f"{out}/landing")
-        live_timing.stream_timing(spark, f"{out}/landing", wh.drivers, f"{out}/log", f"{out}/_checkpoint", max_files=2,
+        live_timing.stream_timing(spark, f"{out}/landing", wh.drivers, f"{out}/log", f"{out}/_checkpoint",
                                   state_partitions=STREAM_PARTITIONS).awaitTermination()
     return live_timing.latest(spark, f"{out}/log").drop("seq")
 
