@@ -4,11 +4,12 @@ Neither sends the rows of one key to one task.
 
 * ``asof_join`` cuts each key's time into buckets. Rows and samples of a bucket share one window;
   what a bucket inherits, the last sample before it, is found on one row per bucket (the last
-  sample of each, carried forward) and enters the window as its first sample. A bucket with more
-  rows than a window may hold is dealt out by a hash of the row, its samples to every part.
+  sample of each, carried forward) and enters the window as its first sample. Where a bucket has more
+  rows than a window may hold, rows and samples are cut into contiguous slices instead; what a
+  slice inherits is the last sample of the key's earlier slices. No row or sample is copied.
 * ``overlap_join`` cuts intervals into bins and joins equal bins. An interval is cut at the finest
-  level at which it covers at most ``MAX_BINS`` bins, and also at every coarser one, so one of any
-  length makes a bounded number of pieces; two intervals meet at the coarser of their levels and
+  level at which it covers at most ``MAX_BINS`` bins, and also at every coarser one that some
+  interval is cut at, so one of any length makes a bounded number of pieces; two intervals meet at the coarser of their levels and
   are a pair only in the bin where the later one begins, so a pair is emitted once and needs no
   ``distinct``.
 * ``overlap_count`` counts the overlapping intervals without any pair: those that begin before
@@ -23,7 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlane.operators.ranking import GROUP_WINDOW_MAX_ROWS, largest_group, running_sum
+from pitlane.config import materialize
+from pitlane.operators.ranking import GROUP_WINDOW_MAX_ROWS, largest_group, running_sum, slice_count, slices, with_earlier
 
 #: Most bins an interval covers at its level, and how much wider each level's bins are.
 MAX_BINS = 8
@@ -49,7 +51,7 @@ def asof_join(rows: DataFrame, samples: DataFrame, by: Sequence[str], time: str,
     ``time``. Of samples at the same time the greatest by ``tie`` counts, then by all their columns. A row
     without a key or time, or before the first sample, has NULLs; a sample without a key or ``at`` is
     never taken. Every row comes once, repeated rows too. Rows that keep their bucket
-    within ``max_group_rows`` share one window per bucket; a larger bucket is dealt out.
+    within ``max_group_rows`` share one window per bucket; with a larger bucket all are sliced.
     """
     payload = [c for c in samples.columns if c not in by]
     clash = set(payload) & set(rows.columns)
@@ -58,58 +60,71 @@ def asof_join(rows: DataFrame, samples: DataFrame, by: Sequence[str], time: str,
     row, sample = F.struct(*rows.columns), F.struct(*payload)
     known = _usable(rows, [*by, time])
     left = rows.where(known).select(*by, F.col(time).alias("_t"), F.floor(F.col(time) / width).alias("_bucket"), row.alias("_row"))
-    order = F.struct(at, *tie, *payload)
+    order = F.struct(*(F.col(c).alias(f"_{k}") for k, c in enumerate([at, *tie, *payload])))
     right = samples.where(_usable(samples, [*by, at])).select(
         *by, F.col(at).alias("_t"), F.floor(F.col(at) / width).alias("_bucket"), sample.alias("_sample"), order.alias("_order")
     )
-    # One row a bucket: its last sample, and whether it has rows. What precedes it is carried in.
-    buckets = (
-        left.select(*by, "_bucket", F.lit(None).cast(right.schema["_sample"].dataType).alias("_sample"), F.lit(None).cast(right.schema["_order"].dataType).alias("_order"))
-        .withColumn("_n", F.lit(1))
-        .unionByName(right.select(*by, "_bucket", "_sample", "_order").withColumn("_n", F.lit(0)))
-        .groupBy(*by, "_bucket").agg(F.max_by("_sample", "_order").alias("_sample"), F.sum("_n").alias("_n"))
-    )
-    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        buckets.withColumn("_sample", F.last("_sample", ignorenulls=True).over(earlier)).where((F.col("_n") > 0) & F.col("_sample").isNotNull())
-        .select(*by, "_bucket", "_sample")
-    )
+    nothing = {c: F.lit(None).cast(right.schema[c].dataType) for c in ("_sample", "_order")}
     keys = [*by, "_bucket"]
     if largest_group(rows, by) > max_group_rows and largest_group(left.select(*keys), keys) > max_group_rows:
-        # Buckets beyond the bound: at most one in ``max_group_rows`` rows, so a small table.
-        heavy = buckets.where(F.col("_n") > max_group_rows).select(*keys, F.ceil(F.col("_n") / max_group_rows).cast("int").alias("_parts"))
-        keys.append("_part")
-        left = left.join(F.broadcast(heavy), [*by, "_bucket"], "left").withColumn(
-            "_part", F.pmod(F.xxhash64("_t", "_row"), F.coalesce("_parts", F.lit(1)))).drop("_parts")
-        deal = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)).cast("long") - 1)).alias("_part")
-        right, carried = (side.join(F.broadcast(heavy), [*by, "_bucket"], "left").select(*side.columns, deal) for side in (right, carried))
-    # A sample comes before the rows of its time; what is carried in comes before all.
-    merged = (
-        left.withColumns({"_sample": F.lit(None).cast(right.schema["_sample"].dataType), "_order": F.lit(None).cast(right.schema["_order"].dataType)}).withColumn("_side", F.lit(2))
-        .unionByName(right.withColumn("_side", F.lit(1)), allowMissingColumns=True)
-        .unionByName(carried.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    )
-    so_far = Window.partitionBy(*keys).orderBy(F.col("_t").asc_nulls_first(), "_side", "_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = merged.withColumn("_sample", F.last("_sample", ignorenulls=True).over(so_far)).where("_side = 2")
+        # A sample comes before the rows of its time; rows of one time are spread by a hash.
+        merged = left.withColumns({**nothing, "_side": F.lit(2)}).unionByName(right.withColumn("_side", F.lit(1)), allowMissingColumns=True).drop("_bucket")
+        order_in = [F.col("_t"), F.col("_side"), F.col("_order"), F.xxhash64("_row")]
+        parts = slices(merged, by, order_in, slice_count(rows))
+        within = Window.partitionBy("_slice", *by).orderBy(*order_in).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = parts.withColumn("_sample", F.last("_sample", ignorenulls=True).over(within)).where("_side = 2")
+        found = with_earlier(local, parts, by, F.max_by("_sample", F.when(F.col("_sample").isNotNull(), F.col("_order"))),
+                             lambda c: F.last(c, ignorenulls=True)).withColumn("_sample", F.coalesce("_sample", "_earlier"))
+    else:
+        # One row a bucket: its last sample, and whether it has rows. What precedes it is carried in.
+        buckets = (
+            left.select(*keys).withColumns({**nothing, "_n": F.lit(1)})
+            .unionByName(right.select(*keys, "_sample", "_order").withColumn("_n", F.lit(0)))
+            .groupBy(*keys).agg(F.max_by("_sample", "_order").alias("_sample"), F.sum("_n").alias("_n"))
+        )
+        earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        carried = (
+            buckets.withColumn("_sample", F.last("_sample", ignorenulls=True).over(earlier)).where((F.col("_n") > 0) & F.col("_sample").isNotNull())
+            .select(*keys, "_sample")
+        )
+        # A sample comes before the rows of its time; what is carried in comes before all.
+        merged = (
+            left.withColumns({**nothing, "_side": F.lit(2)})
+            .unionByName(right.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+            .unionByName(carried.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+        )
+        so_far = Window.partitionBy(*keys).orderBy(F.col("_t").asc_nulls_first(), "_side", "_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        found = merged.withColumn("_sample", F.last("_sample", ignorenulls=True).over(so_far)).where("_side = 2")
     found = found.select("_row.*", *(F.col("_sample")[c].alias(c) for c in payload))
     rest = rows.where(~known).select(*rows.columns, *(F.lit(None).cast(samples.schema[c].dataType).alias(c) for c in payload))
     return found.unionByName(rest)
 
 
-def _levels(start: Column, end: Column, width: float) -> Column:
-    """(level, bin) of an interval at its own level and all coarser ones, and its own level."""
+def _bins(start: Column, end: Column, width: float) -> tuple[list[Column], list[Column]]:
+    """First and last bin of an interval at every level."""
     scale = [width * LEVEL_STEP**k for k in range(LEVELS)]
-    first = [F.floor(start / w) for w in scale]
-    last = [F.floor((end - 1) / w) for w in scale]
+    return [F.floor(start / w) for w in scale], [F.floor((end - 1) / w) for w in scale]
+
+
+def _own_level(start: Column, end: Column, width: float) -> Column:
+    """The finest level at which an interval covers at most ``MAX_BINS`` bins."""
+    first, last = _bins(start, end, width)
     own = F.lit(LEVELS - 1)
     for k in reversed(range(LEVELS - 1)):
         own = F.when(last[k] - first[k] < MAX_BINS, k).otherwise(own)
+    return own
+
+
+def _levels(start: Column, end: Column, width: float, levels: Sequence[int] = range(LEVELS)) -> Column:
+    """(level, bin) of an interval at its own level and all coarser ones of ``levels``, and its own level."""
+    first, last = _bins(start, end, width)
+    own = _own_level(start, end, width)
 
     def at(level: int) -> Column:
         bins = F.transform(F.sequence(first[level], last[level]), lambda x: F.struct(F.lit(level).alias("level"), x.alias("bin"), own.alias("own")))
         return F.when(F.lit(level) >= own, bins).otherwise(F.array().cast("array<struct<level:int,bin:bigint,own:int>>"))
 
-    return F.flatten(F.array(*(at(k) for k in range(LEVELS))))
+    return F.flatten(F.array(*(at(k) for k in levels)))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_span: tuple[str, str], right_span: tuple[str, str],
@@ -122,14 +137,17 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]
     """
     (ls, le), (rs, re_) = left_span, right_span
 
-    def cut(df: DataFrame, span: tuple[str, str], cols: list[str], side: str) -> DataFrame:
-        start, end = F.col(span[0]), F.col(span[1])
-        ok = df.where((end > start) & _usable(df, cols))
-        out = ok.select("*", F.explode(_levels(start, end, width)).alias("_at"))
-        return out.select(*df.columns, *(F.col("_at")[c].alias(f"_{side}_{c}") for c in ("level", "bin", "own")))
+    sides = (left, left_span, [x for x, _ in on]), (right, right_span, [x for _, x in on])
+    ok = [df.where((F.col(span[1]) > F.col(span[0])) & _usable(df, cols)) for df, span, cols in sides]
+    # Two intervals meet at the coarser of their own levels: no pieces at a level that is nobody's own.
+    owns = [df.select(_own_level(F.col(span[0]), F.col(span[1]), width).alias("_own")) for df, (_, span, _) in zip(ok, sides)]
+    levels = sorted(r["_own"] for r in owns[0].unionAll(owns[1]).distinct().collect())
+
+    def cut(df: DataFrame, span: tuple[str, str], side: str) -> DataFrame:
+        at = F.explode(_levels(F.col(span[0]), F.col(span[1]), width, levels or [0])).alias("_at")
+        return df.select("*", at).select(*df.columns, *(F.col("_at")[c].alias(f"_{side}_{c}") for c in ("level", "bin", "own")))
 
-    a = cut(left, left_span, [x for x, _ in on], "l")
-    b = cut(right, right_span, [x for _, x in on], "r")
+    a, b = cut(ok[0], left_span, "l"), cut(ok[1], right_span, "r")
     equal = (F.col("_l_level") == F.col("_r_level")) & (F.col("_l_bin") == F.col("_r_bin"))
     for x, y in on:
         equal = equal & (F.col(x) == F.col(y))
@@ -151,9 +169,11 @@ def overlap_count(spans: DataFrame, by: Sequence[str], start: str, end: str, wid
 
     def counted(time: str, name: str) -> DataFrame:
         per_time = ok.groupBy(*by, F.col(time).alias(f"_{name}_at")).agg(F.count(F.lit(1)).alias("_n"))
-        return running_sum(per_time, by, f"_{name}_at", "_n", f"_{name}").drop("_n")
+        # Written once each, as the as-of joins count and read their sides several times.
+        per_time = materialize(per_time, f"{name}-times")
+        return materialize(running_sum(per_time, by, f"_{name}_at", "_n", f"_{name}").drop("_n"), name)
 
-    begun = asof_join(ok.withColumn("_until", F.col(end) - 1), counted(start, "begun"), by, "_until", "_begun_at", width)
+    begun = materialize(asof_join(ok.withColumn("_until", F.col(end) - 1), counted(start, "begun"), by, "_until", "_begun_at", width), "overlaps")
     both = asof_join(begun, counted(end, "ended"), by, start, "_ended_at", width)
     n = F.col("_begun") - F.coalesce("_ended", F.lit(0)) - 1
     rest = spans.where(~proper).withColumn(out, F.lit(None).cast("long"))
