@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitlane.config import materialize
 from pitlane.functions.cleanse import nullable_int, to_ms
 from pitlane.operators.asof import asof_join, overlap_count, overlap_join
 from pitlane.operators.filters import pit_in_laps
@@ -41,18 +42,19 @@ def stop_windows(raw: DataFrame, max_group_rows: int = GROUP_WINDOW_MAX_ROWS) ->
     """One row per pit stop: when the car is in the pits on the session's clock.
 
     A stop begins when its in-lap ends (W1) and lasts as W4 has it; without either time the
-    window is unknown, and a stop of no or negative length is not a window.
+    window is unknown, and a stop of no or negative length is not a window. The stops are written once:
+    what follows counts and reads them several times, and the laps' windows run once.
     """
     laps = cumulative_ms(raw, max_group_rows).select(*CAR, "lap_number", "seq", "position", "cum_ms", "pit_in_us", "pit_out_us")
     stops = pit_in_laps(next_lap(laps, ["pit_out_us"], max_group_rows=max_group_rows))
     out = F.coalesce("pit_out_us", "next_pit_out_us")
-    return stops.select(
+    return materialize(stops.select(
         *CAR,
         nullable_int("lap_number").alias("lap_number"),
         nullable_int("position").alias("position"),
         F.col("cum_ms").cast("long").alias("from_ms"),
         (F.col("cum_ms") + to_ms(out - F.col("pit_in_us"))).cast("long").alias("to_ms"),
-    )
+    ), "stop-windows")
 
 
 def pit_traffic(raw: DataFrame) -> DataFrame:
