@@ -67,6 +67,24 @@ def test_equals_batch_timing_out_of_order_and_after_restarts(spark, tmp_path, dr
     assert rows(got.select(want.columns)) == rows(want) and len(rows(want)) > 40
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_a_lap_dealt_to_many_states_equals_batch_timing(spark, tmp_path, drivers, monkeypatch, seed):
+    monkeypatch.setattr(L, "BLOCK_PLACES", 1)  # every car has the one ahead in another state
+    laps = some_laps(seed)
+    moved = [tuple({"position": (x[NAMES.index("position")] or 0.0) % 5 + 1, "lap_time_us": 70_000_000}.get(c, v) for c, v in zip(NAMES, x)) for x in laps[::3]]
+    want = list(({(x[0], x[2], x[1]): x for x in laps} | {(x[0], x[2], x[1]): x for x in moved}).values())
+    random.Random(seed).shuffle(laps)
+    got = drained(spark, tmp_path, drivers, laps[:25], laps[25:], moved, place_buckets=3)
+    want = batch(spark, want, drivers)
+    assert rows(got.select(want.columns)) == rows(want) and len(rows(want)) > 40
+
+
+def test_the_cars_of_a_lap_are_spread_over_states(spark):
+    cars = spark.createDataFrame([(1, f"D{p}", p, f"1.0@{float(p)}" if p % 9 else "1.0@", 5, "{}", False) for p in range(1, 4001)], L._SUMS)
+    held = {r.place: (r.n, r.own) for r in L.placed(cars, 8).groupBy("place").agg(F.count("*").alias("n"), F.count_if("own").alias("own")).collect()}
+    assert len(held) == 8 and sum(own for _, own in held.values()) == 4000 and max(n for n, _ in held.values()) < 700
+
+
 def test_redelivered_and_changed_laps_replace_themselves(spark, tmp_path, drivers):
     laps = some_laps(7)
     by_key = {(x[0], x[2], x[1]): x for x in laps}
