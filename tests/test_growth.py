@@ -1,12 +1,14 @@
 """What keeps the shuffles, states and writes of a query in step with its input."""
 
 import os
+import time
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 from pitlane.operators import asof, timing, upsert
-from pitlane.plans import race, refresh, views
+from pitlane import config
+from pitlane.plans import ingest, race, refresh, views
 from pitlane.sources import fixtures
 from pitlane.streaming import live_timing
 from pitlane.streaming.settings import state_partitions
@@ -103,6 +105,47 @@ def test_a_batch_is_deduplicated_with_one_copy_of_its_rows(spark):
     assert "max_by" not in plan(got)
 
 
+def disk_files(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().length()
+
+
+def test_shuffles_are_deleted_with_their_query(spark, tmp_path):
+    before, conf = disk_files(spark), spark.conf.get(config.CLEAN_SHUFFLES, None)
+    with config.cleaned_shuffles(spark), config.cleaned_shuffles(spark):
+        spark.range(10_000).repartition(7, "id").write.parquet(f"{tmp_path}/out")
+        for _ in range(50):
+            if disk_files(spark) <= before:
+                break
+            time.sleep(0.1)
+        assert disk_files(spark) <= before
+    assert spark.conf.get(config.CLEAN_SHUFFLES, None) == conf
+
+
+def test_partitions_are_merged_range_by_range(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(s, k, f"{s}") for s in (1, 2, 5, 9) for k in range(4)] + [(None, 1, "n")], "session_id int, k int, v string")
+    assert [df.where(p).count() for p in upsert.partition_ranges(df, "session_id", 5)] == [5, 8, 4]
+    assert [df.where(p).count() for p in upsert.partition_ranges(df, "session_id", 100)] == [17]
+    parts = []
+    monkeypatch.setattr(upsert, "ROWS_PER_MERGE", 5)
+    monkeypatch.setattr(upsert, "materialize", lambda df, label, kept=upsert.materialize: (parts.append(kept(df, label)), parts[-1])[1])
+    for v in ("old", "new"):
+        batch = df.where("session_id IS NOT NULL").withColumn("v", F.lit(v))
+        upsert.upsert_partitions(spark, f"{tmp_path}/t", batch, ["session_id", "k"], ["v"], df.schema, sized_by=batch)
+        assert rows(spark.read.parquet(f"{tmp_path}/t").select(df.columns)) == rows(batch)
+    folders = {f.rsplit("/", 1)[0].removeprefix("file://") for p in parts for f in p.inputFiles()}
+    assert len(folders) == 9 and not any(map(os.path.exists, folders))
+
+
+def test_an_ingest_leaves_no_copy_of_its_laps(spark, tmp_path, monkeypatch):
+    left = []
+    monkeypatch.setattr(ingest, "materialize", lambda df, label, kept=ingest.materialize: (left.append((label, kept(df, label))), left[-1][1])[1])
+    wh = fixtures.warehouse(spark, "/root/testdata/sf0.001")
+    audit = ingest.run_ingest(spark, wh.landed_laps.where("year = 1995"), wh.raw_results, str(tmp_path))
+    assert audit.agg(F.sum("laps_found")).first()[0] == wh.landed_laps.where("year = 1995").count()
+    copies = [f for label, df in left if label == "ingest-raw-laps" for f in df.inputFiles()]
+    assert copies and not any(os.path.exists(f.removeprefix("file://")) for f in copies)
+
+
 def test_stored_parts_are_written_once_before_their_place(spark, tmp_path, monkeypatch):
     labels = []
     monkeypatch.setattr(refresh, "materialize", lambda df, label, kept=refresh.materialize: (labels.append(label), kept(df, label))[1])
